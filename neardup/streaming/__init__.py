@@ -1,0 +1 @@
+"""Empty on purpose: every input of this library is a finished table or file."""
