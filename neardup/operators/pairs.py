@@ -270,7 +270,7 @@ def max_prior_similarity(
     or more columns compared ascending that identify a row within the cluster.
     Returns ``by``, the id, ``max_sim`` (0 where no earlier row has a positive
     similarity), ``mate_id`` (the earliest row that attains it, NULL at 0) and
-    ``mate_<order column>``. Rows without a vector have ``max_sim`` 0.
+    ``mate_<order column>`` for other order columns. Rows without a vector have ``max_sim`` 0.
     """
     by, order = list(by), list(order)
     orders = [f"_o{i}" for i in range(len(order))]
@@ -330,6 +330,7 @@ def max_prior_similarity(
             *[
                 F.when(positive, F.col(f"_best.{o}")).alias(f"mate_{c}")
                 for o, c in zip(orders, order)
+                if c != id_col
             ],
         )
     )

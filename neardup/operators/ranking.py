@@ -128,7 +128,7 @@ def cluster_sizes(members: DataFrame, cluster_col: str = "cluster_id") -> DataFr
     return members.groupBy(cluster_col).agg(F.count(F.lit(1)).alias("cluster_size"))
 
 
-def chunk_of_rank(rank: Column, size: Column, limit: int) -> Column:
+def chunk_of_rank(rank: Column, size: Column, limit: Column) -> Column:
     """Chunk of a 1-based rank when ``size`` members are cut into ceil(size/limit) runs.
 
     Run i starts at ``floor(i * (size / chunks))``, computed in floating point:
@@ -136,7 +136,7 @@ def chunk_of_rank(rank: Column, size: Column, limit: int) -> Column:
     estimate from plain division is off by at most one run, which the two
     comparisons with the run's own start put right.
     """
-    chunks = F.ceil(size / F.lit(float(limit)))
+    chunks = F.ceil(size / limit.cast("double"))
     step = size.cast("double") / chunks
     at = (rank - 1).cast("double")
     guess = F.least(F.floor(at / step), chunks - 1)
@@ -152,12 +152,12 @@ def chunk_of_rank(rank: Column, size: Column, limit: int) -> Column:
 def split_into_chunks(
     ranked: DataFrame, limit: int, cluster_col: str = "cluster_id"
 ) -> DataFrame:
-    """Add ``chunk``: oversize clusters become runs of at most ``limit`` (or so) ranks."""
+    """Add ``chunk``: oversize clusters become runs of at most ``limit`` ranks."""
     if limit < 1:
         raise ValueError("limit must be positive")
     sizes = ranked.groupBy(cluster_col).agg(F.max("rank").alias("_size"))
     return (
         ranked.join(sizes, cluster_col)
-        .withColumn("chunk", chunk_of_rank(F.col("rank"), F.col("_size"), limit))
+        .withColumn("chunk", chunk_of_rank(F.col("rank"), F.col("_size"), F.lit(limit)))
         .drop("_size")
     )
