@@ -32,11 +32,12 @@ def embed(
     predict = predict_batch_udf(
         make_predict_fn, return_type=T.ArrayType(T.DoubleType()), batch_size=batch_size
     )
+    # A later filter on the vector must not be pushed below the model: it would
+    # run the model a second time, before the repartition.
+    predict = predict.asNondeterministic()
     raw = predict(F.coalesce(F.col(text_col), F.lit("")))
-    if not normalize:
-        return df.withColumn(output_col, raw)
-    # Kept in its own projection: the model must run once, not once per use.
-    return df.withColumn(output_col, raw).withColumn(output_col, l2_normalize(output_col))
+    df = df.withColumn(output_col, raw)
+    return df.withColumn(output_col, l2_normalize(output_col)) if normalize else df
 
 
 def hashed_bag_of_words(dim: int = 64) -> Callable:

@@ -90,7 +90,8 @@ def _assign_udf(ids_bc, matrix_bc, score: str) -> Callable[[str], Column]:
             ["cluster_id", "score"],
         )
 
-    return assign
+    # Filters on the result are not pushed below it, which would compute it twice.
+    return assign.asNondeterministic()
 
 
 def assign_nearest(

@@ -2,7 +2,7 @@
 
 A cluster of n distinct vectors is hashed into G = ceil(n / block_rows) blocks
 and every row is sent to the G block pairs it takes part in. A block pair is
-one group of at most about two blocks: its similarities are one matrix
+one group of about two blocks at most: its similarities are one matrix
 product, and only a per-row reduction (a maximum, or sums) leaves the task.
 Maxima and sums merge by ordinary aggregation, so a cluster of any size is
 exact, bounded in memory and spread over G * (G + 1) / 2 groups.
@@ -14,62 +14,74 @@ with its first and last place in the cluster order and its multiplicity.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from neardup.config import BLOCK_ROWS, SIM_DECIMALS
 from neardup.operators.arrow_blocks import matrix
-from neardup.session import fits_broadcast, materialize
+from neardup.session import broadcast_if_small, materialize
 
 # Side of the square of similarities held at once inside a task.
-_TILE = 2048
+_TILE = 1024
 # Two similarities closer than this are equal at SIM_DECIMALS.
 _HALF = 0.5 * 10.0**-SIM_DECIMALS
 
+# Kinds of rows a block pair emits.
+_BEFORE, _COPY, _BETWEEN, _SUMS = 0, 1, 2, 3
 
-def _keyed_members(members, by, id_col, vector_col, order, collapse_copies) -> DataFrame:
-    """Common columns: the keys, ``_id``, ``_v``, copy key ``_f1, _f2``, order ``_o0...``.
+COPY_KEYS = ("copy_key_0", "copy_key_1")
+
+
+def copy_keys(vector_col: str = "embedding") -> list[Column]:
+    """128-bit key that equal vectors share.
 
-    Copies of a vector share the 128-bit copy key. Without collapsing, the key
-    is the row's own id.
+    A table that stores it as ``copy_key_0, copy_key_1`` saves the pair join a
+    second scan of its vectors.
     """
-    v = F.col(vector_col).cast("array<double>")
-    if collapse_copies:
-        key = [F.xxhash64(v), F.xxhash64(F.lit(1), v)]
+    v = F.col(vector_col)
+    return [F.xxhash64(v).alias(COPY_KEYS[0]), F.xxhash64(F.lit(1), v).alias(COPY_KEYS[1])]
+
+
+# --- preparation -----------------------------------------------------------
+
+
+def _keyed_members(members, by, id_col, vector_col, order, collapse_copies) -> DataFrame:
+    """Common columns: the keys, ``_id``, ``_v``, copy key ``_f1, _f2``, order ``_o0...``."""
+    if not collapse_copies:
+        keys = [F.xxhash64(id_col), F.xxhash64(F.lit(1), F.col(id_col))]
+    elif set(COPY_KEYS) <= set(members.columns):
+        keys = [F.col(c) for c in COPY_KEYS]
     else:
-        key = [F.xxhash64(id_col), F.xxhash64(F.lit(1), F.col(id_col))]
+        keys = copy_keys(vector_col)
     return members.select(
         *by,
         F.col(id_col).alias("_id"),
         F.col(vector_col).alias("_v"),
-        key[0].alias("_f1"),
-        key[1].alias("_f2"),
+        keys[0].alias("_f1"),
+        keys[1].alias("_f2"),
         *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
     )
 
 
-def _distinct_vectors(keyed: DataFrame, by: list[str], order: list[str]) -> DataFrame:
-    """One row per distinct vector of a cluster.
+def _distinct_vectors(keyed: DataFrame, by: list[str], orders: list[str]) -> DataFrame:
+    """One row per distinct vector of a cluster; copies merge before the shuffle.
 
     ``_id, _o*``: its first occurrence; ``_l*``: the order of its last one;
-    ``_n``: how often it occurs. Copies merge before the shuffle.
+    ``_n``: how often it occurs.
     """
-    orders = [f"_o{i}" for i in range(len(order))]
+    grouped = keyed.where(F.col("_v").isNotNull()).groupBy(*by, "_f1", "_f2")
+    common = [F.any_value("_v").alias("_v"), F.count(F.lit(1)).alias("_n")]
+    if not orders:
+        return grouped.agg(*common)
     place = F.struct(*orders, "_id")
-    merged = (
-        keyed.where(F.col("_v").isNotNull())
-        .groupBy(*by, "_f1", "_f2")
-        .agg(
-            F.any_value("_v").alias("_v"),
-            F.min(place).alias("_first"),
-            F.max(place).alias("_last"),
-            F.count(F.lit(1)).alias("_n"),
-        )
-    )
-    return merged.select(
+    return grouped.agg(
+        *common, F.min(place).alias("_first"), F.max(place).alias("_last")
+    ).select(
         *by,
         "_f1",
         "_f2",
@@ -81,27 +93,32 @@ def _distinct_vectors(keyed: DataFrame, by: list[str], order: list[str]) -> Data
     )
 
 
-def _block_pairs(distinct: DataFrame, by: list[str], block_rows: int) -> DataFrame:
+def _every_vector(keyed: DataFrame, by: list[str], orders: list[str]) -> DataFrame:
+    """The same columns with every row taken as a vector of its own."""
+    return keyed.where(F.col("_v").isNotNull()).select(
+        *by,
+        "_f1",
+        "_f2",
+        "_v",
+        F.lit(1).cast("long").alias("_n"),
+        "_id",
+        *orders,
+        *[F.col(o).alias(o.replace("_o", "_l")) for o in orders],
+    )
+
+
+def _block_pairs(distinct: DataFrame, sizes: DataFrame, by: list[str], block_rows: int):
     """Send every row to each pair of blocks it belongs to: adds ``_p <= _q`` and ``_b``."""
     spark = distinct.sparkSession
-    sizes = (
-        distinct.groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(
-            *[F.col(c).alias(f"_by_{c}") for c in by],
-            F.ceil(F.col("_rows") / F.lit(block_rows)).cast("int").alias("_blocks"),
-        )
+    blocks = sizes.select(
+        *[F.col(c).alias(f"_by_{c}") for c in by],
+        F.ceil(F.col("_vectors") / F.lit(block_rows)).cast("int").alias("_blocks"),
     )
-    # One row per cluster, counted before it is broadcast; a shuffle join otherwise.
-    if fits_broadcast(sizes.count(), 64 + 32 * len(by)):
-        sizes = F.broadcast(sizes)
-    same = [F.col(c) == F.col(f"_by_{c}") for c in by]
-    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     sent = (
-        distinct.join(sizes, same)
+        distinct.join(blocks, [F.col(c) == F.col(f"_by_{c}") for c in by])
         .drop(*[f"_by_{c}" for c in by])
         .withColumn("_b", F.pmod("_f1", F.col("_blocks").cast("long")).cast("int"))
-        .withColumn("_other", other)
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
         .withColumn("_p", F.least("_b", "_other"))
         .withColumn("_q", F.greatest("_b", "_other"))
         .drop("_blocks", "_other")
@@ -112,18 +129,16 @@ def _block_pairs(distinct: DataFrame, by: list[str], block_rows: int) -> DataFra
     return sent.repartition(partitions, *by, "_p", "_q")
 
 
-def _types(df: DataFrame, names: dict[str, str]) -> list[T.StructField]:
-    return [T.StructField(new, df.schema[old].dataType) for old, new in names.items()]
+# --- inside a task ---------------------------------------------------------
 
 
-def _sides(table: pa.Table, key: tuple) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Row positions of the two blocks of a group, and whether they are one block."""
-    p, q = key[-2].as_py(), key[-1].as_py()
+def _sides(table: pa.Table, p: int, q: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row positions of the two blocks of a group."""
     if p == q:
         every = np.arange(table.num_rows)
-        return every, every, True
+        return every, every
     block = table["_b"].to_numpy()
-    return np.flatnonzero(block == p), np.flatnonzero(block == q), False
+    return np.flatnonzero(block == p), np.flatnonzero(block == q)
 
 
 def _tiles(left: np.ndarray, right: np.ndarray, same: bool):
@@ -133,310 +148,340 @@ def _tiles(left: np.ndarray, right: np.ndarray, same: bool):
             yield left[i : i + _TILE], right[j : j + _TILE], same and i == j
 
 
-def _last_positions(table: pa.Table, orders: list[str]) -> np.ndarray:
-    """For each row, how many rows of the sorted table come before its last copy."""
-    n = table.num_rows
-    arrays = [
-        pa.concat_arrays(
-            [table[o].combine_chunks(), table[o.replace("_o", "_l")].combine_chunks()]
-        )
-        for o in orders
-    ]
-    stacked = pa.table(arrays, orders).append_column("_row", pa.array(np.arange(2 * n)))
-    row = stacked.sort_by([(o, "ascending") for o in orders])["_row"].to_numpy()
-    firsts = np.cumsum(row < n)
-    out = np.zeros(n, dtype=np.int64)
-    is_last = row >= n
-    out[row[is_last] - n] = firsts[is_last]
-    return out
-
-
-def _rising(pos: np.ndarray, later: np.ndarray, sim: np.ndarray) -> np.ndarray:
-    """Indices of the entries that beat every earlier entry of their row."""
-    by_place = np.lexsort((later, pos))
-    keep, row, top = [], -1, 0.0
-    for at in by_place:
-        if pos[at] != row or sim[at] > top:
-            keep.append(at)
-            row, top = pos[at], sim[at]
-    return np.array(keep, dtype=np.int64)
-
-
-_BEFORE, _COPY, _BETWEEN = 0, 1, 2
-
-
-def _best_earlier(by: list[str], orders: list[str], key_types):
-    """Task body: best earlier neighbour of every distinct vector of a block pair.
+class _BestEarlier:
+    """Best earlier neighbour of every distinct vector of a block pair.
 
     Emits three kinds of candidates. BEFORE: the best vector that first occurs
     before this one. COPY: the vector itself, which its second and later copies
     may use. BETWEEN: a vector that first occurs after this one but before its
     last copy and is more similar than the copy itself (possible only where
-    lengths differ); only the entries that raise the maximum are kept.
+    lengths differ); only entries that raise the maximum are kept.
     """
 
+    def __init__(self, table: pa.Table, rows: np.ndarray, same: bool, orders: list[str]):
+        n = len(rows)
+        self.table, self.same, self.orders = table, same, orders
+        self.best = np.full(n, -np.inf)
+        self.mate = np.zeros(n, dtype=np.int64)
+        self.copied = table["_n"].to_numpy() > 1
+        self.between: list[tuple] = []
+        self.spread = np.zeros(n, dtype=bool)
+        if self.copied.any():
+            self.own = np.round(np.einsum("ij,ij->i", rows, rows), SIM_DECIMALS)
+            self.last = self._last_positions()
+            # Copies that other vectors of this group come between.
+            self.spread = self.copied & (self.last > np.arange(n) + 1)
+
+    def _last_positions(self) -> np.ndarray:
+        """For each row, how many rows of the sorted table come before its last copy."""
+        n = self.table.num_rows
+        columns = [
+            pa.concat_arrays(
+                [
+                    self.table[o].combine_chunks(),
+                    self.table[o.replace("_o", "_l")].combine_chunks(),
+                ]
+            )
+            for o in self.orders
+        ]
+        both = pa.table([*columns, pa.array(np.arange(2 * n))], [*self.orders, "_row"])
+        row = both.sort_by([(o, "ascending") for o in self.orders])["_row"].to_numpy()
+        firsts = np.cumsum(row < n)
+        out = np.zeros(n, dtype=np.int64)
+        out[row[row >= n] - n] = firsts[row >= n]
+        return out
+
+    def _offer(self, sims: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+        """Best of rows ``a`` for each column ``b``; ``sims`` is -inf where a is not earlier.
+
+        Every row sees its candidates in ascending tiles, so a later tile must
+        be strictly better. The position is looked up for those columns only.
+        """
+        top = np.round(sims.max(axis=0), SIM_DECIMALS)
+        better = np.flatnonzero(top > self.best[b])
+        if len(better):
+            level = (top[better] - _HALF)[None, :]
+            self.mate[b[better]] = a[np.argmax(sims[:, better] >= level, axis=0)]
+            self.best[b[better]] = top[better]
+
+    def tile(self, a: np.ndarray, b: np.ndarray, sims: np.ndarray, diagonal: bool) -> None:
+        # Positions ascend, so most tiles lie wholly on one side of the order.
+        if a[-1] < b[0]:
+            self._offer(sims, a, b)
+        elif b[-1] < a[0]:
+            self._offer(sims.T, b, a)
+        else:
+            earlier = a[:, None] < b[None, :]
+            self._offer(np.where(earlier, sims, -np.inf), a, b)
+            if not self.same:
+                self._offer(np.where(earlier, -np.inf, sims).T, b, a)
+        if self.spread.any():
+            for s, x, y in [(sims, a, b)] if self.same else [(sims, a, b), (sims.T, b, a)]:
+                use = np.flatnonzero(self.spread[x])
+                at = x[use][:, None]
+                hit = (at < y) & (y < self.last[at]) & (s[use] > self.own[at] + _HALF)
+                i, j = np.nonzero(hit)
+                found = np.round(s[use[i], j], SIM_DECIMALS)
+                self.between.append((x[use[i]], y[j], found))
+
+    def _rising(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The entries between copies that beat every earlier entry of their row."""
+        pos, later, sim = (np.concatenate(x) for x in zip(*self.between))
+        keep, row, top = [], -1, 0.0
+        for at in np.lexsort((later, pos)):
+            if pos[at] != row or sim[at] > top:
+                keep.append(at)
+                row, top = pos[at], sim[at]
+        keep = np.array(keep, dtype=np.int64)
+        return pos[keep], later[keep], sim[keep]
+
+    def result(self) -> tuple[np.ndarray, dict]:
+        found = np.flatnonzero(np.isfinite(self.best))
+        parts = [(found, self.mate[found], self.best[found], _BEFORE)]
+        if self.same and self.copied.any():
+            repeated = np.flatnonzero(self.copied)
+            parts.append((repeated, repeated, self.own[repeated], _COPY))
+        if self.between:
+            parts.append((*self._rising(), _BETWEEN))
+        row, mate, sim = (np.concatenate([x[i] for x in parts]) for i in range(3))
+        kinds = [np.full(len(x[0]), x[3], dtype=np.int32) for x in parts]
+        columns = {"_kind": np.concatenate(kinds), "_down": -sim}
+        columns |= {o: self.table[o].take(mate) for o in self.orders}
+        return row, columns | {"_mate": self.table["_id"].take(mate)}
+
+
+class _SumsOverOthers:
+    """Weighted sums, extremes and counts over the other rows of a block pair."""
+
+    def __init__(self, table: pa.Table, rows: np.ndarray, same: bool, eps_list: list[float]):
+        n = len(rows)
+        self.rows, self.same, self.eps_list = rows, same, eps_list
+        self.n = table["_n"].to_numpy()
+        self.weight = self.n.astype(np.float64)
+        self.total, self.squares = np.zeros(n), np.zeros(n)
+        self.top, self.low = np.full(n, -np.inf), np.full(n, np.inf)
+        self.over = np.zeros((len(eps_list), n))
+
+    def _add(self, at, sims, weight, skip=None) -> None:
+        self.total[at] += sims @ weight
+        self.squares[at] += (sims * sims) @ weight
+        for e, eps in enumerate(self.eps_list):
+            self.over[e, at] += (sims > 1 - eps + _HALF) @ weight
+        high = sims if skip is None else np.where(skip, -np.inf, sims)
+        small = sims if skip is None else np.where(skip, np.inf, sims)
+        self.top[at] = np.maximum(self.top[at], high.max(axis=1))
+        self.low[at] = np.minimum(self.low[at], small.min(axis=1))
+
+    def tile(self, a: np.ndarray, b: np.ndarray, sims: np.ndarray, diagonal: bool) -> None:
+        if diagonal:
+            # The row itself is no neighbour, its copies are.
+            own = np.einsum("ij,ij->i", self.rows[a], self.rows[a])
+            np.fill_diagonal(sims := sims.copy(), own)
+            self._add(a, sims, self.weight[b], np.eye(len(a), dtype=bool))
+            self.total[a] -= own
+            self.squares[a] -= own * own
+            for e, eps in enumerate(self.eps_list):
+                self.over[e, a] -= own > 1 - eps + _HALF
+            copied = a[self.weight[a] > 1]
+            mine = own[self.weight[a] > 1]
+            self.top[copied] = np.maximum(self.top[copied], mine)
+            self.low[copied] = np.minimum(self.low[copied], mine)
+        else:
+            self._add(a, sims, self.weight[b])
+            self._add(b, sims.T, self.weight[a])
+
+    def result(self) -> tuple[np.ndarray, dict]:
+        alone = ~np.isfinite(self.top)
+        columns = {
+            "_kind": np.full(len(self.n), _SUMS, dtype=np.int32),
+            "_n": self.n,
+            "_sum": self.total,
+            "_squares": self.squares,
+            "_max": pa.array(self.top, mask=alone),
+            "_min": pa.array(self.low, mask=alone),
+        }
+        for e in range(len(self.eps_list)):
+            columns[f"_over{e}"] = np.round(self.over[e]).astype(np.int64)
+        return np.arange(len(self.n)), columns
+
+
+def _block_pair_task(by, orders, eps_list, with_prior: bool, with_sums: bool, schema: pa.Schema):
+    """Task body: one matrix product per tile, handed to the wanted reductions."""
+
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        table = table.sort_by([(o, "ascending") for o in orders])
+        if orders:
+            table = table.sort_by([(o, "ascending") for o in orders])
         rows = matrix(table["_v"])
-        n = len(rows)
-        left, right, same = _sides(table, key)
-        best = np.full(n, -np.inf)
-        mate = np.zeros(n, dtype=np.int64)
-        copies = table["_n"].to_numpy() > 1
-        any_copies = bool(copies.any())
-        own = np.round(np.einsum("ij,ij->i", rows, rows), SIM_DECIMALS) if any_copies else None
-        last = _last_positions(table, orders) if any_copies else np.zeros(n, dtype=np.int64)
-        # Only copies that other vectors of this group come between.
-        spread = copies & (last > np.arange(n) + 1)
-        any_spread = bool(spread.any())
-        between: list[tuple] = []
-
-        def offer(at, values, candidates):
-            # Candidates ascend inside a tile; across tiles the earlier mate wins a tie.
-            better = (values > best[at]) | ((values == best[at]) & (candidates < mate[at]))
-            better &= np.isfinite(values)
-            best[at[better]] = values[better]
-            mate[at[better]] = candidates[better]
-
-        def reduce_columns(sims, a, b):
-            """Best of rows ``a`` for each column ``b``, ``sims`` masked by -inf."""
-            top = np.round(sims.max(axis=0), SIM_DECIMALS)
-            first = np.argmax(sims >= (top - _HALF)[None, :], axis=0)
-            offer(b, top, a[first])
-
-        for a, b, _ in _tiles(left, right, same):
+        p, q = key[-2].as_py(), key[-1].as_py()
+        left, right = _sides(table, p, q)
+        reductions = []
+        if with_prior:
+            reductions.append(_BestEarlier(table, rows, p == q, orders))
+        if with_sums:
+            reductions.append(_SumsOverOthers(table, rows, p == q, eps_list))
+        for a, b, diagonal in _tiles(left, right, p == q):
             sims = rows[a] @ rows[b].T
-            a_first = a[:, None] < b[None, :]
-            if not a_first.all():
-                reduce_columns(np.where(a_first, sims, -np.inf), a, b)
-                if not same:
-                    reduce_columns(np.where(a_first, -np.inf, sims).T, b, a)
-            else:
-                reduce_columns(sims, a, b)
-            if any_spread:
-                directions = [(sims, a, b)] if same else [(sims, a, b), (sims.T, b, a)]
-                for s, x, y in directions:
-                    use = np.flatnonzero(spread[x])
-                    at = x[use][:, None]
-                    hit = (at < y) & (y < last[at]) & (s[use] > own[at] + _HALF)
-                    i, j = np.nonzero(hit)
-                    between.append((x[use[i]], y[j], np.round(s[use[i], j], SIM_DECIMALS)))
-
+            for reduction in reductions:
+                reduction.tile(a, b, sims, diagonal)
         parts = []
-        found = np.flatnonzero(np.isfinite(best))
-        parts.append((found, mate[found], best[found], _BEFORE))
-        if same and any_copies:
-            repeated = np.flatnonzero(copies)
-            parts.append((repeated, repeated, own[repeated], _COPY))
-        if between:
-            pos, later, sim = (np.concatenate(x) for x in zip(*between))
-            keep = _rising(pos, later, sim)
-            parts.append((pos[keep], later[keep], sim[keep], _BETWEEN))
-        row = np.concatenate([x[0] for x in parts])
-        other = np.concatenate([x[1] for x in parts])
-        out = {
-            c: pa.array([key[i].as_py()] * len(row), key_types[i]) for i, c in enumerate(by)
-        }
-        out["_f1"] = table["_f1"].take(row)
-        out["_f2"] = table["_f2"].take(row)
-        out["_kind"] = np.concatenate([np.full(len(x[0]), x[3], dtype=np.int32) for x in parts])
-        out["_down"] = -np.concatenate([x[2] for x in parts])
-        for o in orders:
-            out[o] = table[o].take(other)
-        out["_mate"] = table["_id"].take(other)
-        return pa.table(out)
+        for reduction in reductions:
+            at, columns = reduction.result()
+            columns |= {"_f1": table["_f1"].take(at), "_f2": table["_f2"].take(at)}
+            columns |= {c: [key[i].as_py()] * len(at) for i, c in enumerate(by)}
+            missing = {c: pa.nulls(len(at), schema.field(c).type) for c in schema.names}
+            parts.append(pa.table({**missing, **columns}).select(schema.names).cast(schema))
+        return pa.concat_tables(parts)
 
     return run
 
 
-def _arrow_types(df: DataFrame, by: list[str]):
-    from pyspark.sql.pandas.types import to_arrow_type
+# --- the operator ----------------------------------------------------------
+
 
-    return [to_arrow_type(df.schema[c].dataType) for c in by]
+def _fields(df: DataFrame, names: dict[str, str]) -> list[T.StructField]:
+    return [T.StructField(new, df.schema[old].dataType) for old, new in names.items()]
 
 
-def max_prior_similarity(
+@dataclass(frozen=True)
+class ClusterPairs:
+    """Reduced pair similarities of a member table.
+
+    ``members``: the keys, ``_id``, copy key and order of every row, without
+    vectors. ``vectors``: one row per cluster and distinct vector with the
+    reductions. ``sizes``: ``_rows`` and ``_vectors`` per cluster.
+    """
+
+    by: list[str]
+    order: list[str]
+    id_col: str
+    eps_list: list[float]
+    members: DataFrame
+    vectors: DataFrame
+    sizes: DataFrame
+
+    def materialized(self) -> ClusterPairs:
+        """Run the pair join once for several uses of its result."""
+        return replace(self, vectors=materialize(self.vectors, "pairs"))
+
+    def prior_similarity(self) -> DataFrame:
+        """Per row: ``max_sim``, ``mate_id`` and the mate's order columns."""
+        orders = [f"_o{i}" for i in range(len(self.order))]
+        joined = self.members.join(
+            self.vectors.select(*self.by, "_f1", "_f2", "_before", "_copy", "_between"),
+            [*self.by, "_f1", "_f2"],
+            "left",
+        )
+        here = F.struct(*orders)
+
+        def is_earlier(candidate: Column) -> Column:
+            return F.struct(*[candidate[o].alias(o) for o in orders]) < here
+
+        plain = F.array("_before", F.when(is_earlier(F.col("_copy")), F.col("_copy")))
+        with_between = F.concat(plain, F.filter("_between", is_earlier))
+        # Ascending (-similarity, order) puts the most similar, then earliest, mate first.
+        best = F.array_min(F.when(F.size("_between") > 0, with_between).otherwise(plain))
+        positive = F.col("_best._down") < 0
+        return joined.withColumn("_best", best).select(
+            *self.by,
+            F.col("_id").alias(self.id_col),
+            F.when(positive, -F.col("_best._down")).otherwise(F.lit(0.0)).alias("max_sim"),
+            F.when(positive, F.col("_best._mate")).alias("mate_id"),
+            *[
+                F.when(positive, F.col(f"_best.{o}")).alias(f"mate_{c}")
+                for o, c in zip(orders, self.order)
+                if c != self.id_col
+            ],
+        )
+
+
+def compare_within_clusters(
     members: DataFrame,
     by: list[str] | tuple[str, ...] = ("cluster_id",),
-    order: list[str] | tuple[str, ...] = ("rank",),
+    order: list[str] | tuple[str, ...] = (),
+    eps_list: list[float] | tuple[float, ...] = (),
     id_col: str = "id",
     vector_col: str = "embedding",
     block_rows: int = BLOCK_ROWS,
     collapse_copies: bool = True,
-) -> DataFrame:
-    """Largest similarity of each row to any earlier row of its cluster.
+    with_sums: bool = True,
+) -> ClusterPairs:
+    """Compare all rows of each cluster in one pass.
 
-    Similarity is the raw dot product; earlier means smaller in ``order``, one
-    or more columns compared ascending that identify a row within the cluster.
-    Returns ``by``, the id, ``max_sim`` (0 where no earlier row has a positive
-    similarity), ``mate_id`` (the earliest row that attains it, NULL at 0) and
-    ``mate_<order column>`` for other order columns. Rows without a vector have ``max_sim`` 0.
+    With ``order`` the best earlier row of each row is found; with
+    ``with_sums`` each row is summed up over all others (and counted per
+    threshold of ``eps_list``).
     """
-    by, order = list(by), list(order)
+    by, order, eps_list = list(by), list(order), list(eps_list)
+    with_prior = bool(order)
     orders = [f"_o{i}" for i in range(len(order))]
     keyed = _keyed_members(members, by, id_col, vector_col, order, collapse_copies)
     if collapse_copies:
         # Written once: read for the cluster sizes and for the pairs.
-        distinct = materialize(_distinct_vectors(keyed, by, order), "distinct")
+        distinct = materialize(_distinct_vectors(keyed, by, orders), "distinct")
     else:
-        distinct = keyed.where(F.col("_v").isNotNull()).select(
-            "*", F.lit(1).cast("long").alias("_n"),
-            *[F.col(o).alias(o.replace("_o", "_l")) for o in orders],
-        )
-    sent = _block_pairs(distinct, by, block_rows)
-    schema = T.StructType(
-        _types(distinct, {c: c for c in by})
-        + [
-            T.StructField("_f1", T.LongType()),
-            T.StructField("_f2", T.LongType()),
-            T.StructField("_kind", T.IntegerType()),
-            T.StructField("_down", T.DoubleType()),
-        ]
-        + _types(distinct, {o: o for o in orders})
-        + _types(distinct, {"_id": "_mate"})
+        distinct = _every_vector(keyed, by, orders)
+    # One row per cluster: broadcast when its measured size allows it.
+    sizes = broadcast_if_small(
+        distinct.groupBy(*by).agg(
+            F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_vectors")
+        ),
+        64 + 32 * len(by),
     )
-    task = _best_earlier(by, orders, _arrow_types(distinct, by))
-    found = sent.groupBy(*by, "_p", "_q").applyInArrow(task, schema)
-    # Ascending (-similarity, order) puts the most similar, then earliest, mate first.
-    candidate = F.struct("_down", *orders, "_mate")
-
-    def of(kind):
-        return F.when(F.col("_kind") == kind, candidate)
-
-    per_vector = found.groupBy(*by, "_f1", "_f2").agg(
-        F.min(of(_BEFORE)).alias("_before"),
-        F.min(of(_COPY)).alias("_copy"),
-        F.collect_list(of(_BETWEEN)).alias("_between"),
+    fields = _fields(distinct, {c: c for c in by})
+    fields += [T.StructField(c, T.LongType()) for c in ("_f1", "_f2")]
+    fields.append(T.StructField("_kind", T.IntegerType()))
+    wanted = []
+    if with_prior:
+        fields.append(T.StructField("_down", T.DoubleType()))
+        fields += _fields(distinct, {o: o for o in orders} | {"_id": "_mate"})
+        candidate = F.struct("_down", *orders, "_mate")
+        for kind, merge, name in (
+            (_BEFORE, F.min, "_before"),
+            (_COPY, F.min, "_copy"),
+            (_BETWEEN, F.collect_list, "_between"),
+        ):
+            wanted.append(merge(F.when(F.col("_kind") == kind, candidate)).alias(name))
+    if with_sums:
+        overs = [f"_over{e}" for e in range(len(eps_list))]
+        fields.append(T.StructField("_n", T.LongType()))
+        fields += [T.StructField(c, T.DoubleType()) for c in ("_sum", "_squares", "_max", "_min")]
+        fields += [T.StructField(c, T.LongType()) for c in overs]
+        wanted += [F.max("_n").alias("_n"), F.max("_max").alias("_max"), F.min("_min").alias("_min")]
+        wanted += [F.sum(c).alias(c) for c in ("_sum", "_squares", *overs)]
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    schema = T.StructType(fields)
+    task = _block_pair_task(
+        by, orders, eps_list, with_prior, with_sums, to_arrow_schema(schema)
     )
-    light = keyed.drop("_v").join(per_vector, [*by, "_f1", "_f2"], "left")
-    here = F.struct(*orders)
-
-    def is_earlier(c):
-        return F.struct(*[c[o].alias(o) for o in orders]) < here
-
-    plain = F.array("_before", F.when(is_earlier(F.col("_copy")), F.col("_copy")))
-    best = F.array_min(
-        F.when(F.size("_between") > 0, F.concat(plain, F.filter("_between", is_earlier)))
-        .otherwise(plain)
-    )
-    positive = F.col("_best._down") < 0
-    return (
-        light.withColumn("_best", best)
-        .select(
-            *by,
-            F.col("_id").alias(id_col),
-            F.when(positive, -F.col("_best._down")).otherwise(F.lit(0.0)).alias("max_sim"),
-            F.when(positive, F.col("_best._mate")).alias("mate_id"),
-            *[
-                F.when(positive, F.col(f"_best.{o}")).alias(f"mate_{c}")
-                for o, c in zip(orders, order)
-                if c != id_col
-            ],
-        )
+    vectors = (
+        _block_pairs(distinct, sizes, by, block_rows)
+        .groupBy(*by, "_p", "_q")
+        .applyInArrow(task, schema)
+        .groupBy(*by, "_f1", "_f2")
+        .agg(*wanted)
     )
+    return ClusterPairs(by, order, id_col, eps_list, keyed.drop("_v"), vectors, sizes)
 
 
-def _sums_over_others(by: list[str], eps_list: list[float], key_types):
-    """Task body: weighted sums, extremes and counts over the other rows of a block pair."""
-
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        rows = matrix(table["_v"])
-        weight = table["_n"].to_numpy().astype(np.float64)
-        n = len(rows)
-        total, squares = np.zeros(n), np.zeros(n)
-        top, low = np.full(n, -np.inf), np.full(n, np.inf)
-        over = np.zeros((len(eps_list), n))
-        left, right, same = _sides(table, key)
-
-        def add(at, sims, w, skip=None):
-            total[at] += sims @ w
-            squares[at] += (sims * sims) @ w
-            for e, eps in enumerate(eps_list):
-                over[e, at] += (np.round(sims, SIM_DECIMALS) > 1 - eps) @ w
-            high, small = (sims, sims) if skip is None else (
-                np.where(skip, -np.inf, sims), np.where(skip, np.inf, sims)
-            )
-            top[at] = np.maximum(top[at], high.max(axis=1))
-            low[at] = np.minimum(low[at], small.min(axis=1))
-
-        for a, b, diagonal in _tiles(left, right, same):
-            sims = rows[a] @ rows[b].T
-            if diagonal:
-                add(a, sims, weight[b], np.eye(len(a), dtype=bool))
-            else:
-                add(a, sims, weight[b])
-                add(b, sims.T, weight[a])
-        if same:
-            # The row itself is no neighbour, its copies are.
-            own = np.einsum("ij,ij->i", rows, rows)
-            total -= own
-            squares -= own * own
-            for e, eps in enumerate(eps_list):
-                over[e] -= np.round(own, SIM_DECIMALS) > 1 - eps
-            copied = weight > 1
-            top[copied] = np.maximum(top, own)[copied]
-            low[copied] = np.minimum(low, own)[copied]
-        some = np.isfinite(top)
-        out = {c: pa.array([key[i].as_py()] * n, key_types[i]) for i, c in enumerate(by)}
-        out["_f1"], out["_f2"] = table["_f1"], table["_f2"]
-        out["_n"] = table["_n"]
-        out["_sum"], out["_squares"] = total, squares
-        out["_max"] = pa.array(top, mask=~some)
-        out["_min"] = pa.array(low, mask=~some)
-        for e in range(len(eps_list)):
-            out[f"_over{e}"] = np.round(over[e]).astype(np.int64)
-        return pa.table(out)
-
-    return run
-
-
-def similarity_sums(
+def max_prior_similarity(
     members: DataFrame,
     by: list[str] | tuple[str, ...] = ("cluster_id",),
-    eps_list: list[float] | tuple[float, ...] = (),
+    order: list[str] | tuple[str, ...] = ("rank",),
     id_col: str = "id",
     vector_col: str = "embedding",
     block_rows: int = BLOCK_ROWS,
     collapse_copies: bool = True,
-) -> tuple[DataFrame, DataFrame]:
-    """Per distinct vector, sums over all other rows of its cluster.
+) -> DataFrame:
+    """Largest similarity of each row to any earlier row of its cluster.
 
-    Returns ``(sums, members)``: ``sums`` has the copy key ``_f1, _f2``, the
-    multiplicity ``_n``, ``_sum``, ``_squares``, ``_max``, ``_min`` and one
-    ``_over<i>`` count per threshold; ``members`` maps every id to its copy key.
+    Similarity is the raw dot product; earlier means smaller in ``order``, one
+    or more columns compared ascending that identify a row within the cluster.
+    Returns ``by``, the id, ``max_sim`` (0 where no earlier row has a positive
+    similarity), ``mate_id`` (the earliest row that attains it, NULL at 0) and
+    ``mate_<order column>`` for other order columns. Rows without a vector have
+    ``max_sim`` 0.
     """
-    by, eps_list = list(by), list(eps_list)
-    keyed = _keyed_members(members, by, id_col, vector_col, [], collapse_copies)
-    if collapse_copies:
-        distinct = materialize(
-            keyed.where(F.col("_v").isNotNull())
-            .groupBy(*by, "_f1", "_f2")
-            .agg(F.any_value("_v").alias("_v"), F.count(F.lit(1)).alias("_n")),
-            "distinct",
-        )
-    else:
-        distinct = keyed.where(F.col("_v").isNotNull()).select(
-            *by, "_f1", "_f2", "_v", F.lit(1).cast("long").alias("_n")
-        )
-    sent = _block_pairs(distinct, by, block_rows)
-    schema = T.StructType(
-        _types(distinct, {c: c for c in by})
-        + [T.StructField(c, T.LongType()) for c in ("_f1", "_f2", "_n")]
-        + [T.StructField(c, T.DoubleType()) for c in ("_sum", "_squares", "_max", "_min")]
-        + [T.StructField(f"_over{e}", T.LongType()) for e in range(len(eps_list))]
-    )
-    task = _sums_over_others(by, eps_list, _arrow_types(distinct, by))
-    sums = (
-        sent.groupBy(*by, "_p", "_q")
-        .applyInArrow(task, schema)
-        .groupBy(*by, "_f1", "_f2")
-        .agg(
-            F.first("_n").alias("_n"),
-            F.sum("_sum").alias("_sum"),
-            F.sum("_squares").alias("_squares"),
-            F.max("_max").alias("_max"),
-            F.min("_min").alias("_min"),
-            *[F.sum(f"_over{e}").alias(f"_over{e}") for e in range(len(eps_list))],
-        )
-    )
-    return sums, keyed.drop("_v")
+    return compare_within_clusters(
+        members, by, order, (), id_col, vector_col, block_rows, collapse_copies, with_sums=False
+    ).prior_similarity()

@@ -7,7 +7,8 @@ goes on where the last one stopped.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +18,8 @@ from neardup.config import PruneConfig
 from neardup.operators import extraction, pruning, ranking, statistics
 from neardup.operators.assignment import assign_and_measure, invalid_vectors, valid_vectors
 from neardup.operators.kmeans import model_centroids, train_or_load_kmeans
-from neardup.operators.pairs import max_prior_similarity
-from neardup.session import fits_broadcast
+from neardup.operators.pairs import ClusterPairs, compare_within_clusters, copy_keys
+from neardup.session import broadcast_if_small, materialize
 
 
 @dataclass(frozen=True)
@@ -31,41 +32,59 @@ class RunPaths:
         return f"{self.root.rstrip('/')}/{name}"
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a stage output was committed."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+    fs, marker = _hadoop_path(spark, f"{path}/_SUCCESS")
+    return fs.exists(marker)
 
 
-def prior_with_ranks(
-    assigned: DataFrame, ranked: DataFrame, config: PruneConfig
-) -> DataFrame:
-    """Prune rows ``cluster_id, id, rank, max_sim, mate_id, mate_rank``.
+def _check_same_run(spark: SparkSession, path: str, config: PruneConfig, resume: bool) -> None:
+    """Keep the parameters with the output; refuse to go on under other ones."""
+    mine = json.dumps(asdict(config), sort_keys=True)
+    if resume and path_exists(spark, path):
+        saved = spark.read.text(path, wholetext=False).first()[0]
+        if saved != mine:
+            raise ValueError(f"output belongs to a run with other parameters: {saved}")
+        return
+    spark.createDataFrame([(mine,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
-    The pair join orders rows by distance and id directly; ranks are joined to
-    its narrow result, so vectors are not shuffled for them. Only chunked
-    pruning needs the rank beside the vector.
+
+def compare_members(
+    assigned: DataFrame, ranked: DataFrame, config: PruneConfig, with_sums: bool = False
+) -> ClusterPairs:
+    """The pair comparison of a run.
+
+    Rows are ordered by distance and id directly, so vectors are not shuffled
+    for the sake of a rank. Only chunked pruning needs the rank beside the
+    vector.
     """
     limit = config.largest_cluster_size_to_process
-    ranks = ranked.select("cluster_id", "id", "rank")
-    if limit is not None:
-        placed = ranking.split_into_chunks(ranks, limit)
-        chunked = assigned.select("cluster_id", "id", "embedding").join(
-            placed, ["cluster_id", "id"]
-        )
-        prior = max_prior_similarity(
-            chunked, ("cluster_id", "chunk"), ("rank",), block_rows=config.block_rows
-        )
-    else:
+    if limit is None:
         keyed = ranking.with_order_keys(
             assigned, config.which_to_keep, config.keep_hard, config.seed
         )
-        prior = max_prior_similarity(
-            keyed, ("cluster_id",), ("order_0", "order_1"), block_rows=config.block_rows
-        )
-    mates = ranks.select("cluster_id", F.col("id").alias("mate_id"), F.col("rank").alias("mate_rank"))
+        by, order = ("cluster_id",), ("order_0", "order_1")
+    else:
+        placed = ranking.split_into_chunks(ranked.select("cluster_id", "id", "rank"), limit)
+        keyed = assigned.join(placed, ["cluster_id", "id"])
+        by, order = ("cluster_id", "chunk"), ("rank",)
+    return compare_within_clusters(
+        keyed, by, order, block_rows=config.block_rows, with_sums=with_sums
+    )
+
+
+def prune_rows(pairs: ClusterPairs, ranked: DataFrame) -> DataFrame:
+    """``cluster_id, id, rank, max_sim, mate_id, mate_rank``: ranks join the narrow result."""
+    ranks = ranked.select("cluster_id", "id", "rank")
+    mates = ranks.withColumnsRenamed({"id": "mate_id", "rank": "mate_rank"})
     return (
-        prior.select("cluster_id", "id", "max_sim", "mate_id")
+        pairs.prior_similarity()
+        .select("cluster_id", "id", "max_sim", "mate_id")
         .join(ranks, ["cluster_id", "id"])
         .join(mates, ["cluster_id", "mate_id"], "left")
         .select("cluster_id", "id", "rank", "max_sim", "mate_id", "mate_rank")
@@ -85,7 +104,7 @@ def prune_table(
         config.which_to_keep,
         config.seed,
     )
-    return prior_with_ranks(assigned, ranked, config)
+    return prune_rows(compare_members(assigned, ranked, config), ranked)
 
 
 def prune_vectors(
@@ -100,8 +119,9 @@ def prune_vectors(
     """Cluster and prune ``id, embedding`` rows; returns the result tables by name.
 
     With ``resume`` finished stages are read back. The pruning stage works in
-    ``cluster_batches`` parts and records the clusters it has finished. Rows
-    whose vector cannot be clustered (null, zero, not finite) are kept.
+    ``cluster_batches`` parts and records the clusters it has finished; with
+    ``with_stats`` the same comparison also yields the statistics. Rows whose
+    vector cannot be clustered (null, zero, not finite) are kept.
     """
     spark = vectors.sparkSession
     at = RunPaths(output)
@@ -110,6 +130,12 @@ def prune_vectors(
     def finished(path: str) -> bool:
         return resume and path_exists(spark, path)
 
+    _check_same_run(spark, at.parameters, config, resume)
+    if not resume:
+        # Stages written cluster by cluster do not replace the folder as a whole.
+        for path in (at.prune_table, at.member_stats, at.cluster_stats):
+            fs, target = _hadoop_path(spark, path)
+            fs.delete(target, True)
     usable = valid_vectors(vectors)
     if not finished(at.centroids):
         model = train_or_load_kmeans(
@@ -127,8 +153,10 @@ def prune_vectors(
         assigned = assign_and_measure(
             usable, read(at.centroids), config.sim_metric, config.spherical
         )
+        # The copy key is stored so that later passes need not read the vectors for it.
         sinks.write_assignment(
-            assigned.select("id", "embedding", "cluster_id", "dist"), at.assignment
+            assigned.select("id", "embedding", "cluster_id", "dist", *copy_keys()),
+            at.assignment,
         )
     assigned = read(at.assignment)
     if not finished(at.sorted_clusters):
@@ -141,31 +169,29 @@ def prune_vectors(
         sinks.write_sorted_clusters(ranked, at.sorted_clusters)
     ranked = read(at.sorted_clusters)
 
-    if not (resume and path_exists(spark, at.finished_clusters)):
-        spark.createDataFrame([], "cluster_id int").write.mode("overwrite").parquet(
-            at.finished_clusters
-        )
+    done_path = at.finished_clusters_with_stats if with_stats else at.finished_clusters
+    if not finished(done_path):
+        spark.createDataFrame([], "cluster_id int").write.mode("overwrite").parquet(done_path)
     for batch in range(cluster_batches):
         part = F.pmod(F.xxhash64("cluster_id"), F.lit(cluster_batches)) == batch
-        clusters = assigned.where(part).select("cluster_id").distinct()
-        pending = pruning.pending_clusters(clusters, read(at.finished_clusters))
-        n = pending.count()
-        if n == 0:
-            continue
-        # One row per cluster, counted just now.
-        side = F.broadcast(pending) if fits_broadcast(n, 16) else pending
-        rows = prior_with_ranks(
-            assigned.join(side, "cluster_id", "left_semi"),
-            ranked.join(side, "cluster_id", "left_semi"),
-            config,
-        )
-        sinks.write_prune_table(
-            pruning.flag_duplicates_wide(rows, config.eps_list), at.prune_table
-        )
-        done = read(at.prune_table).select("cluster_id").distinct()
-        pruning.pending_clusters(done, read(at.finished_clusters)).write.mode("append").parquet(
-            at.finished_clusters
+        clusters = ranked.where(part).select("cluster_id").distinct()
+        pending = materialize(
+            pruning.pending_clusters(clusters, read(done_path)), "pending-clusters"
         )
+        if pending.isEmpty():
+            continue
+        # One row per cluster.
+        side = broadcast_if_small(pending, 16)
+        members = assigned.join(side, "cluster_id", "left_semi")
+        ranks = ranked.join(side, "cluster_id", "left_semi")
+        pairs = compare_members(members, ranks, config, with_stats)
+        if with_stats:
+            pairs = pairs.materialized()
+            sinks.write_by_cluster(statistics.members_of(pairs), at.member_stats)
+            sinks.write_by_cluster(statistics.report_of(pairs, members), at.cluster_stats)
+        rows = pruning.flag_duplicates_wide(prune_rows(pairs, ranks), config.eps_list)
+        sinks.write_by_cluster(rows, at.prune_table)
+        pending.write.mode("append").parquet(done_path)
 
     prior = read(at.prune_table)
     unusable = invalid_vectors(vectors).select("id", F.lit(0.0).alias("max_sim"))
@@ -185,23 +211,9 @@ def prune_vectors(
         "retained": ratios,
     }
     if with_stats:
-        members = assigned
-        chunk_col = None
-        limit = config.largest_cluster_size_to_process
-        if limit is not None:
-            chunk_col = "chunk"
-            placed = ranking.split_into_chunks(ranked.select("cluster_id", "id", "rank"), limit)
-            members = assigned.join(placed, ["cluster_id", "id"])
-        by = ("cluster_id",) if chunk_col is None else ("cluster_id", "chunk")
-        stats = statistics.cluster_stats(members, chunk_col=chunk_col)
-        sinks.write_stats(stats, at.cluster_stats)
-        sinks.write_stats(statistics.member_similarity(members, by), at.member_stats)
-        sinks.write_stats(
-            statistics.eps_cluster_stats(prior, config.eps_list), at.eps_stats
-        )
-        out["cluster_stats"] = read(at.cluster_stats)
-        out["member_stats"] = read(at.member_stats)
-        out["eps_stats"] = read(at.eps_stats)
+        sinks.write_stats(statistics.eps_cluster_stats(prior, config.eps_list), at.eps_stats)
+        for name in ("cluster_stats", "member_stats", "eps_stats"):
+            out[name] = read(f"{at.root}/{name}")
     return out
 
 

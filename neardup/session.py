@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from neardup.config import MAX_BROADCAST_BYTES
 
@@ -44,3 +45,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def fits_broadcast(rows: int, bytes_per_row: int) -> bool:
     return rows * bytes_per_row <= MAX_BROADCAST_BYTES
+
+
+def broadcast_if_small(df: DataFrame, bytes_per_row: int) -> DataFrame:
+    """``df`` with a broadcast hint if its counted rows fit the limit, else unhinted."""
+    return F.broadcast(df) if fits_broadcast(df.count(), bytes_per_row) else df

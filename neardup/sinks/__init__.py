@@ -42,14 +42,17 @@ def write_sorted_clusters(ranked: DataFrame, path: str, buckets: int | None = No
     )
 
 
-def write_prune_table(prune: DataFrame, path: str, buckets: int | None = None) -> None:
-    """Prune rows by cluster. Folders of other clusters are left alone, so an
-    interrupted run is repeated for its unfinished clusters only. With
-    ``buckets`` a folder holds several clusters: resume whole buckets."""
-    prune, folder = _by_folder(prune, buckets)
+def write_by_cluster(rows: DataFrame, path: str, buckets: int | None = None) -> None:
+    """Prune or statistics rows in one folder per cluster.
+
+    Folders of other clusters are left alone, so an interrupted run is
+    repeated for its unfinished clusters only. With ``buckets`` a folder holds
+    several clusters: write whole buckets.
+    """
+    rows, folder = _by_folder(rows, buckets)
     # Rebalance: small folders share a task, a large one is cut over several.
     (
-        prune.hint("rebalance", folder)
+        rows.hint("rebalance", folder)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(folder)

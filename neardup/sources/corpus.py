@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from neardup.session import broadcast_if_small, materialize
+
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     """``line_no, value`` with 0-based numbers running through the files in path order.
 
     Lines are numbered inside their file split and shifted by the number of
     lines in earlier splits. Only one row per split is ordered globally; the
-    lines themselves are not shuffled while that table can be broadcast.
+    lines themselves are not shuffled while that table can be broadcast. The
+    lines are counted when this is called, in one pass over the files.
     """
     splits = ["file_path", "file_block_start"]
     lines = spark.read.text(path).select(
@@ -25,10 +28,9 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
         F.count(F.lit(1)).alias("_n"), F.min("_seq").alias("_origin")
     )
     earlier = Window.orderBy(*splits).rowsBetween(Window.unboundedPreceding, -1)
-    origins = counts.select(
-        *splits,
-        (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_origin")).alias("_shift"),
-    )
+    shift = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_origin")
+    origins = materialize(counts.select(*splits, shift.alias("_shift")), "splits")
+    origins = broadcast_if_small(origins, 512)
     return lines.join(origins, splits).select(
         (F.col("_seq") + F.col("_shift")).alias("line_no"), "value"
     )

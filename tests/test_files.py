@@ -139,6 +139,8 @@ def test_resume_repeats_unfinished_clusters_only(spark, tmp_path):
     config = PruneConfig(num_clusters=5, niter=3, eps_list=(0.01,), save_eps_list=(0.01,))
     want = prune_vectors(vectors, out, config)["prune_table"].toPandas()
     done = spark.read.parquet(f"{out}/finished_clusters").toPandas()
+    with pytest.raises(ValueError, match="other parameters"):
+        prune_vectors(vectors, out, PruneConfig(num_clusters=4))
     # Forget two clusters and damage one of them, as a lost run would.
     lost = done.cluster_id.sort_values().head(2).tolist()
     spark.createDataFrame(done[~done.cluster_id.isin(lost)], "cluster_id int").write.mode(
@@ -155,3 +157,6 @@ def test_resume_repeats_unfinished_clusters_only(spark, tmp_path):
     assert changed == {f"cluster_id={c}" for c in lost}
     again = spark.read.parquet(f"{out}/finished_clusters").toPandas()
     assert sorted(again.cluster_id) == sorted(done.cluster_id)
+    fresh = PruneConfig(num_clusters=2, niter=3, eps_list=(0.01,), save_eps_list=(0.01,))
+    table = prune_vectors(vectors, out, fresh, resume=False)["prune_table"]
+    assert table.count() == 1000 and table.select("cluster_id").distinct().count() == 2
