@@ -23,6 +23,9 @@ MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 # goes through a range sort.
 MAX_WINDOW_ROWS = 2_000_000
 
+# A vector with more copies than this is salted in joins on the vector.
+HOT_COPIES = 100_000
+
 # Rows of one block in the pairwise join.
 BLOCK_ROWS = 4096
 

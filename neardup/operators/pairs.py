@@ -22,9 +22,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from neardup.config import BLOCK_ROWS, SIM_DECIMALS
+from neardup.config import BLOCK_ROWS, HOT_COPIES, SIM_DECIMALS
 from neardup.operators.arrow_blocks import matrix
-from neardup.session import broadcast_if_small, materialize
+from neardup.session import broadcast_if_small, fits_broadcast, materialize
 
 # Side of the square of similarities held at once inside a task.
 _TILE = 1024
@@ -110,12 +110,19 @@ def _every_vector(keyed: DataFrame, by: list[str], orders: list[str]) -> DataFra
 def _block_pairs(distinct: DataFrame, sizes: DataFrame, by: list[str], block_rows: int):
     """Send every row to each pair of blocks it belongs to: adds ``_p <= _q`` and ``_b``."""
     spark = distinct.sparkSession
-    blocks = sizes.select(
-        *[F.col(c).alias(f"_by_{c}") for c in by],
-        F.ceil(F.col("_vectors") / F.lit(block_rows)).cast("int").alias("_blocks"),
+    # Only clusters of several blocks are looked up: few rows, counted, then broadcast.
+    blocks = broadcast_if_small(
+        sizes.where(F.col("_vectors") > block_rows).select(
+            *[F.col(c).alias(f"_by_{c}") for c in by],
+            F.ceil(F.col("_vectors") / F.lit(block_rows)).cast("int").alias("_blocks"),
+        ),
+        64 + 32 * len(by),
     )
+    one = F.coalesce("_blocks", F.lit(1))
     sent = (
-        distinct.join(blocks, [F.col(c) == F.col(f"_by_{c}") for c in by])
+        distinct.where(F.expr(" and ".join(f"`{c}` is not null" for c in by)))
+        .join(blocks, [F.col(c) == F.col(f"_by_{c}") for c in by], "left")
+        .withColumn("_blocks", one)
         .drop(*[f"_by_{c}" for c in by])
         .withColumn("_b", F.pmod("_f1", F.col("_blocks").cast("long")).cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
@@ -129,6 +136,17 @@ def _block_pairs(distinct: DataFrame, sizes: DataFrame, by: list[str], block_row
     return sent.repartition(partitions, *by, "_p", "_q")
 
 
+def _hot_vectors(distinct: DataFrame, by: list[str], hot_copies: int) -> DataFrame | None:
+    """Vectors with more than ``hot_copies`` copies, at most rows / hot_copies of them."""
+    hot = distinct.where(F.col("_n") > hot_copies).select(
+        *by, "_f1", "_f2", F.ceil(F.col("_n") / F.lit(hot_copies)).alias("_salts")
+    )
+    n = hot.count()
+    if n == 0:
+        return None
+    return F.broadcast(hot) if fits_broadcast(n, 64 + 32 * len(by)) else hot
+
+
 # --- inside a task ---------------------------------------------------------
 
 
@@ -348,7 +366,9 @@ class ClusterPairs:
 
     ``members``: the keys, ``_id``, copy key and order of every row, without
     vectors. ``vectors``: one row per cluster and distinct vector with the
-    reductions. ``sizes``: ``_rows`` and ``_vectors`` per cluster.
+    reductions. ``sizes``: ``_rows`` and ``_vectors`` per cluster. ``hot``:
+    the vectors with very many copies and the number of ``_salts`` to spread
+    them over; None where there are none.
     """
 
     by: list[str]
@@ -358,19 +378,35 @@ class ClusterPairs:
     members: DataFrame
     vectors: DataFrame
     sizes: DataFrame
+    hot: DataFrame | None = None
 
     def materialized(self) -> ClusterPairs:
         """Run the pair join once for several uses of its result."""
         return replace(self, vectors=materialize(self.vectors, "pairs"))
 
+    def with_reductions(self, columns: list[str]) -> DataFrame:
+        """Every member with the reductions of its vector.
+
+        Copies share a join key. The members of a hot key are spread over
+        several salts and its one reduction row is repeated for each.
+        """
+        keys = [*self.by, "_f1", "_f2"]
+        members, vectors = self.members, self.vectors.select(*keys, *columns)
+        if self.hot is None:
+            return members.join(vectors, keys, "left")
+        salts = F.coalesce("_salts", F.lit(1).cast("long"))
+        members = members.join(self.hot, keys, "left").withColumn(
+            "_salt", F.pmod(F.xxhash64("_id"), salts)
+        )
+        vectors = vectors.join(self.hot, keys, "left").withColumn(
+            "_salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))
+        )
+        return members.drop("_salts").join(vectors.drop("_salts"), [*keys, "_salt"], "left")
+
     def prior_similarity(self) -> DataFrame:
         """Per row: ``max_sim``, ``mate_id`` and the mate's order columns."""
         orders = [f"_o{i}" for i in range(len(self.order))]
-        joined = self.members.join(
-            self.vectors.select(*self.by, "_f1", "_f2", "_before", "_copy", "_between"),
-            [*self.by, "_f1", "_f2"],
-            "left",
-        )
+        joined = self.with_reductions(["_before", "_copy", "_between"])
         here = F.struct(*orders)
 
         def is_earlier(candidate: Column) -> Column:
@@ -404,12 +440,14 @@ def compare_within_clusters(
     block_rows: int = BLOCK_ROWS,
     collapse_copies: bool = True,
     with_sums: bool = True,
+    hot_copies: int = HOT_COPIES,
 ) -> ClusterPairs:
     """Compare all rows of each cluster in one pass.
 
     With ``order`` the best earlier row of each row is found; with
     ``with_sums`` each row is summed up over all others (and counted per
-    threshold of ``eps_list``).
+    threshold of ``eps_list``). A vector with more than ``hot_copies`` copies
+    is salted where results go back to the rows.
     """
     by, order, eps_list = list(by), list(order), list(eps_list)
     with_prior = bool(order)
@@ -418,14 +456,12 @@ def compare_within_clusters(
     if collapse_copies:
         # Written once: read for the cluster sizes and for the pairs.
         distinct = materialize(_distinct_vectors(keyed, by, orders), "distinct")
+        hot = _hot_vectors(distinct, by, hot_copies)
     else:
+        hot = None
         distinct = _every_vector(keyed, by, orders)
-    # One row per cluster: broadcast when its measured size allows it.
-    sizes = broadcast_if_small(
-        distinct.groupBy(*by).agg(
-            F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_vectors")
-        ),
-        64 + 32 * len(by),
+    sizes = distinct.groupBy(*by).agg(
+        F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_vectors")
     )
     fields = _fields(distinct, {c: c for c in by})
     fields += [T.StructField(c, T.LongType()) for c in ("_f1", "_f2")]
@@ -461,7 +497,7 @@ def compare_within_clusters(
         .groupBy(*by, "_f1", "_f2")
         .agg(*wanted)
     )
-    return ClusterPairs(by, order, id_col, eps_list, keyed.drop("_v"), vectors, sizes)
+    return ClusterPairs(by, order, id_col, eps_list, keyed.drop("_v"), vectors, sizes, hot)
 
 
 def max_prior_similarity(

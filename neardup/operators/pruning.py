@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from neardup.config import BLOCK_ROWS, eps_name, validate_eps
 from neardup.operators.pairs import max_prior_similarity
 from neardup.operators.ranking import split_into_chunks
+from neardup.session import broadcast_if_small
 
 
 def is_duplicate(eps: float, max_sim: str = "max_sim") -> Column:
@@ -80,4 +81,6 @@ def assert_unique_ids(
 
 def pending_clusters(members: DataFrame, done: DataFrame, cluster_col: str = "cluster_id"):
     """Members of clusters that have no finished output yet."""
-    return members.join(done.select(cluster_col).distinct(), cluster_col, "left_anti")
+    # One row per cluster: a shuffle join would gather a large cluster in one task.
+    done = broadcast_if_small(done.select(cluster_col).distinct(), 32)
+    return members.join(done, cluster_col, "left_anti")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from neardup.config import MAX_WINDOW_ROWS, validate_survivor_rule
-from neardup.session import materialize
+from neardup.session import broadcast_if_small, materialize
 
 
 def survivor_order(
@@ -124,6 +124,11 @@ def cluster_slice(
     return members.where(F.col(cluster_col).between(first, last))
 
 
+def gather_vectors(members: DataFrame, vectors: DataFrame, id_col: str = "id") -> DataFrame:
+    """Put the vectors beside members that carry ids only; ids spread the join evenly."""
+    return members.join(vectors, id_col)
+
+
 def cluster_sizes(members: DataFrame, cluster_col: str = "cluster_id") -> DataFrame:
     return members.groupBy(cluster_col).agg(F.count(F.lit(1)).alias("cluster_size"))
 
@@ -155,7 +160,8 @@ def split_into_chunks(
     """Add ``chunk``: oversize clusters become runs of at most ``limit`` ranks."""
     if limit < 1:
         raise ValueError("limit must be positive")
-    sizes = ranked.groupBy(cluster_col).agg(F.max("rank").alias("_size"))
+    # One row per cluster; joining them by shuffle would gather a large cluster in one task.
+    sizes = broadcast_if_small(ranked.groupBy(cluster_col).agg(F.max("rank").alias("_size")), 64)
     return (
         ranked.join(sizes, cluster_col)
         .withColumn("chunk", chunk_of_rank(F.col("rank"), F.col("_size"), F.lit(limit)))

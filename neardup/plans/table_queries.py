@@ -88,7 +88,8 @@ def _six(name: str):
 
 
 def _elements(rows: DataFrame, key: str, vector: str) -> DataFrame:
-    return rows.select(key, F.posexplode(vector).alias("dim", "value")).select(
+    values = F.col(vector).cast("array<double>")
+    return rows.select(key, F.posexplode(values).alias("dim", "value")).select(
         key, "dim", _six("value")
     )
 
@@ -227,7 +228,8 @@ def cluster_slice(spark, sf_dir):
 
 def gather_vectors(spark, sf_dir):
     members = _label_ranked(spark, sf_dir).select("cluster_id", "rank", "id")
-    return members.join(vectors(spark, sf_dir).drop("label"), "id").select(
+    gathered = ranking.gather_vectors(members, vectors(spark, sf_dir).drop("label"))
+    return gathered.select(
         "cluster_id", "rank", "id", _vector_sum("embedding").alias("total")
     )
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import sys
 import time
 from pathlib import Path
@@ -30,7 +29,7 @@ def _key(row):
 def canonical(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     out = [
-        tuple(round(r[i], 6) + 0.0 if isinstance(r[i], float) else r[i] for i in order)
+        tuple(repr(r[i]) if isinstance(r[i], float) else r[i] for i in order)
         for r in rows
     ]
     return sorted(columns), sorted(out, key=_key)
@@ -44,14 +43,13 @@ def difference(spark, con, query, sql: str, sf_dir: str) -> str | None:
     want_columns, want = canonical(names, result.fetchall())
     if got_columns != want_columns:
         return f"columns {got_columns} != {want_columns}"
+    if not want:
+        return "no rows"
     if len(got) != len(want):
         return f"{len(got)} rows != {len(want)}"
     for g, w in zip(got, want):
         for x, y in zip(g, w):
-            if isinstance(x, float) and isinstance(y, float):
-                if math.isclose(x, y, rel_tol=0, abs_tol=0):
-                    continue
-            if x != y or isinstance(x, float) != isinstance(y, float):
+            if x != y or type(x) is not type(y):
                 return f"row {g} != {w}"
     return None
 

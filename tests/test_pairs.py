@@ -7,8 +7,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from neardup.operators.extraction import kept_ids, removed_ids, retained_ratio
-from neardup.operators.pairs import max_prior_similarity
+from neardup.operators.pairs import compare_within_clusters, max_prior_similarity
 from neardup.operators.pruning import flag_duplicates, prune_clusters
+from neardup.operators.statistics import member_similarity, members_of
 from tests import brute
 
 SCHEMA = "cluster_id int, id long, rank long, embedding array<double>"
@@ -189,3 +190,36 @@ def test_chunks_remove_no_more_than_the_whole_cluster(spark):
     whole = {r.id for r in removed_ids(prune_clusters(rows), [0.7]).collect()}
     cut = {r.id for r in removed_ids(prune_clusters(rows, limit=60), [0.7]).collect()}
     assert cut and cut < whole
+
+
+def test_hot_copies_are_salted(spark):
+    """The shape of a large run: no automatic broadcasts, and a vector with a third of all rows."""
+    n = 4000
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(n, 4))
+    vectors[::3] = vectors[0]
+    rows = members(spark, vectors.tolist(), [int(i % 5 == 0) for i in range(n)])
+    rows = rows.withColumn("dist", F.lit(0.0))
+    want = collected(max_prior_similarity(rows, block_rows=500))
+    want_stats = sorted(member_similarity(rows).collect())
+    broadcasts = (
+        "spark.sql.autoBroadcastJoinThreshold",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold",
+    )
+    for name in broadcasts:
+        spark.conf.set(name, "-1")
+    try:
+        pairs = compare_within_clusters(rows, order=("rank",), block_rows=500, hot_copies=100)
+        salts = {r._salts for r in pairs.hot.collect()}
+        joined = pairs.prior_similarity()
+        rows_seen = joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        stats = sorted(members_of(pairs).collect())
+    finally:
+        for name in broadcasts:
+            spark.conf.unset(name)
+    assert salts == {3, 11}
+    assert {r.id: (r.max_sim, r.mate_id) for r in rows_seen} == want
+    assert "_salt" in plan and "SortMergeJoin" in plan
+    for a, b in zip(stats, want_stats):
+        assert a[:2] == b[:2] and np.allclose(a[2:], b[2:])
