@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,9 +16,11 @@ from neardup.functions.vectors import (
     cosine_distance,
     cosine_similarity,
     is_valid_vector,
+    l2_normalize,
     squared_l2,
 )
 from neardup.operators.arrow_blocks import matrix
+from neardup.session import materialize
 
 _ASSIGNMENT = "struct<cluster_id:int,score:double>"
 # Score blocks of at most this many cells are held at once inside a task.
@@ -237,16 +241,16 @@ def assign_and_measure(
 def label_centroids(
     vectors: DataFrame, label_col: str, vector_col: str = "embedding", spherical: bool = True
 ) -> DataFrame:
-    """Mean vector of each given label, for runs whose clusters are known beforehand."""
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.ml.stat import Summarizer
-
-    from neardup.functions.vectors import l2_normalize
+    """Mean vector of each given label, for runs whose clusters are known beforehand.
 
+    One pass over the rows; the means are kept as a table.
+    """
     means = vectors.groupBy(F.col(label_col).cast("int").alias("cluster_id")).agg(
         vector_to_array(Summarizer.mean(array_to_vector(vector_col))).alias("centroid")
     )
-    return means.withColumn("centroid", l2_normalize("centroid")) if spherical else means
+    if spherical:
+        means = means.withColumn("centroid", l2_normalize("centroid"))
+    return materialize(means, "centroids")
 
 
 def valid_vectors(

@@ -24,10 +24,13 @@ from pyspark.sql import types as T
 
 from neardup.config import BLOCK_ROWS, HOT_COPIES, SIM_DECIMALS
 from neardup.operators.arrow_blocks import matrix
-from neardup.session import broadcast_if_small, fits_broadcast, materialize
+from neardup.session import fits_broadcast, materialize
 
 # Side of the square of similarities held at once inside a task.
 _TILE = 1024
+# Full block pairs one task should work through, and a bound on the tasks.
+_PAIRS_PER_TASK = 8
+_MAX_PARTITIONS = 100_000
 # Two similarities closer than this are equal at SIM_DECIMALS.
 _HALF = 0.5 * 10.0**-SIM_DECIMALS
 
@@ -107,44 +110,77 @@ def _every_vector(keyed: DataFrame, by: list[str], orders: list[str]) -> DataFra
     )
 
 
-def _block_pairs(distinct: DataFrame, sizes: DataFrame, by: list[str], block_rows: int):
+def _block_pairs(distinct: DataFrame, shape: Shape, by: list[str], block_rows: int):
     """Send every row to each pair of blocks it belongs to: adds ``_p <= _q`` and ``_b``."""
     spark = distinct.sparkSession
-    # Only clusters of several blocks are looked up: few rows, counted, then broadcast.
-    blocks = broadcast_if_small(
-        sizes.where(F.col("_vectors") > block_rows).select(
+    zero = F.lit(0).alias("_b"), F.lit(0).alias("_p"), F.lit(0).alias("_q")
+    sent = distinct.where(F.expr(" and ".join(f"`{c}` is not null" for c in by)))
+    if shape.large_clusters == 0:
+        sent = sent.select("*", *zero)
+    else:
+        # Only clusters of several blocks are looked up: few rows, and counted.
+        blocks = shape.sizes.where(F.col("_vectors") > block_rows).select(
             *[F.col(c).alias(f"_by_{c}") for c in by],
             F.ceil(F.col("_vectors") / F.lit(block_rows)).cast("int").alias("_blocks"),
-        ),
-        64 + 32 * len(by),
-    )
-    one = F.coalesce("_blocks", F.lit(1))
-    sent = (
-        distinct.where(F.expr(" and ".join(f"`{c}` is not null" for c in by)))
-        .join(blocks, [F.col(c) == F.col(f"_by_{c}") for c in by], "left")
-        .withColumn("_blocks", one)
-        .drop(*[f"_by_{c}" for c in by])
-        .withColumn("_b", F.pmod("_f1", F.col("_blocks").cast("long")).cast("int"))
-        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-        .withColumn("_p", F.least("_b", "_other"))
-        .withColumn("_q", F.greatest("_b", "_other"))
-        .drop("_blocks", "_other")
-    )
+        )
+        if fits_broadcast(shape.large_clusters, 64 + 32 * len(by)):
+            blocks = F.broadcast(blocks)
+        sent = (
+            sent.join(blocks, [F.col(c) == F.col(f"_by_{c}") for c in by], "left")
+            .withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
+            .drop(*[f"_by_{c}" for c in by])
+            .withColumn("_b", F.pmod("_f1", F.col("_blocks").cast("long")).cast("int"))
+            .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+            .withColumn("_p", F.least("_b", "_other"))
+            .withColumn("_q", F.greatest("_b", "_other"))
+            .drop("_blocks", "_other")
+        )
     # An explicit partition count: the groups are small in bytes but heavy in
-    # work, and must not be coalesced by size.
+    # work, and must not be coalesced by size. A large cluster raises it.
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(partitions, min(shape.full_block_pairs // _PAIRS_PER_TASK, _MAX_PARTITIONS))
     return sent.repartition(partitions, *by, "_p", "_q")
 
 
-def _hot_vectors(distinct: DataFrame, by: list[str], hot_copies: int) -> DataFrame | None:
+@dataclass(frozen=True)
+class Shape:
+    """Measured sizes: what is looked up, salted or broadcast depends on them.
+
+    ``sizes`` has ``_rows`` and ``_vectors`` per cluster.
+    """
+
+    sizes: DataFrame
+    clusters: int
+    large_clusters: int
+    full_block_pairs: int
+    hot_vectors: int
+
+
+def _measure(distinct: DataFrame, by: list[str], block_rows: int, hot_copies: int) -> Shape:
+    sizes = distinct.groupBy(*by).agg(
+        F.sum("_n").alias("_rows"),
+        F.count(F.lit(1)).alias("_vectors"),
+        F.count_if(F.col("_n") > hot_copies).alias("_hot"),
+    )
+    blocks = F.ceil(F.col("_vectors") / F.lit(block_rows))
+    counted = sizes.agg(
+        F.count(F.lit(1)),
+        F.count_if(blocks > 1),
+        F.sum(F.when(blocks > 1, blocks * (blocks + 1) / 2)),
+        F.sum("_hot"),
+    ).first()
+    return Shape(sizes.drop("_hot"), *[int(c or 0) for c in counted])
+
+
+def _hot_vectors(distinct: DataFrame, shape: Shape, by: list[str], hot_copies: int):
     """Vectors with more than ``hot_copies`` copies, at most rows / hot_copies of them."""
+    if shape.hot_vectors == 0:
+        return None
     hot = distinct.where(F.col("_n") > hot_copies).select(
         *by, "_f1", "_f2", F.ceil(F.col("_n") / F.lit(hot_copies)).alias("_salts")
     )
-    n = hot.count()
-    if n == 0:
-        return None
-    return F.broadcast(hot) if fits_broadcast(n, 64 + 32 * len(by)) else hot
+    fits = fits_broadcast(shape.hot_vectors, 64 + 32 * len(by))
+    return F.broadcast(hot) if fits else hot
 
 
 # --- inside a task ---------------------------------------------------------
@@ -366,9 +402,9 @@ class ClusterPairs:
 
     ``members``: the keys, ``_id``, copy key and order of every row, without
     vectors. ``vectors``: one row per cluster and distinct vector with the
-    reductions. ``sizes``: ``_rows`` and ``_vectors`` per cluster. ``hot``:
-    the vectors with very many copies and the number of ``_salts`` to spread
-    them over; None where there are none.
+    reductions. ``shape``: sizes per cluster and their counts. ``hot``: the
+    vectors with very many copies and the number of ``_salts`` to spread them
+    over; None where there are none.
     """
 
     by: list[str]
@@ -377,7 +413,7 @@ class ClusterPairs:
     eps_list: list[float]
     members: DataFrame
     vectors: DataFrame
-    sizes: DataFrame
+    shape: Shape
     hot: DataFrame | None = None
 
     def materialized(self) -> ClusterPairs:
@@ -456,13 +492,10 @@ def compare_within_clusters(
     if collapse_copies:
         # Written once: read for the cluster sizes and for the pairs.
         distinct = materialize(_distinct_vectors(keyed, by, orders), "distinct")
-        hot = _hot_vectors(distinct, by, hot_copies)
     else:
-        hot = None
         distinct = _every_vector(keyed, by, orders)
-    sizes = distinct.groupBy(*by).agg(
-        F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_vectors")
-    )
+    shape = _measure(distinct, by, block_rows, hot_copies)
+    hot = _hot_vectors(distinct, shape, by, hot_copies)
     fields = _fields(distinct, {c: c for c in by})
     fields += [T.StructField(c, T.LongType()) for c in ("_f1", "_f2")]
     fields.append(T.StructField("_kind", T.IntegerType()))
@@ -491,13 +524,13 @@ def compare_within_clusters(
         by, orders, eps_list, with_prior, with_sums, to_arrow_schema(schema)
     )
     vectors = (
-        _block_pairs(distinct, sizes, by, block_rows)
+        _block_pairs(distinct, shape, by, block_rows)
         .groupBy(*by, "_p", "_q")
         .applyInArrow(task, schema)
         .groupBy(*by, "_f1", "_f2")
         .agg(*wanted)
     )
-    return ClusterPairs(by, order, id_col, eps_list, keyed.drop("_v"), vectors, sizes, hot)
+    return ClusterPairs(by, order, id_col, eps_list, keyed.drop("_v"), vectors, shape, hot)
 
 
 def max_prior_similarity(
