@@ -19,7 +19,7 @@ from neardup.operators import extraction, pruning, ranking, statistics
 from neardup.operators.assignment import assign_and_measure, invalid_vectors, valid_vectors
 from neardup.operators.kmeans import model_centroids, train_or_load_kmeans
 from neardup.operators.pairs import ClusterPairs, compare_within_clusters, copy_keys
-from neardup.session import broadcast_if_small, materialize
+from neardup.session import broadcast_if_small, hadoop_path, materialize, scratch_scope
 
 
 @dataclass(frozen=True)
@@ -32,14 +32,9 @@ class RunPaths:
         return f"{self.root.rstrip('/')}/{name}"
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a stage output was committed."""
-    fs, marker = _hadoop_path(spark, f"{path}/_SUCCESS")
+    fs, marker = hadoop_path(spark, f"{path}/_SUCCESS")
     return fs.exists(marker)
 
 
@@ -134,7 +129,7 @@ def prune_vectors(
     if not resume:
         # Stages written cluster by cluster do not replace the folder as a whole.
         for path in (at.prune_table, at.member_stats, at.cluster_stats):
-            fs, target = _hadoop_path(spark, path)
+            fs, target = hadoop_path(spark, path)
             fs.delete(target, True)
     usable = valid_vectors(vectors)
     if not finished(at.centroids):
@@ -160,13 +155,14 @@ def prune_vectors(
         )
     assigned = read(at.assignment)
     if not finished(at.sorted_clusters):
-        ranked = ranking.rank_within_cluster(
-            assigned.select("id", "cluster_id", "dist"),
-            config.keep_hard,
-            config.which_to_keep,
-            config.seed,
-        )
-        sinks.write_sorted_clusters(ranked, at.sorted_clusters)
+        with scratch_scope(spark):
+            ranked = ranking.rank_within_cluster(
+                assigned.select("id", "cluster_id", "dist"),
+                config.keep_hard,
+                config.which_to_keep,
+                config.seed,
+            )
+            sinks.write_sorted_clusters(ranked, at.sorted_clusters)
     ranked = read(at.sorted_clusters)
 
     done_path = at.finished_clusters_with_stats if with_stats else at.finished_clusters
@@ -174,24 +170,15 @@ def prune_vectors(
         spark.createDataFrame([], "cluster_id int").write.mode("overwrite").parquet(done_path)
     for batch in range(cluster_batches):
         part = F.pmod(F.xxhash64("cluster_id"), F.lit(cluster_batches)) == batch
-        clusters = ranked.where(part).select("cluster_id").distinct()
-        pending = materialize(
-            pruning.pending_clusters(clusters, read(done_path)), "pending-clusters"
-        )
-        if pending.isEmpty():
-            continue
-        # One row per cluster.
-        side = broadcast_if_small(pending, 16)
-        members = assigned.join(side, "cluster_id", "left_semi")
-        ranks = ranked.join(side, "cluster_id", "left_semi")
-        pairs = compare_members(members, ranks, config, with_stats)
-        if with_stats:
-            pairs = pairs.materialized()
-            sinks.write_by_cluster(statistics.members_of(pairs), at.member_stats)
-            sinks.write_by_cluster(statistics.report_of(pairs, members), at.cluster_stats)
-        rows = pruning.flag_duplicates_wide(prune_rows(pairs, ranks), config.eps_list)
-        sinks.write_by_cluster(rows, at.prune_table)
-        pending.write.mode("append").parquet(done_path)
+        # The intermediate tables of a batch go when its results are stored.
+        with scratch_scope(spark):
+            clusters = ranked.where(part).select("cluster_id").distinct()
+            pending = materialize(
+                pruning.pending_clusters(clusters, read(done_path)), "pending-clusters"
+            )
+            if not pending.isEmpty():
+                _prune_clusters(assigned, ranked, pending, at, config, with_stats)
+                pending.write.mode("append").parquet(done_path)
 
     prior = read(at.prune_table)
     unusable = invalid_vectors(vectors).select("id", F.lit(0.0).alias("max_sim"))
@@ -217,6 +204,20 @@ def prune_vectors(
     return out
 
 
+def _prune_clusters(assigned, ranked, pending, at: RunPaths, config, with_stats: bool) -> None:
+    """Compare and store the clusters listed in ``pending``."""
+    side = broadcast_if_small(pending, 16)
+    members = assigned.join(side, "cluster_id", "left_semi")
+    ranks = ranked.join(side, "cluster_id", "left_semi")
+    pairs = compare_members(members, ranks, config, with_stats)
+    if with_stats:
+        pairs = pairs.materialized()
+        sinks.write_by_cluster(statistics.members_of(pairs), at.member_stats)
+        sinks.write_by_cluster(statistics.report_of(pairs, members), at.cluster_stats)
+    rows = pruning.flag_duplicates_wide(prune_rows(pairs, ranks), config.eps_list)
+    sinks.write_by_cluster(rows, at.prune_table)
+
+
 def prune_corpus(
     corpus: DataFrame,
     output: str,
