@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from neardup.config import BLOCK_ROWS, HOT_COPIES, SIM_DECIMALS
 from neardup.operators.arrow_blocks import matrix
+from neardup.operators.skew import salted_left_join
 from neardup.session import fits_broadcast, materialize
 
 # Side of the square of similarities held at once inside a task.
@@ -421,23 +422,10 @@ class ClusterPairs:
         return replace(self, vectors=materialize(self.vectors, "pairs"))
 
     def with_reductions(self, columns: list[str]) -> DataFrame:
-        """Every member with the reductions of its vector.
-
-        Copies share a join key. The members of a hot key are spread over
-        several salts and its one reduction row is repeated for each.
-        """
+        """Every member with the reductions of its vector; copies share the join key."""
         keys = [*self.by, "_f1", "_f2"]
-        members, vectors = self.members, self.vectors.select(*keys, *columns)
-        if self.hot is None:
-            return members.join(vectors, keys, "left")
-        salts = F.coalesce("_salts", F.lit(1).cast("long"))
-        members = members.join(self.hot, keys, "left").withColumn(
-            "_salt", F.pmod(F.xxhash64("_id"), salts)
-        )
-        vectors = vectors.join(self.hot, keys, "left").withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))
-        )
-        return members.drop("_salts").join(vectors.drop("_salts"), [*keys, "_salt"], "left")
+        vectors = self.vectors.select(*keys, *columns)
+        return salted_left_join(self.members, vectors, keys, self.hot, "_id")
 
     def prior_similarity(self) -> DataFrame:
         """Per row: ``max_sim``, ``mate_id`` and the mate's order columns."""

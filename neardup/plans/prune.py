@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from neardup import sinks
-from neardup.config import PruneConfig
+from neardup.config import HOT_COPIES, PruneConfig
 from neardup.operators import extraction, pruning, ranking, statistics
 from neardup.operators.assignment import assign_and_measure, invalid_vectors, valid_vectors
 from neardup.operators.kmeans import model_centroids, train_or_load_kmeans
 from neardup.operators.pairs import ClusterPairs, compare_within_clusters, copy_keys
+from neardup.operators.skew import hot_keys, salted_left_join
 from neardup.session import broadcast_if_small, hadoop_path, materialize, scratch_scope
 
 
@@ -73,15 +74,24 @@ def compare_members(
     )
 
 
-def prune_rows(pairs: ClusterPairs, ranked: DataFrame) -> DataFrame:
-    """``cluster_id, id, rank, max_sim, mate_id, mate_rank``: ranks join the narrow result."""
+def prune_rows(
+    pairs: ClusterPairs, ranked: DataFrame, hot_mates: int = HOT_COPIES
+) -> DataFrame:
+    """``cluster_id, id, rank, max_sim, mate_id, mate_rank``: ranks join the narrow result.
+
+    One row may be the mate of very many; above ``hot_mates`` it is salted.
+    """
     ranks = ranked.select("cluster_id", "id", "rank")
     mates = ranks.withColumnsRenamed({"id": "mate_id", "rank": "mate_rank"})
+    # Stored: the pair join must not run again to count the mates.
+    prior = materialize(
+        pairs.prior_similarity().select("cluster_id", "id", "max_sim", "mate_id"), "prior"
+    )
+    keys = ["cluster_id", "mate_id"]
+    hot = hot_keys(prior.where(F.col("mate_id").isNotNull()), keys, hot_mates)
     return (
-        pairs.prior_similarity()
-        .select("cluster_id", "id", "max_sim", "mate_id")
+        salted_left_join(prior, mates, keys, hot, "id")
         .join(ranks, ["cluster_id", "id"])
-        .join(mates, ["cluster_id", "mate_id"], "left")
         .select("cluster_id", "id", "rank", "max_sim", "mate_id", "mate_rank")
     )
 
@@ -89,9 +99,11 @@ def prune_rows(pairs: ClusterPairs, ranked: DataFrame) -> DataFrame:
 def prune_table(
     vectors: DataFrame, centroids: DataFrame, config: PruneConfig
 ) -> DataFrame:
-    """Prune rows of a vector table for given centroids, without touching storage."""
-    assigned = assign_and_measure(
-        vectors, centroids, config.sim_metric, config.spherical
+    """Prune rows of a vector table for given centroids, without an output folder."""
+    assigned = assign_and_measure(vectors, centroids, config.sim_metric, config.spherical)
+    # Ranking and comparison each read it: assign once.
+    assigned = materialize(
+        assigned.select("id", "embedding", "cluster_id", "dist", *copy_keys()), "assignment"
     )
     ranked = ranking.rank_within_cluster(
         assigned.select("cluster_id", "id", "dist"),
@@ -116,7 +128,9 @@ def prune_vectors(
     With ``resume`` finished stages are read back. The pruning stage works in
     ``cluster_batches`` parts and records the clusters it has finished; with
     ``with_stats`` the same comparison also yields the statistics. Rows whose
-    vector cannot be clustered (null, zero, not finite) are kept.
+    vector cannot be clustered (null, zero, not finite) are kept. A ``path``
+    column, the external name of a row, is carried into the sorted clusters.
+    Ids must be unique, see :func:`neardup.operators.pruning.assert_unique_ids`.
     """
     spark = vectors.sparkSession
     at = RunPaths(output)
@@ -132,6 +146,7 @@ def prune_vectors(
             fs, target = hadoop_path(spark, path)
             fs.delete(target, True)
     usable = valid_vectors(vectors)
+    names = [c for c in ("path",) if c in vectors.columns]
     if not finished(at.centroids):
         model = train_or_load_kmeans(
             usable,
@@ -150,14 +165,14 @@ def prune_vectors(
         )
         # The copy key is stored so that later passes need not read the vectors for it.
         sinks.write_assignment(
-            assigned.select("id", "embedding", "cluster_id", "dist", *copy_keys()),
+            assigned.select("id", *names, "embedding", "cluster_id", "dist", *copy_keys()),
             at.assignment,
         )
     assigned = read(at.assignment)
     if not finished(at.sorted_clusters):
         with scratch_scope(spark):
             ranked = ranking.rank_within_cluster(
-                assigned.select("id", "cluster_id", "dist"),
+                assigned.select("id", *names, "cluster_id", "dist"),
                 config.keep_hard,
                 config.which_to_keep,
                 config.seed,

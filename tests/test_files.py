@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from neardup import sinks, sources
 from neardup.config import PruneConfig
 from neardup.operators import extraction, pruning
+from neardup.operators.ranking import rank_within_cluster
 from neardup.plans import prune_corpus, prune_vectors
+from neardup.plans.prune import compare_members, prune_rows
 
 
 def test_raw_vectors_and_ids(spark, tmp_path):
@@ -101,7 +103,8 @@ def test_whole_run_on_files(spark, tmp_path, limit):
         num_clusters=6, niter=5, eps_list=(0.01, 0.7), save_eps_list=(0.01, 0.7),
         largest_cluster_size_to_process=limit,
     )
-    result = prune_vectors(vectors, out, config, cluster_batches=2, with_stats=True)
+    named = vectors.withColumn("path", F.concat(F.lit("doc-"), "id"))
+    result = prune_vectors(named, out, config, cluster_batches=2, with_stats=True)
     table = result["prune_table"].toPandas().set_index("id").sort_index()
     assert len(table) == 1000
     assert (table[table["rank"] == 1].max_sim == 0).all()
@@ -114,6 +117,7 @@ def test_whole_run_on_files(spark, tmp_path, limit):
         assert (table.loc[copies.mate_id, "rank"].to_numpy() == copies.mate_rank).all()
     sorted_clusters = sources.read_sorted_clusters(spark, f"{out}/sorted_clusters", 1, 2)
     assert {r.cluster_id for r in sorted_clusters.select("cluster_id").distinct().collect()} == {1, 2}
+    assert sorted_clusters.where("path = concat('doc-', id)").count() == sorted_clusters.count()
     stats = result["cluster_stats"].toPandas()
     assert stats.cluster_size.sum() == 1000
     assert result["member_stats"].count() == 1000
@@ -160,3 +164,22 @@ def test_resume_repeats_unfinished_clusters_only(spark, tmp_path):
     fresh = PruneConfig(num_clusters=2, niter=3, eps_list=(0.01,), save_eps_list=(0.01,))
     table = prune_vectors(vectors, out, fresh, resume=False)["prune_table"]
     assert table.count() == 1000 and table.select("cluster_id").distinct().count() == 2
+
+
+def test_hot_mates_are_salted(spark):
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(600, 4))
+    vectors[::2] = vectors[0]
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    rows = spark.createDataFrame(
+        [(0, i, float(i), [float(x) for x in v]) for i, v in enumerate(vectors)],
+        "cluster_id int, id long, dist double, embedding array<double>",
+    )
+    config = PruneConfig(keep_hard=False)
+    ranked = rank_within_cluster(rows.drop("embedding"), keep_hard=False)
+    pairs = compare_members(rows, ranked, config)
+    plain = sorted(prune_rows(pairs, ranked).collect())
+    assert sum(r.mate_id == 0 for r in plain) >= 299
+    assert sorted(prune_rows(pairs, ranked, hot_mates=50).collect()) == plain
+    ranks = {r.id: r.rank for r in plain}
+    assert all(r.mate_id is None or r.mate_rank == ranks[r.mate_id] for r in plain)

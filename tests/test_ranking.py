@@ -8,6 +8,7 @@ from neardup.operators.ranking import (
     split_into_chunks,
     with_order_keys,
 )
+from neardup.operators.skew import hot_keys, salted_left_join
 
 
 def frame(spark, rows):
@@ -84,3 +85,18 @@ def test_chunk_limits(spark):
         assert len(sizes) == chunks and max(r["count"] for r in sizes) <= limit
     with pytest.raises(ValueError):
         split_into_chunks(rows, 0)
+
+
+def test_salted_join_equals_the_plain_join(spark):
+    left = spark.range(2000).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("k")
+    )
+    left = left.withColumn("k", F.when(F.col("id") % 11 != 0, F.col("k")))
+    right = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    hot = hot_keys(left.where("k is not null"), ["k"], 100)
+    assert [(r.k, r._salts) for r in hot.collect()] == [(7, 7)]
+    got = salted_left_join(left, right, ["k"], hot, "id").select("id", "k", "v")
+    assert sorted(got.collect(), key=lambda r: r.id) == sorted(
+        left.join(right, "k", "left").select("id", "k", "v").collect(), key=lambda r: r.id
+    )
+    assert hot_keys(left, ["k"], 5000) is None
