@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from neardup.config import MAX_BROADCAST_BYTES, SIM_DECIMALS, validate_metric
+from neardup.config import MAX_BROADCAST_BYTES, SIM_DECIMALS, SIM_METRICS, validate_metric
 from neardup.functions.vectors import (
+    COSINE_EPS,
     cosine_distance,
     cosine_similarity,
     is_valid_vector,
@@ -54,11 +56,14 @@ def nearest(rows: np.ndarray, centroids: np.ndarray, score: str):
     return best, np.round(value, SIM_DECIMALS)
 
 
-def centroid_matrix(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and ``[k, D]`` matrix on the driver, refused beyond the broadcast limit."""
-    k, dim = _centroid_shape(centroids)
-    if k * dim * 8 > MAX_BROADCAST_BYTES:
-        raise ValueError(f"{k} centroids of dimension {dim} exceed the broadcast limit")
+def _centroid_shape(centroids: DataFrame) -> tuple[int, int]:
+    k, dim = centroids.agg(F.count(F.lit(1)), F.max(F.size("centroid"))).first()
+    if not k:
+        raise ValueError("no centroids")
+    return k, dim
+
+
+def _collect_centroids(centroids: DataFrame, dim: int) -> tuple[np.ndarray, np.ndarray]:
     table = (
         centroids.select(
             F.col("cluster_id").cast("int").alias("cluster_id"),
@@ -70,11 +75,12 @@ def centroid_matrix(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return table["cluster_id"].to_numpy().astype(np.int32), matrix(table["centroid"], dim)
 
 
-def _centroid_shape(centroids: DataFrame) -> tuple[int, int]:
-    k, dim = centroids.agg(F.count(F.lit(1)), F.max(F.size("centroid"))).first()
-    if not k:
-        raise ValueError("no centroids")
-    return k, dim
+def centroid_matrix(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending ids and ``[k, D]`` matrix on the driver, refused beyond the broadcast limit."""
+    k, dim = _centroid_shape(centroids)
+    if k * dim * 8 > MAX_BROADCAST_BYTES:
+        raise ValueError(f"{k} centroids of dimension {dim} exceed the broadcast limit")
+    return _collect_centroids(centroids, dim)
 
 
 def _assign_udf(ids_bc, matrix_bc, score: str) -> Callable[[str], Column]:
@@ -118,7 +124,7 @@ def assign_nearest(
     if k * dim * 8 > max_broadcast_bytes:
         per_block = max(1, max_broadcast_bytes // (dim * 8))
         return _assign_in_blocks(vectors, centroids, score, vector_col, id_col, k, per_block)
-    ids, values = centroid_matrix(centroids)
+    ids, values = _collect_centroids(centroids, dim)
     sc = vectors.sparkSession.sparkContext
     assign = _assign_udf(sc.broadcast(ids), sc.broadcast(values), score)
     return (
@@ -195,26 +201,64 @@ def distance_to_centroid(
         return assigned.withColumn("dist", F.round(cosine_distance("score"), SIM_DECIMALS))
     if centroids is None:
         raise ValueError("cosine distance to a non-unit centroid needs the centroids")
-    joined = assigned.join(
-        size_checked_broadcast(centroids.select("cluster_id", "centroid")), "cluster_id", "left"
-    )
-    distance = F.lit(1.0) - cosine_similarity(vector_col, "centroid")
-    return joined.withColumn("dist", F.round(distance, SIM_DECIMALS)).drop("centroid")
+    return with_centroid_distance(assigned, centroids, "cosine", "dist", vector_col)
 
 
-def size_checked_broadcast(centroids: DataFrame) -> DataFrame:
-    k, dim = _centroid_shape(centroids)
-    return F.broadcast(centroids) if k * dim * 8 <= MAX_BROADCAST_BYTES else centroids
+def with_centroid_distance(
+    assigned: DataFrame,
+    centroids: DataFrame,
+    metric: str = "l2",
+    output_col: str = "sq_dist",
+    vector_col: str = "embedding",
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """Distance of each row to the centroid it already belongs to.
 
+    ``metric='l2'`` is the squared distance, ``'cosine'`` is 1 - cosine
+    similarity. Centroids within the limit are broadcast to an Arrow stage;
+    larger sets are joined in.
+    """
+    if metric not in SIM_METRICS:
+        raise ValueError(f"metric must be one of {SIM_METRICS}, got {metric!r}")
+    k, dim = _centroid_shape(centroids)
+    if k * dim * 8 > max_broadcast_bytes:
+        own = centroids.select("cluster_id", "centroid")
+        if metric == "l2":
+            distance = squared_l2(vector_col, "centroid")
+        else:
+            distance = F.lit(1.0) - cosine_similarity(vector_col, "centroid")
+        joined = assigned.join(own, "cluster_id", "left")
+        return joined.withColumn(output_col, F.round(distance, SIM_DECIMALS)).drop("centroid")
+    ids, values = _collect_centroids(centroids, dim)
+    sc = assigned.sparkSession.sparkContext
+    measure = _measure_udf(sc.broadcast(ids), sc.broadcast(values), metric)
+    return assigned.withColumn(output_col, measure(vector_col, F.col("cluster_id").cast("int")))
+
+
+def _measure_udf(ids_bc, matrix_bc, metric: str):
+    @F.arrow_udf("double")
+    def measure(vectors: pa.Array, clusters: pa.Array) -> pa.Array:
+        ids, centroids = ids_bc.value, matrix_bc.value
+        at = np.searchsorted(ids, clusters.fill_null(-1).to_numpy(zero_copy_only=False))
+        at = np.minimum(at, len(ids) - 1)
+        known = pc.equal(clusters, pa.array(ids[at])).fill_null(False)
+        present = pc.and_(known, vectors.is_valid()).to_numpy(zero_copy_only=False)
+        out = np.zeros(len(vectors))
+        if present.any():
+            rows = matrix(vectors.filter(pa.array(present)), centroids.shape[1])
+            own = centroids[at[present]]
+            if metric == "l2":
+                out[present] = np.einsum("ij,ij->i", rows - own, rows - own)
+            else:
+                lengths = [
+                    np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), COSINE_EPS)
+                    for x in (rows, own)
+                ]
+                out[present] = 1 - np.einsum("ij,ij->i", rows, own) / (lengths[0] * lengths[1])
+        return pa.array(np.round(out, SIM_DECIMALS), mask=~present)
 
-def squared_distance_to_centroid(
-    assigned: DataFrame, centroids: DataFrame, vector_col: str = "embedding"
-) -> DataFrame:
-    """Add ``sq_dist`` to the centroid a row already belongs to."""
-    joined = assigned.join(
-        size_checked_broadcast(centroids.select("cluster_id", "centroid")), "cluster_id", "left"
-    )
-    return joined.withColumn("sq_dist", squared_l2(vector_col, "centroid")).drop("centroid")
+    # Filters on the result are not pushed below it, which would compute it twice.
+    return measure.asNondeterministic()
 
 
 def assign_and_measure(

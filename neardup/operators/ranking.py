@@ -95,9 +95,10 @@ def rank_in_cluster(
         .select(F.col(cluster_col).alias("_c"), F.col("_piece").alias("_p"), "_before")
     )
     window = Window.partitionBy(cluster_col, "_piece").orderBy(*order)
+    same = F.col(cluster_col).eqNullSafe(F.col("_c")) & (F.col("_piece") == F.col("_p"))
     return (
         pieces.withColumn("_in_piece", F.row_number().over(window))
-        .join(offsets, F.col(cluster_col).eqNullSafe(F.col("_c")) & (F.col("_piece") == F.col("_p")))
+        .join(offsets, same)
         .withColumn("rank", F.col("_before") + F.col("_in_piece"))
         .drop("_piece", "_p", "_c", "_n", "_before", "_in_piece")
     )

@@ -159,7 +159,7 @@ def dist_spherical(spark, sf_dir):
 def dist_l2(spark, sf_dir):
     rows = by_label(spark, sf_dir)
     means = assignment.label_centroids(rows, "cluster_id", spherical=False)
-    return assignment.squared_distance_to_centroid(rows, means).select(
+    return assignment.with_centroid_distance(rows, means).select(
         "id", "cluster_id", _six("sq_dist")
     )
 

@@ -150,3 +150,25 @@ def test_distance_metrics(rows):
     assert all(a[i][0] == b[i][0] and abs(a[i][1] - b[i][1]) < 1e-6 for i in a)
     l2 = assignment.assign_and_measure(rows, centroids, "l2", False).collect()
     assert all(abs(r.dist - 2 * a[r.id][1]) < 1e-5 for r in l2)
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_joined_distances_equal_the_broadcast_ones(spark, rows, metric):
+    centroids = assignment.label_centroids(rows, "label", spherical=False)
+    placed = rows.withColumnRenamed("label", "cluster_id").unionByName(
+        spark.createDataFrame(
+            [(-1, None, 3), (-2, [1.0] * 64, 77), (-3, [1.0] * 64, None), (-4, [0.0] * 64, 2)],
+            "id long, embedding array<float>, cluster_id int",
+        )
+    )
+    wide, joined = (
+        assignment.with_centroid_distance(placed, centroids, metric, "d", max_broadcast_bytes=b)
+        for b in (1 << 20, 10)
+    )
+    want = {r.id: r.d for r in joined.collect()}
+    got = {r.id: r.d for r in wide.collect()}
+    assert want.keys() == got.keys()
+    assert [got[i] for i in (-1, -2, -3)] == [want[i] for i in (-1, -2, -3)] == [None] * 3
+    assert all(abs(got[i] - want[i]) < 1e-11 for i in want if want[i] is not None)
+    with pytest.raises(ValueError):
+        assignment.with_centroid_distance(placed, centroids, "dot")
