@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from neardup.config import BLOCK_ROWS, HOT_COPIES, SIM_DECIMALS
 from neardup.operators.arrow_blocks import matrix
@@ -503,10 +504,9 @@ def compare_within_clusters(
         fields.append(T.StructField("_n", T.LongType()))
         fields += [T.StructField(c, T.DoubleType()) for c in ("_sum", "_squares", "_max", "_min")]
         fields += [T.StructField(c, T.LongType()) for c in overs]
-        wanted += [F.max("_n").alias("_n"), F.max("_max").alias("_max"), F.min("_min").alias("_min")]
+        wanted += [F.max(c).alias(c) for c in ("_n", "_max")]
+        wanted.append(F.min("_min").alias("_min"))
         wanted += [F.sum(c).alias(c) for c in ("_sum", "_squares", *overs)]
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     schema = T.StructType(fields)
     task = _block_pair_task(
         by, orders, eps_list, with_prior, with_sums, to_arrow_schema(schema)

@@ -22,7 +22,8 @@ def _by_folder(table: DataFrame, buckets: int | None) -> tuple[DataFrame, str]:
     """A folder per cluster, or per hash bucket of clusters when there are many."""
     if buckets is None:
         return table, "cluster_id"
-    return table.withColumn("cluster_bucket", F.pmod("cluster_id", F.lit(buckets))), "cluster_bucket"
+    bucket = F.pmod("cluster_id", F.lit(buckets))
+    return table.withColumn("cluster_bucket", bucket), "cluster_bucket"
 
 
 def write_sorted_clusters(ranked: DataFrame, path: str, buckets: int | None = None) -> None:

@@ -64,6 +64,31 @@ def test_kept_round_trip_reads_one_folder(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(eps" in plan
 
 
+def test_bucketed_folders(spark, tmp_path):
+    """Many clusters share a folder; a large one still spreads over several files."""
+    cluster = F.when(F.col("id") < 2000, F.lit(5)).otherwise(F.col("id") % 40)
+    rows = spark.range(3000).select(
+        "id",
+        cluster.cast("int").alias("cluster_id"),
+        F.col("id").cast("double").alias("dist"),
+    )
+    ranked = rank_within_cluster(rows)
+    path = str(tmp_path / "sorted")
+    # At this size adaptive execution would join the ranges into one file.
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        sinks.write_sorted_clusters(ranked, path, buckets=4)
+    finally:
+        spark.conf.unset(coalesce)
+    assert len(list((tmp_path / "sorted").glob("cluster_bucket=*"))) == 4
+    files = spark.read.parquet(path).where("cluster_id = 5").select(F.input_file_name()).distinct()
+    assert files.count() > 1
+    back = sources.read_sorted_clusters(spark, path, 5, 5).drop("cluster_bucket")
+    want = ranked.where("cluster_id = 5").select(back.columns)
+    assert sorted(back.collect()) == sorted(want.collect())
+
+
 def test_an_id_in_several_clusters_is_kept_once(spark):
     prior = spark.createDataFrame(
         [(0, 1, 0.99), (1, 1, 0.0), (1, 2, 0.99)], "cluster_id int, id long, max_sim double"
