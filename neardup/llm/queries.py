@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from neardup.llm import rules
+from neardup.llm import pii, rules
 from neardup.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,5 +31,25 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str):
+        n = F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind)))
+        return n.cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in ("email", "ip", "card", "phone")],
+        F.sha2(pii.span_list(base), 256).alias("base_sha256"),
+        pii.span_list("spans").alias("spans"),
+        F.transform("spans", lambda s: s["score"]).alias("scores"),
+    )
+
+
 def llm_queries() -> dict[str, Query]:
-    return {"op4_quality_rules": op4_quality_rules}
+    return {
+        "op4_quality_rules": op4_quality_rules,
+        "op5_pii": op5_pii,
+    }
