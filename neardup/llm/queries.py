@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from neardup.llm import pii, rules
+from neardup.llm import pieces, pii, rules
 from neardup.llm.common import table
 
+#: The public model that the queries encode with.
+MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -48,8 +51,22 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = pieces.encode(docs, MODEL_PATH, parity_col="parity")
+    back = pieces.decode(encoded, MODEL_PATH)
+    return back.select(
+        "doc_id",
+        F.size("pieces").cast("long").alias("n_pieces"),
+        F.sha2(F.array_join("pieces", ","), 256).alias("pieces_sha256"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+        "parity",
+    )
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op4_quality_rules": op4_quality_rules,
         "op5_pii": op5_pii,
+        "op9_sentencepiece": op9_sentencepiece,
     }
