@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from neardup.llm import pieces, pii, rules
+from neardup.llm import mixing, pieces, pii, rules
 from neardup.llm.common import table
 
 #: The public model that the queries encode with.
@@ -51,6 +51,30 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Sources fall into four domains by their number; the table has no such column.
+DOMAIN = "concat('domain', coalesce(try_cast(regexp_extract(source, '([0-9]+)$', 1) as int), 0) % 4)"
+MIX = mixing.Mix(
+    levels=(DOMAIN, "lang", "source"),
+    weights={
+        ("domain0",): 4,
+        ("domain1",): 3,
+        ("domain2",): 2,
+        ("domain3",): 1,
+        **{(f"domain{i}", "en"): 3 for i in range(4)},
+        ("domain0", "en", "src0"): 2,
+    },
+    budget_percent=70,
+    max_epochs=2,
+    seed=17,
+)
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    taken = mixing.with_copies(docs, MIX, tokens_col="n_tokens")
+    return taken.select("doc_id", "lang", "source", "n_tokens", "copies")
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = pieces.encode(docs, MODEL_PATH, parity_col="parity")
@@ -68,5 +92,6 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op4_quality_rules": op4_quality_rules,
         "op5_pii": op5_pii,
+        "op8_mixing": op8_mixing,
         "op9_sentencepiece": op9_sentencepiece,
     }

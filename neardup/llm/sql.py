@@ -47,6 +47,92 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 from b
 """
 
+_FILL = """
+{name}_in as (
+  select {group}, {cap} as c, {weight} as w, {budget} as b from {source}
+), {name}_open as (
+  select *, w > 0 and c * sum(w) over (
+      partition by {parent} order by case when w > 0 then c::double / w::double end nulls last, {own}
+      rows between current row and unbounded following)
+    + w * coalesce(sum(c) over (
+      partition by {parent} order by case when w > 0 then c::double / w::double end nulls last, {own}
+      rows between unbounded preceding and 1 preceding), 0) <= b * w as is_full
+  from {name}_in
+), {name} as (
+  select *, case when is_full then c when w > 0 then
+      (b - coalesce(sum(case when is_full then c end) over (partition by {parent}), 0)) * w
+      // sum(case when not is_full then w end) over (partition by {parent})
+    else 0 end as own
+  from {name}_open
+)
+"""
+
+_OP8 = (
+    r"""
+with d as (
+  select doc_id, lang, source,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as n,
+    'domain' || (coalesce(try_cast(regexp_extract(source, '([0-9]+)$', 1) as int), 0) % 4) as l0,
+    coalesce(lang, '') as l1, coalesce(source, '') as l2
+  from documents
+), leaf as (
+  select l0, l1, l2, sum(n)::hugeint as t from d group by all
+), l0s as (
+  select l0, sum(t) * 2 as cap from leaf group by all
+), l1s as (
+  select l0, l1, sum(t) * 2 as cap from leaf group by all
+), l2s as (
+  select l0, l1, l2, sum(t) * 2 as cap from leaf group by all
+), """
+    + _FILL.format(
+        name="f0",
+        group="l0",
+        cap="cap",
+        weight="(case l0 when 'domain0' then 4 when 'domain1' then 3 "
+        "when 'domain2' then 2 else 1 end)::hugeint",
+        budget="(select sum(t) * 70 // 100 from leaf)",
+        source="l0s",
+        parent="0",
+        own="l0",
+    )
+    + ", "
+    + _FILL.format(
+        name="f1",
+        group="l0, l1",
+        cap="cap",
+        weight="(case l1 when 'en' then 3 else 1 end)::hugeint",
+        budget="own",
+        source="l1s join f0 using (l0)",
+        parent="l0",
+        own="l1",
+    )
+    + ", "
+    + _FILL.format(
+        name="f2",
+        group="l0, l1, l2",
+        cap="l2s.cap",
+        weight="(case when l0 = 'domain0' and l1 = 'en' and l2 = 'src0' then 2 else 1 end)::hugeint",
+        budget="f1.own",
+        source="l2s join f1 using (l0, l1)",
+        parent="l0, l1",
+        own="l2",
+    )
+    + r""", plan as (
+  select l0, l1, l2, own as budget, case when t > 0 then own // t else 0 end as epochs,
+    own - case when t > 0 then own // t else 0 end * t as rest
+  from f2 join leaf using (l0, l1, l2)
+), placed as (
+  select d.*, epochs, rest,
+    sum(n) over (partition by l0, l1, l2
+      order by md5('17:' || epochs::bigint || ':' || coalesce(doc_id::varchar, ''))) as upto
+  from d join plan using (l0, l1, l2)
+)
+select doc_id, lang, source, n as n_tokens,
+  (epochs + case when epochs < 2 and upto <= rest then 1 else 0 end)::bigint as copies
+from placed
+"""
+)
+
 
 def llm_sql() -> dict[str, str]:
-    return {"op4_quality_rules": _OP4}
+    return {"op4_quality_rules": _OP4, "op8_mixing": _OP8}
