@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from neardup.llm import mixing, pieces, pii, rules
+from neardup.llm import minhash, mixing, pieces, pii, rules
 from neardup.llm.common import table
 
 #: The public model that the queries encode with.
@@ -88,10 +88,16 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    settings = minhash.Settings(words=3, percent=85)
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), settings)
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op4_quality_rules": op4_quality_rules,
         "op5_pii": op5_pii,
         "op8_mixing": op8_mixing,
         "op9_sentencepiece": op9_sentencepiece,
+        "op10_minhash": op10_minhash,
     }
