@@ -34,7 +34,7 @@ UNIGRAM, BPE = 1, 2
 #: Characters of text encoded at once in a task.
 ENCODE_CHARS = 1 << 18
 #: Words whose ids a worker remembers before it starts anew.
-CACHED_WORDS = 1 << 19
+CACHED_WORDS = 1 << 18
 #: New words that are encoded as one string.
 WORDS_AT_ONCE = 64
 
@@ -282,11 +282,9 @@ class Encoder:
             _built[settings] = cls(*settings)
         return _built[settings]
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[pa.ListArray, np.ndarray]]:
-        """Ids of the texts and whether both libraries agree, a step at a time."""
-        for a, b in steps(map(len, texts), ENCODE_CHARS):
-            part = texts[a:b]
-            yield self._by_words(part) if self.words is not None else self._whole(part)
+    def encode(self, texts: list[str]) -> tuple[pa.ListArray, np.ndarray]:
+        """Ids of the texts and whether both libraries agree. Callers bound the texts."""
+        return self._by_words(texts) if self.words is not None else self._whole(texts)
 
     def _whole(self, texts: list[str]) -> tuple[pa.ListArray, np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -377,7 +375,9 @@ def encode(
     @F.arrow_udf("struct<pieces:array<int>,same:boolean>")
     def run(texts: pa.Array) -> pa.Array:
         ids, same = [pa.array([], pa.list_(pa.int32()))], [np.zeros(0, dtype=bool)]
-        for some, agree in Encoder.of(*settings.value).encode(texts.to_pylist()):
+        encoder = Encoder.of(*settings.value)
+        for a, b in steps(pc.utf8_length(texts).to_pylist(), ENCODE_CHARS):
+            some, agree = encoder.encode(texts.slice(a, b - a).to_pylist())
             ids.append(some)
             same.append(agree)
         parts = [pa.concat_arrays(ids), pa.array(np.concatenate(same))]
