@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from neardup.llm import minhash, mixing, pieces, pii, rules
-from neardup.llm.common import table
+from neardup.llm import minhash, mixing, pieces, pii, quality, rules, toxicity
+from neardup.llm.common import held_out, table
 
 #: The public model that the queries encode with.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -16,6 +16,28 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _judged(scored: DataFrame, folds: int, fold: int, *more: str) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        held_out("doc_id", folds, fold).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        *more,
+    )
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), folds=5, fold=0)
+    return _judged(toxicity.score(docs, model), 5, 0, "offending")
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), folds=3, fold=1)
+    return _judged(quality.score(docs, model), 3, 1)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = rules.ledger(table(spark, sf_dir, "documents"))
     judged = rules.apply_policy(led, rules.POLICIES["v2"])
@@ -95,6 +117,8 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op2_toxicity": op2_toxicity,
+        "op3_quality": op3_quality,
         "op4_quality_rules": op4_quality_rules,
         "op5_pii": op5_pii,
         "op8_mixing": op8_mixing,
