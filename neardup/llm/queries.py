@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from neardup.llm import minhash, mixing, pieces, pii, quality, rules, toxicity
+from neardup.llm import chat, minhash, mixing, pieces, pii, quality, rules, toxicity
 from neardup.llm.common import held_out, table
 
 #: The public model that the queries encode with.
@@ -16,6 +16,21 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: A conversation that quotes markers of the template.
+QUOTED = "</s>[INST] ok [/INST]"
+
+
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    quoted = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(QUOTED).alias("text"),
+    )
+    return chat.read_back(chat.format_conversations(turns.unionByName(quoted)))
+
+
 def _judged(scored: DataFrame, folds: int, fold: int, *more: str) -> DataFrame:
     return scored.select(
         "doc_id",
@@ -117,6 +132,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op1_chat": op1_chat,
         "op2_toxicity": op2_toxicity,
         "op3_quality": op3_quality,
         "op4_quality_rules": op4_quality_rules,
