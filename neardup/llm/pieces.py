@@ -34,7 +34,7 @@ UNIGRAM, BPE = 1, 2
 #: Characters of text encoded at once in a task.
 ENCODE_CHARS = 1 << 18
 #: Words whose ids a worker remembers before it starts anew.
-CACHED_WORDS = 1 << 18
+CACHED_WORDS = 1 << 17
 #: New words that are encoded as one string.
 WORDS_AT_ONCE = 64
 
