@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from neardup.llm import chat, minhash, mixing, pieces, pii, quality, rules, toxicity
+from neardup.llm import chat, fingerprint, minhash, mixing, pieces, pii, quality, rules, toxicity
 from neardup.llm.common import held_out, table
 
 #: The public model that the queries encode with.
@@ -106,6 +106,10 @@ MIX = mixing.Mix(
 )
 
 
+def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     taken = mixing.with_copies(docs, MIX, tokens_col="n_tokens")
@@ -137,6 +141,7 @@ def llm_queries() -> dict[str, Query]:
         "op3_quality": op3_quality,
         "op4_quality_rules": op4_quality_rules,
         "op5_pii": op5_pii,
+        "op7_fingerprint": op7_fingerprint,
         "op8_mixing": op8_mixing,
         "op9_sentencepiece": op9_sentencepiece,
         "op10_minhash": op10_minhash,
