@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from neardup.llm import chat, fingerprint, minhash, mixing, pieces, pii, quality, rules, toxicity
+from neardup.llm import chat, fingerprint, minhash, mixing, pieces, pii, quality, rules, toxicity, warc
 from neardup.llm.common import held_out, table
 
 #: The public model that the queries encode with.
@@ -106,6 +106,11 @@ MIX = mixing.Mix(
 )
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.archive_and_read(table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_next(table(spark, sf_dir, "documents"))
 
@@ -141,6 +146,7 @@ def llm_queries() -> dict[str, Query]:
         "op3_quality": op3_quality,
         "op4_quality_rules": op4_quality_rules,
         "op5_pii": op5_pii,
+        "op6_warc": op6_warc,
         "op7_fingerprint": op7_fingerprint,
         "op8_mixing": op8_mixing,
         "op9_sentencepiece": op9_sentencepiece,
