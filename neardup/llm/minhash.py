@@ -445,3 +445,33 @@ def near_duplicates(
         component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def without_copies(
+    docs: DataFrame,
+    settings: Settings = Settings(),
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One row of each group of near-duplicates, with the columns of the input.
+
+    Rows that repeat an id are one document: the one whose text has the
+    smallest hash stays. Rows with a null id all stay.
+    """
+    found = near_duplicates(docs, settings, id_col, text_col)
+    gone = materialize(found.where(~F.col("kept")).select(id_col).distinct(), "copies")
+    n = gone.count()
+    side = F.broadcast(gone) if fits_broadcast(n, 64) and n <= BROADCAST_IDS else gone
+    rest = docs.join(side, id_col, "left_anti")
+    ids = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = materialize(ids.where("_n > 1").select(id_col), "repeated-ids")
+    if repeated.isEmpty():
+        return rest
+    row = F.struct(*[F.col(c) for c in rest.columns])
+    once = (
+        rest.join(repeated, id_col, "left_semi")
+        .groupBy(id_col)
+        .agg(F.min_by(row, F.xxhash64(text_col)).alias("_row"))
+        .select(*[F.col(f"_row.`{c}`").alias(c) for c in rest.columns])
+    )
+    return rest.join(repeated, id_col, "left_anti").unionByName(once)

@@ -55,7 +55,7 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = rules.ledger(table(spark, sf_dir, "documents"))
-    judged = rules.apply_policy(led, rules.POLICIES["v2"])
+    judged = rules.apply_policy(led, rules.POLICIES["v1"])
     base_failed = F.col("fail_bits").bitwiseAND(rules.BASE.mask) != 0
     return judged.select(
         "doc_id",

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from neardup.llm.common import SPACE_CLASS, let, text_or_empty
+from neardup.llm.common import SPACE_CLASS, fresh_name, let, text_or_empty
 
 #: Fixed: hashes of windows are joined by doubling from 1 to 2, 4 and 8 words.
 WINDOW_WORDS = 8
@@ -31,14 +31,17 @@ MEASUREMENTS = (
     "n_exclamations",
 )
 
-#: Rule by bit position; each is true where a document fails. SQL over MEASUREMENTS.
+#: Rule by bit position; each is true where a document of measurements ``m`` fails.
 RULES = (
-    ("few_words", "n_words < 20"),
-    ("repeated_windows", "100 * n_repeat_words > 30 * n_words"),
-    ("symbols", "100 * n_symbols > 10 * n_words"),
-    ("repeated_lines", "100 * n_dup_lines > 30 * n_lines"),
-    ("word_length", "word_chars < 2 * n_words or word_chars > 15 * n_words"),
-    ("exclamations", "100 * n_exclamations > 10 * n_words"),
+    ("few_words", lambda m: m["n_words"] < 20),
+    ("repeated_windows", lambda m: 100 * m["n_repeat_words"] > 30 * m["n_words"]),
+    ("symbols", lambda m: 100 * m["n_symbols"] > 10 * m["n_words"]),
+    ("repeated_lines", lambda m: 100 * m["n_dup_lines"] > 30 * m["n_lines"]),
+    (
+        "word_length",
+        lambda m: (m["word_chars"] < 2 * m["n_words"]) | (m["word_chars"] > 15 * m["n_words"]),
+    ),
+    ("exclamations", lambda m: 100 * m["n_exclamations"] > 10 * m["n_words"]),
 )
 BIT = {name: 1 << i for i, (name, _) in enumerate(RULES)}
 
@@ -146,19 +149,30 @@ def measure(text: str | Column) -> Column:
     )
 
 
+def _flat(m: str) -> dict[str, Column]:
+    """The measurements in a column made by :func:`measure`."""
+    part = {"n_lines": "l.", "n_dup_lines": "l.", "n_symbols": "", "n_exclamations": ""}
+    return {c: F.col(f"{m}.{part.get(c, 'w.')}{c}") for c in MEASUREMENTS}
+
+
+def _fail_bits(measured: dict[str, Column]) -> Column:
+    """Bits of the failed rules; the rules see the measurements as a row of their own."""
+    row = F.struct(*[c.alias(n) for n, c in measured.items()])
+    bits = let(
+        row,
+        lambda m: sum(
+            (F.when(fails(m), F.lit(BIT[name])).otherwise(F.lit(0)) for name, fails in RULES),
+            start=F.lit(0),
+        ),
+    )
+    return bits.cast("long")
+
+
 def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, MEASUREMENTS and ``fail_bits`` of every document, in one pass."""
-    measured = docs.select(F.col(id_col).alias("doc_id"), measure(text_col).alias("m")).select(
-        "doc_id",
-        *[F.col(f"m.w.{c}").alias(c) for c in ("n_words", "word_chars", "n_repeat_words")],
-        *[F.col(f"m.l.{c}").alias(c) for c in ("n_lines", "n_dup_lines")],
-        *[F.col(f"m.{c}").alias(c) for c in ("n_symbols", "n_exclamations")],
-    )
-    bits = sum(
-        (F.when(F.expr(rule), F.lit(BIT[name])).otherwise(F.lit(0)) for name, rule in RULES),
-        start=F.lit(0),
-    )
-    return measured.select("doc_id", *MEASUREMENTS, bits.cast("long").alias("fail_bits"))
+    measured = docs.select(F.col(id_col).alias("doc_id"), measure(text_col).alias("m"))
+    flat = measured.select("doc_id", *[c.alias(n) for n, c in _flat("m").items()])
+    return flat.withColumn("fail_bits", _fail_bits({c: F.col(c) for c in MEASUREMENTS}))
 
 
 def apply_policy(led: DataFrame, policy: Policy) -> DataFrame:
@@ -168,6 +182,15 @@ def apply_policy(led: DataFrame, policy: Policy) -> DataFrame:
     return led.withColumn("kept", failed == 0).withColumn("only_rule", alone)
 
 
+def keep_passing(docs: DataFrame, policy: Policy, text_col: str = "text") -> DataFrame:
+    """The rows that pass a policy, with the columns of the input."""
+    m, bits = fresh_name(docs, "_measured"), fresh_name(docs, "_bits")
+    measured = docs.withColumn(m, measure(text_col))
+    return measured.withColumn(bits, _fail_bits(_flat(m))).where(
+        F.col(bits).bitwiseAND(policy.mask) == 0
+    ).drop(m, bits)
+
+
 def ablations(led: DataFrame, policy: Policy) -> DataFrame:
     """Per rule of a policy: documents that fail it, and those kept if it were dropped.
 

@@ -40,9 +40,9 @@ with w as (
   from m
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-  (fail_bits & 3) <> 0 as base_failed, fail_bits = 0 as kept, fail_bits,
-  case fail_bits when 1 then 'few_words' when 2 then 'repeated_windows' when 4 then 'symbols'
-    when 8 then 'repeated_lines' when 16 then 'word_length' when 32 then 'exclamations'
+  (fail_bits & 3) <> 0 as base_failed, (fail_bits & 39) = 0 as kept, fail_bits,
+  case fail_bits & 39 when 1 then 'few_words' when 2 then 'repeated_windows' when 4 then 'symbols'
+    when 32 then 'exclamations'
   end as only_rule
 from b
 """
