@@ -64,6 +64,8 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         nonlocal at
         value = shift = 0
         while True:
+            if at >= len(data):
+                raise ValueError("not a model file: it ends inside a number")
             byte = data[at]
             at += 1
             value |= (byte & 127) << shift
