@@ -55,16 +55,15 @@ def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids in place of the text, decoded once more to see that nothing is lost."""
-    encoded = pieces.encode(docs.select("doc_id", "lang", "source", "text"), MODEL_PATH)
-    back = pieces.decode(encoded, MODEL_PATH)
-    same = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return back.select(
+    rows = docs.select("doc_id", "lang", "source", "text")
+    encoded = pieces.encode(rows, MODEL_PATH, round_trip_col="round_trip")
+    return encoded.select(
         "doc_id",
         "lang",
         "source",
         F.size("pieces").cast("long").alias("n_pieces"),
         "pieces",
-        same.alias("round_trip"),
+        "round_trip",
     )
 
 

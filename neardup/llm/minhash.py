@@ -49,8 +49,8 @@ STEP_BYTES = 1 << 18
 BAND_BLOCK, SET_BLOCK = 1024, 256
 #: Columns of the dense matrix in which sets are compared.
 SET_COLUMNS = 4096
-#: Words whose hashes a worker remembers before it starts anew.
-CACHED_WORDS = 1 << 19
+#: Words whose hashes a task remembers before it starts anew.
+CACHED_WORDS = 1 << 17
 #: Ids broadcast to find the texts of candidates; beyond it they are joined.
 BROADCAST_IDS = 2_000_000
 
@@ -209,6 +209,7 @@ def _sketch_task(settings: Settings):
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             for a, b in steps((len(t or b"") for t in texts), STEP_BYTES):
                 yield sketch(batch.column(0).slice(a, b - a), texts[a:b])
+        _word_hashes.clear()  # the worker lives on
 
     return run
 
@@ -386,6 +387,7 @@ def _set_task(settings: Settings):
                     [*part.columns, pa.array(sets, pa.binary())],
                     [*part.schema.names, "shingles"],
                 )
+        _word_hashes.clear()
 
     return run
 

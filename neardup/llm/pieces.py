@@ -366,24 +366,33 @@ def encode(
     text_col: str = "text",
     output_col: str = "pieces",
     parity_col: str | None = None,
+    round_trip_col: str | None = None,
     threads: int | None = None,
 ) -> DataFrame:
-    """Adds the piece ids of each text, and to ``parity_col`` whether both libraries agree.
+    """Adds the piece ids of each text.
 
-    ``threads`` per task: spark.task.cpus if not given.
+    ``parity_col`` gets whether both libraries agree, ``round_trip_col`` whether
+    the ids decode to the text again. ``threads`` per task: spark.task.cpus if
+    not given.
     """
     settings = _settings(docs, model_path, threads, parity_col is not None)
 
-    @F.arrow_udf("struct<pieces:array<int>,same:boolean>")
+    @F.arrow_udf("struct<pieces:array<int>,same:boolean,back:boolean>")
     def run(texts: pa.Array) -> pa.Array:
         ids, same = [pa.array([], pa.list_(pa.int32()))], [np.zeros(0, dtype=bool)]
+        back = [pa.array([], pa.bool_())]
         encoder = Encoder.of(*settings.value)
         for a, b in steps(pc.utf8_length(texts).to_pylist(), ENCODE_CHARS):
-            some, agree = encoder.encode(texts.slice(a, b - a).to_pylist())
+            part = texts.slice(a, b - a)
+            some, agree = encoder.encode(part.to_pylist())
             ids.append(some)
             same.append(agree)
-        parts = [pa.concat_arrays(ids), pa.array(np.concatenate(same))]
-        return pa.StructArray.from_arrays(parts, ["pieces", "same"])
+            if round_trip_col is not None:
+                back.append(pc.equal(encoder.decode(some), part))
+            else:
+                back.append(pa.nulls(len(part), pa.bool_()))
+        parts = [pa.concat_arrays(ids), pa.array(np.concatenate(same)), pa.concat_arrays(back)]
+        return pa.StructArray.from_arrays(parts, ["pieces", "same", "back"])
 
     found = fresh_name(docs, "_found")
     # Else a filter on the result would encode a second time.
@@ -391,6 +400,8 @@ def encode(
     out = both.withColumn(output_col, F.col(f"{found}.pieces"))
     if parity_col is not None:
         out = out.withColumn(parity_col, F.col(f"{found}.same"))
+    if round_trip_col is not None:
+        out = out.withColumn(round_trip_col, F.col(f"{found}.back"))
     return out.drop(found)
 
 
