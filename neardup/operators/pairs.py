@@ -63,12 +63,21 @@ def _keyed_members(members, by, id_col, vector_col, order, collapse_copies) -> D
         keys = [F.col(c) for c in COPY_KEYS]
     else:
         keys = copy_keys(vector_col)
+    # A row without a vector is compared with nothing; it gets a key of its own,
+    # since the one of NULL could be shared by a large part of a cluster.
+    empty = F.lit(None).cast("array<double>")
+    missing = (keys[0] == F.xxhash64(empty)) & (keys[1] == F.xxhash64(F.lit(1), empty))
+    own = [F.xxhash64(F.col(id_col)), F.xxhash64(F.lit(1), F.col(id_col))]
+    v = F.col(vector_col)
+    infinite = F.lit(float("inf"))
+    # NaN sorts above infinity.
+    finite = (F.array_max(v) < infinite) & (F.array_min(v) > -infinite)
     return members.select(
         *by,
         F.col(id_col).alias("_id"),
-        F.col(vector_col).alias("_v"),
-        keys[0].alias("_f1"),
-        keys[1].alias("_f2"),
+        F.when(finite, v).alias("_v"),
+        F.when(missing, own[0]).otherwise(keys[0]).alias("_f1"),
+        F.when(missing, own[1]).otherwise(keys[1]).alias("_f2"),
         *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
     )
 
@@ -321,8 +330,11 @@ class _SumsOverOthers:
     def _add(self, at, sims, weight, skip=None) -> None:
         self.total[at] += sims @ weight
         self.squares[at] += (sims * sims) @ weight
-        for e, eps in enumerate(self.eps_list):
-            self.over[e, at] += (sims > 1 - eps + _HALF) @ weight
+        if self.eps_list:
+            # The same comparison of the same rounded value as in the flags.
+            rounded = np.round(sims, SIM_DECIMALS)
+            for e, eps in enumerate(self.eps_list):
+                self.over[e, at] += (rounded > 1 - eps) @ weight
         high = sims if skip is None else np.where(skip, -np.inf, sims)
         small = sims if skip is None else np.where(skip, np.inf, sims)
         self.top[at] = np.maximum(self.top[at], high.max(axis=1))
@@ -337,7 +349,7 @@ class _SumsOverOthers:
             self.total[a] -= own
             self.squares[a] -= own * own
             for e, eps in enumerate(self.eps_list):
-                self.over[e, a] -= own > 1 - eps + _HALF
+                self.over[e, a] -= np.round(own, SIM_DECIMALS) > 1 - eps
             copied = a[self.weight[a] > 1]
             mine = own[self.weight[a] > 1]
             self.top[copied] = np.maximum(self.top[copied], mine)
@@ -537,7 +549,7 @@ def max_prior_similarity(
     Returns ``by``, the id, ``max_sim`` (0 where no earlier row has a positive
     similarity), ``mate_id`` (the earliest row that attains it, NULL at 0) and
     ``mate_<order column>`` for other order columns. Rows without a vector have
-    ``max_sim`` 0.
+    ``max_sim`` 0, and so have rows whose vector is not finite.
     """
     return compare_within_clusters(
         members, by, order, (), id_col, vector_col, block_rows, collapse_copies, with_sums=False

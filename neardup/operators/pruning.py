@@ -79,6 +79,14 @@ def assert_unique_ids(
         raise ValueError(f"id occurs more than once in its cluster: {example[0].asDict()}")
 
 
+def assert_unique_row_ids(vectors: DataFrame, id_col: str = "id") -> None:
+    """Raise if an id occurs twice in a table; only the ids are read."""
+    counts = vectors.groupBy(id_col).agg(F.count(F.lit(1)).alias("n_rows"))
+    example = counts.where("n_rows > 1").take(1)
+    if example:
+        raise ValueError(f"id occurs more than once: {example[0].asDict()}")
+
+
 def pending_clusters(members: DataFrame, done: DataFrame, cluster_col: str = "cluster_id"):
     """Members of clusters that have no finished output yet."""
     # One row per cluster: a shuffle join would gather a large cluster in one task.

@@ -99,8 +99,15 @@ def prune_rows(
 def prune_table(
     vectors: DataFrame, centroids: DataFrame, config: PruneConfig
 ) -> DataFrame:
-    """Prune rows of a vector table for given centroids, without an output folder."""
-    assigned = assign_and_measure(vectors, centroids, config.sim_metric, config.spherical)
+    """Prune rows of a vector table for given centroids, without an output folder.
+
+    Rows whose vector is null, zero or not finite come back with ``max_sim`` 0
+    and no cluster. Ids must be unique.
+    """
+    pruning.assert_unique_row_ids(vectors)
+    assigned = assign_and_measure(
+        valid_vectors(vectors), centroids, config.sim_metric, config.spherical
+    )
     # Ranking and comparison each read it: assign once.
     assigned = materialize(
         assigned.select("id", "embedding", "cluster_id", "dist", *copy_keys()), "assignment"
@@ -111,7 +118,9 @@ def prune_table(
         config.which_to_keep,
         config.seed,
     )
-    return prune_rows(compare_members(assigned, ranked, config), ranked)
+    rows = prune_rows(compare_members(assigned, ranked, config), ranked)
+    unusable = invalid_vectors(vectors).select("id", F.lit(0.0).alias("max_sim"))
+    return rows.unionByName(unusable, allowMissingColumns=True)
 
 
 def prune_vectors(
@@ -130,7 +139,7 @@ def prune_vectors(
     ``with_stats`` the same comparison also yields the statistics. Rows whose
     vector cannot be clustered (null, zero, not finite) are kept. A ``path``
     column, the external name of a row, is carried into the sorted clusters.
-    Ids must be unique, see :func:`neardup.operators.pruning.assert_unique_ids`.
+    Ids must be unique; repeated ones raise before anything is written.
     """
     spark = vectors.sparkSession
     at = RunPaths(output)
@@ -139,6 +148,8 @@ def prune_vectors(
     def finished(path: str) -> bool:
         return resume and path_exists(spark, path)
 
+    if not finished(at.assignment):
+        pruning.assert_unique_row_ids(vectors)
     _check_same_run(spark, at.parameters, config, resume)
     if not resume:
         # Stages written cluster by cluster do not replace the folder as a whole.

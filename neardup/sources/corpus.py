@@ -12,16 +12,21 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     """``line_no, value`` with 0-based numbers running through the files in path order.
 
     Lines are numbered inside their file split and shifted by the number of
-    lines in earlier splits. Only one row per split is ordered globally; the
-    lines themselves are not shuffled while that table can be broadcast. The
-    lines are counted when this is called, in one pass over the files.
+    lines in earlier splits. One pass over the files stores every line with its
+    split; counts, shifts and the lines returned all come from that table, so
+    that no later scan can cut the files in another way. Only one row per split
+    is ordered globally; the lines themselves are not shuffled while that table
+    can be broadcast.
     """
     splits = ["file_path", "file_block_start"]
-    lines = spark.read.text(path).select(
-        "value",
-        "_metadata.file_path",
-        "_metadata.file_block_start",
-        F.monotonically_increasing_id().alias("_seq"),
+    lines = materialize(
+        spark.read.text(path).select(
+            "value",
+            "_metadata.file_path",
+            "_metadata.file_block_start",
+            F.monotonically_increasing_id().alias("_seq"),
+        ),
+        "corpus-lines",
     )
     # Within a split _seq is consecutive, so its minimum is the split's origin.
     counts = lines.groupBy(*splits).agg(

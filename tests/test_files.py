@@ -9,7 +9,7 @@ from neardup.config import PruneConfig
 from neardup.operators import extraction, pruning
 from neardup.operators.ranking import rank_within_cluster
 from neardup.plans import prune_corpus, prune_vectors
-from neardup.plans.prune import compare_members, prune_rows
+from neardup.plans.prune import compare_members, prune_rows, prune_table
 
 
 def test_raw_vectors_and_ids(spark, tmp_path):
@@ -208,3 +208,30 @@ def test_hot_mates_are_salted(spark):
     assert sorted(prune_rows(pairs, ranked, hot_mates=50).collect()) == plain
     ranks = {r.id: r.rank for r in plain}
     assert all(r.mate_id is None or r.mate_rank == ranks[r.mate_id] for r in plain)
+
+
+def test_corpus_lines_survive_another_way_of_cutting_the_files(spark, tmp_path):
+    lines = [f"line {i} " + "x" * (i % 50) for i in range(3000)]
+    (tmp_path / "a.jsonl").write_text("\n".join(lines) + "\n")
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "20000")
+        corpus = sources.read_corpus(spark, str(tmp_path / "a.jsonl"))
+        spark.conf.set(key, "7000")
+        got = [r.value for r in corpus.orderBy("line_no").collect()]
+    finally:
+        spark.conf.set(key, before)
+    assert got == lines
+    assert [r.line_no for r in corpus.orderBy("line_no").collect()] == list(range(3000))
+
+
+def test_prune_table_keeps_rows_without_a_vector_and_refuses_repeated_ids(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [float("nan"), 1.0])]
+    vectors = spark.createDataFrame(rows, "id long, embedding array<double>")
+    centroids = spark.createDataFrame([(0, [1.0, 0.0])], "cluster_id int, centroid array<double>")
+    config = PruneConfig(num_clusters=1)
+    got = {r.id: r.max_sim for r in prune_table(vectors, centroids, config).collect()}
+    assert got == {0: 0.0, 1: 1.0, 2: 0.0, 3: 0.0, 4: 0.0}
+    with pytest.raises(ValueError):
+        prune_table(vectors.union(vectors.limit(1)), centroids, config)

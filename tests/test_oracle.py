@@ -11,13 +11,13 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(entry.table_sql()))
 def test_query_equals_sql(spark, con, name):
     assert difference(spark, con, entry.queries()[name], entry.oracle_sql()[name], SF) is None
 
 
 def test_queries_without_sql_are_known():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"kmeans_train"}
+    assert set(entry.table_queries()) - set(entry.table_sql()) == {"kmeans_train"}
     assert not set(entry.oracle_sql()) - set(entry.queries())
 
 

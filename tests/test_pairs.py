@@ -223,3 +223,21 @@ def test_hot_copies_are_salted(spark):
     assert "_salt" in plan and "SortMergeJoin" in plan
     for a, b in zip(stats, want_stats):
         assert a[:2] == b[:2] and np.allclose(a[2:], b[2:])
+
+
+@pytest.mark.parametrize("bad", [[float("nan"), 1.0], [float("inf"), 0.0], None])
+def test_vectors_that_are_not_finite_leave_the_others_alone(spark, bad):
+    rows = [(0, 0, [1.0, 0.0]), (0, 1, [1.0, 0.0]), (0, 2, bad), (0, 3, [0.6, 0.8]), (0, 4, bad)]
+    table = spark.createDataFrame(rows, "cluster_id int, id long, embedding array<double>")
+    got = {r.id: r.max_sim for r in max_prior_similarity(table, order=("id",)).collect()}
+    assert got == {0: 0.0, 1: 1.0, 2: 0.0, 3: 0.6, 4: 0.0}
+
+
+def test_group_size_agrees_with_the_flag_at_the_threshold(spark):
+    s = 0.93
+    rows = [(0, 0, [1.0, 0.0]), (0, 1, [s, (1 - s * s) ** 0.5])]
+    table = spark.createDataFrame(rows, "cluster_id int, id long, embedding array<double>")
+    pairs = compare_within_clusters(table, order=("id",), eps_list=(0.07,))
+    over = {r._id: r._over0 for r in pairs.with_reductions(["_over0"]).collect()}
+    prior = {r.id: r.max_sim for r in pairs.prior_similarity().collect()}
+    assert over == {0: 1, 1: 1} and prior[1] > 1 - 0.07
