@@ -24,10 +24,10 @@ def embed(
     """Add the vector of each text.
 
     ``make_predict_fn()`` runs once per Python worker and returns a function
-    from an array of texts to a 2-D array. ``num_partitions`` spreads a small
-    input over more tasks before the model runs.
+    from an array of texts to a 2-D array. ``num_partitions`` spreads an input
+    of fewer partitions over more tasks before the model runs.
     """
-    if num_partitions is not None:
+    if num_partitions is not None and df.rdd.getNumPartitions() < num_partitions:
         df = df.repartition(num_partitions)
     predict = predict_batch_udf(
         make_predict_fn, return_type=T.ArrayType(T.DoubleType()), batch_size=batch_size

@@ -24,9 +24,12 @@ def train_kmeans(
     spherical: bool = False,
     vector_col: str = "embedding",
     train_fraction: float = 1.0,
+    tol: float = 0.0,
 ) -> KMeansModel:
     """Train with MLlib; ``spherical`` gives unit-norm centroids and cosine distance.
 
+    All ``niter`` steps are run unless no centroid moves by more than ``tol``.
+
     ``train_fraction`` below 1 trains on a seeded sample; every row is still
     assigned afterwards. Spherical training fails on zero vectors, see
     :func:`neardup.operators.assignment.valid_vectors`.
@@ -38,6 +41,7 @@ def train_kmeans(
     return KMeans(
         k=num_clusters,
         maxIter=niter,
+        tol=tol,
         seed=seed,
         distanceMeasure="cosine" if spherical else "euclidean",
         initMode="random",

@@ -39,9 +39,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(marker)
 
 
-def _check_same_run(spark: SparkSession, path: str, config: PruneConfig, resume: bool) -> None:
+def _check_same_run(
+    spark: SparkSession, path: str, config: PruneConfig, resume: bool, train_fraction: float
+) -> None:
     """Keep the parameters with the output; refuse to go on under other ones."""
-    mine = json.dumps(asdict(config), sort_keys=True)
+    mine = json.dumps(asdict(config) | {"train_fraction": train_fraction}, sort_keys=True)
     if resume and path_exists(spark, path):
         saved = spark.read.text(path, wholetext=False).first()[0]
         if saved != mine:
@@ -150,7 +152,7 @@ def prune_vectors(
 
     if not finished(at.assignment):
         pruning.assert_unique_row_ids(vectors)
-    _check_same_run(spark, at.parameters, config, resume)
+    _check_same_run(spark, at.parameters, config, resume, train_fraction)
     if not resume:
         # Stages written cluster by cluster do not replace the folder as a whole.
         for path in (at.prune_table, at.member_stats, at.cluster_stats):

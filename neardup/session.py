@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,17 +35,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/neardup-{name}-{uuid.uuid4().hex}"
 
 
-_open_scopes: list[list[str]] = []
+# Per context: runs in two threads do not delete each other's tables.
+_open_scope: ContextVar[list[str] | None] = ContextVar("open_scope", default=None)
 
 
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Remove the scratch tables written inside; results must be stored before the end."""
-    _open_scopes.append([])
+    written: list[str] = []
+    outer = _open_scope.set(written)
     try:
         yield
     finally:
-        for path in _open_scopes.pop():
+        _open_scope.reset(outer)
+        for path in written:
             fs, target = hadoop_path(spark, path)
             fs.delete(target, True)
 
@@ -61,8 +65,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     keeps column pruning for the readers.
     """
     path = scratch_path(df.sparkSession, name)
-    if _open_scopes:
-        _open_scopes[-1].append(path)
+    written = _open_scope.get()
+    if written is not None:
+        written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
