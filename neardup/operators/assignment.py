@@ -12,16 +12,21 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from neardup.config import MAX_BROADCAST_BYTES, SIM_DECIMALS, SIM_METRICS, validate_metric
+from neardup.config import (
+    HOT_COPIES,
+    MAX_BROADCAST_BYTES,
+    SIM_DECIMALS,
+    SIM_METRICS,
+    validate_metric,
+)
 from neardup.functions.vectors import (
     COSINE_EPS,
     cosine_distance,
-    cosine_similarity,
     is_valid_vector,
     l2_normalize,
-    squared_l2,
 )
 from neardup.operators.arrow_blocks import matrix
+from neardup.operators.skew import hot_keys, salted_left_join
 from neardup.session import materialize
 
 _ASSIGNMENT = "struct<cluster_id:int,score:double>"
@@ -35,8 +40,14 @@ def _check_score(score: str) -> None:
 
 
 def nearest(rows: np.ndarray, centroids: np.ndarray, score: str):
-    """Position of and score against the best centroid of each row; ties: lowest position."""
+    """Best centroid of each row: its position, the score against it and its closeness.
+
+    Closeness (the inner product, for L2 less half the squared length) is
+    rounded to SIM_DECIMALS before it is compared; among equals the lowest
+    position wins, however the centroids are cut into blocks.
+    """
     best = np.zeros(len(rows), dtype=np.int64)
+    closest = np.zeros(len(rows))
     value = np.zeros(len(rows))
     half_sq = 0.5 * np.einsum("ij,ij->i", centroids, centroids)
     step = max(1, _SCORE_CELLS // len(centroids))
@@ -44,16 +55,17 @@ def nearest(rows: np.ndarray, centroids: np.ndarray, score: str):
         part = rows[at : at + step]
         ip = part @ centroids.T
         closeness = ip if score == "ip" else ip - half_sq
-        # Equal within rounding is a tie, whatever block the row was computed in.
-        top = closeness.max(axis=1, keepdims=True)
-        pick = np.argmax(closeness >= top - 0.5 * 10.0**-SIM_DECIMALS, axis=1)
+        top = np.round(closeness.max(axis=1), SIM_DECIMALS)
+        # Not below this: rounds to the top value.
+        pick = np.argmax(closeness >= top[:, None] - 0.5 * 10.0**-SIM_DECIMALS, axis=1)
         best[at : at + step] = pick
+        closest[at : at + step] = top
         if score == "ip":
             value[at : at + step] = ip[np.arange(len(part)), pick]
         else:
             gap = part - centroids[pick]
             value[at : at + step] = np.einsum("ij,ij->i", gap, gap)
-    return best, np.round(value, SIM_DECIMALS)
+    return best, np.round(value, SIM_DECIMALS), closest
 
 
 def _centroid_shape(centroids: DataFrame) -> tuple[int, int]:
@@ -92,7 +104,7 @@ def _assign_udf(ids_bc, matrix_bc, score: str) -> Callable[[str], Column]:
         value = np.zeros(len(vectors))
         if present.any():
             rows = matrix(vectors.drop_null(), centroids.shape[1])
-            pick, won = nearest(rows, centroids, score)
+            pick, won, _ = nearest(rows, centroids, score)
             cluster[present] = ids_bc.value[pick]
             value[present] = won
         return pa.StructArray.from_arrays(
@@ -157,22 +169,27 @@ def _assign_in_blocks(vectors, centroids, score, vector_col, id_col, k, per_bloc
     def best_of_block(left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows == 0 or right.num_rows == 0:
             left, right = left.slice(0, 0), None
-            cluster, value = np.zeros(0, np.int32), np.zeros(0)
+            cluster, value, closest = np.zeros(0, np.int32), np.zeros(0), np.zeros(0)
         else:
             right = right.sort_by("cluster_id")
-            pick, value = nearest(matrix(left["_v"]), matrix(right["_v"]), score)
+            pick, value, closest = nearest(matrix(left["_v"]), matrix(right["_v"]), score)
             cluster = right["cluster_id"].to_numpy()[pick]
         return pa.table(
-            {"_id": left["_id"], "cluster_id": pa.array(cluster, pa.int32()), "score": value}
+            {
+                "_id": left["_id"],
+                "cluster_id": pa.array(cluster, pa.int32()),
+                "score": value,
+                "closest": closest,
+            }
         )
 
     id_type = vectors.schema[id_col].dataType.simpleString()
     best = (
         rows.groupBy("_block", "_slice")
         .cogroup(models.groupBy("_block", "_slice"))
-        .applyInArrow(best_of_block, f"_id {id_type}, cluster_id int, score double")
+        .applyInArrow(best_of_block, f"_id {id_type}, cluster_id int, score double, closest double")
     )
-    rank = -F.col("score") if score == "ip" else F.col("score")
+    rank = -F.col("closest")
     won = (
         best.groupBy("_id")
         .agg(F.min(F.struct(rank.alias("r"), "cluster_id", "score")).alias("w"))
@@ -211,30 +228,54 @@ def with_centroid_distance(
     output_col: str = "sq_dist",
     vector_col: str = "embedding",
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    hot_rows: int = HOT_COPIES,
 ) -> DataFrame:
     """Distance of each row to the centroid it already belongs to.
 
     ``metric='l2'`` is the squared distance, ``'cosine'`` is 1 - cosine
     similarity. Centroids within the limit are broadcast to an Arrow stage;
-    larger sets are joined in.
+    larger sets are joined in, the rows of a hot cluster spread by a hash of
+    their vector. Both ways share one computation.
     """
     if metric not in SIM_METRICS:
         raise ValueError(f"metric must be one of {SIM_METRICS}, got {metric!r}")
     k, dim = _centroid_shape(centroids)
     if k * dim * 8 > max_broadcast_bytes:
-        own = centroids.select("cluster_id", "centroid")
-        if metric == "l2":
-            distance = squared_l2(vector_col, "centroid")
-        else:
-            distance = F.lit(1.0) - cosine_similarity(vector_col, "centroid")
-        joined = assigned.join(own, "cluster_id", "left")
-        return joined.withColumn(output_col, F.round(distance, SIM_DECIMALS)).drop("centroid")
+        own = centroids.select("cluster_id", F.col("centroid").alias("_centroid"))
+        hot = hot_keys(assigned.where("cluster_id is not null"), ["cluster_id"], hot_rows)
+        joined = salted_left_join(assigned, own, ["cluster_id"], hot, vector_col)
+        measure = _measure_beside_udf(metric)
+        return joined.withColumn(output_col, measure(vector_col, "_centroid")).drop("_centroid")
     ids, values = _collect_centroids(centroids, dim)
     sc = assigned.sparkSession.sparkContext
     measure = _measure_udf(sc.broadcast(ids), sc.broadcast(values), metric)
     return assigned.withColumn(output_col, measure(vector_col, F.col("cluster_id").cast("int")))
 
 
+def _distances(rows: np.ndarray, own: np.ndarray, metric: str) -> np.ndarray:
+    """Distance of each row to the centroid at the same position."""
+    if metric == "l2":
+        return np.einsum("ij,ij->i", rows - own, rows - own)
+    lengths = [
+        np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), COSINE_EPS) for x in (rows, own)
+    ]
+    return 1 - np.einsum("ij,ij->i", rows, own) / (lengths[0] * lengths[1])
+
+
+def _measure_beside_udf(metric: str):
+    @F.arrow_udf("double")
+    def measure(vectors: pa.Array, centroids: pa.Array) -> pa.Array:
+        both = pc.and_(vectors.is_valid(), centroids.is_valid())
+        present = both.to_numpy(zero_copy_only=False)
+        out = np.zeros(len(vectors))
+        if present.any():
+            own = matrix(centroids.filter(both))
+            out[present] = _distances(matrix(vectors.filter(both), own.shape[1]), own, metric)
+        return pa.array(np.round(out, SIM_DECIMALS), mask=~present)
+
+    return measure.asNondeterministic()
+
+
 def _measure_udf(ids_bc, matrix_bc, metric: str):
     @F.arrow_udf("double")
     def measure(vectors: pa.Array, clusters: pa.Array) -> pa.Array:
@@ -246,15 +287,7 @@ def _measure_udf(ids_bc, matrix_bc, metric: str):
         out = np.zeros(len(vectors))
         if present.any():
             rows = matrix(vectors.filter(pa.array(present)), centroids.shape[1])
-            own = centroids[at[present]]
-            if metric == "l2":
-                out[present] = np.einsum("ij,ij->i", rows - own, rows - own)
-            else:
-                lengths = [
-                    np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), COSINE_EPS)
-                    for x in (rows, own)
-                ]
-                out[present] = 1 - np.einsum("ij,ij->i", rows, own) / (lengths[0] * lengths[1])
+            out[present] = _distances(rows, centroids[at[present]], metric)
         return pa.array(np.round(out, SIM_DECIMALS), mask=~present)
 
     # Filters on the result are not pushed below it, which would compute it twice.

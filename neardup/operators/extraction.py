@@ -9,29 +9,40 @@ from neardup.config import eps_name, validate_eps
 from neardup.operators.pruning import flag_duplicates
 
 
-def _ids(prior: DataFrame, eps_list, removed: bool, id_col: str) -> DataFrame:
+def _ids(prior: DataFrame, eps_list, removed: bool, id_col: str, unique_ids: bool) -> DataFrame:
     """Several clusters may hold one id: it is kept as soon as one of them keeps it."""
     top = F.min("max_sim") if not removed else F.max("max_sim")
-    one = prior.groupBy(id_col).agg(top.alias("max_sim"))
+    one = prior if unique_ids else prior.groupBy(id_col).agg(top.alias("max_sim"))
     return flag_duplicates(one, eps_list).where(F.col("is_dup") == removed).select("eps", id_col)
 
 
-def kept_ids(prior: DataFrame, eps_list, id_col: str = "id") -> DataFrame:
-    """Distinct ``(eps, id)`` of the rows that survive each threshold."""
-    return _ids(prior, eps_list, False, id_col)
+def kept_ids(
+    prior: DataFrame, eps_list, id_col: str = "id", unique_ids: bool = False
+) -> DataFrame:
+    """Distinct ``(eps, id)`` of the rows that survive each threshold.
+
+    Where an id is known to occur once, ``unique_ids`` saves the shuffle.
+    """
+    return _ids(prior, eps_list, False, id_col, unique_ids)
 
 
-def removed_ids(prior: DataFrame, eps_list, id_col: str = "id") -> DataFrame:
+def removed_ids(
+    prior: DataFrame, eps_list, id_col: str = "id", unique_ids: bool = False
+) -> DataFrame:
     """Distinct ``(eps, id)`` of the rows that are flagged at each threshold."""
-    return _ids(prior, eps_list, True, id_col)
+    return _ids(prior, eps_list, True, id_col, unique_ids)
 
 
 def retained_ratio(
-    prior: DataFrame, eps_list, dataset_size: int | None = None, id_col: str = "id"
+    prior: DataFrame,
+    eps_list,
+    dataset_size: int | None = None,
+    id_col: str = "id",
+    unique_ids: bool = False,
 ) -> DataFrame:
     """``eps, n_kept, retained_pct``; the denominator is the number of ids by default."""
     eps_list = validate_eps(eps_list)
-    one = prior.groupBy(id_col).agg(F.min("max_sim").alias("max_sim"))
+    one = prior if unique_ids else prior.groupBy(id_col).agg(F.min("max_sim").alias("max_sim"))
     counted = one.agg(
         F.count(F.lit(1)).alias("_n"),
         *[
@@ -74,23 +85,24 @@ def filter_corpus_multi(
     eps_list,
     key: str = "line_no",
     id_col: str = "id",
+    order_col: str | None = None,
 ) -> DataFrame:
     """Corpus rows once per threshold that keeps them, with ``eps``.
 
     The corpus is joined once with one small row per id and expanded after the
     join, so texts are shuffled once however many thresholds there are. Rows
-    absent from ``prior`` (they had no vector) are kept.
+    absent from ``prior`` (they had no vector) are kept. With ``order_col`` the
+    rows are range-partitioned by it, also before they are expanded.
     """
     one = prior.groupBy(F.col(id_col).alias(key)).agg(F.min("max_sim").alias("_max_sim"))
     keeping = F.filter(
         F.array(*[F.lit(e) for e in validate_eps(eps_list)]),
         lambda e: ~F.coalesce(F.col("_max_sim") > F.lit(1.0) - e, F.lit(False)),
     )
-    return (
-        corpus.join(one, key, "left")
-        .withColumn("eps", F.explode(keeping))
-        .drop("_max_sim")
-    )
+    joined = corpus.join(one, key, "left")
+    if order_col is not None:
+        joined = joined.repartitionByRange(order_col)
+    return joined.withColumn("eps", F.explode(keeping)).drop("_max_sim")
 
 
 def with_output_label(rows: DataFrame, ratios: DataFrame) -> DataFrame:

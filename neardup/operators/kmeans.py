@@ -10,17 +10,20 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from neardup.config import MAX_BROADCAST_BYTES, PruneConfig
+from neardup.functions.vectors import l2_normalize
 from neardup.operators.arrow_blocks import matrix
-from neardup.operators.assignment import centroid_matrix, nearest
+from neardup.operators.assignment import assign_nearest, centroid_matrix, nearest
+from neardup.session import fits_broadcast, materialize
 
 CENTROID_SCHEMA = "cluster_id int, centroid array<double>"
 
 
 def train_kmeans(
     vectors: DataFrame,
-    num_clusters: int = 1000,
-    niter: int = 100,
-    seed: int = 1234,
+    num_clusters: int,
+    niter: int,
+    seed: int = PruneConfig.seed,
     spherical: bool = False,
     vector_col: str = "embedding",
     train_fraction: float = 1.0,
@@ -49,7 +52,19 @@ def train_kmeans(
     ).fit(vectors.select(array_to_vector(vector_col).alias("_features")))
 
 
+def saved_centroids(spark: SparkSession, path: str) -> DataFrame:
+    """Centroids of a model saved at ``path``, read as a table by the executors."""
+    return spark.read.parquet(f"{path.rstrip('/')}/data").select(
+        F.col("clusterIdx").cast("int").alias("cluster_id"),
+        vector_to_array("clusterCenter").alias("centroid"),
+    )
+
+
 def model_centroids(spark: SparkSession, model: KMeansModel) -> DataFrame:
+    """Centroids of a model in memory; beyond the broadcast limit save it and read them."""
+    k, dim = model.getK(), model.numFeatures
+    if not fits_broadcast(k, 8 * dim):
+        raise ValueError(f"{k} centroids of dimension {dim}: save the model, use saved_centroids")
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     return spark.createDataFrame(rows, CENTROID_SCHEMA)
 
@@ -70,6 +85,29 @@ def train_or_load_kmeans(
     return model
 
 
+def _lloyd_step_in_blocks(
+    vectors: DataFrame, centroids: DataFrame, spherical, vector_col, id_col, max_broadcast_bytes
+) -> DataFrame:
+    """One step with the centroids as a table, written so that lineage does not grow."""
+    rows = vectors.where(F.col(vector_col).isNotNull()).select(id_col, vector_col)
+    assigned = assign_nearest(
+        rows, centroids, "ip" if spherical else "l2", vector_col, id_col, max_broadcast_bytes
+    )
+    means = assigned.groupBy("cluster_id").agg(
+        vector_to_array(Summarizer.mean(array_to_vector(vector_col))).alias("_mean")
+    )
+    moved = F.col("_mean")
+    if spherical:
+        # A mean of length zero has no direction; the centroid stays.
+        moved = F.when(F.exists("_mean", lambda x: x != 0), l2_normalize("_mean"))
+    return materialize(
+        centroids.join(means, "cluster_id", "left").select(
+            "cluster_id", F.coalesce(moved, "centroid").alias("centroid")
+        ),
+        "centroids",
+    )
+
+
 def _partial_sums(centroids_bc, spherical: bool):
     """Per task: assign each batch and keep one running sum per centroid."""
 
@@ -81,7 +119,7 @@ def _partial_sums(centroids_bc, spherical: bool):
             rows = matrix(batch.column(0), centroids.shape[1])
             if not len(rows):
                 continue
-            pick, _ = nearest(rows, centroids, "ip" if spherical else "l2")
+            pick, _, _ = nearest(rows, centroids, "ip" if spherical else "l2")
             order = np.argsort(pick, kind="stable")
             found, starts, sizes = np.unique(pick[order], return_index=True, return_counts=True)
             total[found] += np.add.reduceat(rows[order], starts, axis=0)
@@ -106,13 +144,24 @@ def lloyd(
     niter: int,
     spherical: bool = False,
     vector_col: str = "embedding",
+    id_col: str = "id",
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Lloyd iterations from given centroids; an empty cluster keeps its centroid.
 
     A step is one narrow pass that leaves at most k partial sums per task and a
-    shuffle of those sums; rows never move.
+    shuffle of those sums; rows never move. Centroids beyond the limit stay a
+    table: rows meet them in the block join of the assignment.
     """
     spark = vectors.sparkSession
+    k, dim = initial.agg(F.count(F.lit(1)), F.max(F.size("centroid"))).first()
+    if k * dim * 8 > max_broadcast_bytes:
+        centroids = initial.select("cluster_id", F.col("centroid").cast("array<double>"))
+        for _ in range(niter):
+            centroids = _lloyd_step_in_blocks(
+                vectors, centroids, spherical, vector_col, id_col, max_broadcast_bytes
+            )
+        return centroids
     ids, centroids = centroid_matrix(initial)
     rows = vectors.where(F.col(vector_col).isNotNull()).select(F.col(vector_col))
     for _ in range(niter):

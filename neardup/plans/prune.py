@@ -17,12 +17,19 @@ from neardup import sinks
 from neardup.config import HOT_COPIES, PruneConfig
 from neardup.operators import extraction, pruning, ranking, statistics
 from neardup.operators.assignment import assign_and_measure, invalid_vectors, valid_vectors
-from neardup.operators.kmeans import model_centroids, train_or_load_kmeans
+from neardup.operators.kmeans import saved_centroids, train_or_load_kmeans
 from neardup.operators.pairs import ClusterPairs, compare_within_clusters, copy_keys
 from neardup.operators.skew import hot_keys, salted_left_join
 from neardup.session import broadcast_if_small, hadoop_path, materialize, scratch_scope
 
 
+# What a finished cluster's marker says of it; null for a cluster of one row.
+_REPORT = (
+    "cluster_size long, avg_sim_to_cent double, std_sim_to_cent double, "
+    "std_pair_w_sim double, max_sim double, min_sim double"
+)
+
+
 @dataclass(frozen=True)
 class RunPaths:
     root: str
@@ -40,10 +47,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def _check_same_run(
-    spark: SparkSession, path: str, config: PruneConfig, resume: bool, train_fraction: float
+    spark: SparkSession, path: str, config: PruneConfig, resume: bool, more: dict
 ) -> None:
     """Keep the parameters with the output; refuse to go on under other ones."""
-    mine = json.dumps(asdict(config) | {"train_fraction": train_fraction}, sort_keys=True)
+    mine = json.dumps(asdict(config) | more, sort_keys=True)
     if resume and path_exists(spark, path):
         saved = spark.read.text(path, wholetext=False).first()[0]
         if saved != mine:
@@ -133,6 +140,9 @@ def prune_vectors(
     cluster_batches: int = 1,
     with_stats: bool = False,
     train_fraction: float = 1.0,
+    centroids: DataFrame | None = None,
+    clusters: tuple[int, int] | None = None,
+    buckets: int | None = None,
 ) -> dict[str, DataFrame]:
     """Cluster and prune ``id, embedding`` rows; returns the result tables by name.
 
@@ -142,6 +152,14 @@ def prune_vectors(
     vector cannot be clustered (null, zero, not finite) are kept. A ``path``
     column, the external name of a row, is carried into the sorted clusters.
     Ids must be unique; repeated ones raise before anything is written.
+
+    Given ``centroids`` (``cluster_id, centroid``) take the place of training.
+    ``clusters`` limits the pruning stage of this call to a range of clusters,
+    both ends included; kept ids and ratios are written by the call that
+    finishes the last cluster. Outputs by cluster have a folder per cluster, or
+    with ``buckets`` a folder per group of clusters: set it for very many. A
+    batch is made of whole folders, and its part of the assignment is stored
+    by itself, so that a batch and a resume read no other part.
     """
     spark = vectors.sparkSession
     at = RunPaths(output)
@@ -152,16 +170,21 @@ def prune_vectors(
 
     if not finished(at.assignment):
         pruning.assert_unique_row_ids(vectors)
-    _check_same_run(spark, at.parameters, config, resume, train_fraction)
+    layout = {"cluster_batches": cluster_batches, "buckets": buckets}
+    layout |= {"train_fraction": train_fraction, "given_centroids": centroids is not None}
+    layout |= {"columns": vectors.select("id", "embedding").schema.simpleString()}
+    _check_same_run(spark, at.parameters, config, resume, layout)
     if not resume:
         # Stages written cluster by cluster do not replace the folder as a whole.
-        for path in (at.prune_table, at.member_stats, at.cluster_stats):
+        for path in (at.prune_table, at.member_stats):
             fs, target = hadoop_path(spark, path)
             fs.delete(target, True)
     usable = valid_vectors(vectors)
     names = [c for c in ("path",) if c in vectors.columns]
-    if not finished(at.centroids):
-        model = train_or_load_kmeans(
+    if not finished(at.centroids) and centroids is not None:
+        sinks.write_centroids(centroids, at.centroids)
+    elif not finished(at.centroids):
+        train_or_load_kmeans(
             usable,
             at.kmeans_model,
             resume,
@@ -171,16 +194,22 @@ def prune_vectors(
             spherical=config.spherical,
             train_fraction=train_fraction,
         )
-        sinks.write_centroids(model_centroids(spark, model), at.centroids)
+        sinks.write_centroids(saved_centroids(spark, at.kmeans_model), at.centroids)
+    folder = F.col("cluster_id") if buckets is None else F.pmod("cluster_id", F.lit(buckets))
+    batch_of = F.pmod(F.xxhash64(folder), F.lit(cluster_batches)).cast("int")
     if not finished(at.assignment):
         assigned = assign_and_measure(
             usable, read(at.centroids), config.sim_metric, config.spherical
         )
         # The copy key is stored so that later passes need not read the vectors for it.
         sinks.write_assignment(
-            assigned.select("id", *names, "embedding", "cluster_id", "dist", *copy_keys()),
+            assigned.select(
+                "id", *names, "embedding", "cluster_id", "dist", *copy_keys(),
+                batch_of.alias("batch"),
+            ),
             at.assignment,
-        )
+            "batch",
+        )
     assigned = read(at.assignment)
     if not finished(at.sorted_clusters):
         with scratch_scope(spark):
@@ -190,60 +219,75 @@ def prune_vectors(
                 config.which_to_keep,
                 config.seed,
             )
-            sinks.write_sorted_clusters(ranked, at.sorted_clusters)
+            sinks.write_sorted_clusters(ranked, at.sorted_clusters, buckets)
     ranked = read(at.sorted_clusters)
 
     done_path = at.finished_clusters_with_stats if with_stats else at.finished_clusters
+    marker = f"cluster_id int, {_REPORT}" if with_stats else "cluster_id int"
     if not finished(done_path):
-        spark.createDataFrame([], "cluster_id int").write.mode("overwrite").parquet(done_path)
+        spark.createDataFrame([], marker).write.mode("overwrite").parquet(done_path)
+
+    def done() -> DataFrame:
+        return spark.read.schema(marker).parquet(done_path)
+
+    every = materialize(ranked.select("cluster_id").distinct(), "clusters")
+    wanted = every if clusters is None else ranking.cluster_slice(every, *clusters)
     for batch in range(cluster_batches):
-        part = F.pmod(F.xxhash64("cluster_id"), F.lit(cluster_batches)) == batch
         # The intermediate tables of a batch go when its results are stored.
         with scratch_scope(spark):
-            clusters = ranked.where(part).select("cluster_id").distinct()
-            pending = materialize(
-                pruning.pending_clusters(clusters, read(done_path)), "pending-clusters"
-            )
+            pending = pruning.pending_clusters(wanted.where(batch_of == batch), done())
+            if buckets is not None:
+                # A folder is written as a whole.
+                folders = pending.select(folder.alias("_folder")).distinct()
+                pending = every.join(folders, folder == F.col("_folder"), "left_semi")
+            pending = materialize(pending, "pending-clusters")
             if not pending.isEmpty():
-                _prune_clusters(assigned, ranked, pending, at, config, with_stats)
-                pending.write.mode("append").parquet(done_path)
+                own = assigned.where(F.col("batch") == batch).drop("batch")
+                ranks = ranked.where(batch_of == batch)
+                report = _prune_clusters(own, ranks, pending, at, config, with_stats, buckets)
+                again = pruning.pending_clusters(report, done())
+                again.select(*[f.name for f in done().schema]).write.mode("append").parquet(
+                    done_path
+                )
 
     prior = read(at.prune_table)
+    out = {"assignment": assigned, "sorted_clusters": ranked, "prune_table": prior}
+    if clusters is not None and not pruning.pending_clusters(every, done()).isEmpty():
+        return out
     unusable = invalid_vectors(vectors).select("id", F.lit(0.0).alias("max_sim"))
     everything = prior.select("id", "max_sim").unionByName(unusable)
-    sinks.write_kept(
-        extraction.kept_ids(everything, config.eps_list), at.kept, config.eps_list
-    )
-    sinks.write_kept(
-        extraction.removed_ids(everything, config.eps_list), at.removed, config.eps_list
-    )
-    ratios = extraction.retained_ratio(everything, config.eps_list, config.dataset_size)
-    sinks.write_retained(ratios, at.retained_ratios, config.eps_list)
-    out = {
-        "assignment": assigned,
-        "sorted_clusters": ranked,
-        "prune_table": prior,
-        "retained": ratios,
-    }
+    eps = config.eps_list
+    # Ids were checked to be unique: none of these shuffles the rows.
+    sinks.write_kept(extraction.kept_ids(everything, eps, unique_ids=True), at.kept, eps)
+    sinks.write_kept(extraction.removed_ids(everything, eps, unique_ids=True), at.removed, eps)
+    ratios = extraction.retained_ratio(everything, eps, config.dataset_size, unique_ids=True)
+    sinks.write_retained(ratios, at.retained_ratios, eps)
+    out["retained"] = ratios
     if with_stats:
-        sinks.write_stats(statistics.eps_cluster_stats(prior, config.eps_list), at.eps_stats)
+        # One small table: a cluster's row came with its marker.
+        sinks.write_stats(done().where("cluster_size > 1"), at.cluster_stats)
+        sinks.write_stats(statistics.eps_cluster_stats(prior, eps), at.eps_stats)
         for name in ("cluster_stats", "member_stats", "eps_stats"):
             out[name] = read(f"{at.root}/{name}")
     return out
 
 
-def _prune_clusters(assigned, ranked, pending, at: RunPaths, config, with_stats: bool) -> None:
-    """Compare and store the clusters listed in ``pending``."""
+def _prune_clusters(
+    assigned, ranked, pending, at: RunPaths, config, with_stats: bool, buckets: int | None
+) -> DataFrame:
+    """Compare and store the clusters listed in ``pending``; returns their markers."""
     side = broadcast_if_small(pending, 16)
     members = assigned.join(side, "cluster_id", "left_semi")
     ranks = ranked.join(side, "cluster_id", "left_semi")
     pairs = compare_members(members, ranks, config, with_stats)
     if with_stats:
         pairs = pairs.materialized()
-        sinks.write_by_cluster(statistics.members_of(pairs), at.member_stats)
-        sinks.write_by_cluster(statistics.report_of(pairs, members), at.cluster_stats)
+        sinks.write_by_cluster(statistics.members_of(pairs), at.member_stats, buckets)
     rows = pruning.flag_duplicates_wide(prune_rows(pairs, ranks), config.eps_list)
-    sinks.write_by_cluster(rows, at.prune_table)
+    sinks.write_by_cluster(rows, at.prune_table, buckets)
+    if not with_stats:
+        return pending
+    return pending.join(statistics.report_of(pairs, members), "cluster_id", "left")
 
 
 def prune_corpus(
@@ -256,13 +300,15 @@ def prune_corpus(
     """Write the corpus once per threshold of ``save_eps_list`` from a finished run.
 
     Lines whose number has no prune row (they had no usable vector) are kept.
+    Lines of a threshold stand in the order of ``key``, over files in name order.
     """
     spark = corpus.sparkSession
     at = RunPaths(output)
     prior = spark.read.parquet(at.prune_table)
-    rows = extraction.filter_corpus_multi(corpus, prior, config.save_eps_list, key=key)
+    eps = config.save_eps_list
+    rows = extraction.filter_corpus_multi(corpus, prior, eps, key=key, order_col=key)
     ratios = spark.read.schema("eps string, n_kept long, retained_pct double").json(
         at.retained_ratios
     )
     ratios = ratios.withColumn("eps", F.col("eps").cast("double"))
-    sinks.write_pruned_corpus(rows, ratios, at.pruned_corpus, config.save_eps_list, value_col)
+    sinks.write_pruned_corpus(rows, ratios, at.pruned_corpus, eps, value_col, order_col=key)

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from neardup import sinks, sources
 from neardup.config import DEFAULT_EPS_LIST, PruneConfig, eps_name
 from neardup.functions.embedding import embed, hashed_bag_of_words, last_token_vectors
 from neardup.functions.vectors import l2_normalize
 from neardup.operators import assignment, extraction, kmeans, pairs, pruning, ranking, statistics
-from neardup.plans.prune import prune_table
+from neardup.plans.prune import prune_table, prune_vectors
 from neardup.session import materialize, scratch_path
 from neardup.sources import numbered_ids, read_corpus, read_vectors
 
@@ -19,6 +23,7 @@ DIM = 64
 # The embeddings table has no near-duplicates: thresholds that flag its rows.
 WIDE_EPS = (0.6, 0.7, 0.8, 0.9)
 DOC_EPS = DEFAULT_EPS_LIST
+LINE_EPS = (0.01, 0.03, 0.07)
 CHUNK_LIMIT = 150
 DOC_CHUNK_LIMIT = 200
 
@@ -94,9 +99,9 @@ def _elements(rows: DataFrame, key: str, vector: str) -> DataFrame:
     )
 
 
-def _vector_sum(vector: str):
+def _vector_sum(vector: str, decimals: int = 6):
     total = F.aggregate(F.col(vector).cast("array<double>"), F.lit(0.0), lambda s, x: s + x)
-    return F.round(total, 6)
+    return F.round(total, decimals)
 
 
 # --- sources ---------------------------------------------------------------
@@ -199,6 +204,47 @@ def kmeans_train(spark, sf_dir):
     )
 
 
+def kmeans_invariants(spark, sf_dir):
+    """What holds of any training: every row is assigned, the means give back the
+    sum of all vectors, centroids have length 1, and more steps cost no more."""
+    rows = vectors(spark, sf_dir).drop("label")
+    found = []
+    for steps in (1, 20):
+        path = scratch_path(spark, "kmeans")
+        kmeans.train_or_load_kmeans(
+            rows, path, num_clusters=10, niter=steps, seed=1234, spherical=True
+        )
+        found.append(materialize(kmeans.saved_centroids(spark, path), "centroids"))
+    first, last = (assignment.assign_and_measure(rows, c) for c in found)
+    start = first.agg(F.sum("dist").alias("start"))
+    per_cluster = last.groupBy("cluster_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("dist").alias("cost"),
+        vector_to_array(Summarizer.mean(array_to_vector("embedding"))).alias("mean"),
+    )
+    end = per_cluster.agg(
+        F.sum("n").alias("n_rows"),
+        F.sum("cost").alias("cost"),
+        F.round(F.sum(F.col("n") * _vector_sum("mean", 15)), 4).alias("total"),
+    )
+    length = F.sqrt(F.aggregate("centroid", F.lit(0.0), lambda s, x: s + x * x))
+    units = found[1].agg(
+        F.count_if(F.abs(length - 1) < 1e-9).alias("unit_centroids"),
+        F.count(F.lit(1)).alias("n_clusters"),
+    )
+    # Three tables of one row each.
+    one = F.lit(1)
+    start, end, units = (x.withColumn("_one", one) for x in (start, end, units))
+    return (
+        end.join(start, "_one")
+        .join(units, "_one")
+        .select(
+            "n_rows", "total", "n_clusters", "unit_centroids",
+            (F.col("cost") <= F.col("start") + 1e-6).alias("not_above_start"),
+        )
+    )
+
+
 def assign_and_sort(spark, sf_dir):
     return ranking.rank_within_cluster(_assigned(spark, sf_dir)).select(
         "cluster_id", "rank", "id", _six("dist")
@@ -326,6 +372,110 @@ def prune_table_rows(spark, sf_dir):
     )
 
 
+def prune_invalid_vectors(spark, sf_dir):
+    """The embeddings with null, zero and NaN vectors put in, pruned for given centroids."""
+    rows = vectors(spark, sf_dir)
+    centroids = assignment.label_centroids(rows, "label")
+    vector = F.col("embedding").cast("array<double>")
+    damaged = (
+        F.when(F.col("id") % 7 == 3, F.lit(None).cast("array<double>"))
+        .when(F.col("id") % 11 == 5, F.transform(vector, lambda x: F.lit(0.0)))
+        .when(F.col("id") % 13 == 6, F.transform(vector, lambda x: F.lit(float("nan"))))
+        .otherwise(vector)
+    )
+    pruned = prune_table(
+        rows.select("id", damaged.alias("embedding")), centroids, PruneConfig()
+    )
+    return pruned.select("cluster_id", "id", "rank", _six("max_sim"), "mate_id")
+
+
+def run_given_centroids(spark, sf_dir):
+    """The run on files for given centroids, its prune table read back."""
+    rows = vectors(spark, sf_dir)
+    centroids = assignment.label_centroids(rows, "label")
+    path = scratch_path(spark, "run")
+    prune_vectors(
+        rows.drop("label"), path, PruneConfig(), centroids=centroids, cluster_batches=2, buckets=4
+    )
+    return sources.read_prior(spark, f"{path}/prune_table").select(
+        "cluster_id", "id", "rank", _six("max_sim"), "mate_id", "mate_rank"
+    )
+
+
+# --- written and read back -------------------------------------------------
+
+
+def assignment_round_trip(spark, sf_dir):
+    path = scratch_path(spark, "assigned")
+    sinks.write_assignment(_assigned(spark, sf_dir), path)
+    return sources.read_assignment(spark, path).select("id", "cluster_id", _six("dist"))
+
+
+def sorted_clusters_round_trip(spark, sf_dir):
+    path = scratch_path(spark, "sorted")
+    sinks.write_sorted_clusters(
+        _label_ranked(spark, sf_dir).drop("embedding"), path, buckets=4
+    )
+    return sources.read_sorted_clusters(spark, path).select(
+        "cluster_id", "rank", "id", _six("dist")
+    )
+
+
+def prune_table_round_trip(spark, sf_dir):
+    path = scratch_path(spark, "flags")
+    wide = pruning.flag_duplicates_wide(_label_prior(spark, sf_dir), WIDE_EPS)
+    sinks.write_by_cluster(wide, path)
+    return sources.read_prior(spark, path).select(
+        "cluster_id", "id", _six("max_sim"), "mate_id",
+        *[F.col(f"`eps={eps_name(e)}`") for e in WIDE_EPS],
+    )
+
+
+def stats_round_trip(spark, sf_dir):
+    path = scratch_path(spark, "stats")
+    members = statistics.member_similarity(by_label(spark, sf_dir))
+    sinks.write_by_cluster(members, path, buckets=4)
+    return spark.read.parquet(path).select("cluster_id", "id", _six("avg_sim_to_others"))
+
+
+def kept_round_trip(spark, sf_dir):
+    """Ids kept per threshold, written in folders and read threshold by threshold."""
+    path = scratch_path(spark, "kept")
+    sinks.write_kept(extraction.kept_ids(_lang_prior(spark, sf_dir), DOC_EPS), path, DOC_EPS)
+    parts = [sources.read_kept(spark, path, e) for e in DOC_EPS]
+    return reduce(DataFrame.union, parts)
+
+
+def retained_round_trip(spark, sf_dir):
+    path = scratch_path(spark, "retained")
+    ratios = extraction.retained_ratio(_lang_prior(spark, sf_dir), DOC_EPS)
+    sinks.write_retained(ratios, path, DOC_EPS)
+    saved = spark.read.schema("eps string, n_kept long, retained_pct double").json(path)
+    return saved.select(F.col("eps").cast("double"), "n_kept", _six("retained_pct"))
+
+
+def pruned_corpus_lines(spark, sf_dir):
+    """The pruned corpus per threshold: its lines numbered as they stand in the files."""
+    source, path = scratch_path(spark, "corpus"), scratch_path(spark, "pruned")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs.orderBy("doc_id").select(F.to_json(F.struct("doc_id", "text"))).write.text(source)
+    number = F.get_json_object("value", "$.doc_id").cast("long")
+    corpus = read_corpus(spark, source).withColumn("doc_id", number)
+    prior = materialize(_lang_prior(spark, sf_dir), "prior")
+    rows = extraction.filter_corpus_multi(
+        corpus, prior, LINE_EPS, key="doc_id", order_col="line_no"
+    )
+    ratios = extraction.retained_ratio(prior, LINE_EPS)
+    sinks.write_pruned_corpus(rows, ratios, path, LINE_EPS, order_col="line_no")
+    parts = [
+        read_corpus(spark, f"{path}/eps={eps_name(e)}/*").select(
+            F.lit(e).alias("eps"), "line_no", number.alias("doc_id")
+        )
+        for e in LINE_EPS
+    ]
+    return reduce(DataFrame.union, parts)
+
+
 # --- statistics ------------------------------------------------------------
 
 
@@ -432,6 +582,9 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         eps_cluster_stats, cluster_stats, cluster_stats_chunked,
         kept_ids, removed_ids, retained_ratio, output_label,
         filter_corpus, filter_corpus_multi,
+        prune_invalid_vectors, run_given_centroids, kmeans_invariants,
+        assignment_round_trip, sorted_clusters_round_trip, prune_table_round_trip,
+        stats_round_trip, kept_round_trip, retained_round_trip, pruned_corpus_lines,
     ]
     queries = {q.__name__: q for q in named}
     queries["l2_normalize"] = queries.pop("normalize_vectors")

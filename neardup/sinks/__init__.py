@@ -14,8 +14,13 @@ def write_centroids(centroids: DataFrame, path: str) -> None:
     ).write.mode("overwrite").parquet(path)
 
 
-def write_assignment(assigned: DataFrame, path: str) -> None:
-    assigned.write.mode("overwrite").parquet(path)
+def write_assignment(assigned: DataFrame, path: str, batch_col: str | None = None) -> None:
+    """Assigned rows; with ``batch_col`` in one folder per batch, without a shuffle.
+
+    Each task writes a file for each batch: keep batches few.
+    """
+    writer = assigned.write.mode("overwrite")
+    (writer.partitionBy(batch_col) if batch_col else writer).parquet(path)
 
 
 def _by_folder(table: DataFrame, buckets: int | None) -> tuple[DataFrame, str]:
@@ -66,10 +71,12 @@ def write_stats(stats: DataFrame, path: str) -> None:
 
 
 def write_kept(kept: DataFrame, path: str, eps_list) -> None:
-    """One folder of ids per threshold, named as the threshold was written."""
+    """One folder of ids per threshold, named as the threshold was written.
+
+    No shuffle: rows times thresholds would move for the sake of file sizes.
+    """
     (
         kept.withColumn("eps", eps_text(eps_list))
-        .hint("rebalance", "eps")
         .write.mode("overwrite")
         .partitionBy("eps")
         .parquet(path)
@@ -87,15 +94,27 @@ def write_retained(ratios: DataFrame, path: str, eps_list) -> None:
 
 
 def write_pruned_corpus(
-    rows: DataFrame, ratios: DataFrame, path: str, eps_list, value_col: str = "value"
+    rows: DataFrame,
+    ratios: DataFrame,
+    path: str,
+    eps_list,
+    value_col: str = "value",
+    order_col: str | None = None,
 ) -> None:
     """The kept lines as text, in folders ``eps=<threshold>/ratio=<retained fraction>``.
 
-    All thresholds are written by one job; lines pass through unchanged.
+    All thresholds are written by one job; lines pass through unchanged. With
+    ``order_col``, by which the rows must be range-partitioned, the files of a
+    folder hold the lines in its order, from one file to the next.
     """
-    labelled = with_output_label(rows, ratios)
+    labelled = with_output_label(rows, ratios).withColumn("eps", eps_text(eps_list))
+    # Never null: else the writer replaces them and sorts anew, without the line order.
+    for name in ("eps", "ratio"):
+        labelled = labelled.withColumn(name, F.coalesce(name, F.lit("none")))
+    if order_col is not None:
+        labelled = labelled.sortWithinPartitions("eps", "ratio", order_col)
     (
-        labelled.select(F.col(value_col).alias("value"), eps_text(eps_list).alias("eps"), "ratio")
+        labelled.select(F.col(value_col).alias("value"), "eps", "ratio")
         .write.mode("overwrite")
         .partitionBy("eps", "ratio")
         .text(path)

@@ -172,3 +172,60 @@ def test_joined_distances_equal_the_broadcast_ones(spark, rows, metric):
     assert all(abs(got[i] - want[i]) < 1e-11 for i in want if want[i] is not None)
     with pytest.raises(ValueError):
         assignment.with_centroid_distance(placed, centroids, "dot")
+
+
+def test_one_tie_rule_however_centroids_are_cut(spark):
+    """Centroids closer than the rounding tie, in one matrix and over blocks."""
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(5, 4))
+    near = [base[i % 5] * (1 + (i // 5) * 2e-14) for i in range(20)]
+    centroids = spark.createDataFrame(
+        [(i, [float(x) for x in c]) for i, c in enumerate(near)],
+        "cluster_id int, centroid array<double>",
+    )
+    rows = spark.createDataFrame(
+        [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(300, 4)))],
+        "id long, embedding array<double>",
+    )
+    for score in ("ip", "l2"):
+        one = sorted(assignment.assign_nearest(rows, centroids, score).select("id", "cluster_id").collect())
+        cut = assignment.assign_nearest(rows, centroids, score, max_broadcast_bytes=100)
+        assert sorted(cut.select("id", "cluster_id").collect()) == one
+        tied = sum(r.cluster_id < 5 for r in one)
+        # Twins tie unless their values round apart; most do not.
+        assert 200 < tied <= 300
+
+
+def test_distances_joined_in_equal_the_broadcast_ones(spark):
+    rng = np.random.default_rng(10)
+    centroids = spark.createDataFrame(
+        [(i, [float(x) for x in c]) for i, c in enumerate(rng.normal(size=(4, 6)))],
+        "cluster_id int, centroid array<double>",
+    )
+    rows = spark.createDataFrame(
+        [(i, 0 if i % 3 else i % 5, [float(x) for x in v])
+         for i, v in enumerate(rng.normal(size=(200, 6)))] + [(200, None, [0.0] * 6), (201, 1, None)],
+        "id long, cluster_id int, embedding array<double>",
+    )
+    for metric in ("l2", "cosine"):
+        one = assignment.with_centroid_distance(rows, centroids, metric).select("id", "sq_dist")
+        cut = assignment.with_centroid_distance(
+            rows, centroids, metric, max_broadcast_bytes=1, hot_rows=20
+        ).select("id", "sq_dist")
+        assert sorted(cut.collect(), key=str) == sorted(one.collect(), key=str)
+
+
+def test_lloyd_goes_on_beyond_the_broadcast_limit(spark):
+    rng = np.random.default_rng(11)
+    rows = spark.createDataFrame(
+        [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(300, 4)))],
+        "id long, embedding array<double>",
+    )
+    start = rows.where("id < 12").select(
+        F.col("id").cast("int").alias("cluster_id"), F.col("embedding").alias("centroid")
+    )
+    for spherical in (False, True):
+        one = dict(kmeans.lloyd(rows, start, 2, spherical).collect())
+        cut = dict(kmeans.lloyd(rows, start, 2, spherical, max_broadcast_bytes=100).collect())
+        assert one.keys() == cut.keys()
+        assert all(np.allclose(one[i], cut[i]) for i in one)

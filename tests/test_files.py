@@ -235,3 +235,61 @@ def test_prune_table_keeps_rows_without_a_vector_and_refuses_repeated_ids(spark)
     assert got == {0: 0.0, 1: 1.0, 2: 0.0, 3: 0.0, 4: 0.0}
     with pytest.raises(ValueError):
         prune_table(vectors.union(vectors.limit(1)), centroids, config)
+
+
+def test_run_over_a_range_of_given_clusters_reads_its_batch_only(spark, tmp_path):
+    vectors = _run_inputs(spark)
+    out, whole = str(tmp_path / "out"), str(tmp_path / "whole")
+    config = PruneConfig(num_clusters=6, eps_list=(0.01,), save_eps_list=(0.01,))
+    start = vectors.where("id < 6").select(
+        F.col("id").cast("int").alias("cluster_id"), F.col("embedding").alias("centroid")
+    )
+    given = {"centroids": start, "cluster_batches": 3, "buckets": 4, "with_stats": True}
+    part = prune_vectors(vectors, out, config, clusters=(0, 2), **given)
+    assert "retained" not in part and not (tmp_path / "out" / "kept").exists()
+    # Clusters 0 to 2 lie in three of the four folders, which are written whole.
+    assert {r[0] for r in part["prune_table"].select("cluster_id").distinct().collect()} == {
+        0, 1, 2, 4, 5,
+    }
+    got = prune_vectors(vectors, out, config, clusters=(3, 5), **given)
+    want = prune_vectors(vectors, whole, config, centroids=start, with_stats=True)
+    order = ["cluster_id", "id", "rank", "max_sim", "mate_id", "mate_rank"]
+    assert sorted(got["prune_table"].select(order).collect(), key=str) == sorted(
+        want["prune_table"].select(order).collect(), key=str
+    )
+    assert got["retained"].collect() == want["retained"].collect()
+    stats = [x["cluster_stats"].toPandas().set_index("cluster_id").sort_index() for x in (got, want)]
+    assert len(stats[0]) == 6 and np.allclose(*stats)
+    assert len(list((tmp_path / "out" / "cluster_stats").glob("*.parquet"))) < 6
+    batch = got["assignment"].where("batch = 1")
+    assert "PartitionFilters: [isnotnull(batch" in batch._jdf.queryExecution().toString()
+    with pytest.raises(ValueError, match="other parameters"):
+        prune_vectors(vectors, out, config, centroids=start, cluster_batches=2)
+
+
+def test_pruned_corpus_keeps_the_order_of_its_lines(spark, tmp_path):
+    corpus = spark.range(4000).select(
+        F.col("id").alias("line_no"), F.col("id").cast("string").alias("value")
+    )
+    prior = spark.range(4000).select(
+        "id", F.when(F.col("id") % 3 == 0, 0.99).otherwise(0.0).alias("max_sim")
+    )
+    eps = (0.001, 0.05)
+    path = str(tmp_path / "pruned")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        rows = extraction.filter_corpus_multi(corpus, prior, eps, order_col="line_no")
+        ratios = extraction.retained_ratio(prior, eps)
+        sinks.write_pruned_corpus(rows, ratios, path, eps, order_col="line_no")
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    for e, want in ((0.001, range(4000)), (0.05, [i for i in range(4000) if i % 3])):
+        files = sorted((tmp_path / "pruned" / f"eps={e}").glob("*/*.txt"))
+        assert len(files) > 1
+        assert [int(x) for f in files for x in f.read_text().split()] == list(want)
