@@ -1,9 +1,11 @@
 """Toxicity by multiple-instance learning: sentences are scored, documents are labelled.
 
-A sentence's score is a logistic function of its words; a document is toxic
-with the noisy-or of its sentences, 1 - prod(1 - p). Only documents have
-labels: the likelihood of the noisy-or trains the words' weights, and the
-sentence scores then show where the offence lies.
+A sentence's score is a logistic function of its words, scaled to 0 for a
+sentence without known words and for any below it; a document is toxic with the
+noisy-or of its sentences, 1 - prod(1 - p), so that harmless sentences add
+nothing however many they are. Only documents have labels: the likelihood of the
+noisy-or trains the words' weights, and the sentence scores then show where the
+offence lies.
 
 Training takes at most ``MAX_TOXIC`` and ``MAX_CLEAN`` labelled documents, those
 with the smallest hash of their id, and the words found in ``MIN_DOCS`` of them;
@@ -38,8 +40,8 @@ COPY_MINIMA = 4
 #: Lengths of the starts of words that are terms too.
 STEMS = (4, 5)
 ROUNDS, STEP, RIDGE = 300, 0.5, 1e-4
-#: Start of the bias: a sentence of unknown words is clean.
-BIAS = -7.0
+#: Starts of the bias, which says how words of a sentence add up, and of the weights.
+BIAS, WEIGHT = -7.0, 1.0
 #: Score from which a sentence is reported.
 OFFENDING = 0.5
 
@@ -93,21 +95,24 @@ def sample_labelled(
 def _descend(doc, sent, word, y, n_words: int) -> tuple[np.ndarray, float]:
     """Gradient steps on the likelihood of the noisy-or."""
     n_sent = len(doc)
-    weights, bias = np.zeros(n_words), BIAS
+    weights, bias = np.full(n_words, WEIGHT), BIAS
     squares, bias_squares = np.full(n_words, 1e-8), 1e-8
     share = np.where(y > 0, 0.5 / max(1.0, y.sum()), 0.5 / max(1.0, (1 - y).sum()))
     for _ in range(ROUNDS):
         z = bias + np.bincount(sent, weights=weights[word], minlength=n_sent)
         p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-        log_clean = np.bincount(doc, weights=np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(y))
-        clean = np.exp(log_clean)
+        none = 1 / (1 + math.exp(-bias))
+        # The chance that a sentence is clean is (1 - p) / (1 - none), 1 from the bias down.
+        log_sent = np.minimum(0, np.log1p(-np.minimum(p, 1 - 1e-12)) - math.log1p(-none))
+        clean = np.exp(np.bincount(doc, weights=log_sent, minlength=len(y)))
         # d loss / d z: p for a clean document, -p * clean / toxic for a toxic one.
-        pull = np.where(y > 0, -clean / np.maximum(1 - clean, 1e-12), 1.0) * share
-        g_sent = pull[doc] * p
+        pull = np.where(y > 0, -clean / np.maximum(1 - clean, none), 1.0) * share
+        above = pull[doc] * (z > bias)
+        g_sent = above * p
         g = np.bincount(word, weights=g_sent[sent], minlength=n_words) + RIDGE * weights
         squares += g * g
         weights = weights - STEP * g / np.sqrt(squares)
-        g_bias = g_sent.sum()
+        g_bias = (above * (p - none)).sum()
         bias_squares += g_bias * g_bias
         bias = min(bias - 0.1 * STEP * g_bias / math.sqrt(bias_squares), BIAS / 2)
     return weights, bias
@@ -157,6 +162,8 @@ def fit(bags: list[list[list[str]]], y: list[int]) -> tuple[dict[str, float], fl
     for d, bag in enumerate(bags):
         for s in bag:
             known = [at[w] for w in s if w in at]
+            if not known:  # adds nothing to its document
+                continue
             sent += [len(doc)] * len(known)
             word += known
             doc.append(d)
@@ -193,9 +200,13 @@ def score_text(text: str, weights: dict[str, float], bias: float):
     log_clean, found, known = 0.0, [], weights.keys()
     if bias == -math.inf:
         return 0.0, found
+    none = 1 / (1 + math.exp(-bias))
     for start, end, words in sentences(text):
-        z = bias + sum(weights[w] for w in words & known)
-        p = 1 / (1 + math.exp(-max(-40.0, min(40.0, z))))
+        # Summed in order, so that equal texts score alike in every process.
+        more = sum(weights[w] for w in sorted(words & known))
+        if more <= 0:
+            continue
+        p = (1 / (1 + math.exp(-min(40.0, bias + more))) - none) / (1 - none)
         log_clean += math.log1p(-min(p, 1 - 1e-12))
         if p >= OFFENDING:
             found.append({"start": start, "end": end, "score": p})

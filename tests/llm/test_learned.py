@@ -45,6 +45,24 @@ def test_offending_sentences_are_located():
     assert toxicity.fit(bags, [0] * 200)[0] == {} and toxicity.fit([], []) == ({}, float("-inf"))
 
 
+def test_harmless_sentences_add_nothing_however_many():
+    draw = random.Random(3)
+    bags, y = [], []
+    for i in range(300):
+        text = [[f"w{draw.randrange(50)}" for _ in range(6)] for _ in range(1 + i % 40)]
+        if i % 2:
+            text[draw.randrange(len(text))].append("scoundrel")
+        bags.append([sorted(set(s)) for s in text])
+        y.append(i % 2)
+    model = toxicity.fit(bags, y)
+    clean = "the weather is mild today w1 w2. " * 40_000
+    assert toxicity.score_text(clean, *model) == (0.0, [])
+    score, found = toxicity.score_text(clean + "you scoundrel!", *model)
+    assert score > 0.5 and [f["start"] for f in found] == [len(clean) - 1]
+    # A word that speaks against toxicity does not lift a text either.
+    assert toxicity.score_text("w1 calm. " * 40_000, {"calm": -1.0, "scoundrel": 9.0}, -7.0)[0] == 0.0
+
+
 def test_classifiers_edge_cases(spark):
     docs = with_clashes(documents(spark, edge_texts()))
     labels = spark.createDataFrame(
