@@ -43,7 +43,21 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?= ?[A-Z0-9])")
+_IBAN_REST = re.compile(r"(?: ?[A-Z0-9]){11,30}")
+#: Characters of an account number by country.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22,
+    "BI": 27, "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27,
+    "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FK": 18, "FO": 18, "FR": 27,
+    "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22,
+    "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32,
+    "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19,
+    "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28, "NL": 18, "NO": 15, "OM": 23, "PK": 24,
+    "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24, "SC": 31,
+    "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "SO": 23, "ST": 25, "SV": 28, "TL": 23,
+    "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20, "YE": 30,
+}
 _NEARBY = re.compile(r"[a-z@]+")
 
 
@@ -92,6 +106,34 @@ def _addresses(text: str):
             at = end + 1
 
 
+def _accounts(text: str):
+    """Account numbers, whatever upper-case or numeric words follow them.
+
+    The country says where a number ends. Without a known country each end of a
+    word is tried, the farthest first; with one, the farthest only.
+    """
+    at = 0
+    while head := _IBAN.search(text, at):
+        start, at = head.span()
+        rest = _IBAN_REST.match(text, at)
+        if not rest:
+            continue
+        places = [i for i in range(start, rest.end()) if text[i] != " "]
+        # Numbers of characters after which a word ends.
+        ends = [
+            n for n in range(len(places), 14, -1)
+            if not text[(i := places[n - 1] + 1) : i + 1].isascii() or not text[i : i + 1].isalnum()
+        ]
+        known = IBAN_LENGTHS.get(text[start : start + 2])
+        if known:
+            ends = [n for n in ends if n == known] + ends[:1]
+        for n in ends:
+            if mod97("".join(text[i] for i in places[:n])):
+                at = places[n - 1] + 1
+                yield start, at
+                break
+
+
 def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
@@ -117,9 +159,7 @@ def spans_of(text: str) -> list[tuple[str, int, int, float, bool]]:
     for m in _PHONE.finditer(text):
         if 8 <= len(_digits(m.group())) <= 15:
             found.append(("phone", *m.span(), True))
-    for m in _IBAN.finditer(text):
-        if mod97(m.group().replace(" ", "")):
-            found.append(("iban", *m.span(), False))
+    found += [("iban", a, b, False) for a, b in _accounts(text)]
     scored = [(k, a, b, _score(k, text, a, b), base) for k, a, b, base in found]
     kept = [x for x in scored if x[4] or x[3] >= MIN_SCORE]
     return sorted(kept, key=lambda x: (KINDS.index(x[0]), x[1]))

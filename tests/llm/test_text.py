@@ -55,6 +55,27 @@ def test_checksums_context_and_masking():
     assert pii.spans_of("1" * 200_000 + "a" * 200_000 + "@" * 1000) == []
 
 
+def test_account_numbers_end_where_the_country_says():
+    number = "DE89 3704 0044 0532 0130 00"
+    for text in (
+        f"IBAN {number} BIC COBADEFFXXX", f"{number} 2024 invoice", f"{number} 12 EUR", f"{number}é",
+        f"AB12 {number} X", f"{number} GB82 WEST 1234 5698 7654 32", f"EUR 10 {number}.",
+        "DE89370400440532013000 2024 invoice", "NO93 8601 1117 947 OSLO", f"XX12 3456 {number} BIC",
+    ):
+        spans = [text[a:b] for kind, a, b, *_ in pii.spans_of(text) if kind == "iban"]
+        want = [x for x in (number, "DE89370400440532013000", "NO93 8601 1117 947") if x in text]
+        assert spans[:1] == want and len(spans) == 1 + ("GB82" in text), text
+    assert pii.masked(f"IBAN {number} BIC COBADEFFXXX") == "IBAN [IBAN] BIC COBADEFFXXX"
+    # Without a known country each end of a word counts.
+    body = "ZZ{:02d}5000 1234 5678 901"
+    other = next(x for i in range(98) if pii.mod97((x := body.format(i)).replace(" ", "")))
+    assert pii.masked(f"to {other} REF A") == "to [IBAN] REF A"
+    assert pii.spans_of("DE88 3704 0044 0532 0130 00 BIC") == [] and pii.spans_of("xDE89370400440532013000") == []
+    # What follows without a space belongs to the word: no number ends there.
+    assert pii.spans_of("DE89370400440532013000ABCx") == []
+    assert pii.spans_of("AB12 " * 50_000) == []
+
+
 def test_pii_edge_cases(spark):
     docs = with_clashes(documents(spark, edge_texts()))
     found = pii.find_pii(docs).collect()
