@@ -11,8 +11,9 @@ from neardup.llm import minhash, mixing, pieces, pii, rules
 from neardup.llm.queries import DOMAIN, MODEL_PATH
 from neardup.session import materialize
 
-#: Every leaf keeps one whole epoch, so that no clean document goes; a quarter
-#: of the tokens is added by a second epoch where the weights ask for it.
+#: Every leaf keeps one whole epoch, so that no clean document goes. This counts
+#: against its target: what is added, a quarter of the tokens, goes by a second
+#: epoch to the leaves below theirs. ``mixing.shares`` tells how near they come.
 MIX = mixing.Mix(
     levels=(DOMAIN, "lang", "source"),
     weights={
@@ -26,6 +27,7 @@ MIX = mixing.Mix(
     max_epochs=2,
     floor_epochs=1,
     seed=29,
+    floor_counts=True,
 )
 NEAR = minhash.Settings(words=5, percent=80)
 

@@ -39,7 +39,9 @@ class Mix:
     ``weights`` has a whole number for a path such as ``("web", "en")``, which
     counts among its siblings; others weigh ``default_weight``. The budget is
     ``budget_percent`` of all tokens. ``floor_epochs`` whole epochs of every
-    leaf are set apart first, so that only the rest of the budget is mixed.
+    leaf are set apart first, so that only the rest of the budget is mixed; with
+    ``floor_counts`` they are the least that a leaf gets of the whole budget, so
+    that a leaf beyond its target gets no more and the others come nearer to theirs.
     """
 
     levels: tuple[str, ...]
@@ -49,6 +51,7 @@ class Mix:
     max_epochs: int = 1
     floor_epochs: int = 0
     seed: int = 0
+    floor_counts: bool = False
 
     def __post_init__(self):
         if not self.levels or not 0 <= self.floor_epochs <= self.max_epochs:
@@ -104,24 +107,79 @@ def _divide(nodes: DataFrame, parents: list[str], own: str) -> DataFrame:
     ).drop("_full", "_spent", "_open")
 
 
+def _divide_between(nodes: DataFrame, parents: list[str], own: str) -> DataFrame:
+    """As ``_divide``, but each node gets ``_l`` at least and ``_c`` at most.
+
+    The water rises to one level among siblings: a node is full or still at its
+    least where all siblings together, at the level of that bound, need no more
+    or no less than the budget.
+    """
+    siblings = Window.partitionBy(*parents) if parents else Window.partitionBy(F.lit(0))
+    wide = "decimal(38,0)"
+    nodes = nodes.withColumn("_all", F.sum("_l").over(siblings))
+    bound = F.explode(
+        F.array(
+            F.struct(F.lit(0).alias("top"), F.col("_l").alias("at")),
+            F.struct(F.lit(1).alias("top"), F.col("_c").alias("at")),
+        )
+    )
+    bounds = nodes.where("_w > 0").select("*", bound.alias("_e"))
+    level = F.col("_e.at").cast("double") / F.col("_w").cast("double")
+    # Up to a level, with the bounds of equal level: what is fixed and what rises by weight.
+    below = siblings.orderBy(level).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    top = F.col("_e.top") == 1
+    fixed = F.sum(F.when(top, F.col("_e.at")).otherwise(-F.col("_e.at"))).over(below)
+    rising = F.sum(F.when(top, -F.col("_w")).otherwise(F.col("_w"))).over(below)
+    needs = (F.col("_all") + fixed) * F.col("_w") + F.col("_e.at") * rising
+    found = (
+        bounds.withColumn("_needs", needs.cast(wide))
+        .groupBy(*parents, own)
+        .agg(
+            F.max(top & (F.col("_needs") <= F.col("_b") * F.col("_w"))).alias("_full"),
+            F.max(~top & (F.col("_needs") >= F.col("_b") * F.col("_w"))).alias("_least"),
+        )
+    )
+    marked = nodes.join(found, [*parents, own], "left")
+    full = F.coalesce("_full", F.lit(False))
+    least = ~full & F.coalesce("_least", F.lit(True))  # no weight: the least
+    marked = marked.withColumn(
+        "_kept", F.when(full, F.col("_c")).when(least, F.col("_l")).cast(wide)
+    )
+    marked = marked.withColumn("_spent", F.coalesce(F.sum("_kept").over(siblings), F.lit(0)))
+    marked = marked.withColumn(
+        "_open", F.sum(F.when(F.col("_kept").isNull(), F.col("_w"))).over(siblings)
+    )
+    share = F.expr("case when _kept is null then ((_b - _spent) * _w) div _open end")
+    # Bounds that tie but for rounding of a level may be missed by a token.
+    share = F.greatest("_l", F.least("_c", share.cast(wide)))
+    return marked.withColumn("_b", F.coalesce("_kept", share).cast(wide)).drop(
+        "_all", "_full", "_least", "_kept", "_spent", "_open"
+    )
+
+
 def leaf_budgets(leaves: DataFrame, names: list[str], mix: Mix) -> DataFrame:
     """Adds ``_budget`` to the leaves, whose ``_tokens`` are known. One row per leaf."""
-    spare = mix.max_epochs - mix.floor_epochs
+    apart = 0 if mix.floor_counts else mix.floor_epochs
+    spare = mix.max_epochs - apart
     total = F.sum("_tokens").cast("decimal(38,0)")
     # One row: all tokens. The budget of the root follows from it.
     tokens = int(leaves.agg(F.coalesce(total, F.lit(0))).first()[0])
-    budget = max(0, tokens * mix.budget_percent // 100 - tokens * mix.floor_epochs)
+    budget = max(0, tokens * mix.budget_percent // 100 - tokens * apart)
     nodes = None
     for depth in range(1, len(names) + 1):
-        here = leaves.groupBy(*names[:depth]).agg((total * spare).cast("decimal(38,0)").alias("_c"))
+        bounds = [(total * spare).cast("decimal(38,0)").alias("_c")]
+        if mix.floor_counts:
+            bounds.append((total * mix.floor_epochs).cast("decimal(38,0)").alias("_l"))
+        here = leaves.groupBy(*names[:depth]).agg(*bounds)
         here = here.withColumn("_w", _weight(mix, names[:depth]))
         if nodes is None:
             here = here.withColumn("_b", F.lit(budget).cast("decimal(38,0)"))
         else:
             here = here.join(nodes.select(*names[: depth - 1], "_b"), names[: depth - 1])
-        nodes = _divide(here, names[: depth - 1], names[depth - 1])
+        divide = _divide_between if mix.floor_counts else _divide
+        nodes = divide(here, names[: depth - 1], names[depth - 1])
     out = leaves.join(nodes.select(*names, "_b"), names)
-    kept = F.col("_b").cast("long") + F.col("_tokens") * mix.floor_epochs
+    kept = F.col("_b").cast("long") + F.col("_tokens") * apart
     return out.withColumn("_budget", kept).drop("_b")
 
 
@@ -218,6 +276,40 @@ def with_copies(
     return joined.drop(*names, *own.values())
 
 
+def shares(
+    docs: DataFrame, mix: Mix, depth: int | None = None, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Per node of ``depth`` levels its tokens and its shares by weight, of the input and reached.
+
+    Columns: ``path``, ``tokens``, ``taken`` tokens, ``target`` (by the weights of the
+    nodes with documents), ``given`` (of the input) and ``reached`` (of what is taken).
+    """
+    depth = len(mix.levels) if depth is None else depth
+    taken = with_copies(docs, mix, id_col, text_col, "_copies", "_n")
+    names = [f"_level{i}" for i in range(depth)]
+    levels = [c.alias(n) for c, n in zip(_level_columns(mix), names)]
+    nodes = taken.select(*levels, "_n", "_copies").groupBy(*names)
+    nodes = nodes.agg(
+        F.sum("_n").alias("tokens"), F.sum(F.col("_n") * F.col("_copies")).alias("taken")
+    )
+    nodes = materialize(nodes, "mix-shares")
+    target, parts = F.lit(1.0), nodes
+    for d in range(1, depth + 1):
+        here = nodes.select(*names[:d]).distinct().withColumn("_w", _weight(mix, names[:d]).cast("double"))
+        among = Window.partitionBy(*names[: d - 1]) if d > 1 else Window.partitionBy(F.lit(0))
+        here = here.withColumn(f"_t{d}", F.col("_w") / F.nullif(F.sum("_w").over(among), F.lit(0.0)))
+        parts = parts.join(here.drop("_w"), names[:d])
+        target = target * F.coalesce(F.col(f"_t{d}"), F.lit(0.0))
+    every = Window.partitionBy(F.lit(0))
+    of_all = lambda c: F.coalesce(
+        F.col(c) / F.nullif(F.sum(c).over(every), F.lit(0).cast("long")), F.lit(0.0)
+    )
+    return parts.select(
+        F.array(*names).alias("path"), "tokens", "taken", target.alias("target"),
+        of_all("tokens").alias("given"), of_all("taken").alias("reached"),
+    )
+
+
 def mixed_rows(docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows as often as they are taken, with the columns of the input."""
     copies = fresh_name(docs, "_copies")

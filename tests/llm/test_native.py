@@ -124,6 +124,63 @@ def test_budgets_and_prefixes(spark, percent, epochs, floor):
             assert want - 40 <= taken[leaf] <= want
 
 
+def between(budget, children):
+    """Children {name: (weight, least, most)}: the level by bisection."""
+    budget = min(max(budget, sum(a for _, a, _ in children.values())), sum(c for *_, c in children.values()))
+    low, high = 0.0, 1e9
+    for _ in range(200):
+        t = (low + high) / 2
+        full = sum(min(max(w * t, a), c) for w, a, c in children.values()) >= budget
+        low, high = (low, t) if full else (t, high)
+    return {k: min(max(w * high, a), c) for k, (w, a, c) in children.items()}
+
+
+@pytest.mark.parametrize("percent,epochs,floor", [(125, 2, 1), (160, 3, 1)])
+def test_a_floor_counts_against_the_target(spark, percent, epochs, floor):
+    rows = []
+    for i in range(600):
+        lang, src = ("en", "src1") if i % 3 else (f"l{i % 4}", f"src{i % 5}")
+        rows.append((i, " ".join(words(1 + i % 40, i)), lang, src, 0))
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string, n_chars long"
+    )
+    weights = {("l1",): 3, ("l1", "src0"): 5, ("l2", "src3"): 0}
+    mix = mixing.Mix(("lang", "source"), weights, 1, percent, epochs, floor, 5, floor_counts=True)
+    got = mixing.with_copies(docs, mix, copies_col="taken", tokens_col="tokens").collect()
+    tokens, taken, langs = Counter(), Counter(), Counter()
+    for r in got:
+        tokens[r.lang, r.source] += r.tokens
+        taken[r.lang, r.source] += r.tokens * r.taken
+        langs[r.lang] += r.tokens
+        assert floor <= r.taken <= epochs
+    total = sum(tokens.values())
+    at = between(
+        total * percent // 100,
+        {k: (weights.get((k,), 1), n * floor, n * epochs) for k, n in langs.items()},
+    )
+    for lang in langs:
+        leaves = {
+            k: (weights.get(k, 1), n * floor, n * epochs) for k, n in tokens.items() if k[0] == lang
+        }
+        for leaf, want in between(at[lang], leaves).items():
+            if weights.get(leaf) == 0:
+                assert taken[leaf] == tokens[leaf] * floor
+            elif ("l2", "src3") not in leaves or percent < 200:
+                assert want - 42 <= taken[leaf] <= want + 1
+    if percent != 125:
+        return
+    assert taken["en", "src1"] == tokens["en", "src1"]  # far beyond its target
+    reached = {tuple(r.path): r for r in mixing.shares(docs, mix, 1).collect()}
+    assert {k: r.tokens for (k,), r in reached.items()} == langs
+    every = 3 + len(langs) - 1
+    for (lang,), r in reached.items():
+        assert r.taken == sum(n for k, n in taken.items() if k[0] == lang)
+        assert abs(r.target - weights.get((lang,), 1) / every) < 1e-9
+        assert abs(r.reached - r.taken / sum(taken.values())) < 1e-9
+    none = docs.where("false")
+    assert mixing.mixed_rows(none, mix).count() == 0 and mixing.shares(none, mix).count() == 0
+
+
 def test_mixing_edge_cases(spark):
     mix = mixing.Mix(("lang", "source"), budget_percent=150, max_epochs=2, floor_epochs=1)
     docs = with_clashes(documents(spark, edge_texts()))
