@@ -21,7 +21,8 @@ Defined results: words are runs of bytes other than space and \\t to \\r, in
 lower case for A to Z only; with fewer words than a shingle the whole sequence
 is one; without words the set is empty and linked with nothing. Null texts
 count as empty. Rows that repeat an id are one document, linked where any of
-them is. A null id is linked with nothing: its component is null, and it stays.
+them is, whatever texts they have; ``without_copies`` judges each text by itself.
+A null id is linked with nothing: its component is null, and it stays.
 Other columns of the input are ignored. Ids are whole numbers.
 """
 
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 
 from neardup.llm.common import mix64, steps
 from neardup.llm.components import components
-from neardup.session import fits_broadcast, materialize
+from neardup.session import broadcast_if_small, fits_broadcast, materialize
 
 #: Standard deviations by which an estimate may miss before a link is lost.
 SLACK = 5.0
@@ -173,25 +174,34 @@ def count_equal(a: np.ndarray, b: np.ndarray, settings: Settings) -> np.ndarray:
     return settings.slots - np.bitwise_count(differs & one_each).sum(axis=-1, dtype=np.int32)
 
 
-_SKETCH = "id long, n long, k0 long, k1 long, bands array<long>, low binary"
+_SKETCH = "id long, h long, n long, k0 long, k1 long, bands array<long>, low binary"
+
+
+def _set_keys(s: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit key of each set, in two halves; 0 for an empty one."""
+    full = np.flatnonzero(np.diff(starts) > 0)
+    k0, k1 = np.zeros(len(starts) - 1, np.uint64), np.zeros(len(starts) - 1, np.uint64)
+    if len(full):
+        at = starts[:-1][full]
+        k0[full] = np.add.reduceat(mix64(s), at)
+        k1[full] = np.add.reduceat(mix64(s ^ np.uint64(0x9E3779B97F4A7C15)), at)
+    return k0.view(np.int64), k1.view(np.int64)
 
 
 def _sketch_task(settings: Settings):
     schema = pa.schema(
-        [(c, pa.int64()) for c in ("id", "n", "k0", "k1")]
+        [(c, pa.int64()) for c in ("id", "h", "n", "k0", "k1")]
         + [("bands", pa.list_(pa.int64())), ("low", pa.binary())]
     )
 
-    def sketch(ids: pa.Array, texts: list[bytes | None]) -> pa.RecordBatch:
+    def sketch(ids: pa.Array, hashes: pa.Array, texts: list[bytes | None]) -> pa.RecordBatch:
         s, starts = shingle_sets(texts, settings.words)
         n = np.diff(starts)
         full = np.flatnonzero(n > 0)
-        k0, k1 = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
+        k0, k1 = _set_keys(s, starts)
         bands, low = [[]] * len(n), [b""] * len(n)
         if len(full):
             at = starts[:-1][full]
-            k0[full] = np.add.reduceat(mix64(s), at)
-            k1[full] = np.add.reduceat(mix64(s ^ np.uint64(0x9E3779B97F4A7C15)), at)
             minima = _minima(s, at, settings)
             keys = np.arange(settings.bands, dtype=np.uint64)[:, None] * np.ones(len(at), np.uint64)
             for r in range(settings.rows):
@@ -200,15 +210,15 @@ def _sketch_task(settings: Settings):
             packed = pack(minima, settings.bits)
             for i, row in enumerate(full):
                 bands[row], low[row] = keys[i], packed[i].tobytes()
-        columns = [ids, pa.array(n), pa.array(k0.view(np.int64)), pa.array(k1.view(np.int64))]
+        columns = [ids, hashes, pa.array(n), pa.array(k0), pa.array(k1)]
         columns += [pa.array(bands, pa.list_(pa.int64())), pa.array(low, pa.binary())]
         return pa.RecordBatch.from_arrays(columns, schema=schema)
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
             for a, b in steps((len(t or b"") for t in texts), STEP_BYTES):
-                yield sketch(batch.column(0).slice(a, b - a), texts[a:b])
+                yield sketch(*(batch.column(c).slice(a, b - a) for c in ("id", "h")), texts[a:b])
         _word_hashes.clear()  # the worker lives on
 
     return run
@@ -375,14 +385,19 @@ def _in_blocks(rows: DataFrame, key: str, block_rows: int) -> DataFrame:
 
 
 def _set_task(settings: Settings):
+    """Shingles of the texts whose set is the one asked for: an id may have others too."""
+
     def run(batches):
         for batch in batches:
             texts = batch.column("text").cast(pa.binary()).to_pylist()
-            rest = batch.drop_columns(["text"])
+            rest = batch.drop_columns(["text", "n", "k0", "k1"])
+            wanted = [batch.column(c).to_numpy() for c in ("n", "k0", "k1")]
             for a, b in steps((len(t or b"") for t in texts), STEP_BYTES):
                 s, starts = shingle_sets(texts[a:b], settings.words)
-                sets = [s[x:y].tobytes() for x, y in zip(starts[:-1], starts[1:])]
-                part = rest.slice(a, b - a)
+                own = (np.diff(starts), *_set_keys(s, starts))
+                same = np.logical_and.reduce([x == w[a:b] for x, w in zip(own, wanted)])
+                sets = [s[starts[i] : starts[i + 1]].tobytes() for i in np.flatnonzero(same)]
+                part = rest.slice(a, b - a).filter(pa.array(same))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(sets, pa.binary())],
                     [*part.schema.names, "shingles"],
@@ -392,60 +407,102 @@ def _set_task(settings: Settings):
     return run
 
 
-def near_duplicates(
-    docs: DataFrame,
-    settings: Settings = Settings(),
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row.
+def _judged(docs: DataFrame, settings: Settings, id_col: str, text_col: str, by_id: bool) -> DataFrame:
+    """``id, h, n, part, component`` of every row, ``h`` being the hash of its text.
 
-    The component is the smallest id reachable over links; the row of that id
-    is kept.
+    ``part`` names the group of linked texts (null without words), whose smallest
+    id is the component: two groups may share that id.
+    With ``by_id`` the texts of one id are linked, else each text stands for itself.
     """
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")
     )
-    sketches = materialize(rows.mapInArrow(_sketch_task(settings), _SKETCH), "sketches")
+    sketched = rows.withColumn("h", F.xxhash64("text")).mapInArrow(_sketch_task(settings), _SKETCH)
+    # The place of a row is stored with it, and so stays what it is.
+    sketches = materialize(
+        sketched.withColumn("row", F.monotonically_increasing_id()), "sketches"
+    )
     usable = sketches.where((F.col("n") > 0) & F.col("id").isNotNull())
     keys = ["k0", "k1", "n"]
-    classes = materialize(usable.groupBy(*keys).agg(F.min("id").alias("id")), "classes")
-    # The class's smallest id stands for it.
-    of_class = usable.join(classes, ["id", *keys])
+    # One row stands for its class; ids cannot, since one may have texts of several classes.
+    classes = materialize(
+        usable.groupBy(*keys).agg(F.min("id").alias("id"), F.min("row").alias("row")), "classes"
+    )
+    of_class = usable.select("row", "bands", "low").join(classes.select("row"), "row")
+    of_class = of_class.withColumnRenamed("row", "id")
     in_bands = of_class.select("id", F.explode("bands").alias("key"))
     sizes = in_bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     sizes = materialize(sizes, "bands")
     members = materialize(in_bands.join(sizes, "key"), "band-members")
-    low = of_class.select("id", "low").dropDuplicates(["id"])
+    low = of_class.select("id", "low")
     candidates = (
         _in_blocks(members.join(low, "id"), "key", BAND_BLOCK)
         .mapInArrow(_candidate_task(settings), "a long, b long")
     )
     groups = materialize(
-        components(candidates).withColumnsRenamed({"node": "id", "component": "root"}), "groups"
+        components(candidates).withColumnsRenamed({"node": "row", "component": "root"}), "groups"
     )
     group_sizes = materialize(groups.groupBy("root").agg(F.count(F.lit(1)).alias("size")), "sizes")
-    wanted = groups.join(group_sizes, "root")
-    if fits_broadcast(groups.count(), 64) and groups.count() <= BROADCAST_IDS:
+    wanted = groups.join(group_sizes, "root").join(classes, "row")
+    if fits_broadcast(groups.count(), 96) and groups.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    in_groups = rows.join(wanted, "id").select("id", "root", "size", "text").mapInArrow(
-        _set_task(settings), "id long, root long, size long, shingles binary"
+    in_groups = (
+        rows.join(wanted, "id")
+        .select(F.col("row").alias("id"), "root", "size", *keys, "text")
+        .mapInArrow(_set_task(settings), "id long, root long, size long, shingles binary")
     )
+    ids = sketches.where("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("m"))
+    repeated = materialize(ids.where("m > 1").select("id"), "repeated")
+    repeats = not repeated.isEmpty()
+    if repeats:  # rows that repeat an id and its text bring a set more than once
+        in_groups = in_groups.dropDuplicates(["id"])
     links = _in_blocks(in_groups, "root", SET_BLOCK).mapInArrow(
         _confirm_task(settings), "a long, b long"
     )
-    linked = components(links)
-    named = classes.join(linked, classes.id == linked.node, "left").select(
-        *keys, F.coalesce("component", "id").alias("component_id")
+    if repeats and by_id:
+        of_id = usable.join(repeated, "id").select("id", *keys)
+        of_id = of_id.join(classes.select(*keys, "row"), keys).select("id", "row").distinct()
+        of_id = materialize(of_id, "classes-of-ids")
+        first = materialize(of_id.groupBy("id").agg(F.min("row").alias("first")), "first-classes")
+        same = of_id.join(first, "id").select(F.col("row").alias("a"), F.col("first").alias("b"))
+        links = links.unionByName(same)
+    linked = classes.select("row", "id").join(
+        components(links).withColumnRenamed("node", "row"), "row"
+    )
+    linked = materialize(linked, "linked")
+    least = linked.groupBy("component").agg(F.min("id").alias("least"))
+    least = broadcast_if_small(materialize(least, "components"), 64)
+    least = linked.join(least, "component").select("row", "component", "least")
+    named = classes.join(least, "row", "left").select(
+        *keys, F.coalesce("component", "row").alias("part"), F.coalesce("least", "id").alias("least")
     )
     named = materialize(named, "named-classes")
-    out = sketches.select("id", *keys).join(named, keys, "left")
-    component = F.coalesce("component_id", "id")
-    return out.select(
+    out = sketches.select("id", "h", *keys).join(named, keys, "left")
+    if repeats and by_id:
+        # Rows without words follow the texts that their id has elsewhere.
+        of_ids = sketches.join(repeated, "id").where("n > 0").select("id", *keys)
+        of_ids = of_ids.join(named, keys).groupBy("id").agg(F.min("least").alias("of_id"))
+        out = out.join(materialize(of_ids, "components-of-ids"), "id", "left")
+        out = out.withColumn("least", F.coalesce("of_id", "least"))
+    return out.select("id", "h", "n", "part", F.coalesce("least", "id").alias("component"))
+
+
+def near_duplicates(
+    docs: DataFrame,
+    settings: Settings = Settings(),
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every row.
+
+    The component is the smallest id reachable over links; the row of that id
+    is kept.
+    """
+    return _judged(docs, settings, id_col, text_col, by_id=True).select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
-        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
+        F.col("component").alias("component_id"),
+        F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"),
     )
 
 
@@ -457,23 +514,36 @@ def without_copies(
 ) -> DataFrame:
     """One row of each group of near-duplicates, with the columns of the input.
 
-    Rows that repeat an id are one document: the one whose text has the
-    smallest hash stays. Rows with a null id all stay.
+    Only rows whose own text is a copy go. Of the rows of one id whose texts are
+    linked, or without words, the one whose text has the smallest hash stays.
+    Rows with a null id all stay.
     """
-    found = near_duplicates(docs, settings, id_col, text_col)
-    gone = materialize(found.where(~F.col("kept")).select(id_col).distinct(), "copies")
+    found = _judged(docs, settings, id_col, text_col, by_id=False)
+    found = materialize(found.where(F.col("id").isNotNull()), "judged")
+    ids = found.groupBy("id").agg(F.count(F.lit(1)).alias("m"))
+    repeated = materialize(ids.where("m > 1").select("id"), "repeated-ids")
+    several = not repeated.isEmpty()
+    once = found.join(repeated, "id", "left_anti") if several else found
+    gone = materialize(once.where("id <> component").select(F.col("id").alias(id_col)), "copies")
     n = gone.count()
     side = F.broadcast(gone) if fits_broadcast(n, 64) and n <= BROADCAST_IDS else gone
     rest = docs.join(side, id_col, "left_anti")
-    ids = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("_n"))
-    repeated = materialize(ids.where("_n > 1").select(id_col), "repeated-ids")
-    if repeated.isEmpty():
+    if not several:
         return rest
+    stay = (
+        found.join(repeated, "id").where("id = component")
+        .groupBy("id", "part").agg(F.min("h").alias("h"))
+        .select(F.col("id").alias(id_col), F.col("h").alias("_h")).distinct()
+    )
+    again = materialize(repeated.select(F.col("id").alias(id_col)), "repeated-again")
     row = F.struct(*[F.col(c) for c in rest.columns])
-    once = (
-        rest.join(repeated, id_col, "left_semi")
-        .groupBy(id_col)
-        .agg(F.min_by(row, F.xxhash64(text_col)).alias("_row"))
+    own = F.xxhash64(F.col(text_col).cast("string"))
+    one_each = (
+        rest.join(again, id_col, "left_semi")
+        .select(F.col(id_col).alias("_id"), own.alias("_h"), row.alias("_row"))
+        .join(materialize(stay.withColumnRenamed(id_col, "_id"), "staying"), ["_id", "_h"], "left_semi")
+        .groupBy("_id", "_h")
+        .agg(F.first("_row").alias("_row"))
         .select(*[F.col(f"_row.`{c}`").alias(c) for c in rest.columns])
     )
-    return rest.join(repeated, id_col, "left_anti").unionByName(once)
+    return rest.join(again, id_col, "left_anti").unionByName(one_each)

@@ -120,6 +120,27 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, k, percent, block
     assert set(map(tuple, got)) == brute_components(rows, k, percent)
 
 
+def test_ids_with_several_texts(spark):
+    t1, t2, t3 = (" ".join(words(80, i, 10**6)) for i in (1, 2, 3))
+    rows = [
+        (10, t1), (20, t1 + " one"), (20, t2), (20, t2), (30, t2 + " two"),
+        (20, None), (40, t3), (40, ""), (50, "own words only here and now"),
+        (50, "two unlike texts of one id"), (5, t3 + " three"),
+    ]
+    docs = with_clashes(documents(spark, rows)).repartition(3)
+    got = Counter((r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect())
+    # 10 and 30 are linked through the two texts of 20.
+    assert got == {
+        (10, 10, True): 1, (20, 10, False): 4, (30, 10, False): 1,
+        (5, 5, True): 1, (40, 5, False): 2, (50, 50, True): 2,
+    }
+    left = Counter((r.doc_id, r.text) for r in minhash.without_copies(docs).collect())
+    # Only rows whose own text is a copy go.
+    assert left == Counter(
+        [(10, t1), (20, t2), (20, None), (5, t3 + " three"), (40, ""), rows[8], rows[9]]
+    )
+
+
 def test_near_duplicates_edge_cases(spark):
     docs = with_clashes(documents(spark, edge_texts()))
     got = minhash.near_duplicates(docs).collect()
