@@ -7,11 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from neardup.llm import chat, fingerprint, minhash, mixing, pieces, pii, quality, rules, toxicity, warc
+from neardup.llm import (
+    audit,
+    automaton,
+    chat,
+    fingerprint,
+    importance,
+    minhash,
+    mixing,
+    pieces,
+    pii,
+    quality,
+    rules,
+    toxicity,
+    warc,
+)
 from neardup.llm.common import held_out, table
 
 #: The public model that the queries encode with.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
+#: The public byte-level vocabulary.
+VOCABULARY_PATH = "/opt/tokenizers/byte_bpe_50k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -138,6 +154,28 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), settings)
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = importance.importance(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    tokenizer = automaton.Tokenizer(spark, VOCABULARY_PATH)
+    coded = tokenizer.decode(tokenizer.encode(docs))
+    return coded.select(
+        "doc_id",
+        F.size("tokens").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("tokens", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_chat": op1_chat,
@@ -150,4 +188,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_mixing": op8_mixing,
         "op9_sentencepiece": op9_sentencepiece,
         "op10_minhash": op10_minhash,
+        "op11_importance": op11_importance,
+        "op12_automaton": op12_automaton,
+        "op13_audit": op13_audit,
     }

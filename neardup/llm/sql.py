@@ -133,6 +133,52 @@ from placed
 """
 )
 
+_OP13 = r"""
+with labelled as (
+  select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic
+  from labels group by doc_id
+), d as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws,
+    coalesce(min(doc_id) over (partition by coalesce(text, '')) < doc_id, false) as is_copy
+  from documents
+), failed as (
+  select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+    case when len(ws) < 200 then 1 else 0 end
+    + case when 100 * len(list_distinct(ws)) < 50 * len(ws) then 2 else 0 end
+    + case when 100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 2 * length(text)
+        then 4 else 0 end
+    + case when regexp_matches(text, '[#$%&*|]') then 8 else 0 end
+    + case when is_copy then 16 else 0 end as bits
+  from d left join labelled using (doc_id)
+), counts as (
+  select part, bits, count(*) as n, sum(good) as n_good, sum(toxic) as n_toxic
+  from failed group by all
+), f(l, b) as (
+  values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)
+), orders as (
+  select [a.l, b.l, c.l, d.l, e.l] as ls, [a.b, b.b, c.b, d.b, e.b] as bs
+  from f a, f b, f c, f d, f e
+  where a.b + b.b + c.b + d.b + e.b = 31 and len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5
+), steps as (
+  select array_to_string(ls, '') as filter_order, step::int as step, bs[step] as own,
+    coalesce(list_sum(bs[1 : step - 1]), 0)::bigint as before
+  from orders, (select unnest(range(1, 6)) as step)
+), audited as (
+  select part, filter_order, step, own,
+    sum(case when bits & (before | own) = 0 then n else 0 end)::bigint as kept,
+    sum(case when bits & before = 0 and bits & own <> 0 then n else 0 end)::bigint as removed,
+    sum(case when bits & before <> 0 and bits & own <> 0 then n else 0 end)::bigint as redundant,
+    sum(case when bits = own then n else 0 end)::bigint as unique_fails,
+    sum(case when bits & before = 0 and bits & own <> 0 then n_good else 0 end)::bigint as good_lost,
+    sum(case when bits & before = 0 and bits & own <> 0 then n_toxic else 0 end)::bigint as toxic_lost
+  from counts, steps group by all
+)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  sum(removed) over (partition by part, own)::bigint as shapley
+from audited
+"""
+
 
 def llm_sql() -> dict[str, str]:
-    return {"op4_quality_rules": _OP4, "op8_mixing": _OP8}
+    return {"op4_quality_rules": _OP4, "op8_mixing": _OP8, "op13_audit": _OP13}
