@@ -23,7 +23,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from neardup.config import HOT_COPIES
 from neardup.llm.common import SPACE_CLASS, let, text_or_empty
 from neardup.session import broadcast_if_small, materialize
 
@@ -31,6 +30,8 @@ FILTERS = "ABCDE"
 BIT = {f: 1 << i for i, f in enumerate(FILTERS)}
 #: Share of words, of code points and number of words at which a text fails.
 MIN_WORDS, MIN_DISTINCT_PERCENT, MAX_CAPITAL_PERCENT = 200, 50, 2
+#: Copies of one hash that are joined in one task.
+HOT_TEXTS = 5_000
 SIGNS = "#$%&*|"
 
 
@@ -53,7 +54,7 @@ def own_failures(text: Column) -> Column:
     )
 
 
-def with_smaller_copy(rows: DataFrame, hashes: DataFrame, hot: int = HOT_COPIES) -> DataFrame:
+def with_smaller_copy(rows: DataFrame, hashes: DataFrame, hot: int = HOT_TEXTS) -> DataFrame:
     """Rows ``id, hash, text, ...`` whose text occurs with a smaller id.
 
     ``hashes`` has a row with the ``hash`` of each of them. Only rows whose hash
@@ -62,7 +63,7 @@ def with_smaller_copy(rows: DataFrame, hashes: DataFrame, hot: int = HOT_COPIES)
     with more than ``hot`` of them are dealt out by their id.
     """
     again = hashes.groupBy("hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    again = broadcast_if_small(materialize(again, "audit-hashes"), 32)
+    again = broadcast_if_small(materialize(again, "audit-hashes"), 64)
     salts = F.ceil(F.col("_n") / hot)
     members = rows.join(again, "hash").withColumn("_salts", salts).drop("_n")
     members = materialize(members, "audit-members")
@@ -86,7 +87,7 @@ def failure_counts(
     id_col: str = "doc_id",
     text_col: str = "text",
     part_col: str = "source",
-    hot: int = HOT_COPIES,
+    hot: int = HOT_TEXTS,
 ) -> DataFrame:
     """``part, bits, n, n_good, n_toxic``: documents by combination of failed filters."""
     rows = docs.select(
@@ -111,7 +112,7 @@ def failure_counts(
         good.alias("good"), toxic.alias("toxic")
     )
     # Written out: then the join splits what one id brings too much of.
-    judged = broadcast_if_small(materialize(judged.where("good + toxic > 0"), "audit-labels"), 32)
+    judged = broadcast_if_small(materialize(judged.where("good + toxic > 0"), "audit-labels"), 64)
     return (
         failing.join(judged, "id", "left")
         .groupBy("part", "bits")

@@ -3,10 +3,14 @@
 An archive file is a sequence of Zstandard frames: first a skippable frame that
 holds the dictionary, then one frame per WARC record. The dictionary is trained
 on a bounded sample of the records (``SAMPLE_RECORDS`` pages with the smallest
-hash, ``SAMPLE_BYTES`` at most); every record is written. Spark's text writer
-stores the frames, with an empty skippable frame as the line separator, so that
-files appear under Spark's commit protocol in any store that Spark reaches, and
-any reader of the format can skip the separators.
+hash, ``SAMPLE_BYTES`` at most, none above ``SAMPLE_PAGE_BYTES``), filled up with
+the headers of empty pages where there are few; every record is written, and every
+file leads with the dictionary. Spark's text writer stores the frames, so that
+files appear under Spark's commit protocol in any store that Spark reaches. Its
+line separator is a skippable frame with a name drawn at random when the archive is
+written: no payload can quote it, and any reader of the format skips it. The first
+of them follows the dictionary, where the reader of the folder looks it up. A folder
+holds the archive files of one run of the writer.
 
 Of the pages with one payload the one with the largest id is a response and the
 others are revisits that refer to it.
@@ -14,14 +18,15 @@ others are revisits that refer to it.
 Defined results: a null payload counts as empty; null addresses are left out,
 line breaks in them are percent-encoded; rows that share the largest id of a
 payload are all responses; a null id is never the largest, and where no id is
-known every row is a response. An empty table gives an archive without records.
-Other columns are ignored.
+known every row is a response. An empty table gives an archive without records,
+a payload of any length one record. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import secrets
 import uuid
 from collections.abc import Iterator
 
@@ -32,15 +37,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from neardup.llm.common import fresh_name, steps, text_or_empty
-from neardup.session import materialize, scratch_path
+from neardup.session import hadoop_path, materialize, scratch_path
 
-SAMPLE_RECORDS, SAMPLE_BYTES = 1500, 8 << 20
+SAMPLE_RECORDS, SAMPLE_BYTES, SAMPLE_PAGE_BYTES = 1500, 8 << 20, 1 << 20
+#: Records of empty pages that small samples are filled up with.
+FILLING_RECORDS = 256
 DICTIONARY_BYTES = 112_640
 LEVEL = 3
 
 # Fixed values of the formats: magic numbers of skippable frames, record fields.
 DICTIONARY_MAGIC = b"\x5d\x2a\x4d\x18"
-SEPARATOR = b"\x50\x2a\x4d\x18\x00\x00\x00\x00"
+SEPARATOR_MAGIC, NAME_BYTES = b"\x50\x2a\x4d\x18", 16
 FRAME_MAGIC = b"\x28\xb5\x2f\xfd"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -119,53 +126,66 @@ def parse_record(record: bytes) -> dict:
 # --- dictionaries and frames -----------------------------------------------
 
 
-def train_dictionary(samples: list[bytes]) -> bytes | None:
-    """A dictionary of the samples; None where there is too little to learn from."""
+def train_dictionary(samples: list[bytes]) -> bytes:
+    """A dictionary of the samples, and of headers where the samples are few."""
+    if len(samples) < FILLING_RECORDS or sum(map(len, samples)) < 8 * DICTIONARY_BYTES:
+        empty = (build_record(i, f"https://host/{i}", b"", None) for i in range(FILLING_RECORDS))
+        samples = [*samples, *empty]
     size = min(DICTIONARY_BYTES, sum(map(len, samples)) // 8)
-    if size < 1024 or len(samples) < 8:
-        return None
-    try:
-        return zstandard.train_dictionary(size, samples).as_bytes()
-    except zstandard.ZstdError:
-        return None
+    return zstandard.train_dictionary(size, samples).as_bytes()
 
 
-def dictionary_frame(dictionary: bytes) -> bytes:
-    return DICTIONARY_MAGIC + len(dictionary).to_bytes(4, "little") + dictionary
+def skippable(magic: bytes, content: bytes) -> bytes:
+    return magic + len(content).to_bytes(4, "little") + content
 
 
-def _compressor(dictionary: bytes | None, level: int) -> zstandard.ZstdCompressor:
-    shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
+def draw_separator(dictionary: bytes) -> bytes:
+    """A skippable frame with a random name that the dictionary does not contain."""
+    while True:
+        separator = skippable(SEPARATOR_MAGIC, secrets.token_hex(NAME_BYTES // 2).encode())
+        if separator not in dictionary:
+            return separator
+
+
+def _compressor(dictionary: bytes, level: int) -> zstandard.ZstdCompressor:
+    shared = zstandard.ZstdCompressionDict(dictionary)
     return zstandard.ZstdCompressor(level=level, dict_data=shared, write_checksum=True)
 
 
-def compress_record(record: bytes, compressors: list[zstandard.ZstdCompressor]) -> bytes:
-    """A frame without the separator's bytes in it; other levels are tried in that rare case."""
+def compress_record(
+    record: bytes, compressors: list[zstandard.ZstdCompressor], separator: bytes
+) -> bytes:
+    """A frame without the separator's bytes in it.
+
+    The name in the separator has 64 random bits and is drawn after the records
+    are there, so a frame has it by chance alone; another level is tried then.
+    """
     for c in compressors:
         frame = c.compress(record)
-        if SEPARATOR not in frame:
+        if separator not in frame:
             return frame
-    raise ValueError("no level gives a frame without the separator")
+    raise ValueError("no level gives a frame without the separator; write the archive again")
 
 
 def sample_records(pages: DataFrame, id_col: str, url_col: str, payload_col: str) -> list[bytes]:
     """Records of the pages with the smallest hash, within the bounds of the sample."""
-    place = F.xxhash64(id_col, url_col)
-    narrow = pages.select(place.alias("h"), F.octet_length(payload_col).alias("size"))
-    chosen = narrow.where(F.col("size") <= SAMPLE_BYTES // 8).orderBy("h").limit(SAMPLE_RECORDS)
-    sums = chosen.toArrow().sort_by("h")
+    place = F.xxhash64(id_col, url_col, payload_col)
+    size = F.octet_length(payload_col)
+    narrow = pages.where(size <= SAMPLE_PAGE_BYTES).select(place.alias("h"), size.alias("size"))
+    chosen = narrow.distinct().orderBy("h").limit(SAMPLE_RECORDS).toArrow().sort_by("h")
     kept, total = [], 0
-    for h, size in zip(sums["h"].to_pylist(), sums["size"].to_pylist()):
-        total += size
+    for h, size_of in zip(chosen["h"].to_pylist(), chosen["size"].to_pylist()):
+        total += size_of
         if total > SAMPLE_BYTES:
             break
         kept.append(h)
     if not kept:
         return []
-    rows = pages.where(place <= kept[-1]).select(id_col, url_col, payload_col).limit(2 * SAMPLE_RECORDS)
-    table = rows.toArrow()
-    records = [build_record(i, u, p.encode(), None) for i, u, p in zip(*(c.to_pylist() for c in table.columns))]
-    return sorted(records)
+    # Repeated rows share a hash, so that one row comes for each one chosen.
+    rows = pages.where((place <= kept[-1]) & (size <= SAMPLE_PAGE_BYTES))
+    rows = rows.select(id_col, url_col, payload_col).distinct().limit(len(kept)).toArrow()
+    columns = (c.to_pylist() for c in rows.columns)
+    return sorted(build_record(i, u, p.encode(), None) for i, u, p in zip(*columns))
 
 
 # --- writer and reader -----------------------------------------------------
@@ -201,6 +221,7 @@ def write_archive(
         text_or_empty(payload_col).alias("payload"),
     )
     dictionary = train_dictionary(sample_records(rows, "page_id", "url", "payload"))
+    separator = draw_separator(dictionary)
     shared = pages.sparkSession.sparkContext.broadcast(dictionary)
     kept = with_keepers(rows, "page_id", "payload", "keeper")
 
@@ -211,45 +232,59 @@ def write_archive(
             sizes = pc.binary_length(batch.column("payload")).to_pylist()
             for a, b in steps(sizes):
                 out = []
-                if not begun and shared.value:
-                    out.append(dictionary_frame(shared.value))
+                if not begun:
+                    out.append(skippable(DICTIONARY_MAGIC, shared.value))
                 begun = True
                 columns = (c.to_pylist() for c in batch.slice(a, b - a).columns)
                 for page, url, payload, keeper in zip(*columns):
                     revisits = keeper if keeper is not None and keeper != page else None
                     record = build_record(page, url, payload.encode(), revisits)
-                    out.append(compress_record(record, compressors))
+                    out.append(compress_record(record, compressors, separator))
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
     written = kept.select("page_id", "url", "payload", "keeper").mapInArrow(frames, "value binary")
     (
         written.select(F.col("value").cast("string").alias("value"))
-        .write.option("lineSep", SEPARATOR.decode("latin-1"))
+        .write.option("lineSep", separator.decode("ascii"))
         .text(path)
     )
 
 
-def read_frames(spark: SparkSession, path: str) -> DataFrame:
+def read_head(spark: SparkSession, path: str) -> tuple[bytes, bytes] | None:
+    """The dictionary and the separator of the archives below ``path``; None without records.
+
+    Every file leads with both; the first bytes of one file are read.
+    """
+    fs, folder = hadoop_path(spark, path)
+    files = fs.listFiles(folder, False)
+    while files.hasNext():
+        file = files.next()
+        if file.getLen() == 0 or file.getPath().getName()[0] in "._":
+            continue
+        stream = fs.open(file.getPath())
+        try:
+            read = spark._jvm.org.apache.commons.io.IOUtils.toByteArray
+            lead = bytes(read(stream, 8))
+            if lead[:4] != DICTIONARY_MAGIC:
+                raise ValueError(f"{file.getPath()} does not lead with a dictionary")
+            dictionary = bytes(read(stream, int.from_bytes(lead[4:], "little")))
+            separator = bytes(read(stream, 8 + NAME_BYTES))
+        finally:
+            stream.close()
+        if separator[:4] != SEPARATOR_MAGIC:
+            raise ValueError(f"{file.getPath()} has no separator after its dictionary")
+        if dictionary[:4] == FRAME_MAGIC:  # the format allows a compressed dictionary
+            dictionary = zstandard.ZstdDecompressor().decompressobj().decompress(dictionary)
+        return dictionary, separator
+    return None
+
+
+def read_frames(spark: SparkSession, path: str, separator: bytes) -> DataFrame:
     """The frames of all archives below ``path``, as bytes."""
-    lines = spark.read.option("lineSep", SEPARATOR.decode("latin-1")).text(path)
+    lines = spark.read.option("lineSep", separator.decode("ascii")).text(path)
     return lines.select(F.col("value").cast("binary").alias("frame")).where("length(frame) > 0")
 
 
-def read_dictionaries(frames: DataFrame) -> list[bytes]:
-    """The different dictionaries that lead the archives: one for each run of the writer."""
-    leading = frames.where(F.substring("frame", 1, 4) == F.lit(DICTIONARY_MAGIC))
-    found = leading.distinct().limit(1001).collect()
-    if len(found) > 1000:
-        raise ValueError("more than 1000 dictionaries; read the archives in parts")
-    out = []
-    for (frame,) in found:
-        body = bytes(frame[8:])
-        if body[:4] == FRAME_MAGIC:  # the format allows a compressed dictionary
-            body = zstandard.ZstdDecompressor().decompressobj().decompress(body)
-        out.append(body)
-    return out
-
-
 RECORD_SCHEMA = (
     "page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
     "refers_to long, payload binary"
@@ -258,27 +293,24 @@ RECORD_SCHEMA = (
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """The records of all archives below ``path``; lengths and digests are checked."""
-    frames = read_frames(spark, path)
-    by_id = {zstandard.ZstdCompressionDict(d).dict_id(): d for d in read_dictionaries(frames)}
-    shared = spark.sparkContext.broadcast(by_id)
+    head = read_head(spark, path)
+    if head is None:
+        return spark.createDataFrame([], RECORD_SCHEMA)
+    dictionary, separator = head
+    frames = read_frames(spark, path, separator)
+    shared = spark.sparkContext.broadcast(dictionary)
     kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
     names = [c.split()[0] for c in RECORD_SCHEMA.split(", ")]
 
     def records(batches) -> Iterator[pa.RecordBatch]:
-        readers: dict[int, zstandard.ZstdDecompressor] = {
-            0: zstandard.ZstdDecompressor(),
-            **{
-                i: zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(d))
-                for i, d in shared.value.items()
-            },
-        }
+        own = zstandard.ZstdCompressionDict(shared.value)
+        reader = zstandard.ZstdDecompressor(dict_data=own)
         for batch in batches:
             for a, b in steps(pc.binary_length(batch.column(0)).to_pylist(), 1 << 18):
                 out = []
                 for frame in batch.column(0).slice(a, b - a).to_pylist():
                     if frame[:4] != FRAME_MAGIC:
                         continue
-                    reader = readers[zstandard.get_frame_parameters(frame).dict_id]
                     out.append(parse_record(reader.decompress(frame)))
                 columns = [pa.array([r[n] for r in out], t) for n, t in zip(names, kinds)]
                 yield pa.RecordBatch.from_arrays(columns, names)

@@ -212,6 +212,41 @@ def test_archives_lead_with_their_dictionary(spark, tmp_path):
     assert plain.count(b"WARC/1.1\r\nWARC-Type: ") == pages.count()
 
 
+def test_archives_of_pages_that_quote_separators(spark, tmp_path):
+    """Frames that separate records, as far as a page can know them, in every page."""
+    quoted = ["P*M\x18\0\0\0\0", "P*M\x18\x10\0\0\0", "]*M\x18\0\0\0\0", "(\xb5/\xfd"]
+    rows = [(i, f"u{i}", f"{''.join(quoted)} page {i % 300} {quoted[i % 4]}" * 5) for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = {r.page_id: r for r in warc.archive_and_read(pages, str(tmp_path / "q")).collect()}
+    assert len(got) == 400
+    for i, url, html in rows:
+        keeper = i + 300 if i < 100 else i
+        assert got[i].url == url and got[i].payload_bytes == len(html.encode())
+        assert got[i].record_type == ("revisit" if i < 100 else "response")
+        assert got[keeper].payload.decode() == html
+
+
+@pytest.mark.parametrize("rows", [[(1, "u", "a")], [(1, "u", None)] * 3, [(5, "u", "x y " * 600_000), (6, "v", "b")]])
+def test_small_archives_and_oversized_pages(spark, tmp_path, rows):
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = warc.archive_and_read(pages, str(tmp_path / "s")).collect()
+    want = Counter((i, u, h or "") for i, u, h in rows)
+    assert Counter((r.page_id, r.url, r.payload.decode()) for r in got) == want
+    (file,) = (tmp_path / "s").glob("part-*")
+    assert file.read_bytes()[:4] == warc.DICTIONARY_MAGIC
+
+
+def test_the_sample_is_bounded_in_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SAMPLE_BYTES", 1000)
+    monkeypatch.setattr(warc, "SAMPLE_PAGE_BYTES", 300)
+    rows = [(i % 50, "u", "x" * (100 + 40 * (i % 9))) for i in range(900)] + [(7, "u", "y" * 200)] * 500
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = warc.sample_records(pages, "page_id", "url", "html")
+    payloads = [warc.parse_record(r)["payload_bytes"] for r in found]
+    assert found and sum(payloads) <= 1000 and max(payloads) <= 300
+    assert found == warc.sample_records(pages.repartition(3), "page_id", "url", "html")
+
+
 def test_phrases_do_not_depend_on_the_offset():
     text = " ".join(words(400, 2))
     a, b = fingerprint.fingerprints([text])[0], fingerprint.fingerprints(["xx y" + text])[0]
