@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from neardup.config import eps_name, validate_eps
+from neardup.operators import bitmaps
 from neardup.operators.pruning import flag_duplicates
 
 
@@ -74,11 +75,46 @@ def ratio_label(retained_pct: str | Column) -> Column:
 def filter_corpus(
     corpus: DataFrame, kept: DataFrame, eps: float, key: str = "line_no", id_col: str = "id"
 ) -> DataFrame:
-    """Corpus rows kept at one threshold; a partition of ``kept`` when it is on disk."""
+    """Corpus rows kept at one threshold; a partition of ``kept`` when it is on disk.
+
+    Whole-number ids travel as bitmaps, and the rows of the corpus stay where they
+    are; only bitmaps beyond the broadcast limit, or other ids, make it a join.
+    """
     ids = kept.where(F.col("eps") == eps).select(F.col(id_col).alias(key))
+    if bitmaps.holds_ids(corpus, key) and bitmaps.holds_ids(ids, key):
+        found = bitmaps.small_bitmaps(bitmaps.id_bitmaps(ids, key, [F.lit(True)]), 1)
+        if found is not None:
+            chunk = bitmaps.chunk_of(F.col(key))
+            joined = corpus.join(found, chunk == F.col("_chunk"), "left")
+            within = bitmaps.contains(F.get("_sets", F.lit(0)), F.col(key))
+            return joined.where(within).drop("_chunk", "_sets")
     return corpus.join(ids, key, "left_semi")
 
 
+def removal_bitmaps(prior: DataFrame, eps_list, id_col: str = "id") -> DataFrame:
+    """Bitmaps of the ids that no cluster keeps, one per threshold in the given order."""
+    eps_list = validate_eps(eps_list)
+    loosest = F.col(id_col).isNotNull() & (F.col("_max_sim") > F.lit(1.0) - F.lit(max(eps_list)))
+    one = prior.groupBy(id_col).agg(F.min("max_sim").alias("_max_sim")).where(loosest)
+    removed = [F.col("_max_sim") > F.lit(1.0) - F.lit(e) for e in eps_list]
+    return bitmaps.id_bitmaps(one, id_col, removed)
+
+
+def keep_by_bitmaps(corpus: DataFrame, removed: DataFrame, eps_list, key: str) -> DataFrame:
+    """Corpus rows once per threshold whose bitmap does not remove them; one narrow stage.
+
+    ``removed``: bitmaps to be broadcast. Rows keep their order.
+    """
+    joined = corpus.join(removed, bitmaps.chunk_of(F.col(key)) == F.col("_chunk"), "left")
+    thresholds = F.array(*[F.lit(e) for e in validate_eps(eps_list)])
+    keeping = F.filter(
+        thresholds, lambda _, i: ~bitmaps.contains(F.get("_sets", i), F.col(key))
+    )
+    # Most chunks of a sparse prune table remove nothing.
+    keeping = F.when(F.col("_sets").isNull(), thresholds).otherwise(keeping)
+    return joined.withColumn("eps", F.explode(keeping)).drop("_chunk", "_sets")
+
+
 def filter_corpus_multi(
     corpus: DataFrame,
     prior: DataFrame,
@@ -89,14 +125,23 @@ def filter_corpus_multi(
 ) -> DataFrame:
     """Corpus rows once per threshold that keeps them, with ``eps``.
 
-    The corpus is joined once with one small row per id and expanded after the
-    join, so texts are shuffled once however many thresholds there are. Rows
-    absent from ``prior`` (they had no vector) are kept. With ``order_col`` the
-    rows are range-partitioned by it, also before they are expanded.
+    Rows absent from ``prior`` (they had no vector) are kept. Whole-number ids
+    travel as bitmaps, one per threshold and 32,768 ids; the texts are not
+    shuffled, and rows keep their order. Beyond the broadcast limit, or for
+    other ids, the corpus is joined once with one small row per id and expanded
+    after the join, so texts are shuffled once however many thresholds there
+    are. With ``order_col`` the rows are then range-partitioned by it, as they are
+    for a corpus that is not in that order.
     """
+    eps_list = validate_eps(eps_list)
+    if order_col is None and bitmaps.holds_ids(corpus, key) and bitmaps.holds_ids(prior, id_col):
+        removed = removal_bitmaps(prior, eps_list, id_col)
+        found = bitmaps.small_bitmaps(removed, len(eps_list))
+        if found is not None:
+            return keep_by_bitmaps(corpus, found, eps_list, key)
     one = prior.groupBy(F.col(id_col).alias(key)).agg(F.min("max_sim").alias("_max_sim"))
     keeping = F.filter(
-        F.array(*[F.lit(e) for e in validate_eps(eps_list)]),
+        F.array(*[F.lit(e) for e in eps_list]),
         lambda e: ~F.coalesce(F.col("_max_sim") > F.lit(1.0) - e, F.lit(False)),
     )
     joined = corpus.join(one, key, "left")

@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 
 from neardup import sinks
 from neardup.config import HOT_COPIES, PruneConfig
-from neardup.operators import extraction, pruning, ranking, statistics
+from neardup.operators import bitmaps, extraction, pruning, ranking, statistics
 from neardup.operators.assignment import assign_and_measure, invalid_vectors, valid_vectors
 from neardup.operators.kmeans import saved_centroids, train_or_load_kmeans
 from neardup.operators.pairs import ClusterPairs, compare_within_clusters, copy_keys
 from neardup.operators.skew import hot_keys, salted_left_join
 from neardup.session import broadcast_if_small, hadoop_path, materialize, scratch_scope
+from neardup.sources.corpus import IndexedCorpus
 
 
 # What a finished cluster's marker says of it; null for a cluster of one row.
@@ -291,7 +292,7 @@ def _prune_clusters(
 
 
 def prune_corpus(
-    corpus: DataFrame,
+    corpus: DataFrame | IndexedCorpus,
     output: str,
     config: PruneConfig,
     key: str = "line_no",
@@ -300,15 +301,50 @@ def prune_corpus(
     """Write the corpus once per threshold of ``save_eps_list`` from a finished run.
 
     Lines whose number has no prune row (they had no usable vector) are kept.
-    Lines of a threshold stand in the order of ``key``, over files in name order.
+    Lines of a threshold stand in the order of ``key``, over files in path order.
+
+    The lines of an :class:`IndexedCorpus` are not shuffled: removed numbers
+    come as bitmaps, in as many jobs over consecutive files as the broadcast limit
+    asks for. Any other table is sorted by ``key``.
     """
-    spark = corpus.sparkSession
+    spark = corpus.index.sparkSession if isinstance(corpus, IndexedCorpus) else corpus.sparkSession
     at = RunPaths(output)
     prior = spark.read.parquet(at.prune_table)
     eps = config.save_eps_list
-    rows = extraction.filter_corpus_multi(corpus, prior, eps, key=key, order_col=key)
     ratios = spark.read.schema("eps string, n_kept long, retained_pct double").json(
         at.retained_ratios
     )
     ratios = ratios.withColumn("eps", F.col("eps").cast("double"))
+    if isinstance(corpus, IndexedCorpus):
+        write_kept_lines(corpus, prior, ratios, at.pruned_corpus, eps)
+        return
+    rows = extraction.filter_corpus_multi(corpus, prior, eps, key=key, order_col=key)
     sinks.write_pruned_corpus(rows, ratios, at.pruned_corpus, eps, value_col, order_col=key)
+
+
+def write_kept_lines(
+    corpus: IndexedCorpus,
+    prior: DataFrame,
+    ratios: DataFrame,
+    path: str,
+    eps_list,
+    chunks: int | None = None,
+) -> None:
+    """The lines of files that each threshold keeps, one narrow job for ``chunks`` bitmaps.
+
+    As many bitmaps as the broadcast limit allows by default.
+    """
+    chunks = chunks or bitmaps.chunks_that_fit(len(eps_list))
+    removed = materialize(extraction.removal_bitmaps(prior, eps_list), "removed-lines")
+    mode = "overwrite"
+    for first, end in corpus.batches(chunks * bitmaps.IDS_EACH):
+        last = (end - 1) // bitmaps.IDS_EACH
+        part = removed.where(F.col("_chunk").between(first // bitmaps.IDS_EACH, last))
+        # At most ``chunks`` + 1 rows; more only for one byte range of very many lines.
+        part = F.broadcast(part) if part.count() <= chunks + 1 else part
+        lines = corpus.read((first, end), with_split=True)
+        rows = extraction.keep_by_bitmaps(lines, part, eps_list, "line_no")
+        sinks.write_pruned_corpus(
+            rows, ratios, path, eps_list, order_col="line_no", split_col="first_line", mode=mode
+        )
+        mode = "append"

@@ -460,15 +460,15 @@ def pruned_corpus_lines(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     docs.orderBy("doc_id").select(F.to_json(F.struct("doc_id", "text"))).write.text(source)
     number = F.get_json_object("value", "$.doc_id").cast("long")
-    corpus = read_corpus(spark, source).withColumn("doc_id", number)
+    corpus = read_corpus(spark, source, with_split=True).withColumn("doc_id", number)
     prior = materialize(_lang_prior(spark, sf_dir), "prior")
-    rows = extraction.filter_corpus_multi(
-        corpus, prior, LINE_EPS, key="doc_id", order_col="line_no"
-    )
+    rows = extraction.filter_corpus_multi(corpus, prior, LINE_EPS, key="doc_id")
     ratios = extraction.retained_ratio(prior, LINE_EPS)
-    sinks.write_pruned_corpus(rows, ratios, path, LINE_EPS, order_col="line_no")
+    sinks.write_pruned_corpus(
+        rows, ratios, path, LINE_EPS, order_col="line_no", split_col="first_line"
+    )
     parts = [
-        read_corpus(spark, f"{path}/eps={eps_name(e)}/*").select(
+        read_corpus(spark, f"{path}/eps={eps_name(e)}/*/*").select(
             F.lit(e).alias("eps"), "line_no", number.alias("doc_id")
         )
         for e in LINE_EPS

@@ -100,22 +100,31 @@ def write_pruned_corpus(
     eps_list,
     value_col: str = "value",
     order_col: str | None = None,
+    split_col: str | None = None,
+    mode: str = "overwrite",
 ) -> None:
     """The kept lines as text, in folders ``eps=<threshold>/ratio=<retained fraction>``.
 
     All thresholds are written by one job; lines pass through unchanged. With
     ``order_col``, by which the rows must be range-partitioned, the files of a
-    folder hold the lines in its order, from one file to the next.
+    folder hold the lines in its order, from one file to the next. With
+    ``split_col`` too, the rows need not be: those of one split, which lie in one
+    partition, go to a folder ``lines=<split>`` of their own, twelve digits long.
     """
     labelled = with_output_label(rows, ratios).withColumn("eps", eps_text(eps_list))
+    folders = ["eps", "ratio"]
     # Never null: else the writer replaces them and sorts anew, without the line order.
-    for name in ("eps", "ratio"):
+    for name in folders:
         labelled = labelled.withColumn(name, F.coalesce(name, F.lit("none")))
+    if split_col is not None:
+        number = F.lpad(F.col(split_col).cast("string"), 12, "0")
+        labelled = labelled.withColumn("lines", F.coalesce(number, F.lit("none")))
+        folders.append("lines")
     if order_col is not None:
-        labelled = labelled.sortWithinPartitions("eps", "ratio", order_col)
+        labelled = labelled.sortWithinPartitions(*folders, order_col)
     (
-        labelled.select(F.col(value_col).alias("value"), "eps", "ratio")
-        .write.mode("overwrite")
-        .partitionBy("eps", "ratio")
+        labelled.select(F.col(value_col).alias("value"), *folders)
+        .write.mode(mode)
+        .partitionBy(*folders)
         .text(path)
     )

@@ -1,6 +1,6 @@
 """Readers of vectors, ids, corpora and saved stage outputs."""
 
-from neardup.sources.corpus import read_corpus
+from neardup.sources.corpus import IndexedCorpus, index_corpus, open_corpus, read_corpus
 from neardup.sources.tables import (
     read_assignment,
     read_centroids,
@@ -16,7 +16,10 @@ from neardup.sources.vectors import (
 )
 
 __all__ = [
+    "IndexedCorpus",
+    "index_corpus",
     "numbered_ids",
+    "open_corpus",
     "read_assignment",
     "read_centroids",
     "read_corpus",

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from neardup import sinks, sources
 from neardup.config import PruneConfig
-from neardup.operators import extraction, pruning
+from neardup.operators import bitmaps, extraction, pruning
 from neardup.operators.ranking import rank_within_cluster
 from neardup.plans import prune_corpus, prune_vectors
-from neardup.plans.prune import compare_members, prune_rows, prune_table
+from neardup.plans.prune import compare_members, prune_rows, prune_table, write_kept_lines
 
 
 def test_raw_vectors_and_ids(spark, tmp_path):
@@ -36,7 +36,7 @@ def test_corpus_lines_across_splits(spark, tmp_path):
     before = spark.conf.get(limit)
     spark.conf.set(limit, "4096")
     try:
-        corpus = sources.read_corpus(spark, str(folder))
+        corpus = sources.read_corpus(spark, str(folder), split_bytes=4096)
         assert corpus.rdd.getNumPartitions() > 3
         got = sorted((r.line_no, r.value) for r in corpus.collect())
     finally:
@@ -150,7 +150,11 @@ def test_whole_run_on_files(spark, tmp_path, limit):
     ratios = {r.eps: r for r in result["retained"].collect()}
     assert ratios[0.01].n_kept == 1002 - table["eps=0.01"].sum()
 
-    prune_corpus(sources.read_corpus(spark, str(corpus_file)), out, config)
+    if limit is None:
+        corpus = sources.index_corpus(spark, str(corpus_file), split_bytes=2000)
+    else:
+        corpus = sources.read_corpus(spark, str(corpus_file))
+    prune_corpus(corpus, out, config)
     written = spark.read.text(f"{out}/pruned_corpus").withColumn("eps", F.col("eps").cast("string"))
     for e in (0.01, 0.7):
         rows = written.where(F.col("eps") == str(e)).collect()
@@ -217,7 +221,7 @@ def test_corpus_lines_survive_another_way_of_cutting_the_files(spark, tmp_path):
     before = spark.conf.get(key)
     try:
         spark.conf.set(key, "20000")
-        corpus = sources.read_corpus(spark, str(tmp_path / "a.jsonl"))
+        corpus = sources.read_corpus(spark, str(tmp_path / "a.jsonl"), split_bytes=9000)
         spark.conf.set(key, "7000")
         got = [r.value for r in corpus.orderBy("line_no").collect()]
     finally:
@@ -226,6 +230,96 @@ def test_corpus_lines_survive_another_way_of_cutting_the_files(spark, tmp_path):
     assert [r.line_no for r in corpus.orderBy("line_no").collect()] == list(range(3000))
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_line_index_is_all_that_is_stored(spark, tmp_path):
+    folder = tmp_path / "a [1] corpus+%20"
+    folder.mkdir()
+    lines = [f"line {i} " + "é" * (i % 40) for i in range(5000)]
+    for part in range(4):
+        own = lines[part * 1250 : (part + 1) * 1250]
+        (folder / f"p {part}.jsonl").write_text("\n".join(own) + "\n" * (part != 2), encoding="utf-8")
+    (folder / "p 9.jsonl").write_text("")
+    index = str(tmp_path / "index")
+    corpus = sources.index_corpus(spark, str(tmp_path / "a*"), index, split_bytes=5000)
+    assert corpus.index.count() > 10 and "value" not in corpus.index.columns
+    plan = plan_of(corpus.read())
+    assert "Exchange hashpartitioning" not in plan and "Sort" not in plan
+    again = sources.open_corpus(spark, str(tmp_path / "a*"), index)
+    got = [tuple(r) for r in again.read().orderBy("line_no").collect()]
+    assert got == list(enumerate(lines))
+    some = again.read((1300, 2600)).orderBy("line_no").collect()
+    assert [tuple(r) for r in some] == list(enumerate(lines))[1300:2600]
+    assert again.read((9000, 9999)).count() == 0
+    batches = list(again.batches(700))
+    assert batches[0][0] == 0 and batches[-1][1] == 5000
+    assert all(a[1] == b[0] for a, b in zip(batches, batches[1:]))
+    # The rows belong to the caller's session.
+    assert again.read().sparkSession is spark
+    assert again.read().join(spark.range(10), F.col("id") == F.col("line_no")).count() == 10
+    (folder / "p 1.jsonl").write_text("another\n")
+    with pytest.raises(Exception, match="changed since"):
+        again.read().collect()
+
+
+def test_bitmaps_hold_any_whole_number(spark):
+    draw = np.random.default_rng(1)
+    ids = [-1, 0, 1, 7, 8, 32767, 32768, -32768, -32769, 2**62, -(2**62)]
+    ids += draw.integers(-200_000, 200_000, 3000).tolist()
+    rows = spark.createDataFrame([(i, i % 3 == 0) for i in ids] + [(None, True)], "id long, third boolean")
+    made = bitmaps.id_bitmaps(rows, "id", [F.lit(True), F.col("third")])
+    probe = spark.createDataFrame([(i + d,) for i in ids for d in (-1, 0, 1)] + [(None,)], "k long").distinct()
+    found = probe.join(made, bitmaps.chunk_of(F.col("k")) == F.col("_chunk"), "left")
+    got = found.select("k", *[bitmaps.contains(F.get("_sets", F.lit(i)), F.col("k")) for i in (0, 1)])
+    for k, one, two in got.collect():
+        assert one == (k in set(ids)) and two == (k in {i for i in ids if i % 3 == 0})
+
+
+@pytest.mark.parametrize("fits", [True, False])
+def test_filters_by_bitmap_and_by_join_agree(spark, monkeypatch, fits):
+    monkeypatch.setattr(bitmaps, "MAX_BROADCAST_BYTES", 1 << 28 if fits else 0)
+    corpus = spark.range(-50, 70_000, 7).select(F.col("id").alias("line_no"), F.md5(F.col("id").cast("string")).alias("value"))
+    corpus = corpus.unionByName(spark.createDataFrame([(None, "none")], "line_no long, value string"))
+    rows = [(i, 0.5 + (i % 50) / 100) for i in range(0, 60_000, 3)] + [(21, 0.0), (None, 0.99)]
+    prior = spark.createDataFrame(rows, "id long, max_sim double")
+    eps = (0.3, 0.05, 0.1)
+    found = extraction.filter_corpus_multi(corpus, prior, eps)
+    if fits:
+        assert "Exchange hashpartitioning" not in plan_of(found) and "Sort" not in plan_of(found)
+    least = {}
+    for i, m in rows:
+        least[i] = min(m, least.get(i, 9.0))
+    least[None] = 0.0
+    want = sorted((e, i) for e in eps for i in [*range(-50, 70_000, 7)] if not least.get(i, 0.0) > 1 - e)
+    got = found.where("line_no is not null").select("eps", "line_no").collect()
+    assert sorted(map(tuple, got)) == want
+    assert found.where("line_no is null").count() == 3
+    kept = extraction.kept_ids(prior, eps)
+    one = extraction.filter_corpus(corpus, kept, 0.05)
+    assert sorted(r.line_no for r in one.collect()) == [i for i in range(0, 60_000, 21) if not least[i] > 0.95]
+
+
+def test_lines_are_written_in_batches_of_files(spark, tmp_path):
+    folder = tmp_path / "corpus"
+    folder.mkdir()
+    lines = [f"{i}" for i in range(120_000)]
+    for part in range(6):
+        (folder / f"{part}.txt").write_text("\n".join(lines[part * 20_000 : (part + 1) * 20_000]) + "\n")
+    corpus = sources.index_corpus(spark, str(folder), split_bytes=30_000)
+    prior = spark.range(100_000).select("id", F.when(F.col("id") % 3 == 0, 0.99).otherwise(0.0).alias("max_sim"))
+    eps = (0.001, 0.05)
+    ratios = extraction.retained_ratio(prior, eps)
+    kept = {0.001: lines, 0.05: [x for i, x in enumerate(lines) if i >= 100_000 or i % 3]}
+    for chunks in (1, 2, None):
+        path = tmp_path / f"out{chunks}"
+        write_kept_lines(corpus, prior, ratios, str(path), eps, chunks=chunks)
+        for e in eps:
+            files = sorted((path / f"eps={e}").glob("*/*/*.txt"))
+            assert [x for f in files for x in f.read_text().split()] == kept[e]
+
+
 def test_prune_table_keeps_rows_without_a_vector_and_refuses_repeated_ids(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [float("nan"), 1.0])]
     vectors = spark.createDataFrame(rows, "id long, embedding array<double>")
