@@ -9,7 +9,8 @@ exact, bounded in memory and spread over G * (G + 1) / 2 groups.
 
 Exact copies would make that quadratic work pointless: a cluster in which one
 vector occurs a million times is first reduced to its distinct vectors, each
-with its first and last place in the cluster order and its multiplicity.
+with its first and last place in the cluster order and its multiplicity. That is
+found on narrow rows; the vectors themselves move once, to their block pairs.
 """
 
 from __future__ import annotations
@@ -82,28 +83,49 @@ def _keyed_members(members, by, id_col, vector_col, order, collapse_copies) -> D
     )
 
 
-def _distinct_vectors(keyed: DataFrame, by: list[str], orders: list[str]) -> DataFrame:
-    """One row per distinct vector of a cluster; copies merge before the shuffle.
+def _copy_groups(keyed: DataFrame, by: list[str], orders: list[str]) -> DataFrame:
+    """One narrow row per distinct vector of a cluster, without the vector.
 
-    ``_id, _o*``: its first occurrence; ``_l*``: the order of its last one;
-    ``_n``: how often it occurs.
+    ``_first, _last``: order and id of its first and last occurrence; ``_n``: how
+    often it occurs. Copies merge before the shuffle.
     """
-    grouped = keyed.where(F.col("_v").isNotNull()).groupBy(*by, "_f1", "_f2")
-    common = [F.any_value("_v").alias("_v"), F.count(F.lit(1)).alias("_n")]
-    if not orders:
-        return grouped.agg(*common)
     place = F.struct(*orders, "_id")
-    return grouped.agg(
-        *common, F.min(place).alias("_first"), F.max(place).alias("_last")
-    ).select(
-        *by,
-        "_f1",
-        "_f2",
+    return keyed.where(F.col("_v").isNotNull()).groupBy(*by, "_f1", "_f2").agg(
+        F.count(F.lit(1)).alias("_n"), F.min(place).alias("_first"), F.max(place).alias("_last")
+    )
+
+
+def _first_occurrences(
+    keyed: DataFrame, groups: DataFrame, shape: Shape, by: list[str], orders: list[str]
+) -> DataFrame:
+    """The rows of ``keyed`` at which a vector occurs first, with its last place and count.
+
+    Vectors stay where they are: each row is held against the groups of several
+    rows only, by broadcast while these fit.
+    """
+    if shape.repeated_vectors == 0:
+        return _every_vector(keyed, by, orders)
+    keys = [*by, "_f1", "_f2"]
+    repeated = groups.where("_n > 1").select(
+        *[F.col(k).alias(f"_of{k}") for k in keys], "_n", "_first", "_last"
+    )
+    if fits_broadcast(shape.repeated_vectors, 96 + 32 * (len(by) + 2 * len(orders))):
+        repeated = F.broadcast(repeated)
+    rows = keyed.where(F.col("_v").isNotNull())
+    joined = rows.join(repeated, [F.col(k) == F.col(f"_of{k}") for k in keys], "left")
+    here = F.struct(*orders, "_id")
+    return joined.where(F.col("_first").isNull() | F.col("_first").eqNullSafe(here)).select(
+        *keys,
         "_v",
-        "_n",
-        F.col("_first._id").alias("_id"),
-        *[F.col(f"_first.{o}").alias(o) for o in orders],
-        *[F.col(f"_last.{o}").alias(o.replace("_o", "_l")) for o in orders],
+        F.coalesce("_n", F.lit(1).cast("long")).alias("_n"),
+        "_id",
+        *orders,
+        *[
+            F.when(F.col("_last").isNull(), F.col(o))
+            .otherwise(F.col(f"_last.{o}"))
+            .alias(o.replace("_o", "_l"))
+            for o in orders
+        ],
     )
 
 
@@ -165,6 +187,7 @@ class Shape:
     large_clusters: int
     full_block_pairs: int
     hot_vectors: int
+    repeated_vectors: int
 
 
 def _measure(distinct: DataFrame, by: list[str], block_rows: int, hot_copies: int) -> Shape:
@@ -172,6 +195,7 @@ def _measure(distinct: DataFrame, by: list[str], block_rows: int, hot_copies: in
         F.sum("_n").alias("_rows"),
         F.count(F.lit(1)).alias("_vectors"),
         F.count_if(F.col("_n") > hot_copies).alias("_hot"),
+        F.count_if(F.col("_n") > 1).alias("_repeated"),
     )
     blocks = F.ceil(F.col("_vectors") / F.lit(block_rows))
     counted = sizes.agg(
@@ -179,8 +203,9 @@ def _measure(distinct: DataFrame, by: list[str], block_rows: int, hot_copies: in
         F.count_if(blocks > 1),
         F.sum(F.when(blocks > 1, blocks * (blocks + 1) / 2)),
         F.sum("_hot"),
+        F.sum("_repeated"),
     ).first()
-    return Shape(sizes.drop("_hot"), *[int(c or 0) for c in counted])
+    return Shape(sizes.drop("_hot", "_repeated"), *[int(c or 0) for c in counted])
 
 
 def _hot_vectors(distinct: DataFrame, shape: Shape, by: list[str], hot_copies: int):
@@ -373,10 +398,20 @@ class _SumsOverOthers:
         return np.arange(len(self.n)), columns
 
 
+def _one_of_each(table: pa.Table) -> pa.Table:
+    """The rows without those that repeat a whole row, key and place, of the input."""
+    keys = np.stack([table["_f1"].to_numpy(), table["_f2"].to_numpy()])
+    if len(np.unique(keys[0])) == table.num_rows:
+        return table
+    _, first = np.unique(keys, axis=1, return_index=True)
+    return table.take(np.sort(first))
+
+
 def _block_pair_task(by, orders, eps_list, with_prior: bool, with_sums: bool, schema: pa.Schema):
     """Task body: one matrix product per tile, handed to the wanted reductions."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
+        table = _one_of_each(table)
         if orders:
             table = table.sort_by([(o, "ascending") for o in orders])
         rows = matrix(table["_v"])
@@ -491,12 +526,15 @@ def compare_within_clusters(
     orders = [f"_o{i}" for i in range(len(order))]
     keyed = _keyed_members(members, by, id_col, vector_col, order, collapse_copies)
     if collapse_copies:
-        # Written once: read for the cluster sizes and for the pairs.
-        distinct = materialize(_distinct_vectors(keyed, by, orders), "distinct")
+        # Narrow, and written once: read for sizes, hot vectors and first occurrences.
+        groups = materialize(_copy_groups(keyed, by, orders), "copy-groups")
+        shape = _measure(groups, by, block_rows, hot_copies)
+        hot = _hot_vectors(groups, shape, by, hot_copies)
+        distinct = _first_occurrences(keyed, groups, shape, by, orders)
     else:
         distinct = _every_vector(keyed, by, orders)
-    shape = _measure(distinct, by, block_rows, hot_copies)
-    hot = _hot_vectors(distinct, shape, by, hot_copies)
+        shape = _measure(distinct, by, block_rows, hot_copies)
+        hot = None
     fields = _fields(distinct, {c: c for c in by})
     fields += [T.StructField(c, T.LongType()) for c in ("_f1", "_f2")]
     fields.append(T.StructField("_kind", T.IntegerType()))

@@ -241,3 +241,29 @@ def test_group_size_agrees_with_the_flag_at_the_threshold(spark):
     over = {r._id: r._over0 for r in pairs.with_reductions(["_over0"]).collect()}
     prior = {r.id: r.max_sim for r in pairs.prior_similarity().collect()}
     assert over == {0: 1, 1: 1} and prior[1] > 1 - 0.07
+
+
+@pytest.mark.parametrize("copies", [0, 3])
+def test_vectors_move_once(spark, copies):
+    """Copies are found on narrow rows; only the shuffle to the block pairs carries vectors."""
+    draw = np.random.default_rng(3)
+    vectors = draw.normal(size=(40, 4))
+    vectors[5 : 5 + copies] = vectors[0]
+    rows = members(spark, vectors.tolist(), cluster=[i % 2 for i in range(40)])
+    pairs = compare_within_clusters(rows, order=("rank",), block_rows=8, with_sums=False)
+    plan = pairs.vectors._jdf.queryExecution().executedPlan().toString()
+    lines = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x or "REPARTITION" in x]
+    assert len([x for x in lines if "REPARTITION_BY_NUM" in x]) == 1
+    assert "any_value" not in plan and "_v" not in "".join(
+        x for x in plan.split("\n") if "SortAggregate" in x
+    )
+    order = list(range(40))
+    want = brute.prior(vectors, order, [i % 2 for i in range(40)])
+    assert_prior(collected(pairs.prior_similarity()), want)
+
+
+def test_rows_that_repeat_whole_rows_are_no_copies_of_themselves(spark):
+    rows = members(spark, at_angles(0, 10, 20))
+    twice = rows.unionByName(rows.where("id = 1"))
+    got = sorted((r.id, round(r.max_sim, 6)) for r in max_prior_similarity(twice).collect())
+    assert got == [(0, 0.0), (1, 0.984808), (1, 0.984808), (2, 0.984808)]
