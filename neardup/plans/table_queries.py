@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
@@ -117,6 +118,40 @@ def vector_ids(spark, sf_dir):
     return numbered_ids(vectors(spark, sf_dir))
 
 
+#: Four bytes after each record: a line end for the writer, one more float for the reader.
+_LINE_END = "ABCD"
+
+
+def raw_vectors_round_trip(spark, sf_dir):
+    """The vectors as headerless float32 records, one float longer, read back by record number."""
+
+    def records(batches):
+        for batch in batches:
+            values = batch.column(0).flatten().to_numpy(zero_copy_only=False).astype("<f4")
+            rows = values.reshape(batch.num_rows, -1)
+            raw = pa.array([row.tobytes() for row in rows], pa.binary())
+            yield pa.RecordBatch.from_arrays([raw], ["value"])
+
+    path = scratch_path(spark, "raw-vectors")
+    in_order = vectors(spark, sf_dir).orderBy("id").select("embedding")
+    lines = in_order.mapInArrow(records, "value binary").select(F.col("value").cast("string"))
+    lines.write.option("lineSep", _LINE_END).text(path)
+    read = sources.read_raw_vectors(spark, path, DIM + 1)
+    own = read.select("id", F.slice("embedding", 1, DIM).alias("embedding"))
+    return own.select(
+        "id", F.size("embedding").alias("n_dims"), _vector_sum("embedding").alias("total")
+    )
+
+
+def fixed_width_ids_round_trip(spark, sf_dir):
+    """Names of the vectors as byte strings of 24 padded with NUL, read back by record number."""
+    path = scratch_path(spark, "fixed-ids")
+    name = F.concat(F.lit("item/"), F.col("label").cast("string"), F.lit("/"), F.col("id").cast("string"))
+    padded = F.rpad(name, 23, "\0").alias("value")
+    vectors(spark, sf_dir).orderBy("id").select(padded).write.option("lineSep", "\0").text(path)
+    return sources.read_fixed_width_ids(spark, path, 24)
+
+
 def corpus_lines(spark, sf_dir):
     """The documents written as JSON lines and read back with line numbers."""
     path = scratch_path(spark, "corpus")
@@ -570,7 +605,7 @@ def filter_corpus_multi(spark, sf_dir):
 
 def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
-        scan_vectors, vector_ids, corpus_lines,
+        scan_vectors, vector_ids, raw_vectors_round_trip, fixed_width_ids_round_trip, corpus_lines,
         embed_hashed, normalize_vectors, last_token_pool,
         dist_cosine, dist_spherical, dist_l2,
         assign_ip, assign_l2, lloyd_2iter, kmeans_train, assign_and_sort,

@@ -119,6 +119,11 @@ def table_sql() -> dict[str, str]:
     sql = {
         "scan_vectors": f"""with {_VEC}
             select id, label, len(v)::int as n_dims, round(list_sum(v), 6) as total from vec""",
+        "raw_vectors_round_trip": f"""with {_VEC}
+            select row_number() over (order by id) - 1 as id, len(v)::int as n_dims,
+              round(list_sum(v), 6) as total from vec""",
+        "fixed_width_ids_round_trip": """select row_number() over (order by vec_id) - 1 as id,
+            'item/' || label || '/' || vec_id as path from embeddings""",
         "vector_ids": "select vec_id as id, vec_id::varchar as path from embeddings",
         "corpus_lines": """select row_number() over (order by doc_id) - 1 as line_no, doc_id, text
             from documents""",

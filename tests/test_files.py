@@ -23,6 +23,26 @@ def test_raw_vectors_and_ids(spark, tmp_path):
     assert [(r.id, r.path) for r in ids] == [(0, "a/1.jpg"), (1, "b/22.jpg")]
 
 
+@pytest.mark.parametrize("run_bytes", [1, 100, 1 << 20])
+def test_raw_records_of_several_files_are_numbered_by_place(spark, tmp_path, monkeypatch, run_bytes):
+    monkeypatch.setattr("neardup.sources.vectors.RUN_BYTES", run_bytes)
+    values = np.arange(4000, dtype=np.float32).reshape(1000, 4)
+    for name, rows in (("b", values[700:]), ("a", values[:700]), ("ab", values[:0]), ("_x", values)):
+        rows.tofile(tmp_path / name)
+    found = sources.read_raw_vectors(spark, str(tmp_path), 4)
+    got = {r.id: r.embedding for r in found.collect()}
+    assert sorted(got) == list(range(1000)) and all(got[i] == values[i].tolist() for i in got)
+    ids = sources.read_fixed_width_ids(spark, str(tmp_path / "[a]"), 16).count()
+    assert ids == 700
+    (tmp_path / "b").write_bytes(b"12345")
+    with pytest.raises(ValueError, match="no records"):
+        sources.read_raw_vectors(spark, str(tmp_path), 4)
+    with pytest.raises(FileNotFoundError):
+        sources.read_raw_vectors(spark, str(tmp_path / "none"), 4)
+    (tmp_path / "empty").write_bytes(b"")
+    assert sources.read_raw_vectors(spark, str(tmp_path / "empty"), 4).count() == 0
+
+
 def test_corpus_lines_across_splits(spark, tmp_path):
     folder = tmp_path / "corpus"
     folder.mkdir()
