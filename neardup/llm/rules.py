@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from neardup.llm.common import SPACE_CLASS, fresh_name, let, text_or_empty
+from neardup.llm.common import SPACE_CLASS, let, text_or_empty
 
 #: Fixed: hashes of windows are joined by doubling from 1 to 2, 4 and 8 words.
 WINDOW_WORDS = 8
@@ -183,12 +183,18 @@ def apply_policy(led: DataFrame, policy: Policy) -> DataFrame:
 
 
 def keep_passing(docs: DataFrame, policy: Policy, text_col: str = "text") -> DataFrame:
-    """The rows that pass a policy, with the columns of the input."""
-    m, bits = fresh_name(docs, "_measured"), fresh_name(docs, "_bits")
-    measured = docs.withColumn(m, measure(text_col))
-    return measured.withColumn(bits, _fail_bits(_flat(m))).where(
-        F.col(bits).bitwiseAND(policy.mask) == 0
-    ).drop(m, bits)
+    """The rows that pass a policy, with the columns of the input.
+
+    The measurement stands once in the condition, so that a pushed filter does not repeat it.
+    """
+
+    def passes(m: Column) -> Column:
+        part = {"n_lines": "l", "n_dup_lines": "l"}
+        whole = ("n_symbols", "n_exclamations")
+        flat = {c: m[c] if c in whole else m[part.get(c, "w")][c] for c in MEASUREMENTS}
+        return _fail_bits(flat).bitwiseAND(policy.mask) == 0
+
+    return docs.where(let(measure(text_col), passes))
 
 
 def ablations(led: DataFrame, policy: Policy) -> DataFrame:

@@ -192,3 +192,13 @@ def test_mixing_edge_cases(spark):
     assert mixing.mixed_rows(documents(spark, []).where("false"), mix).count() == 0
     with pytest.raises(ValueError):
         mixing.Mix(("lang",), max_epochs=1, floor_epochs=2)
+
+
+def test_a_filter_measures_each_text_once(spark):
+    docs = documents(spark, edge_texts())
+    plan = rules.keep_passing(docs, rules.POLICIES["v1"])._jdf.queryExecution().optimizedPlan().toString()
+    # Words and lines are split once, hashes joined for 2, 4 and 8 words.
+    assert plan.count("split(") == 2 and plan.count("xxhash64") == 3
+    led = rules.apply_policy(rules.ledger(docs), rules.POLICIES["v1"])
+    kept = Counter((r.doc_id, r.text) for r in rules.keep_passing(with_clashes(docs), rules.POLICIES["v1"]).collect())
+    assert sum(kept.values()) == led.where("kept").count()
