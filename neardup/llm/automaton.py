@@ -16,10 +16,9 @@ follow, byte by byte, the arcs that its state has. Each place is reached by one
 only, since the beginning of a word has one accepted sequence, and the arcs that
 lead back from the end are its tokens. To decode, the labels of the arcs are emitted.
 
-Words are split off by the pattern of byte-level vocabularies. Characters which
-the tokenizers library sorts otherwise than the pattern's engine (another version
-of Unicode) are found out by asking the library once per character; texts with
-such characters are split by the library.
+Words are split off by the pattern of byte-level vocabularies. Which characters are
+letters, numbers and blanks depends on the version of Unicode, so the tokenizers
+library is asked, once for each block of characters that a worker meets.
 
 Defined results: a null or empty text has no tokens; null ids decode to the empty
 text, unknown ids to nothing; repeated rows are alike; other columns pass through.
@@ -30,17 +29,18 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 from collections import Counter
 from dataclasses import dataclass
+from itertools import count, groupby
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from neardup.llm.common import steps, text_or_empty
+from neardup.llm.common import fresh_name, steps, text_or_empty
 
 #: Characters of text worked on at once in a task.
 ENCODE_CHARS = 1 << 18
@@ -51,17 +51,10 @@ LONG_WORD = 64
 #: Words times bytes of the longest among words that are walked together.
 WALK_BYTES = 1 << 18
 
-# Fixed values of the format: the pattern of byte-level vocabularies, with the
-# white space of Unicode spelled out.
-SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_PATTERN = (
-    "'s|'t|'re|'ve|'m|'ll|'d| ?{L}+| ?{N}+| ?[^{S}{l}{n}]+|[{S}]+(?![^{S}])|[{S}]+"
-)
-SPLIT = regex.compile(_PATTERN.format(L=r"\p{L}", N=r"\p{N}", l=r"\p{L}", n=r"\p{N}", S=SPACE))
-SPLIT_ASCII = re.compile(
-    _PATTERN.format(L="[A-Za-z]", N="[0-9]", l="A-Za-z", n="0-9", S=r"\t-\r\x20")
-)
-_KINDS = [regex.compile(x) for x in (r"\p{L}", r"\p{N}", f"[{SPACE}]")]
+# Fixed value of the format: the pattern of byte-level vocabularies, with the
+# classes of letters, numbers and white space to be put in.
+PATTERN = "'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
+LETTER, NUMBER, BLANK, OTHER = "LNSO"
 
 
 def _byte_chars() -> list[str]:
@@ -179,12 +172,11 @@ def compile_merges(vocabulary: Vocabulary) -> Automaton:
 
 
 class Coder:
-    """Encodes and decodes in one worker; remembers the tokens of words, as int32 bytes."""
+    """Encodes in one worker; remembers the tokens of words, as int32 bytes."""
 
-    def __init__(self, vocabulary: Vocabulary, automaton: Automaton):
-        self.labels = vocabulary.labels
+    def __init__(self, labels: dict[int, bytes], added: dict[str, int], automaton: Automaton):
         self.automaton = automaton
-        self.added = {c: np.int32(t).tobytes() for c, t in vocabulary.added.items()}
+        self.added = {c: np.int32(t).tobytes() for c, t in added.items()}
         longest_first = sorted(self.added, key=len, reverse=True)
         self.added_split = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")")
         # Arcs spelled byte by byte: (place in the table << 8 | byte) -> next place.
@@ -193,18 +185,25 @@ class Coder:
         at_end = {}
         for t in arcs:
             place = 0
-            for b in self.labels[t]:
+            for b in labels[t]:
                 place = step.setdefault(place << 8 | b, len(step) + 1)
             at_end[place] = t
-        self.keys = np.array(sorted(step), dtype=np.int64)
-        self.next_place = np.array([step[k] for k in self.keys.tolist()], dtype=np.int64)
-        self.arc_at = np.full(len(step) + 1, -1, dtype=np.int64)
+        # A place that arcs go on from has a row of the table; 0, the start, follows no place.
+        self.arc_at = np.full(len(step) + 1, -1, dtype=np.int32)
         self.arc_at[list(at_end)] = list(at_end.values())
+        keys = np.fromiter(step, dtype=np.int64, count=len(step))
+        inner, row = np.unique(keys >> 8, return_inverse=True)
+        self.row_of = np.full(len(step) + 1, len(inner), dtype=np.int32)
+        self.row_of[inner] = np.arange(len(inner))
+        self.table = np.zeros((len(inner) + 1, 256), dtype=np.int32)
+        self.table[row, keys & 255] = np.fromiter(step.values(), dtype=np.int32, count=len(step))
         self.length_of = np.zeros(len(automaton.class_of), dtype=np.int64)
-        self.length_of[arcs] = [len(self.labels[t]) for t in arcs]
+        self.length_of[arcs] = [len(labels[t]) for t in arcs]
         self.known: dict[str, bytes] = {}
-        self.odd: dict[str, bool] = {}  # characters that the library sorts otherwise
-        self._library = None
+        self.blocks: dict[int, list[str]] = {}
+        self.pattern = self.ascii = None
+        self._learn_blocks({0})
+        self.ascii = self.pattern
 
     def walk_one(self, word: bytes) -> bytes:
         """The ids on the one accepted way that spells ``word``."""
@@ -240,18 +239,16 @@ class Coder:
         lengths = np.array(list(map(len, words)))
         n, longest = len(words), int(lengths.max(initial=0))
         data = np.frombuffer(b"".join([w.ljust(longest, b"\0") for w in words]), dtype=np.uint8)
-        data = data.reshape(n, longest).astype(np.int64)
+        data = data.reshape(n, longest)
         reached = np.full((n, longest + 1), -1, dtype=np.int32)
         for i in range(longest):
             at = np.flatnonzero(lengths > i)
             state = state_of[reached[at, i]] if i else np.zeros(len(at), dtype=np.int32)
-            place = np.zeros(len(at), dtype=np.int64)
+            place = np.zeros(len(at), dtype=np.int32)
             for j in range(i, longest):
-                wanted = place << 8 | data[at, j]
-                found = np.searchsorted(self.keys, wanted)
-                found[found == len(self.keys)] = 0
-                on = (self.keys[found] == wanted) & (lengths[at] > j)
-                at, state, place = at[on], state[on], self.next_place[found[on]]
+                place = self.table[self.row_of[place], data[at, j]]
+                on = (place > 0) & (lengths[at] > j)
+                at, state, place = at[on], state[on], place[on]
                 if not len(at):
                     break
                 arc = self.arc_at[place]
@@ -273,34 +270,52 @@ class Coder:
 
     def learn(self, words: set[str]) -> None:
         """Adds words, shortest first; words of about one length share a table of bounded size."""
-        pairs = sorted(((w.encode(), w) for w in words), key=lambda x: len(x[0]))
-        while pairs and len(pairs[-1][0]) > LONG_WORD:
-            spelled, word = pairs.pop()
-            self.known[word] = self.walk_one(spelled)
+        written = list(words)
+        spelled = [w.encode() for w in written]
+        lengths = np.fromiter(map(len, spelled), dtype=np.int64, count=len(spelled))
+        order = np.argsort(lengths).tolist()
+        while order and lengths[order[-1]] > LONG_WORD:
+            i = order.pop()
+            self.known[written[i]] = self.walk_one(spelled[i])
         start = 0
-        for i in range(1, len(pairs) + 1):
-            if i == len(pairs) or (i - start + 1) * len(pairs[i][0]) > WALK_BYTES:
-                found = self.walk([p[0] for p in pairs[start:i]])
-                self.known.update(zip((p[1] for p in pairs[start:i]), found))
-                start = i
-
-    def _is_odd(self, c: str) -> bool:
-        if c not in self.odd:
-            from tokenizers import pre_tokenizers
-
-            split = self._library = self._library or pre_tokenizers.ByteLevel(add_prefix_space=False)
-            parts = [len(split.pre_tokenize_str(x)) for x in (f"a{c}", f"1{c}", f"!{c}!")]
-            theirs = [parts[0] == 1, parts[1] == 1, parts[2] != 1 and min(parts) > 1]
-            self.odd[c] = theirs != [k.match(c) is not None for k in _KINDS]
-        return self.odd[c]
+        for end in range(1, len(order) + 1):
+            if end == len(order) or (end - start + 1) * lengths[order[end]] > WALK_BYTES:
+                some = order[start:end]
+                found = self.walk([spelled[i] for i in some])
+                self.known.update(zip([written[i] for i in some], found))
+                start = end
+
+    def _learn_blocks(self, blocks: set[int]) -> None:
+        """Asks the library how it sorts the 256 characters of each block; a new pattern."""
+        from tokenizers import pre_tokenizers
+
+        split = pre_tokenizers.ByteLevel(add_prefix_space=False).pre_tokenize_str
+
+        def kind(c: str) -> str:
+            if len(split(f"a{c}")) == 1:
+                return LETTER
+            if len(split(f"1{c}")) == 1:
+                return NUMBER
+            return OTHER if len(split(f"!{c}!")) == 1 else BLANK
+
+        for block in blocks:
+            self.blocks[block] = [kind(chr(c)) for c in range(block << 8, (block + 1) << 8)]
+        runs: dict[str, str] = {LETTER: "", NUMBER: "", BLANK: ""}
+        chars = ((b << 8 | i, k) for b in sorted(self.blocks) for i, k in enumerate(self.blocks[b]))
+        # Characters in a row of one kind make one range.
+        for (k, _), run in groupby(chars, key=lambda x, n=count(): (x[1], x[0] - next(n))):
+            if k != OTHER:
+                run = [c for c, _ in run]
+                runs[k] += f"\\U{run[0]:08x}-\\U{run[-1]:08x}"
+        self.pattern = re.compile(PATTERN.format(**runs))
 
     def words_of(self, text: str) -> list[str]:
         if text.isascii():
-            return SPLIT_ASCII.findall(text)
-        if not any(map(self._is_odd, set(text))):
-            return SPLIT.findall(text)
-        spans = [span for _, span in self._library.pre_tokenize_str(text)]
-        return [text[a:b] for a, b in spans]
+            return self.ascii.findall(text)
+        new = {ord(c) >> 8 for c in set(text)}.difference(self.blocks)
+        if new:
+            self._learn_blocks(new)
+        return self.pattern.findall(text)
 
     def _split(self, text: str) -> list[str]:
         """Words and added tokens; no word is written like an added token, which goes before."""
@@ -322,72 +337,96 @@ class Coder:
         self.known.update(self.added)
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
-    def decode(self, ids: list[int]) -> str:
-        """The labels one after another; bytes that are no text become U+FFFD, as in the library."""
-        return b"".join([self.labels.get(i, b"") for i in ids]).decode("utf-8", "replace")
 
+class Labels:
+    """Decodes in one worker: the labels of arcs one after another."""
 
-_coders: dict[int, Coder] = {}
+    def __init__(self, labels: dict[int, bytes]):
+        self.unknown = max(labels) + 1
+        every = [labels.get(i, b"") for i in range(self.unknown + 1)]
+        self.labels = pa.array(every, pa.binary())
 
+    def decode(self, rows: pa.ListArray) -> pa.Array:
+        """Texts; bytes that are no text become U+FFFD, as in the library."""
+        ids = rows.flatten().to_numpy(zero_copy_only=False)
+        ids = np.where((ids < 0) | (ids > self.unknown), self.unknown, ids)
+        offsets = pc.subtract(rows.offsets, rows.offsets[0])
+        emitted = pa.ListArray.from_arrays(offsets, self.labels.take(pa.array(ids)))
+        joined = pc.binary_join(emitted, b"")
+        try:
+            return joined.cast(pa.string())
+        except pa.ArrowInvalid:
+            texts = [x.decode("utf-8", "replace") for x in joined.to_pylist()]
+            return pa.array(texts, pa.string())
 
-def _coder(shared) -> Coder:
-    """The one of this Python worker."""
-    if shared.id not in _coders:
-        _coders.clear()
-        _coders[shared.id] = Coder(*shared.value)
-    return _coders[shared.id]
 
+_workers: dict[str, tuple] = {}
 
-class _Shared:
-    """A broadcast value and a name for it that is new for each compilation."""
 
-    def __init__(self, sc, value):
-        self.broadcast = sc.broadcast(value)
-        self.id = self.broadcast._jbroadcast.id()
-
-    def __getstate__(self):
-        return {"broadcast": self.broadcast, "id": self.id}
-
-    @property
-    def value(self):
-        return self.broadcast.value
+def _of_worker(kind: type, shared, name: str):
+    """The ``kind`` of this Python worker, made from the shared values once."""
+    if _workers.get(kind.__name__, ("",))[0] != name:
+        _workers[kind.__name__] = name, kind(*shared.value)
+    return _workers[kind.__name__][1]
 
 
 class Tokenizer:
-    """A vocabulary compiled once on the driver, of the size of its file, for any DataFrame."""
+    """A vocabulary compiled once on the driver, for any DataFrame.
+
+    Workers get the automaton and the labels, both of the order of the vocabulary's file.
+    """
 
     def __init__(self, spark, path: str):
         with open(path, encoding="utf-8") as f:
-            self.vocabulary = read_vocabulary(f.read())
-        self.automaton = compile_merges(self.vocabulary)
-        self.shared = _Shared(spark.sparkContext, (self.vocabulary, self.automaton))
-
-    def encode(self, docs: DataFrame, text_col: str = "text", output_col: str = "tokens") -> DataFrame:
-        """Adds the token ids of each text."""
-        shared = self.shared
-
-        @F.arrow_udf("array<int>")
+            vocabulary = read_vocabulary(f.read())
+        labels, added = vocabulary.labels, vocabulary.added
+        self.name = uuid.uuid4().hex
+        self.coder = spark.sparkContext.broadcast((labels, added, compile_merges(vocabulary)))
+        self.labels = spark.sparkContext.broadcast((labels,))
+
+    def encode(
+        self,
+        docs: DataFrame,
+        text_col: str = "text",
+        output_col: str = "tokens",
+        decoded_col: str | None = None,
+    ) -> DataFrame:
+        """Adds the token ids of each text; ``decoded_col`` gets what they spell, in the same step."""
+        name, shared, spells = self.name, self.coder, self.labels
+
+        @F.arrow_udf("struct<ids:array<int>,back:string>")
         def run(texts: pa.Array) -> pa.Array:
-            coder, out = _coder(shared), [pa.array([], pa.list_(pa.int32()))]
+            coder = _of_worker(Coder, shared, name)
+            ids, back = [pa.array([], pa.list_(pa.int32()))], [pa.array([], pa.string())]
             for a, b in steps(pc.utf8_length(texts).to_pylist(), ENCODE_CHARS):
-                ids = coder.encode(texts.slice(a, b - a).to_pylist())
-                ends = np.cumsum([0, *map(len, ids)]) // 4
-                flat = np.frombuffer(b"".join(ids), dtype=np.int32)
-                out.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat)))
-            return pa.concat_arrays(out)
-
-        return docs.withColumn(output_col, run.asNondeterministic()(text_or_empty(text_col)))
+                found = coder.encode(texts.slice(a, b - a).to_pylist())
+                ends = np.cumsum([0, *map(len, found)]) // 4
+                flat = np.frombuffer(b"".join(found), dtype=np.int32)
+                ids.append(pa.ListArray.from_arrays(ends.astype(np.int32), flat))
+                if decoded_col is not None:
+                    back.append(_of_worker(Labels, spells, name).decode(ids[-1]))
+                else:
+                    back.append(pa.nulls(b - a, pa.string()))
+            parts = [pa.concat_arrays(ids), pa.concat_arrays(back)]
+            return pa.StructArray.from_arrays(parts, ["ids", "back"])
+
+        found = fresh_name(docs, "_found")
+        both = docs.withColumn(found, run.asNondeterministic()(text_or_empty(text_col)))
+        out = both.withColumn(output_col, F.col(f"{found}.ids"))
+        if decoded_col is not None:
+            out = out.withColumn(decoded_col, F.col(f"{found}.back"))
+        return out.drop(found)
 
     def decode(self, docs: DataFrame, tokens_col: str = "tokens", output_col: str = "decoded") -> DataFrame:
         """Adds the text that token ids spell."""
-        shared = self.shared
+        name, spells = self.name, self.labels
 
         @F.arrow_udf("string")
         def run(tokens: pa.Array) -> pa.Array:
-            coder, out = _coder(shared), []
+            labels, out = _of_worker(Labels, spells, name), [pa.array([], pa.string())]
             for a, b in steps(tokens.value_lengths().to_pylist(), ENCODE_CHARS):
-                out += map(coder.decode, tokens.slice(a, b - a).to_pylist())
-            return pa.array(out, pa.string())
+                out.append(labels.decode(tokens.slice(a, b - a)))
+            return pa.concat_arrays(out)
 
         column = F.coalesce(F.col(tokens_col), F.array().cast("array<int>"))
         return docs.withColumn(output_col, run.asNondeterministic()(column))

@@ -163,7 +163,7 @@ def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     tokenizer = automaton.Tokenizer(spark, VOCABULARY_PATH)
-    coded = tokenizer.decode(tokenizer.encode(docs))
+    coded = tokenizer.encode(docs, decoded_col="decoded")
     return coded.select(
         "doc_id",
         F.size("tokens").cast("long").alias("n_tokens"),
