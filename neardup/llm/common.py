@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +68,17 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def return_memory() -> None:
+    """Hands free memory of this Python worker back to the system.
+
+    Workers stay for later tasks; what allocators keep would add up beside the
+    memory of the executor's JVM.
+    """
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # other systems than glibc's do without
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def batches_of(batch: pa.RecordBatch, text_col: str) -> Iterator[pa.RecordBatch]:
     """A batch cut into parts of bounded text."""
     lengths = pc.binary_length(batch.column(text_col)).fill_null(0).to_pylist()

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from neardup.llm.common import mix64, steps
+from neardup.llm.common import mix64, return_memory, steps
 from neardup.llm.components import components
 from neardup.session import broadcast_if_small, fits_broadcast, materialize
 
@@ -220,6 +220,7 @@ def _sketch_task(settings: Settings):
             for a, b in steps((len(t or b"") for t in texts), STEP_BYTES):
                 yield sketch(*(batch.column(c).slice(a, b - a) for c in ("id", "h")), texts[a:b])
         _word_hashes.clear()  # the worker lives on
+        return_memory()
 
     return run
 
@@ -362,6 +363,7 @@ def _confirm_task(settings: Settings):
             hit = 100 * both >= settings.percent * union
             root = forest(_square(len(ids), left, right, hit))
             yield _edges(ids, ids[root])
+        return_memory()
 
     return run
 
@@ -403,6 +405,7 @@ def _set_task(settings: Settings):
                     [*part.schema.names, "shingles"],
                 )
         _word_hashes.clear()
+        return_memory()
 
     return run
 

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from neardup.llm.common import fresh_name, steps, text_or_empty
+from neardup.llm.common import fresh_name, return_memory, steps, text_or_empty
 
 META = "▁"
 # Fixed values of the model format: kinds of pieces and of models.
@@ -34,7 +34,7 @@ UNIGRAM, BPE = 1, 2
 #: Characters of text encoded at once in a task.
 ENCODE_CHARS = 1 << 18
 #: Words whose ids a worker remembers before it starts anew.
-CACHED_WORDS = 1 << 17
+CACHED_WORDS = 1 << 16
 #: New words that are encoded as one string.
 WORDS_AT_ONCE = 64
 
@@ -378,21 +378,24 @@ def encode(
     settings = _settings(docs, model_path, threads, parity_col is not None)
 
     @F.arrow_udf("struct<pieces:array<int>,same:boolean,back:boolean>")
-    def run(texts: pa.Array) -> pa.Array:
-        ids, same = [pa.array([], pa.list_(pa.int32()))], [np.zeros(0, dtype=bool)]
-        back = [pa.array([], pa.bool_())]
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder.of(*settings.value)
-        for a, b in steps(pc.utf8_length(texts).to_pylist(), ENCODE_CHARS):
-            part = texts.slice(a, b - a)
-            some, agree = encoder.encode(part.to_pylist())
-            ids.append(some)
-            same.append(agree)
-            if round_trip_col is not None:
-                back.append(pc.equal(encoder.decode(some), part))
-            else:
-                back.append(pa.nulls(len(part), pa.bool_()))
-        parts = [pa.concat_arrays(ids), pa.array(np.concatenate(same)), pa.concat_arrays(back)]
-        return pa.StructArray.from_arrays(parts, ["pieces", "same", "back"])
+        for texts in batches:
+            ids, same = [pa.array([], pa.list_(pa.int32()))], [np.zeros(0, dtype=bool)]
+            back = [pa.array([], pa.bool_())]
+            for a, b in steps(pc.utf8_length(texts).to_pylist(), ENCODE_CHARS):
+                part = texts.slice(a, b - a)
+                some, agree = encoder.encode(part.to_pylist())
+                ids.append(some)
+                same.append(agree)
+                if round_trip_col is not None:
+                    back.append(pc.equal(encoder.decode(some), part))
+                else:
+                    back.append(pa.nulls(len(part), pa.bool_()))
+            parts = [pa.concat_arrays(ids), pa.array(np.concatenate(same)), pa.concat_arrays(back)]
+            del ids, same, back
+            yield pa.StructArray.from_arrays(parts, ["pieces", "same", "back"])
+            return_memory()
 
     found = fresh_name(docs, "_found")
     # Else a filter on the result would encode a second time.

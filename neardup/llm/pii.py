@@ -14,12 +14,13 @@ linear in the length of a text.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from neardup.llm.common import text_or_empty
+from neardup.llm.common import return_memory, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone", "iban")
 #: Confidence of a span before its surroundings are seen.
@@ -209,9 +210,11 @@ def mask_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows with personal data in ``text_col`` replaced by ``[KIND]``; null stays null."""
 
     @F.arrow_udf("string")
-    def mask(texts: pa.Array) -> pa.Array:
-        rows = (t.as_py() for t in texts)
-        return pa.array([None if t is None else masked(t) for t in rows], pa.string())
+    def mask(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            rows = (t.as_py() for t in texts)
+            yield pa.array([None if t is None else masked(t) for t in rows], pa.string())
+            return_memory()
 
     return docs.withColumn(text_col, mask(F.col(text_col)))
 
