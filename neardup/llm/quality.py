@@ -10,10 +10,12 @@ Training takes at most ``MAX_EACH`` labelled documents of either kind, those
 with the smallest hash of their id, and ``PAIRS_EACH`` pairs for each; both
 bounds are parameters. The threshold and the scores cover every document.
 
-Defined results: a null or empty text has zero features and is scored like
-another; without labels of both kinds every score is 0.5. Of several labels of
-one id the largest counts; null labels do not. Rows with a null id are scored
-and count as held out. Repeated rows score alike; other columns are ignored.
+Defined results: a null, empty or blank text scores 0, whatever the model, and has
+no part in the threshold; without labels of both kinds every other score is 0.5. Of
+several labels of one id the largest counts; null labels do not. Rows with a null
+id are scored and count as held out. Repeated rows score alike; other columns are
+ignored. The threshold follows the whole table, so a document's score may differ
+between two tables that hold it.
 """
 
 from __future__ import annotations
@@ -125,13 +127,14 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 3, fold: int = 1):
 
 
 def strengths(docs: DataFrame, weights: list[float]) -> DataFrame:
-    """``doc_id, strength`` of every row."""
+    """``doc_id, strength`` of every row; null without a word."""
     w = np.array(weights)
 
     @F.arrow_udf("double")
     def run(texts: pa.Array) -> pa.Array:
-        x = np.array([features(t.as_py() or "") for t in texts]).reshape(len(texts), len(w))
-        return pa.array(x @ w)
+        rows = [t.as_py() or "" for t in texts]
+        x = np.array([features(t) for t in rows]).reshape(len(rows), len(w))
+        return pa.array(x @ w, mask=np.array([not t.strip() for t in rows], dtype=bool))
 
     return docs.select("doc_id", run.asNondeterministic()("text").alias("strength"))
 
@@ -153,9 +156,10 @@ def threshold(strong: DataFrame, poor_share: float, n_labels: int) -> float:
 def score(docs: DataFrame, model) -> DataFrame:
     """``doc_id, score``: the chance to win against a document at the threshold."""
     if model is None:
-        return docs.select("doc_id", F.lit(0.5).alias("score"))
+        blank = F.coalesce(~F.col("text").rlike(r"(?U)\S"), F.lit(True))
+        return docs.select("doc_id", F.when(blank, 0.0).otherwise(0.5).alias("score"))
     weights, share, n = model
     strong = materialize(strengths(docs, weights), "strengths")
     cut = threshold(strong, share, n)
     chance = 1 / (1 + F.exp(F.lit(cut) - F.col("strength")))
-    return strong.select("doc_id", chance.alias("score"))
+    return strong.select("doc_id", F.coalesce(chance, F.lit(0.0)).alias("score"))
