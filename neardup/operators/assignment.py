@@ -12,13 +12,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from neardup.config import (
-    HOT_COPIES,
-    MAX_BROADCAST_BYTES,
-    SIM_DECIMALS,
-    SIM_METRICS,
-    validate_metric,
-)
+from neardup.config import MAX_BROADCAST_BYTES, SIM_DECIMALS, SIM_METRICS, validate_metric
 from neardup.functions.vectors import (
     COSINE_EPS,
     cosine_distance,
@@ -26,7 +20,6 @@ from neardup.functions.vectors import (
     l2_normalize,
 )
 from neardup.operators.arrow_blocks import matrix
-from neardup.operators.skew import hot_keys, salted_left_join
 from neardup.session import materialize
 
 _ASSIGNMENT = "struct<cluster_id:int,score:double>"
@@ -95,18 +88,65 @@ def centroid_matrix(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return _collect_centroids(centroids, dim)
 
 
-def _assign_udf(ids_bc, matrix_bc, score: str) -> Callable[[str], Column]:
+def _centroid_parts(centroids: DataFrame, k: int, dim: int, max_broadcast_bytes: int) -> list:
+    """Broadcast (ids, matrix) pairs in ascending ids, each within the limit.
+
+    The driver collects and sends one part at a time; of the rest it holds the ids only.
+    """
+    sc = centroids.sparkSession.sparkContext
+    each = max(1, max_broadcast_bytes // (dim * 8))
+    if k <= each:
+        return [sc.broadcast(_collect_centroids(centroids, dim))]
+    ids = centroids.select(F.col("cluster_id").cast("int").alias("cluster_id")).toArrow()
+    ids = np.sort(ids["cluster_id"].to_numpy())
+    if np.any(ids[1:] == ids[:-1]):
+        raise ValueError("cluster_id occurs more than once in the centroids")
+    parts = []
+    for at in range(0, k, each):
+        first, last = int(ids[at]), int(ids[min(at + each, k) - 1])
+        part = centroids.where(F.col("cluster_id").between(first, last))
+        parts.append(sc.broadcast(_collect_centroids(part, dim)))
+    return parts
+
+
+def _in_turn(parts: list):
+    """The value of each broadcast; of several, only one is held by the worker.
+
+    Encrypted broadcasts reach a worker with their value and stay in its memory.
+    """
+    for part in parts:
+        yield part.value
+        if len(parts) > 1 and hasattr(part, "_path"):
+            vars(part).pop("_value", None)
+
+
+def nearest_of_parts(rows: np.ndarray, parts: list, score: str):
+    """Id of the best centroid of each row over all ``parts`` and the score against it.
+
+    Ids ascend from part to part, so that only a strictly closer centroid replaces
+    the best so far: the result is that of one part.
+    """
+    cluster = np.zeros(len(rows), dtype=np.int32)
+    value = np.zeros(len(rows))
+    closest = np.full(len(rows), -np.inf)
+    for ids, centroids in _in_turn(parts):
+        pick, won, close = nearest(rows, centroids, score)
+        better = np.flatnonzero(close > closest)
+        cluster[better] = ids[pick[better]]
+        value[better] = won[better]
+        closest[better] = close[better]
+    return cluster, value
+
+
+def _assign_udf(parts: list, dim: int, score: str) -> Callable[[str], Column]:
     @F.arrow_udf(_ASSIGNMENT)
     def assign(vectors: pa.Array) -> pa.Array:
-        centroids = matrix_bc.value
         present = ~vectors.is_null().to_numpy(zero_copy_only=False)
         cluster = np.zeros(len(vectors), dtype=np.int32)
         value = np.zeros(len(vectors))
         if present.any():
-            rows = matrix(vectors.drop_null(), centroids.shape[1])
-            pick, won, _ = nearest(rows, centroids, score)
-            cluster[present] = ids_bc.value[pick]
-            value[present] = won
+            rows = matrix(vectors.drop_null(), dim)
+            cluster[present], value[present] = nearest_of_parts(rows, parts, score)
         return pa.StructArray.from_arrays(
             [pa.array(cluster, mask=~present), pa.array(value, mask=~present)],
             ["cluster_id", "score"],
@@ -121,24 +161,19 @@ def assign_nearest(
     centroids: DataFrame,
     score: str = "ip",
     vector_col: str = "embedding",
-    id_col: str = "id",
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Add ``cluster_id`` and ``score`` of the nearest centroid.
 
     ``score='ip'`` takes the largest inner product, ``'l2'`` the smallest
-    squared distance. The centroids are broadcast while they fit the limit (a
-    narrow, shuffle-free stage); beyond it rows meet blocks of centroids in a
-    shuffle and the best block wins.
+    squared distance; rows without a vector get NULL. A narrow stage: vectors
+    are never shuffled. Centroids beyond the limit are broadcast in parts of
+    that size, which a worker loads from its local copy one after another, each
+    row carrying its best so far.
     """
     _check_score(score)
     k, dim = _centroid_shape(centroids)
-    if k * dim * 8 > max_broadcast_bytes:
-        per_block = max(1, max_broadcast_bytes // (dim * 8))
-        return _assign_in_blocks(vectors, centroids, score, vector_col, id_col, k, per_block)
-    ids, values = _collect_centroids(centroids, dim)
-    sc = vectors.sparkSession.sparkContext
-    assign = _assign_udf(sc.broadcast(ids), sc.broadcast(values), score)
+    assign = _assign_udf(_centroid_parts(centroids, k, dim, max_broadcast_bytes), dim, score)
     return (
         vectors.withColumn("_nearest", assign(vector_col))
         .withColumn("cluster_id", F.col("_nearest.cluster_id"))
@@ -147,57 +182,6 @@ def assign_nearest(
     )
 
 
-def _assign_in_blocks(vectors, centroids, score, vector_col, id_col, k, per_block) -> DataFrame:
-    """Block join: every (centroid block, row slice) pair is one bounded group."""
-    blocks = -(-k // per_block)
-    slices = max(1, -(-vectors.count() // max(per_block, 1024)))
-    rows = vectors.where(F.col(vector_col).isNotNull()).select(
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"),
-        F.pmod(F.xxhash64(id_col), F.lit(slices)).alias("_slice"),
-        F.col(id_col).alias("_id"),
-        F.col(vector_col).cast("array<double>").alias("_v"),
-    )
-    models = centroids.select(
-        F.pmod(F.xxhash64("cluster_id"), F.lit(blocks)).cast("int").alias("_block"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))).alias(
-            "_slice"
-        ),
-        F.col("cluster_id").cast("int").alias("cluster_id"),
-        F.col("centroid").cast("array<double>").alias("_v"),
-    )
-
-    def best_of_block(left: pa.Table, right: pa.Table) -> pa.Table:
-        if left.num_rows == 0 or right.num_rows == 0:
-            left, right = left.slice(0, 0), None
-            cluster, value, closest = np.zeros(0, np.int32), np.zeros(0), np.zeros(0)
-        else:
-            right = right.sort_by("cluster_id")
-            pick, value, closest = nearest(matrix(left["_v"]), matrix(right["_v"]), score)
-            cluster = right["cluster_id"].to_numpy()[pick]
-        return pa.table(
-            {
-                "_id": left["_id"],
-                "cluster_id": pa.array(cluster, pa.int32()),
-                "score": value,
-                "closest": closest,
-            }
-        )
-
-    id_type = vectors.schema[id_col].dataType.simpleString()
-    best = (
-        rows.groupBy("_block", "_slice")
-        .cogroup(models.groupBy("_block", "_slice"))
-        .applyInArrow(best_of_block, f"_id {id_type}, cluster_id int, score double, closest double")
-    )
-    rank = -F.col("closest")
-    won = (
-        best.groupBy("_id")
-        .agg(F.min(F.struct(rank.alias("r"), "cluster_id", "score")).alias("w"))
-        .select("_id", "w.cluster_id", "w.score")
-    )
-    return vectors.join(won, F.col(id_col) == F.col("_id"), "left").drop("_id")
-
-
 def distance_to_centroid(
     assigned: DataFrame,
     sim_metric: str,
@@ -228,27 +212,18 @@ def with_centroid_distance(
     output_col: str = "sq_dist",
     vector_col: str = "embedding",
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
-    hot_rows: int = HOT_COPIES,
 ) -> DataFrame:
     """Distance of each row to the centroid it already belongs to.
 
     ``metric='l2'`` is the squared distance, ``'cosine'`` is 1 - cosine
-    similarity. Centroids within the limit are broadcast to an Arrow stage;
-    larger sets are joined in, the rows of a hot cluster spread by a hash of
-    their vector. Both ways share one computation.
+    similarity. A narrow stage, whatever the number of rows of a cluster;
+    centroids beyond the limit are broadcast in parts, loaded one after another.
+    Rows without a vector or of an unknown cluster get NULL.
     """
     if metric not in SIM_METRICS:
         raise ValueError(f"metric must be one of {SIM_METRICS}, got {metric!r}")
     k, dim = _centroid_shape(centroids)
-    if k * dim * 8 > max_broadcast_bytes:
-        own = centroids.select("cluster_id", F.col("centroid").alias("_centroid"))
-        hot = hot_keys(assigned.where("cluster_id is not null"), ["cluster_id"], hot_rows)
-        joined = salted_left_join(assigned, own, ["cluster_id"], hot, vector_col)
-        measure = _measure_beside_udf(metric)
-        return joined.withColumn(output_col, measure(vector_col, "_centroid")).drop("_centroid")
-    ids, values = _collect_centroids(centroids, dim)
-    sc = assigned.sparkSession.sparkContext
-    measure = _measure_udf(sc.broadcast(ids), sc.broadcast(values), metric)
+    measure = _measure_udf(_centroid_parts(centroids, k, dim, max_broadcast_bytes), dim, metric)
     return assigned.withColumn(output_col, measure(vector_col, F.col("cluster_id").cast("int")))
 
 
@@ -262,33 +237,23 @@ def _distances(rows: np.ndarray, own: np.ndarray, metric: str) -> np.ndarray:
     return 1 - np.einsum("ij,ij->i", rows, own) / (lengths[0] * lengths[1])
 
 
-def _measure_beside_udf(metric: str):
-    @F.arrow_udf("double")
-    def measure(vectors: pa.Array, centroids: pa.Array) -> pa.Array:
-        both = pc.and_(vectors.is_valid(), centroids.is_valid())
-        present = both.to_numpy(zero_copy_only=False)
-        out = np.zeros(len(vectors))
-        if present.any():
-            own = matrix(centroids.filter(both))
-            out[present] = _distances(matrix(vectors.filter(both), own.shape[1]), own, metric)
-        return pa.array(np.round(out, SIM_DECIMALS), mask=~present)
-
-    return measure.asNondeterministic()
-
-
-def _measure_udf(ids_bc, matrix_bc, metric: str):
+def _measure_udf(parts: list, dim: int, metric: str):
     @F.arrow_udf("double")
     def measure(vectors: pa.Array, clusters: pa.Array) -> pa.Array:
-        ids, centroids = ids_bc.value, matrix_bc.value
-        at = np.searchsorted(ids, clusters.fill_null(-1).to_numpy(zero_copy_only=False))
-        at = np.minimum(at, len(ids) - 1)
-        known = pc.equal(clusters, pa.array(ids[at])).fill_null(False)
-        present = pc.and_(known, vectors.is_valid()).to_numpy(zero_copy_only=False)
+        both = pc.and_(vectors.is_valid(), clusters.is_valid())
+        rows = matrix(vectors.filter(both), dim)
+        wanted = clusters.filter(both).to_numpy(zero_copy_only=False)
+        found, seen = np.zeros(len(rows)), np.zeros(len(rows), dtype=bool)
+        for ids, centroids in _in_turn(parts) if len(rows) else ():
+            at = np.minimum(np.searchsorted(ids, wanted), len(ids) - 1)
+            here = np.flatnonzero(ids[at] == wanted)
+            found[here] = _distances(rows[here], centroids[at[here]], metric)
+            seen[here] = True
+        known = both.to_numpy(zero_copy_only=False).copy()
         out = np.zeros(len(vectors))
-        if present.any():
-            rows = matrix(vectors.filter(pa.array(present)), centroids.shape[1])
-            out[present] = _distances(rows, centroids[at[present]], metric)
-        return pa.array(np.round(out, SIM_DECIMALS), mask=~present)
+        out[known] = np.round(found, SIM_DECIMALS)
+        known[known] = seen
+        return pa.array(out, mask=~known)
 
     # Filters on the result are not pushed below it, which would compute it twice.
     return measure.asNondeterministic()
@@ -300,16 +265,13 @@ def assign_and_measure(
     sim_metric: str = "cosine",
     spherical: bool = True,
     vector_col: str = "embedding",
-    id_col: str = "id",
 ) -> DataFrame:
     """Assignment with the distance of the run's metric: ``cluster_id``, ``dist``.
 
     Spherical training searches by inner product, ordinary training by L2.
     """
     validate_metric(sim_metric, spherical)
-    assigned = assign_nearest(
-        vectors, centroids, "ip" if spherical else "l2", vector_col, id_col
-    )
+    assigned = assign_nearest(vectors, centroids, "ip" if spherical else "l2", vector_col)
     return distance_to_centroid(assigned, sim_metric, spherical, centroids, vector_col).drop(
         "score"
     )

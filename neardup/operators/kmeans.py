@@ -85,13 +85,13 @@ def train_or_load_kmeans(
     return model
 
 
-def _lloyd_step_in_blocks(
-    vectors: DataFrame, centroids: DataFrame, spherical, vector_col, id_col, max_broadcast_bytes
+def _lloyd_step_in_parts(
+    vectors: DataFrame, centroids: DataFrame, spherical, vector_col, max_broadcast_bytes
 ) -> DataFrame:
     """One step with the centroids as a table, written so that lineage does not grow."""
-    rows = vectors.where(F.col(vector_col).isNotNull()).select(id_col, vector_col)
+    rows = vectors.where(F.col(vector_col).isNotNull()).select(vector_col)
     assigned = assign_nearest(
-        rows, centroids, "ip" if spherical else "l2", vector_col, id_col, max_broadcast_bytes
+        rows, centroids, "ip" if spherical else "l2", vector_col, max_broadcast_bytes
     )
     means = assigned.groupBy("cluster_id").agg(
         vector_to_array(Summarizer.mean(array_to_vector(vector_col))).alias("_mean")
@@ -144,22 +144,22 @@ def lloyd(
     niter: int,
     spherical: bool = False,
     vector_col: str = "embedding",
-    id_col: str = "id",
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Lloyd iterations from given centroids; an empty cluster keeps its centroid.
 
     A step is one narrow pass that leaves at most k partial sums per task and a
     shuffle of those sums; rows never move. Centroids beyond the limit stay a
-    table: rows meet them in the block join of the assignment.
+    table that is broadcast in parts (:func:`assign_nearest`); sums of a task then
+    leave it as Spark's partial aggregates.
     """
     spark = vectors.sparkSession
     k, dim = initial.agg(F.count(F.lit(1)), F.max(F.size("centroid"))).first()
     if k * dim * 8 > max_broadcast_bytes:
         centroids = initial.select("cluster_id", F.col("centroid").cast("array<double>"))
         for _ in range(niter):
-            centroids = _lloyd_step_in_blocks(
-                vectors, centroids, spherical, vector_col, id_col, max_broadcast_bytes
+            centroids = _lloyd_step_in_parts(
+                vectors, centroids, spherical, vector_col, max_broadcast_bytes
             )
         return centroids
     ids, centroids = centroid_matrix(initial)

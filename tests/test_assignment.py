@@ -79,6 +79,44 @@ def test_block_join_equals_broadcast(rows, score):
     tiny = assignment.assign_nearest(rows, centroids, score, max_broadcast_bytes=3 * 64 * 8)
     want = sorted(wide.select("id", "cluster_id", "score").collect())
     assert sorted(tiny.select("id", "cluster_id", "score").collect()) == want
+    far = assignment.with_centroid_distance(tiny, centroids, max_broadcast_bytes=3 * 64 * 8)
+    for narrow in (tiny, far):
+        plan = narrow._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_parts_of_centroids_are_held_one_at_a_time(spark):
+    class Part:
+        _path = "local copy"
+
+        def __init__(self, value):
+            self.loaded, self.stored = 0, value
+
+        @property
+        def value(self):
+            if not hasattr(self, "_value"):
+                self.loaded, self._value = self.loaded + 1, self.stored
+            return self._value
+
+    parts = [Part((np.array([i]), np.eye(3)[[i]])) for i in range(3)]
+    for _ in range(2):
+        cluster, score = assignment.nearest_of_parts(np.eye(3)[[2, 0, 1, 1]], parts, "ip")
+        assert cluster.tolist() == [2, 0, 1, 1] and score.tolist() == [1.0] * 4
+    assert [p.loaded for p in parts] == [2, 2, 2]
+    assert not any(hasattr(p, "_value") for p in parts)
+    alone = [Part((np.arange(3), np.eye(3)))]
+    for _ in range(2):
+        assignment.nearest_of_parts(np.eye(3), alone, "l2")
+    assert alone[0].loaded == 1
+
+
+def test_a_centroid_id_given_twice_is_refused_by_parts(spark, rows):
+    twice = spark.createDataFrame(
+        [(1, [0.0] * 64), (1, [1.0] * 64), (2, [2.0] * 64)],
+        "cluster_id int, centroid array<double>",
+    )
+    with pytest.raises(ValueError, match="more than once"):
+        assignment.assign_nearest(rows, twice, max_broadcast_bytes=64 * 8)
 
 
 def test_assignment_is_the_argmax_and_nulls_pass_through(spark, rows):
@@ -196,7 +234,7 @@ def test_one_tie_rule_however_centroids_are_cut(spark):
         assert 200 < tied <= 300
 
 
-def test_distances_joined_in_equal_the_broadcast_ones(spark):
+def test_distances_by_parts_equal_those_by_one_broadcast(spark):
     rng = np.random.default_rng(10)
     centroids = spark.createDataFrame(
         [(i, [float(x) for x in c]) for i, c in enumerate(rng.normal(size=(4, 6)))],
@@ -210,7 +248,7 @@ def test_distances_joined_in_equal_the_broadcast_ones(spark):
     for metric in ("l2", "cosine"):
         one = assignment.with_centroid_distance(rows, centroids, metric).select("id", "sq_dist")
         cut = assignment.with_centroid_distance(
-            rows, centroids, metric, max_broadcast_bytes=1, hot_rows=20
+            rows, centroids, metric, max_broadcast_bytes=1
         ).select("id", "sq_dist")
         assert sorted(cut.collect(), key=str) == sorted(one.collect(), key=str)
 
