@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from neardup import sinks, sources
-from neardup.config import DEFAULT_EPS_LIST, PruneConfig, eps_name
+from neardup.config import DEFAULT_EPS_LIST, SIM_METRICS, PruneConfig, eps_name, validate_metric
 from neardup.functions.embedding import embed, hashed_bag_of_words, last_token_vectors
-from neardup.functions.vectors import l2_normalize
+from neardup.functions.vectors import l2_normalize, pool_last_token
 from neardup.operators import assignment, extraction, kmeans, pairs, pruning, ranking, statistics
 from neardup.plans.prune import prune_table, prune_vectors
 from neardup.session import materialize, scratch_path
@@ -188,6 +188,21 @@ def last_token_pool(spark, sf_dir):
     return _elements(pooled, "label", "embedding")
 
 
+#: Tokens of the nested form: each vector is cut into so many.
+TOKENS = 16
+
+
+def last_token_pool_nested(spark, sf_dir):
+    """Vectors cut into tokens of a few values each, pooled within their row."""
+    width = DIM // TOKENS
+    tokens = F.transform(
+        F.sequence(F.lit(0), F.lit(TOKENS - 1)),
+        lambda t: F.slice("embedding", t * width + 1, F.lit(width)),
+    )
+    nested = vectors(spark, sf_dir).withColumn("tokens", tokens)
+    return _elements(nested.withColumn("pooled", pool_last_token("tokens")), "id", "pooled")
+
+
 def dist_cosine(spark, sf_dir):
     return _label_dist(spark, sf_dir).select("id", "cluster_id", _six("dist"))
 
@@ -280,6 +295,46 @@ def kmeans_invariants(spark, sf_dir):
     )
 
 
+def saved_model_reused(spark, sf_dir):
+    """A saved model is loaded in place of training, whatever the training asked for."""
+    rows = vectors(spark, sf_dir).drop("label")
+    path = scratch_path(spark, "kmeans")
+    placed = []
+    for steps, seed in ((5, 1234), (1, 99)):
+        kmeans.train_or_load_kmeans(
+            rows, path, num_clusters=10, niter=steps, seed=seed, spherical=True
+        )
+        found = kmeans.saved_centroids(spark, path)
+        placed.append(materialize(assignment.assign_and_measure(rows, found), "assigned"))
+    first, again = placed
+    again = again.select("id", F.struct("cluster_id", "dist").alias("again"))
+    same = F.struct("cluster_id", "dist").eqNullSafe(F.col("again"))
+    return first.join(again, "id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(same).alias("n_same")
+    )
+
+
+def metric_options(spark, sf_dir):
+    """Cost of every combination of metric and training; one that is refused has none."""
+    rows = vectors(spark, sf_dir)
+    costs = []
+    for metric in (*SIM_METRICS, "dot"):
+        for spherical in (True, False):
+            option = [F.lit(metric).alias("metric"), F.lit(spherical).alias("spherical")]
+            try:
+                validate_metric(metric, spherical)
+            except ValueError:
+                none = rows.agg(F.count("id").alias("n_rows")).select("n_rows", *option)
+                costs.append(none.withColumn("cost", F.lit(None).cast("double")))
+                continue
+            means = assignment.label_centroids(rows, "label", spherical=spherical)
+            placed = assignment.assign_and_measure(rows, means, metric, spherical)
+            cost = F.round(F.sum("dist"), 4).alias("cost")
+            summed = placed.agg(F.count("id").alias("n_rows"), cost)
+            costs.append(summed.select("n_rows", *option, "cost"))
+    return reduce(DataFrame.unionByName, costs)
+
+
 def assign_and_sort(spark, sf_dir):
     return ranking.rank_within_cluster(_assigned(spark, sf_dir)).select(
         "cluster_id", "rank", "id", _six("dist")
@@ -437,6 +492,26 @@ def run_given_centroids(spark, sf_dir):
     )
 
 
+def run_with_statistics(spark, sf_dir):
+    """Cluster statistics of a run on files, from the comparison that prunes."""
+    rows = vectors(spark, sf_dir)
+    centroids = assignment.label_centroids(rows, "label")
+    path = scratch_path(spark, "run")
+    config = PruneConfig(eps_list=WIDE_EPS, save_eps_list=WIDE_EPS)
+    tables = prune_vectors(
+        rows.drop("label"), path, config, centroids=centroids, with_stats=True, buckets=4
+    )
+    flagged = tables["eps_stats"].where(F.col("eps") == WIDE_EPS[-1])
+    return (
+        tables["cluster_stats"]
+        .join(flagged.select("cluster_id", "num_duplicates"), "cluster_id")
+        .select(
+            "cluster_id", "cluster_size", "num_duplicates", _six("avg_sim_to_cent"),
+            _six("std_sim_to_cent"), _six("std_pair_w_sim"), _six("max_sim"), _six("min_sim"),
+        )
+    )
+
+
 # --- written and read back -------------------------------------------------
 
 
@@ -620,6 +695,7 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         prune_invalid_vectors, run_given_centroids, kmeans_invariants,
         assignment_round_trip, sorted_clusters_round_trip, prune_table_round_trip,
         stats_round_trip, kept_round_trip, retained_round_trip, pruned_corpus_lines,
+        last_token_pool_nested, saved_model_reused, metric_options, run_with_statistics,
     ]
     queries = {q.__name__: q for q in named}
     queries["l2_normalize"] = queries.pop("normalize_vectors")

@@ -5,9 +5,11 @@ from __future__ import annotations
 from neardup.config import SIM_DECIMALS, eps_name
 from neardup.plans.table_queries import (
     CHUNK_LIMIT,
+    DIM,
     DOC_CHUNK_LIMIT,
     DOC_EPS,
     LINE_EPS,
+    TOKENS,
     WIDE_EPS,
 )
 
@@ -307,6 +309,44 @@ def table_sql() -> dict[str, str]:
     sql["kmeans_invariants"] = f"""with {_VEC}
         select count(*) as n_rows, round(sum(list_sum(v)), 4) as total, 10::bigint as n_clusters,
           10::bigint as unit_centroids, true as not_above_start from vec"""
+    sql["last_token_pool_nested"] = f"""with {_VEC}
+        select id, (i - 1)::int as dim, round(x, 6) as value from
+        (select id, unnest(p) as x, generate_subscripts(p, 1) as i
+         from (select id, v[{DIM - DIM // TOKENS + 1}:{DIM}] as p from vec))"""
+    sql["saved_model_reused"] = """select count(*) as n_rows, count(*) as n_same
+        from embeddings"""
+    cosine = (
+        "1 - list_inner_product(v, c) / "
+        "(sqrt(list_inner_product(v, v)) * sqrt(list_inner_product(c, c)))"
+    )
+    sql["metric_options"] = f"""with {_ASSIGNED}, {_means("vec", "label", "plain", False)},
+        every as (select s.id, s.v, c.c, {_SQ} as sq, c.cluster_id from vec s cross join plain c),
+        near as (select * from every
+          qualify row_number() over (partition by id order by sq, cluster_id) = 1),
+        options as (select * from (values ('cosine', true), ('cosine', false), ('l2', true),
+          ('l2', false), ('dot', true), ('dot', false)) o(metric, spherical))
+        select metric, spherical, (select count(*) from vec) as n_rows,
+          case when metric = 'cosine' and spherical
+                 then (select round(sum(dist), 4) from placed)
+               when metric = 'cosine' then (select round(sum({cosine}), 4) from near)
+               when metric = 'l2' and not spherical then (select round(sum(sq), 4) from near)
+          end as cost
+        from options"""
+    sql["run_with_statistics"] = f"""with {_ASSIGNED},
+        {_ranked("placed", "cluster_id", "dist desc, id")},
+        {_prior("ranked", ["cluster_id"], "rank")},
+        dups as (select cluster_id, count(*) filter (max_sim > 1 - {WIDE_EPS[-1]!r}::double)
+            as num_duplicates from prior group by 1),
+        cents as (select cluster_id, count(*) as n, avg(1 - dist) as a, stddev_pop(1 - dist) as d
+          from placed group by 1),
+        sums as (select a.cluster_id, sum(s) as s, sum(s * s) as q, max(s) as hi, min(s) as lo
+          from (select a.cluster_id, list_inner_product(a.v, b.v) as s from placed a
+                join placed b on a.cluster_id = b.cluster_id and a.id <> b.id) a group by 1)
+        select cluster_id, n as cluster_size, num_duplicates, round(a, 6) as avg_sim_to_cent,
+          round(d, 6) as std_sim_to_cent,
+          round({_std("n::double", "s", "q")}, 6) as std_pair_w_sim,
+          round(hi, 6) as max_sim, round(lo, 6) as min_sim
+        from cents join sums using (cluster_id) join dups using (cluster_id) where n > 1"""
     sql["pruned_corpus_lines"] = f"""with {_LANG_PRIOR}
         select eps, row_number() over (partition by eps order by doc_id) - 1 as line_no, doc_id
         from documents join prior on id = doc_id cross join {_eps_rows(LINE_EPS)}
