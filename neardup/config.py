@@ -63,7 +63,8 @@ class PruneConfig:
     """Parameters of one pruning run.
 
     ``dataset_size`` is the denominator of the retained percentage; the corpus
-    is counted when it is None.
+    is counted when it is None. ``flags_only`` finds no similarity up to
+    1 - max(eps_list), which leaves out the comparison of vectors far apart.
     """
 
     num_clusters: int = 100
@@ -78,6 +79,7 @@ class PruneConfig:
     largest_cluster_size_to_process: int | None = None
     dataset_size: int | None = None
     block_rows: int = BLOCK_ROWS
+    flags_only: bool = False
 
     def __post_init__(self):
         validate_metric(self.sim_metric, self.spherical)

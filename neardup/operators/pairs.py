@@ -26,6 +26,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from neardup.config import BLOCK_ROWS, HOT_COPIES, SIM_DECIMALS
 from neardup.operators.arrow_blocks import matrix
+from neardup.operators.bounds import CELLS, near_blocks
 from neardup.operators.skew import salted_left_join
 from neardup.session import fits_broadcast, materialize
 
@@ -143,13 +144,27 @@ def _every_vector(keyed: DataFrame, by: list[str], orders: list[str]) -> DataFra
     )
 
 
-def _block_pairs(distinct: DataFrame, shape: Shape, by: list[str], block_rows: int):
-    """Send every row to each pair of blocks it belongs to: adds ``_p <= _q`` and ``_b``."""
+def _block_pairs(
+    distinct: DataFrame, shape: Shape, by: list[str], block_rows: int, above: float | None, cells: int
+):
+    """Send every row to each pair of blocks it belongs to: adds ``_p <= _q`` and ``_b``.
+
+    With ``above`` it goes only to those in which a similarity may exceed it.
+    """
     spark = distinct.sparkSession
     zero = F.lit(0).alias("_b"), F.lit(0).alias("_p"), F.lit(0).alias("_q")
     sent = distinct.where(F.expr(" and ".join(f"`{c}` is not null" for c in by)))
+    near = None
+    if above is not None and shape.large_clusters:
+        near = near_blocks(sent, shape.sizes, shape.large_clusters, by, block_rows, above, cells)
     if shape.large_clusters == 0:
         sent = sent.select("*", *zero)
+    elif near is not None:
+        sent = (
+            near.withColumn("_p", F.least("_b", "_other"))
+            .withColumn("_q", F.greatest("_b", "_other"))
+            .drop("_other")
+        )
     else:
         # Only clusters of several blocks are looked up: few rows, and counted.
         blocks = shape.sizes.where(F.col("_vectors") > block_rows).select(
@@ -453,7 +468,7 @@ class ClusterPairs:
     vectors. ``vectors``: one row per cluster and distinct vector with the
     reductions. ``shape``: sizes per cluster and their counts. ``hot``: the
     vectors with very many copies and the number of ``_salts`` to spread them
-    over; None where there are none.
+    over; None where there are none. ``sent``: the rows of every block pair.
     """
 
     by: list[str]
@@ -464,6 +479,8 @@ class ClusterPairs:
     vectors: DataFrame
     shape: Shape
     hot: DataFrame | None = None
+    above: float | None = None
+    sent: DataFrame | None = None
 
     def materialized(self) -> ClusterPairs:
         """Run the pair join once for several uses of its result."""
@@ -476,7 +493,10 @@ class ClusterPairs:
         return salted_left_join(self.members, vectors, keys, self.hot, "_id")
 
     def prior_similarity(self) -> DataFrame:
-        """Per row: ``max_sim``, ``mate_id`` and the mate's order columns."""
+        """Per row: ``max_sim``, ``mate_id`` and the mate's order columns.
+
+        Of a comparison ``above`` a threshold, ``max_sim`` is 0 up to it.
+        """
         orders = [f"_o{i}" for i in range(len(self.order))]
         joined = self.with_reductions(["_before", "_copy", "_between"])
         here = F.struct(*orders)
@@ -488,7 +508,7 @@ class ClusterPairs:
         with_between = F.concat(plain, F.filter("_between", is_earlier))
         # Ascending (-similarity, order) puts the most similar, then earliest, mate first.
         best = F.array_min(F.when(F.size("_between") > 0, with_between).otherwise(plain))
-        positive = F.col("_best._down") < 0
+        positive = -F.col("_best._down") > F.lit(float(self.above or 0))
         return joined.withColumn("_best", best).select(
             *self.by,
             F.col("_id").alias(self.id_col),
@@ -502,6 +522,20 @@ class ClusterPairs:
         )
 
 
+    def compared_pairs(self) -> DataFrame:
+        """Per cluster: ``n_pairs`` of distinct vectors, and ``n_compared`` of them.
+
+        For reports; the blocks are made again.
+        """
+        left, right = (F.count_if(F.col("_b") == F.col(c)) for c in ("_p", "_q"))
+        pairs = F.when(F.col("_p") == F.col("_q"), left * (left - 1) / 2).otherwise(left * right)
+        met = self.sent.groupBy(*self.by, "_p", "_q").agg(pairs.alias("_n"))
+        met = met.groupBy(*self.by).agg(F.sum("_n").cast("long").alias("n_compared"))
+        n = F.col("_vectors")
+        every = self.shape.sizes.select(*self.by, (n * (n - 1) / 2).cast("long").alias("n_pairs"))
+        return every.join(met, self.by)
+
+
 def compare_within_clusters(
     members: DataFrame,
     by: list[str] | tuple[str, ...] = ("cluster_id",),
@@ -513,6 +547,8 @@ def compare_within_clusters(
     collapse_copies: bool = True,
     with_sums: bool = True,
     hot_copies: int = HOT_COPIES,
+    above: float | None = None,
+    cells: int = CELLS,
 ) -> ClusterPairs:
     """Compare all rows of each cluster in one pass.
 
@@ -520,7 +556,13 @@ def compare_within_clusters(
     ``with_sums`` each row is summed up over all others (and counted per
     threshold of ``eps_list``). A vector with more than ``hot_copies`` copies
     is salted where results go back to the rows.
+
+    ``above`` asks for similarities above a threshold only: large clusters are cut
+    into at most ``cells`` cells of near vectors each, and what bounds prove to stay
+    at or below it is not compared (:mod:`neardup.operators.bounds`).
     """
+    if above is not None and (with_sums or above < 0):
+        raise ValueError("a threshold must not be negative and goes without sums")
     by, order, eps_list = list(by), list(order), list(eps_list)
     with_prior = bool(order)
     orders = [f"_o{i}" for i in range(len(order))]
@@ -561,14 +603,16 @@ def compare_within_clusters(
     task = _block_pair_task(
         by, orders, eps_list, with_prior, with_sums, to_arrow_schema(schema)
     )
+    sent = _block_pairs(distinct, shape, by, block_rows, above, cells)
     vectors = (
-        _block_pairs(distinct, shape, by, block_rows)
-        .groupBy(*by, "_p", "_q")
+        sent.groupBy(*by, "_p", "_q")
         .applyInArrow(task, schema)
         .groupBy(*by, "_f1", "_f2")
         .agg(*wanted)
     )
-    return ClusterPairs(by, order, id_col, eps_list, keyed.drop("_v"), vectors, shape, hot)
+    return ClusterPairs(
+        by, order, id_col, eps_list, keyed.drop("_v"), vectors, shape, hot, above, sent
+    )
 
 
 def max_prior_similarity(
@@ -579,6 +623,7 @@ def max_prior_similarity(
     vector_col: str = "embedding",
     block_rows: int = BLOCK_ROWS,
     collapse_copies: bool = True,
+    above: float | None = None,
 ) -> DataFrame:
     """Largest similarity of each row to any earlier row of its cluster.
 
@@ -588,7 +633,10 @@ def max_prior_similarity(
     similarity), ``mate_id`` (the earliest row that attains it, NULL at 0) and
     ``mate_<order column>`` for other order columns. Rows without a vector have
     ``max_sim`` 0, and so have rows whose vector is not finite.
+
+    With ``above`` only similarities above it are found, and ``max_sim`` is 0 up to it.
     """
     return compare_within_clusters(
-        members, by, order, (), id_col, vector_col, block_rows, collapse_copies, with_sums=False
-    ).prior_similarity()
+        members, by, order, (), id_col, vector_col, block_rows, collapse_copies,
+        with_sums=False, above=above,
+    ).prior_similarity()

@@ -35,6 +35,32 @@ def flag_duplicates_wide(prior: DataFrame, eps_list) -> DataFrame:
     return prior.select("*", *flags)
 
 
+def least_threshold(eps_list) -> float | None:
+    """The similarity that a row must exceed to be flagged at all; None if that is negative."""
+    least = min(1 - e for e in validate_eps(eps_list))
+    return least if least >= 0 else None
+
+
+def flags_by_bounds(
+    members: DataFrame,
+    eps_list,
+    by: list[str] | tuple[str, ...] = ("cluster_id",),
+    order: list[str] | tuple[str, ...] = ("rank",),
+    id_col: str = "id",
+    vector_col: str = "embedding",
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Long prune table, equal in its flags to that of the full comparison.
+
+    Pairs that bounds prove too far apart for any threshold are not compared, so
+    that no similarity comes with the flags.
+    """
+    prior = max_prior_similarity(
+        members, by, order, id_col, vector_col, block_rows, above=least_threshold(eps_list)
+    )
+    return flag_duplicates(prior.select(*by, id_col, "max_sim"), eps_list).drop("max_sim")
+
+
 def prune_clusters(
     ranked: DataFrame,
     limit: int | None = None,

@@ -79,8 +79,9 @@ def compare_members(
         placed = ranking.split_into_chunks(ranked.select("cluster_id", "id", "rank"), limit)
         keyed = assigned.join(placed, ["cluster_id", "id"])
         by, order = ("cluster_id", "chunk"), ("rank",)
+    above = pruning.least_threshold(config.eps_list) if config.flags_only else None
     return compare_within_clusters(
-        keyed, by, order, block_rows=config.block_rows, with_sums=with_sums
+        keyed, by, order, block_rows=config.block_rows, with_sums=with_sums, above=above
     )
 
 
@@ -162,6 +163,8 @@ def prune_vectors(
     batch is made of whole folders, and its part of the assignment is stored
     by itself, so that a batch and a resume read no other part.
     """
+    if with_stats and config.flags_only:
+        raise ValueError("statistics need every similarity: flags_only goes without them")
     spark = vectors.sparkSession
     at = RunPaths(output)
     read = spark.read.parquet

@@ -424,6 +424,16 @@ def flag_wide(spark, sf_dir):
     )
 
 
+#: Blocks small enough that the larger languages take several.
+BOUNDED_BLOCK = 128
+
+
+def flag_by_bounds(spark, sf_dir):
+    return pruning.flags_by_bounds(
+        documents(spark, sf_dir), DOC_EPS, ("lang",), ("id",), block_rows=BOUNDED_BLOCK
+    ).select("lang", "id", "eps", "is_dup")
+
+
 def singletons(spark, sf_dir):
     """Documents clustered by their length: many clusters of one, never flagged."""
     members = documents(spark, sf_dir).withColumnRenamed("n_chars", "cluster_id")
@@ -695,7 +705,7 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         prune_invalid_vectors, run_given_centroids, kmeans_invariants,
         assignment_round_trip, sorted_clusters_round_trip, prune_table_round_trip,
         stats_round_trip, kept_round_trip, retained_round_trip, pruned_corpus_lines,
-        last_token_pool_nested, saved_model_reused, metric_options, run_with_statistics,
+        flag_by_bounds, last_token_pool_nested, saved_model_reused, metric_options, run_with_statistics,
     ]
     queries = {q.__name__: q for q in named}
     queries["l2_normalize"] = queries.pop("normalize_vectors")

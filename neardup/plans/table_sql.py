@@ -289,6 +289,7 @@ def table_sql() -> dict[str, str]:
             where not max_sim > 1 - eps""",
     }
     for name, same in {
+        "flag_by_bounds": "flag_long",
         "run_given_centroids": "prune_table_rows",
         "assignment_round_trip": "dist_spherical",
         "prune_table_round_trip": "flag_wide",

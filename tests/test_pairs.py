@@ -6,9 +6,15 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from neardup.operators.bounds import near_blocks
 from neardup.operators.extraction import kept_ids, removed_ids, retained_ratio
 from neardup.operators.pairs import compare_within_clusters, max_prior_similarity
-from neardup.operators.pruning import flag_duplicates, prune_clusters
+from neardup.operators.pruning import (
+    flag_duplicates,
+    flags_by_bounds,
+    least_threshold,
+    prune_clusters,
+)
 from neardup.operators.statistics import member_similarity, members_of
 from tests import brute
 
@@ -267,3 +273,76 @@ def test_rows_that_repeat_whole_rows_are_no_copies_of_themselves(spark):
     twice = rows.unionByName(rows.where("id = 1"))
     got = sorted((r.id, round(r.max_sim, 6)) for r in max_prior_similarity(twice).collect())
     assert got == [(0, 0.0), (1, 0.984808), (1, 0.984808), (2, 0.984808)]
+
+
+# --- bounds ----------------------------------------------------------------
+
+
+def clumps(rng, n, clumps, dim=16, spread=0.05):
+    """Unit vectors around a few directions, and copies of some of them."""
+    middle = rng.normal(size=(clumps, dim))
+    v = middle[rng.integers(0, clumps, n)] + spread * rng.normal(size=(n, dim)) * rng.random((n, 1))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    v[n // 2 : n // 2 + n // 10] = v[: n // 10]
+    return v
+
+
+@pytest.mark.parametrize("lengths", [False, True])
+def test_bounds_leave_out_pairs_and_lose_none(spark, lengths):
+    rng = np.random.default_rng(21)
+    vectors = clumps(rng, 1500, 12)
+    if lengths:
+        vectors = vectors * rng.uniform(0.8, 1.3, size=(len(vectors), 1))
+    cluster = [0 if i % 10 else i % 7 for i in range(1500)]
+    rows = members(spark, vectors, cluster, rng.permutation(1500).tolist())
+    eps = (0.01, 0.03, 0.07)
+    full = max_prior_similarity(rows, block_rows=64)
+    want = {r.id: r for r in full.collect()}
+    pairs = compare_within_clusters(
+        rows, order=("rank",), block_rows=64, with_sums=False, above=0.93, cells=40
+    )
+    got = {r.id: r for r in pairs.prior_similarity().collect()}
+    assert got.keys() == want.keys()
+    for i, w in want.items():
+        if w.max_sim > 0.93:
+            assert got[i].max_sim == pytest.approx(w.max_sim, abs=2e-12)
+            assert (got[i].mate_id, got[i].mate_rank) == (w.mate_id, w.mate_rank)
+        else:
+            assert got[i][1:] == (i, 0.0, None, None)
+    assert sum(w.max_sim > 0.93 for w in want.values()) > 700
+    flags = sorted(flag_duplicates(full, eps).select("id", "eps", "is_dup").collect())
+    by_bounds = flags_by_bounds(rows, eps, block_rows=64).select("id", "eps", "is_dup")
+    assert sorted(by_bounds.collect()) == flags
+    hot = pairs.compared_pairs().where("cluster_id = 0").first()
+    assert hot.n_pairs > 700_000
+    # Twelve clumps: about a twelfth of the pairs is near.
+    assert hot.n_compared < (0.7 if lengths else 0.35) * hot.n_pairs
+    plain = compare_within_clusters(rows, order=("rank",), block_rows=64, with_sums=False)
+    assert all(r.n_compared == r.n_pairs for r in plain.compared_pairs().collect())
+
+
+def test_bounds_of_vectors_without_clumps_zero_and_copies(spark):
+    rng = np.random.default_rng(22)
+    vectors = rng.normal(size=(300, 3)) * rng.choice([0, 1, 5], size=(300, 1))
+    vectors[200:] = vectors[17]
+    rows = members(spark, vectors, [i % 2 for i in range(300)])
+    for above in (0.0, 0.5, 24.9):
+        want = collected(max_prior_similarity(rows))
+        got = collected(max_prior_similarity(rows, block_rows=8, above=above))
+        assert_prior(got, {i: w if w[0] > above else (0.0, None) for i, w in want.items()})
+    empty = rows.limit(0)
+    assert max_prior_similarity(empty, above=0.5).collect() == []
+    with pytest.raises(ValueError, match="threshold"):
+        compare_within_clusters(rows, order=("rank",), above=0.5)
+    assert least_threshold([0.01, 1.5]) is None and least_threshold([0.25, 0.5]) == 0.5
+
+
+def test_pivots_that_do_not_fit_leave_blocks_by_hash(spark):
+    rows = members(spark, clumps(np.random.default_rng(23), 100, 4))
+    distinct = rows.selectExpr(
+        "cluster_id", "embedding as _v", "xxhash64(embedding) as _f1", "id as _f2"
+    )
+    sizes = rows.groupBy("cluster_id").agg(F.count("id").alias("_vectors"))
+    args = (distinct, sizes, 1, ["cluster_id"], 10, 0.9)
+    assert near_blocks(*args, max_bytes=16 * 8) is None
+    assert near_blocks(*args, max_bytes=4 * 16 * 8).select("_b").distinct().count() >= 10
