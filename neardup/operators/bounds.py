@@ -24,9 +24,8 @@ from neardup.config import MAX_BROADCAST_BYTES
 from neardup.operators.arrow_blocks import matrix
 from neardup.session import fits_broadcast
 
-# Pivots of one cluster at most, and pivots for each block of rows it fills.
+# Pivots of one cluster at most; below that, one for each block of rows it fills.
 CELLS = 256
-_CELLS_PER_BLOCK = 2
 # Rows drawn by hash for each pivot wanted, before the lowest hashes are taken.
 _DRAWN = 4
 _HASHES = 1 << 40
@@ -125,9 +124,7 @@ def _place_udf(cells_bc, above: float):
 
 def _pivots(rows: DataFrame, block_rows: int, cells: int) -> dict[int, np.ndarray]:
     """Vectors of lowest hash of the large clusters; their number is bounded by ``cells``."""
-    wanted = F.least(
-        F.lit(cells), F.lit(_CELLS_PER_BLOCK) * F.ceil(F.col("_vectors") / F.lit(block_rows))
-    )
+    wanted = F.least(F.lit(cells), F.ceil(F.col("_vectors") / F.lit(block_rows)))
     # Few rows of each cluster pass, so that the window sorts bounded groups.
     share = F.lit(float(_DRAWN * _HASHES)) * wanted / F.col("_vectors")
     drawn = rows.where("_key is not null").withColumn(

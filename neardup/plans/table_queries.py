@@ -424,8 +424,8 @@ def flag_wide(spark, sf_dir):
     )
 
 
-#: Blocks small enough that the larger languages take several.
-BOUNDED_BLOCK = 128
+#: Blocks small enough that the largest language takes several at every scale.
+BOUNDED_BLOCK = 512
 
 
 def flag_by_bounds(spark, sf_dir):
