@@ -383,6 +383,31 @@ def test_run_over_a_range_of_given_clusters_reads_its_batch_only(spark, tmp_path
         prune_vectors(vectors, out, config, centroids=start, cluster_batches=2)
 
 
+def test_a_run_for_flags_only_removes_the_same_rows(spark, tmp_path):
+    vectors = _run_inputs(spark)
+    start = vectors.where("id < 3").select(
+        F.col("id").cast("int").alias("cluster_id"), F.col("embedding").alias("centroid")
+    )
+    runs = []
+    for flags_only in (False, True):
+        config = PruneConfig(
+            num_clusters=3, eps_list=(0.01, 0.3), save_eps_list=(0.01, 0.3), block_rows=32,
+            flags_only=flags_only,
+        )
+        out = str(tmp_path / str(flags_only))
+        runs.append(prune_vectors(vectors, out, config, centroids=start, cluster_batches=2))
+    flags = [
+        sorted(r["prune_table"].select("cluster_id", "id", "rank", "`eps=0.01`", "`eps=0.3`").collect())
+        for r in runs
+    ]
+    assert flags[0] == flags[1] and any(f[3] for f in flags[0])
+    low = runs[1]["prune_table"].where("max_sim > 0").agg(F.min("max_sim")).first()[0]
+    assert low > 0.7
+    assert runs[0]["retained"].collect() == runs[1]["retained"].collect()
+    with pytest.raises(ValueError, match="flags_only"):
+        prune_vectors(vectors, str(tmp_path / "x"), config, centroids=start, with_stats=True)
+
+
 def test_pruned_corpus_keeps_the_order_of_its_lines(spark, tmp_path):
     corpus = spark.range(4000).select(
         F.col("id").alias("line_no"), F.col("id").cast("string").alias("value")
