@@ -45,41 +45,65 @@ COPY_KEYS = ("copy_key_0", "copy_key_1")
 
 
 def copy_keys(vector_col: str = "embedding") -> list[Column]:
-    """128-bit key that equal vectors share.
+    """128-bit key that equal vectors share; NULL for one that is null or not finite.
 
     A table that stores it as ``copy_key_0, copy_key_1`` saves the pair join a
-    second scan of its vectors.
+    second scan of its vectors. Vectors of floats and of doubles have equal keys.
     """
-    v = F.col(vector_col)
-    return [F.xxhash64(v).alias(COPY_KEYS[0]), F.xxhash64(F.lit(1), v).alias(COPY_KEYS[1])]
+    v = F.col(vector_col).cast("array<double>")
+    usable = _is_finite(vector_col)
+    return [
+        F.when(usable, key).alias(name)
+        for key, name in zip((F.xxhash64(v), F.xxhash64(F.lit(1), v)), COPY_KEYS)
+    ]
+
+
+def _is_finite(vector_col: str) -> Column:
+    """Whether a vector is there and finite; NULL if it is null or empty."""
+    v, infinite = F.col(vector_col), F.lit(float("inf"))
+    # NaN sorts above infinity.
+    return (F.array_max(v) < infinite) & (F.array_min(v) > -infinite)
 
 
 # --- preparation -----------------------------------------------------------
 
 
+def _own_keys(id_col: str) -> list[Column]:
+    return [F.xxhash64(id_col), F.xxhash64(F.lit(1), F.col(id_col))]
+
+
 def _keyed_members(members, by, id_col, vector_col, order, collapse_copies) -> DataFrame:
-    """Common columns: the keys, ``_id``, ``_v``, copy key ``_f1, _f2``, order ``_o0...``."""
-    if not collapse_copies:
-        keys = [F.xxhash64(id_col), F.xxhash64(F.lit(1), F.col(id_col))]
-    elif set(COPY_KEYS) <= set(members.columns):
-        keys = [F.col(c) for c in COPY_KEYS]
+    """Common columns but the vector: the keys, ``_id``, copy key ``_f1, _f2``, order ``_o0...``.
+
+    ``_usable``: whether a row has a vector to compare. The others get a key of their
+    own, since the one of NULL could be shared by a large part of a cluster. Of a table
+    that stores the copy key the vectors are not read.
+    """
+    own = _own_keys(id_col)
+    if set(COPY_KEYS) <= set(members.columns):
+        stored = [F.col(c) for c in COPY_KEYS]
     else:
-        keys = copy_keys(vector_col)
-    # A row without a vector is compared with nothing; it gets a key of its own,
-    # since the one of NULL could be shared by a large part of a cluster.
-    empty = F.lit(None).cast("array<double>")
-    missing = (keys[0] == F.xxhash64(empty)) & (keys[1] == F.xxhash64(F.lit(1), empty))
-    own = [F.xxhash64(F.col(id_col)), F.xxhash64(F.lit(1), F.col(id_col))]
-    v = F.col(vector_col)
-    infinite = F.lit(float("inf"))
-    # NaN sorts above infinity.
-    finite = (F.array_max(v) < infinite) & (F.array_min(v) > -infinite)
+        stored = copy_keys(vector_col)
+    keys = [F.coalesce(k, o) for k, o in zip(stored, own)] if collapse_copies else own
     return members.select(
         *by,
         F.col(id_col).alias("_id"),
-        F.when(finite, v).alias("_v"),
-        F.when(missing, own[0]).otherwise(keys[0]).alias("_f1"),
-        F.when(missing, own[1]).otherwise(keys[1]).alias("_f2"),
+        stored[0].isNotNull().alias("_usable"),
+        keys[0].alias("_f1"),
+        keys[1].alias("_f2"),
+        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+    )
+
+
+def _keyed_vectors(members, by, id_col, vector_col, order, collapse_copies) -> DataFrame:
+    """The rows with a vector ``_v``; their key follows from it, whether it is stored or not."""
+    keys = copy_keys(vector_col) if collapse_copies else _own_keys(id_col)
+    return members.where(_is_finite(vector_col)).select(
+        *by,
+        F.col(id_col).alias("_id"),
+        F.col(vector_col).alias("_v"),
+        keys[0].alias("_f1"),
+        keys[1].alias("_f2"),
         *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
     )
 
@@ -91,28 +115,27 @@ def _copy_groups(keyed: DataFrame, by: list[str], orders: list[str]) -> DataFram
     often it occurs. Copies merge before the shuffle.
     """
     place = F.struct(*orders, "_id")
-    return keyed.where(F.col("_v").isNotNull()).groupBy(*by, "_f1", "_f2").agg(
+    return keyed.where("_usable").groupBy(*by, "_f1", "_f2").agg(
         F.count(F.lit(1)).alias("_n"), F.min(place).alias("_first"), F.max(place).alias("_last")
     )
 
 
 def _first_occurrences(
-    keyed: DataFrame, groups: DataFrame, shape: Shape, by: list[str], orders: list[str]
+    rows: DataFrame, groups: DataFrame, shape: Shape, by: list[str], orders: list[str]
 ) -> DataFrame:
-    """The rows of ``keyed`` at which a vector occurs first, with its last place and count.
+    """The rows at which a vector occurs first, with its last place and count.
 
     Vectors stay where they are: each row is held against the groups of several
     rows only, by broadcast while these fit.
     """
     if shape.repeated_vectors == 0:
-        return _every_vector(keyed, by, orders)
+        return _every_vector(rows, by, orders)
     keys = [*by, "_f1", "_f2"]
     repeated = groups.where("_n > 1").select(
         *[F.col(k).alias(f"_of{k}") for k in keys], "_n", "_first", "_last"
     )
     if fits_broadcast(shape.repeated_vectors, 96 + 32 * (len(by) + 2 * len(orders))):
         repeated = F.broadcast(repeated)
-    rows = keyed.where(F.col("_v").isNotNull())
     joined = rows.join(repeated, [F.col(k) == F.col(f"_of{k}") for k in keys], "left")
     here = F.struct(*orders, "_id")
     return joined.where(F.col("_first").isNull() | F.col("_first").eqNullSafe(here)).select(
@@ -130,9 +153,9 @@ def _first_occurrences(
     )
 
 
-def _every_vector(keyed: DataFrame, by: list[str], orders: list[str]) -> DataFrame:
+def _every_vector(rows: DataFrame, by: list[str], orders: list[str]) -> DataFrame:
     """The same columns with every row taken as a vector of its own."""
-    return keyed.where(F.col("_v").isNotNull()).select(
+    return rows.select(
         *by,
         "_f1",
         "_f2",
@@ -567,14 +590,15 @@ def compare_within_clusters(
     with_prior = bool(order)
     orders = [f"_o{i}" for i in range(len(order))]
     keyed = _keyed_members(members, by, id_col, vector_col, order, collapse_copies)
+    rows = _keyed_vectors(members, by, id_col, vector_col, order, collapse_copies)
     if collapse_copies:
         # Narrow, and written once: read for sizes, hot vectors and first occurrences.
         groups = materialize(_copy_groups(keyed, by, orders), "copy-groups")
         shape = _measure(groups, by, block_rows, hot_copies)
         hot = _hot_vectors(groups, shape, by, hot_copies)
-        distinct = _first_occurrences(keyed, groups, shape, by, orders)
+        distinct = _first_occurrences(rows, groups, shape, by, orders)
     else:
-        distinct = _every_vector(keyed, by, orders)
+        distinct = _every_vector(rows, by, orders)
         shape = _measure(distinct, by, block_rows, hot_copies)
         hot = None
     fields = _fields(distinct, {c: c for c in by})
@@ -611,7 +635,7 @@ def compare_within_clusters(
         .agg(*wanted)
     )
     return ClusterPairs(
-        by, order, id_col, eps_list, keyed.drop("_v"), vectors, shape, hot, above, sent
+        by, order, id_col, eps_list, keyed.drop("_usable"), vectors, shape, hot, above, sent
     )
 
 
