@@ -65,6 +65,7 @@ class PruneConfig:
     ``dataset_size`` is the denominator of the retained percentage; the corpus
     is counted when it is None. ``flags_only`` finds no similarity up to
     1 - max(eps_list), which leaves out the comparison of vectors far apart.
+    ``coarse_clusters`` trains in two levels, for very many clusters.
     """
 
     num_clusters: int = 100
@@ -80,6 +81,7 @@ class PruneConfig:
     dataset_size: int | None = None
     block_rows: int = BLOCK_ROWS
     flags_only: bool = False
+    coarse_clusters: int | None = None
 
     def __post_init__(self):
         validate_metric(self.sim_metric, self.spherical)
@@ -90,6 +92,9 @@ class PruneConfig:
             raise ValueError(f"save_eps_list has thresholds outside eps_list: {missing}")
         if self.num_clusters < 1 or self.niter < 1 or self.block_rows < 1:
             raise ValueError("num_clusters, niter and block_rows must be positive")
+        coarse = self.coarse_clusters
+        if coarse is not None and not 2 <= coarse <= self.num_clusters:
+            raise ValueError("coarse_clusters must lie between 2 and num_clusters")
         limit = self.largest_cluster_size_to_process
         if limit is not None and limit < 1:
             raise ValueError("largest_cluster_size_to_process must be positive")

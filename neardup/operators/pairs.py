@@ -28,7 +28,7 @@ from neardup.config import BLOCK_ROWS, HOT_COPIES, SIM_DECIMALS
 from neardup.operators.arrow_blocks import matrix
 from neardup.operators.bounds import CELLS, near_blocks
 from neardup.operators.skew import salted_left_join
-from neardup.session import fits_broadcast, materialize
+from neardup.session import fits_broadcast, materialize, path_exists
 
 # Side of the square of similarities held at once inside a task.
 _TILE = 1024
@@ -174,7 +174,6 @@ def _block_pairs(
 
     With ``above`` it goes only to those in which a similarity may exceed it.
     """
-    spark = distinct.sparkSession
     zero = F.lit(0).alias("_b"), F.lit(0).alias("_p"), F.lit(0).alias("_q")
     sent = distinct.where(F.expr(" and ".join(f"`{c}` is not null" for c in by)))
     near = None
@@ -206,11 +205,51 @@ def _block_pairs(
             .withColumn("_q", F.greatest("_b", "_other"))
             .drop("_blocks", "_other")
         )
+    return sent
+
+
+def _reduced(sent: DataFrame, full_block_pairs: int, by: list[str], task, schema) -> DataFrame:
+    """One Arrow group for each block pair."""
     # An explicit partition count: the groups are small in bytes but heavy in
     # work, and must not be coalesced by size. A large cluster raises it.
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = max(partitions, min(shape.full_block_pairs // _PAIRS_PER_TASK, _MAX_PARTITIONS))
-    return sent.repartition(partitions, *by, "_p", "_q")
+    partitions = int(sent.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(partitions, min(full_block_pairs // _PAIRS_PER_TASK, _MAX_PARTITIONS))
+    keys = [*by, "_p", "_q"]
+    return sent.repartition(partitions, *keys).groupBy(*keys).applyInArrow(task, schema)
+
+
+@dataclass(frozen=True)
+class Ledger:
+    """Finished block pairs below ``path``, dealt into ``parts`` by a hash of their names.
+
+    Each part is a job of its own and a folder of its own, which a repeated call takes
+    as it is. A part reads the vectors once more and shuffles its own block pairs only,
+    so that it also bounds the disk held at once. The folder belongs to one
+    comparison: the same rows, order, thresholds and block size.
+    """
+
+    path: str
+    parts: int
+
+    def folder(self, part: int) -> str:
+        return f"{self.path.rstrip('/')}/part-{part}-of-{self.parts}"
+
+
+def _write_part(reduced: DataFrame, folder: str) -> None:
+    reduced.write.mode("overwrite").parquet(folder)
+
+
+def _stored(sent: DataFrame, shape: Shape, by: list[str], task, schema, ledger: Ledger) -> DataFrame:
+    """What all block pairs leave; parts that are not stored yet are run now."""
+    spark = sent.sparkSession
+    part_of = F.pmod(F.xxhash64(*by, "_p", "_q"), F.lit(ledger.parts))
+    for part in range(ledger.parts):
+        folder = ledger.folder(part)
+        if not path_exists(spark, folder):
+            own = sent.where(part_of == part)
+            pairs = shape.full_block_pairs // ledger.parts
+            _write_part(_reduced(own, pairs, by, task, schema), folder)
+    return spark.read.schema(schema).parquet(*[ledger.folder(p) for p in range(ledger.parts)])
 
 
 @dataclass(frozen=True)
@@ -572,6 +611,7 @@ def compare_within_clusters(
     hot_copies: int = HOT_COPIES,
     above: float | None = None,
     cells: int = CELLS,
+    ledger: Ledger | None = None,
 ) -> ClusterPairs:
     """Compare all rows of each cluster in one pass.
 
@@ -583,7 +623,13 @@ def compare_within_clusters(
     ``above`` asks for similarities above a threshold only: large clusters are cut
     into at most ``cells`` cells of near vectors each, and what bounds prove to stay
     at or below it is not compared (:mod:`neardup.operators.bounds`).
+
+    With a ``ledger`` the block pairs are run by this call, part by part, and parts that
+    an earlier call finished are not repeated. Blocks of a full comparison follow from
+    the rows alone, those by a threshold from drawn pivots: the two exclude each other.
     """
+    if ledger is not None and (above is not None or ledger.parts < 1):
+        raise ValueError("a ledger has positive parts and goes without a threshold")
     if above is not None and (with_sums or above < 0):
         raise ValueError("a threshold must not be negative and goes without sums")
     by, order, eps_list = list(by), list(order), list(eps_list)
@@ -628,12 +674,11 @@ def compare_within_clusters(
         by, orders, eps_list, with_prior, with_sums, to_arrow_schema(schema)
     )
     sent = _block_pairs(distinct, shape, by, block_rows, above, cells)
-    vectors = (
-        sent.groupBy(*by, "_p", "_q")
-        .applyInArrow(task, schema)
-        .groupBy(*by, "_f1", "_f2")
-        .agg(*wanted)
-    )
+    if ledger is None:
+        reduced = _reduced(sent, shape.full_block_pairs, by, task, schema)
+    else:
+        reduced = _stored(sent, shape, by, task, schema, ledger)
+    vectors = reduced.groupBy(*by, "_f1", "_f2").agg(*wanted)
     return ClusterPairs(
         by, order, id_col, eps_list, keyed.drop("_usable"), vectors, shape, hot, above, sent
     )

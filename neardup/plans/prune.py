@@ -18,9 +18,16 @@ from neardup.config import HOT_COPIES, PruneConfig
 from neardup.operators import bitmaps, extraction, pruning, ranking, statistics
 from neardup.operators.assignment import assign_and_measure, invalid_vectors, valid_vectors
 from neardup.operators.kmeans import saved_centroids, train_or_load_kmeans
-from neardup.operators.pairs import ClusterPairs, compare_within_clusters, copy_keys
+from neardup.operators.pairs import ClusterPairs, Ledger, compare_within_clusters, copy_keys
 from neardup.operators.skew import hot_keys, salted_left_join
-from neardup.session import broadcast_if_small, hadoop_path, materialize, scratch_scope
+from neardup.operators.two_level import train_two_level
+from neardup.session import (
+    broadcast_if_small,
+    hadoop_path,
+    materialize,
+    path_exists,
+    scratch_scope,
+)
 from neardup.sources.corpus import IndexedCorpus
 
 
@@ -41,12 +48,6 @@ class RunPaths:
         return f"{self.root.rstrip('/')}/{name}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a stage output was committed."""
-    fs, marker = hadoop_path(spark, f"{path}/_SUCCESS")
-    return fs.exists(marker)
-
-
 def _check_same_run(
     spark: SparkSession, path: str, config: PruneConfig, resume: bool, more: dict
 ) -> None:
@@ -61,7 +62,11 @@ def _check_same_run(
 
 
 def compare_members(
-    assigned: DataFrame, ranked: DataFrame, config: PruneConfig, with_sums: bool = False
+    assigned: DataFrame,
+    ranked: DataFrame,
+    config: PruneConfig,
+    with_sums: bool = False,
+    ledger: Ledger | None = None,
 ) -> ClusterPairs:
     """The pair comparison of a run.
 
@@ -81,8 +86,9 @@ def compare_members(
         by, order = ("cluster_id", "chunk"), ("rank",)
     above = pruning.least_threshold(config.eps_list) if config.flags_only else None
     return compare_within_clusters(
-        keyed, by, order, block_rows=config.block_rows, with_sums=with_sums, above=above
-    )
+        keyed, by, order, block_rows=config.block_rows, with_sums=with_sums, above=above,
+        ledger=ledger,
+    )
 
 
 def prune_rows(
@@ -145,6 +151,7 @@ def prune_vectors(
     centroids: DataFrame | None = None,
     clusters: tuple[int, int] | None = None,
     buckets: int | None = None,
+    block_parts: int = 1,
 ) -> dict[str, DataFrame]:
     """Cluster and prune ``id, embedding`` rows; returns the result tables by name.
 
@@ -162,9 +169,15 @@ def prune_vectors(
     with ``buckets`` a folder per group of clusters: set it for very many. A
     batch is made of whole folders, and its part of the assignment is stored
     by itself, so that a batch and a resume read no other part.
+
+    ``block_parts`` above 1 cuts the comparison of a batch further, whatever the size
+    of its clusters: its block pairs are run and stored in so many jobs, and a call that
+    was stopped goes on with the first one missing, also inside one large cluster.
     """
     if with_stats and config.flags_only:
         raise ValueError("statistics need every similarity: flags_only goes without them")
+    if block_parts < 1 or (block_parts > 1 and config.flags_only):
+        raise ValueError("block_parts must be positive, and 1 with flags_only")
     spark = vectors.sparkSession
     at = RunPaths(output)
     read = spark.read.parquet
@@ -180,13 +193,25 @@ def prune_vectors(
     _check_same_run(spark, at.parameters, config, resume, layout)
     if not resume:
         # Stages written cluster by cluster do not replace the folder as a whole.
-        for path in (at.prune_table, at.member_stats):
+        for path in (at.prune_table, at.member_stats, at.block_pairs):
             fs, target = hadoop_path(spark, path)
             fs.delete(target, True)
     usable = valid_vectors(vectors)
     names = [c for c in ("path",) if c in vectors.columns]
     if not finished(at.centroids) and centroids is not None:
         sinks.write_centroids(centroids, at.centroids)
+    elif not finished(at.centroids) and config.coarse_clusters is not None:
+        with scratch_scope(spark):
+            trained = train_two_level(
+                usable,
+                config.num_clusters,
+                config.niter,
+                config.coarse_clusters,
+                config.seed,
+                config.spherical,
+                train_fraction=train_fraction,
+            )
+            sinks.write_centroids(trained, at.centroids)
     elif not finished(at.centroids):
         train_or_load_kmeans(
             usable,
@@ -248,11 +273,17 @@ def prune_vectors(
             if not pending.isEmpty():
                 own = assigned.where(F.col("batch") == batch).drop("batch")
                 ranks = ranked.where(batch_of == batch)
-                report = _prune_clusters(own, ranks, pending, at, config, with_stats, buckets)
+                ledger = _ledger_of(pending, at, block_parts, with_stats)
+                report = _prune_clusters(
+                    own, ranks, pending, at, config, with_stats, buckets, ledger
+                )
                 again = pruning.pending_clusters(report, done())
                 again.select(*[f.name for f in done().schema]).write.mode("append").parquet(
                     done_path
                 )
+                if ledger is not None:
+                    fs, target = hadoop_path(spark, ledger.path)
+                    fs.delete(target, True)
 
     prior = read(at.prune_table)
     out = {"assignment": assigned, "sorted_clusters": ranked, "prune_table": prior}
@@ -276,14 +307,30 @@ def prune_vectors(
     return out
 
 
+def _ledger_of(pending, at: RunPaths, parts: int, with_stats: bool) -> Ledger | None:
+    """The ledger of a set of clusters, which its count and the sum of its hashes name."""
+    if parts == 1:
+        return None
+    total = F.sum(F.xxhash64("cluster_id").cast("decimal(38,0)"))
+    n, named = pending.agg(F.count(F.lit(1)), total).first()
+    return Ledger(f"{at.block_pairs}/{n}_{named}{'_stats' if with_stats else ''}", parts)
+
+
 def _prune_clusters(
-    assigned, ranked, pending, at: RunPaths, config, with_stats: bool, buckets: int | None
+    assigned,
+    ranked,
+    pending,
+    at: RunPaths,
+    config,
+    with_stats: bool,
+    buckets: int | None,
+    ledger: Ledger | None = None,
 ) -> DataFrame:
     """Compare and store the clusters listed in ``pending``; returns their markers."""
     side = broadcast_if_small(pending, 16)
     members = assigned.join(side, "cluster_id", "left_semi")
     ranks = ranked.join(side, "cluster_id", "left_semi")
-    pairs = compare_members(members, ranks, config, with_stats)
+    pairs = compare_members(members, ranks, config, with_stats, ledger)
     if with_stats:
         pairs = pairs.materialized()
         sinks.write_by_cluster(statistics.members_of(pairs), at.member_stats, buckets)

@@ -15,7 +15,7 @@ from neardup import sinks, sources
 from neardup.config import DEFAULT_EPS_LIST, SIM_METRICS, PruneConfig, eps_name, validate_metric
 from neardup.functions.embedding import embed, hashed_bag_of_words, last_token_vectors
 from neardup.functions.vectors import l2_normalize, pool_last_token
-from neardup.operators import assignment, extraction, kmeans, pairs, pruning, ranking, statistics
+from neardup.operators import assignment, extraction, kmeans, pairs, pruning, ranking, statistics, two_level
 from neardup.plans.prune import prune_table, prune_vectors
 from neardup.session import materialize, scratch_path
 from neardup.sources import numbered_ids, read_corpus, read_vectors
@@ -295,6 +295,36 @@ def kmeans_invariants(spark, sf_dir):
     )
 
 
+def kmeans_two_level(spark, sf_dir):
+    """What holds of any training in two levels: every row is assigned, centroids have
+    length 1, and the cost is not above that of the coarse clusters."""
+    rows = vectors(spark, sf_dir).drop("label")
+    model = kmeans.train_kmeans(rows, num_clusters=5, niter=5, seed=1234, spherical=True)
+    coarse = kmeans.model_centroids(spark, model)
+    # A small limit, so that centroids go out in several parts.
+    fine = two_level.refine_clusters(
+        rows, coarse, num_clusters=24, niter=5, spherical=True, max_broadcast_bytes=8 * DIM * 10
+    )
+    length = F.sqrt(F.aggregate("centroid", F.lit(0.0), lambda s, x: s + x * x))
+    units = fine.agg(
+        F.count(F.lit(1)).alias("n_clusters"),
+        F.count_if(F.abs(length - 1) < 1e-9).alias("unit_centroids"),
+    )
+    costs = [
+        assignment.assign_and_measure(rows, c).agg(
+            F.count("cluster_id").alias("n_rows"), F.sum("dist").alias("cost")
+        )
+        for c in (coarse, fine)
+    ]
+    # Three tables of one row each.
+    one = F.lit(1)
+    start, end, units = (x.withColumn("_one", one) for x in (*costs, units))
+    start = start.select("_one", F.col("cost").alias("start"))
+    lower = (F.col("cost") <= F.col("start") + 1e-6).alias("not_above_coarse")
+    joined = end.join(start, "_one").join(units, "_one")
+    return joined.select("n_rows", "n_clusters", "unit_centroids", lower)
+
+
 def saved_model_reused(spark, sf_dir):
     """A saved model is loaded in place of training, whatever the training asked for."""
     rows = vectors(spark, sf_dir).drop("label")
@@ -705,7 +735,7 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         prune_invalid_vectors, run_given_centroids, kmeans_invariants,
         assignment_round_trip, sorted_clusters_round_trip, prune_table_round_trip,
         stats_round_trip, kept_round_trip, retained_round_trip, pruned_corpus_lines,
-        flag_by_bounds, last_token_pool_nested, saved_model_reused, metric_options, run_with_statistics,
+        flag_by_bounds, kmeans_two_level, last_token_pool_nested, saved_model_reused, metric_options, run_with_statistics,
     ]
     queries = {q.__name__: q for q in named}
     queries["l2_normalize"] = queries.pop("normalize_vectors")

@@ -310,6 +310,8 @@ def table_sql() -> dict[str, str]:
     sql["kmeans_invariants"] = f"""with {_VEC}
         select count(*) as n_rows, round(sum(list_sum(v)), 4) as total, 10::bigint as n_clusters,
           10::bigint as unit_centroids, true as not_above_start from vec"""
+    sql["kmeans_two_level"] = """select count(*) as n_rows, 24::bigint as n_clusters,
+        24::bigint as unit_centroids, true as not_above_coarse from embeddings"""
     sql["last_token_pool_nested"] = f"""with {_VEC}
         select id, (i - 1)::int as dim, round(x, 6) as value from
         (select id, unnest(p) as x, generate_subscripts(p, 1) as i

@@ -11,7 +11,7 @@ from neardup.functions.vectors import (
     pool_last_token,
     squared_l2,
 )
-from neardup.operators import assignment, kmeans
+from neardup.operators import assignment, kmeans, two_level
 
 VECTORS = "/root/testdata/sf0.001/embeddings.parquet"
 
@@ -267,3 +267,68 @@ def test_lloyd_goes_on_beyond_the_broadcast_limit(spark):
         cut = dict(kmeans.lloyd(rows, start, 2, spherical, max_broadcast_bytes=100).collect())
         assert one.keys() == cut.keys()
         assert all(np.allclose(one[i], cut[i]) for i in one)
+
+
+def _two_level_steps(rows, coarse, start, owner, niter, spherical):
+    """The steps of a training in two levels, in NumPy."""
+    def closest(x, c):
+        return x @ c.T if spherical else x @ c.T - 0.5 * (c * c).sum(axis=1)
+
+    centroids = start.copy()
+    own = closest(rows, coarse).argmax(axis=1)
+    for _ in range(niter):
+        allowed = owner[None, :] == own[:, None]
+        pick = np.where(allowed, closest(rows, centroids), -np.inf).argmax(axis=1)
+        for c in set(pick):
+            mean = rows[pick == c].mean(axis=0)
+            centroids[c] = mean / np.linalg.norm(mean) if spherical else mean
+    return centroids
+
+
+@pytest.mark.parametrize("spherical", [False, True])
+@pytest.mark.parametrize("max_bytes", [1 << 20, 8 * 4 * 3])
+def test_training_in_two_levels(spark, spherical, max_bytes, monkeypatch):
+    monkeypatch.setattr(two_level, "_HELD_SUMS", 2)
+    rng = np.random.default_rng(5)
+    values = rng.normal(size=(400, 4)) + np.repeat(rng.normal(size=(4, 4)) * 6, 100, axis=0)
+    values[:130] = values[0]  # a third of all rows are one vector
+    rows = spark.createDataFrame(
+        [(i, [float(x) for x in v]) for i, v in enumerate(values)] + [(400, None)],
+        "id long, embedding array<double>",
+    )
+    coarse = values[[150, 250, 350]]
+    if spherical:
+        coarse = coarse / np.linalg.norm(coarse, axis=1, keepdims=True)
+    given = spark.createDataFrame(
+        [(i * 7, [float(x) for x in c]) for i, c in enumerate(coarse)], kmeans.CENTROID_SCHEMA
+    )
+
+    def refined(niter):
+        found = two_level.refine_clusters(
+            rows, given, 20, niter, spherical=spherical, max_broadcast_bytes=max_bytes
+        )
+        found = sorted(found.collect())
+        assert [r.cluster_id for r in found] == list(range(20))
+        return np.array([r.centroid for r in found])
+
+    start = refined(0)
+    assert len(np.unique(start.round(9), axis=0)) == 20
+    closest = start @ coarse.T if spherical else start @ coarse.T - 0.5 * (coarse**2).sum(axis=1)
+    owner = closest.argmax(axis=1)
+    assert (np.diff(owner) >= 0).all() and len(set(owner)) == 3
+    want = _two_level_steps(values, coarse, start, owner, 3, spherical)
+    assert np.allclose(refined(3), want)
+
+
+def test_centroids_of_two_levels_are_dealt_by_size(spark):
+    sizes = np.array([700, 200, 99, 1])
+    assert two_level.shares(sizes, sizes, 10).tolist() == [6, 2, 1, 1]
+    assert two_level.shares(sizes, np.array([2, 200, 99, 1]), 10).sum() == 10
+    assert two_level.shares(sizes, np.array([1, 1, 1, 1]), 10).tolist() == [1, 1, 1, 1]
+    few = spark.createDataFrame([(i, [1.0, i % 2.0]) for i in range(50)], "id long, embedding array<double>")
+    assert two_level.train_two_level(few, 8, 2, 2).count() == 2
+    with pytest.raises(ValueError, match="no vectors"):
+        start = spark.createDataFrame([(0, [1.0, 0.0])], kmeans.CENTROID_SCHEMA)
+        two_level.refine_clusters(few.where("id < 0"), start, 3, 1)
+    with pytest.raises(ValueError, match="coarse_clusters"):
+        PruneConfig(num_clusters=3, coarse_clusters=4)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from neardup import sinks, sources
 from neardup.config import PruneConfig
-from neardup.operators import bitmaps, extraction, pruning
+from neardup.operators import bitmaps, extraction, pairs, pruning
 from neardup.operators.ranking import rank_within_cluster
 from neardup.plans import prune_corpus, prune_vectors
 from neardup.plans.prune import compare_members, prune_rows, prune_table, write_kept_lines
@@ -353,6 +353,37 @@ def test_prune_table_keeps_rows_without_a_vector_and_refuses_repeated_ids(spark)
         prune_table(vectors.union(vectors.limit(1)), centroids, config)
 
 
+def test_a_stopped_run_goes_on_inside_a_large_cluster(spark, tmp_path, monkeypatch):
+    vectors = _run_inputs(spark)
+    config = PruneConfig(num_clusters=2, eps_list=(0.3,), save_eps_list=(0.3,), block_rows=64)
+    start = vectors.where("id < 2").select(
+        F.col("id").cast("int").alias("cluster_id"), F.col("embedding").alias("centroid")
+    )
+    whole = prune_vectors(vectors, str(tmp_path / "whole"), config, centroids=start)
+    out, write, written = tmp_path / "out", pairs._write_part, []
+
+    def stop_at(n):
+        def run(reduced, folder):
+            if len(written) == n:
+                raise RuntimeError("stopped")
+            written.append(folder.rsplit("/", 1)[1])
+            write(reduced, folder)
+
+        return run
+
+    args = (vectors, str(out), config)
+    for stop in (2, 3):
+        monkeypatch.setattr(pairs, "_write_part", stop_at(stop))
+        with pytest.raises(RuntimeError, match="stopped"):
+            prune_vectors(*args, centroids=start, block_parts=4)
+    monkeypatch.setattr(pairs, "_write_part", stop_at(9))
+    got = prune_vectors(*args, centroids=start, block_parts=4)
+    assert written == [f"part-{i}-of-4" for i in range(4)]
+    rows = [sorted(r["prune_table"].collect(), key=str) for r in (got, whole)]
+    assert rows[0] == rows[1] and any(r["eps=0.3"] for r in rows[0])
+    assert not any((out / "block_pairs").iterdir())
+
+
 def test_run_over_a_range_of_given_clusters_reads_its_batch_only(spark, tmp_path):
     vectors = _run_inputs(spark)
     out, whole = str(tmp_path / "out"), str(tmp_path / "whole")
