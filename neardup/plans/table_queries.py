@@ -316,13 +316,15 @@ def kmeans_two_level(spark, sf_dir):
         )
         for c in (coarse, fine)
     ]
-    # Three tables of one row each.
-    one = F.lit(1)
-    start, end, units = (x.withColumn("_one", one) for x in (*costs, units))
-    start = start.select("_one", F.col("cost").alias("start"))
-    lower = (F.col("cost") <= F.col("start") + 1e-6).alias("not_above_coarse")
-    joined = end.join(start, "_one").join(units, "_one")
-    return joined.select("n_rows", "n_clusters", "unit_centroids", lower)
+    start, end = costs
+    every = units.unionByName(end, True).unionByName(
+        start.select(F.col("cost").alias("start")), True
+    )
+    names = ("n_rows", "n_clusters", "unit_centroids")
+    return every.agg(
+        *[F.max(c).alias(c) for c in names],
+        (F.max("cost") <= F.max("start") + 1e-6).alias("not_above_coarse"),
+    )
 
 
 def saved_model_reused(spark, sf_dir):
