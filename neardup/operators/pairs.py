@@ -33,7 +33,7 @@ from neardup.session import fits_broadcast, materialize, path_exists
 # Side of the square of similarities held at once inside a task.
 _TILE = 1024
 # Full block pairs one task should work through, and a bound on the tasks.
-_PAIRS_PER_TASK = 8
+_PAIRS_PER_TASK = 1
 _MAX_PARTITIONS = 100_000
 # Two similarities closer than this are equal at SIM_DECIMALS.
 _HALF = 0.5 * 10.0**-SIM_DECIMALS
