@@ -13,14 +13,15 @@ pair above it is always met, since each of its rows reaches the cell of the othe
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import math
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from neardup.config import MAX_BROADCAST_BYTES
+from neardup.config import BLOCK_ROWS, MAX_BROADCAST_BYTES
 from neardup.operators.arrow_blocks import matrix
 from neardup.session import fits_broadcast
 
@@ -32,6 +33,10 @@ _HASHES = 1 << 40
 # Share of the squared lengths by which a bound must miss the threshold: far more
 # than the rounding of distances.
 _SLACK = 1e-7
+# Blocks a row is sent to on an average, above which blocks are made larger.
+_SENT = 16
+# Share of its cluster's blocks that a row meets, above which cells leave out too little.
+_WORTH = 0.5
 
 _CELL = "struct<cell:int,gap:double,length:double>"
 _PLACE = "struct<b:int,reached:array<struct<first:int,last:int>>>"
@@ -39,12 +44,13 @@ _PLACE = "struct<b:int,reached:array<struct<first:int,last:int>>>"
 
 @dataclass
 class _Cells:
-    """Pivots of one cluster with the measures of their cells and their block numbers."""
+    """Pivots of one cluster with the measures of their cells, their numbers of blocks and rows."""
 
     pivots: np.ndarray
     radius: np.ndarray
     length: np.ndarray
     blocks: np.ndarray
+    rows: np.ndarray
 
     def distances(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Squared length of every row, and its distance to every pivot."""
@@ -86,6 +92,35 @@ def _measure_udf(cells_bc):
     return measure.asNondeterministic()
 
 
+def _fewer_blocks(cells: _Cells, sent: float, block_rows: int, full_rows: int) -> _Cells:
+    """The cells, in larger blocks if a row is sent to very many: ``sent`` on an average.
+
+    Where that is most of the cluster, it becomes one cell, of which every row reaches
+    each block.
+    """
+    if sent <= _SENT or full_rows <= block_rows:
+        return cells
+    if sent <= _WORTH * cells.blocks.sum():
+        larger = min(full_rows, block_rows * math.ceil(sent / _SENT))
+        return replace(cells, blocks=-(-cells.rows // larger))
+    far, n = np.full(1, np.inf), cells.rows.sum(keepdims=True)
+    return _Cells(np.zeros((1, cells.pivots.shape[1])), far, far, -(-n // full_rows), n)
+
+
+def _met_udf(cells_bc, above: float):
+    @F.arrow_udf("long")
+    def met(keys: pa.Array, vectors: pa.Array) -> pa.Array:
+        """Blocks of all cells that a row reaches."""
+        out = np.zeros(len(keys), dtype=np.int64)
+        for key, at, rows in _by_cluster(keys, vectors):
+            cells = cells_bc.value[key]
+            squares, far = cells.distances(rows)
+            out[at] = cells.reached(squares, far, above) @ cells.blocks
+        return pa.array(out)
+
+    return met.asNondeterministic()
+
+
 def _place_udf(cells_bc, above: float):
     @F.arrow_udf(_PLACE)
     def place(keys: pa.Array, vectors: pa.Array, hashes: pa.Array) -> pa.Array:
@@ -145,7 +180,7 @@ def _pivots(rows: DataFrame, block_rows: int, cells: int) -> dict[int, np.ndarra
     }
 
 
-def near_blocks(
+def near_block_pairs(
     distinct: DataFrame,
     sizes: DataFrame,
     large_clusters: int,
@@ -154,12 +189,18 @@ def near_blocks(
     above: float,
     cells: int = CELLS,
     max_bytes: int = MAX_BROADCAST_BYTES,
-) -> DataFrame | None:
-    """Rows with their block ``_b`` and each block ``_other`` that they must meet.
+    full_rows: int = BLOCK_ROWS,
+) -> tuple[DataFrame, int] | None:
+    """Rows with their block ``_b`` and each block ``_other`` that they must meet, and
+    about how many pairs of blocks of the large clusters meet.
 
     None where the pivots of all large clusters would exceed ``max_bytes`` at two
-    each: more ``cluster_batches`` make room. Vectors are read three times (pivots,
-    measures, blocks) and not moved.
+    each: more ``cluster_batches`` make room. Vectors are read up to four times (pivots,
+    measures, what is reached, blocks) and not moved.
+
+    A row is sent once for each block that it must meet. Where these are very many, blocks
+    have up to ``full_rows`` rows; where they are most of the cluster, cells would leave
+    out nothing, and it is cut by the hash alone.
     """
     dim = distinct.select(F.size("_v").alias("n")).first()
     cells = min(cells, max_bytes // (8 * max(dim.n if dim else 1, 1) * large_clusters))
@@ -177,7 +218,7 @@ def near_blocks(
     keys = large.select(F.xxhash64(*[f"_by_{c}" for c in by]).alias("k")).toArrow()["k"].to_pylist()
     # A cluster of which the hash drew nothing is one cell, around the origin.
     pivots = dict.fromkeys(keys, np.zeros((1, dim.n))) | _pivots(rows, block_rows, cells)
-    bare = {k: _Cells(p, *[np.zeros(len(p))] * 3) for k, p in pivots.items()}
+    bare = {k: _Cells(p, *[np.zeros(len(p))] * 4) for k, p in pivots.items()}
     measure = _measure_udf(sc.broadcast(bare))
     measured = (
         rows.where("_key is not null")
@@ -191,18 +232,44 @@ def near_blocks(
         .toArrow()
     )
     full = {
-        k: _Cells(p, np.zeros(len(p)), np.zeros(len(p)), np.zeros(len(p), np.int64))
+        k: _Cells(
+            p, *[np.zeros(len(p)) for _ in range(2)], *[np.zeros(len(p), np.int64) for _ in range(2)]
+        )
         for k, p in pivots.items()
     }
     for m in measured.to_pylist():
         of = full[m["_key"]]
         of.radius[m["cell"]], of.length[m["cell"]] = m["radius"], m["length"]
+        of.rows[m["cell"]] = m["n"]
         of.blocks[m["cell"]] = -(-m["n"] // block_rows)
+    met = _met_udf(sc.broadcast(full), above)
+    reached = (
+        rows.where("_key is not null")
+        .select("_key", met("_key", "_v").alias("met"))
+        .groupBy("_key")
+        .agg(F.sum("met").alias("met"))
+        .toArrow()
+    )
+    pairs = 0
+    for m in reached.to_pylist():
+        of = full[m["_key"]]
+        sent = m["met"] / of.rows.sum()
+        share = sent / of.blocks.sum()
+        of = full[m["_key"]] = _fewer_blocks(of, sent, block_rows, full_rows)
+        n = int(of.blocks.sum())
+        pairs += n + math.ceil(share * n * (n - 1) / 2)
     place = _place_udf(sc.broadcast(full), above)
-    return (
+    near = (
         rows.withColumn("_place", place("_key", "_v", "_f1"))
         .withColumn("_b", F.col("_place.b"))
         .withColumn("_span", F.explode("_place.reached"))
         .withColumn("_other", F.explode(F.sequence("_span.first", "_span.last")))
         .drop("_place", "_span", "_key", "_vectors", *[f"_by_{c}" for c in by])
     )
+    return near, pairs
+
+
+def near_blocks(*args, **options) -> DataFrame | None:
+    """The rows of :func:`near_block_pairs` alone."""
+    found = near_block_pairs(*args, **options)
+    return None if found is None else found[0]

@@ -346,3 +346,25 @@ def test_pivots_that_do_not_fit_leave_blocks_by_hash(spark):
     args = (distinct, sizes, 1, ["cluster_id"], 10, 0.9)
     assert near_blocks(*args, max_bytes=16 * 8) is None
     assert near_blocks(*args, max_bytes=4 * 16 * 8).select("_b").distinct().count() >= 10
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bounds_that_leave_out_nothing_do_not_repeat_rows(spark):
+    """Vectors without clumps, in blocks of which each row must meet nearly all."""
+    rng = np.random.default_rng(24)
+    vectors = rng.random((1200, 32)) + 1
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    rows = members(spark, vectors)
+    args = {"order": ("rank",), "block_rows": 16, "with_sums": False}
+    pairs = compare_within_clusters(rows, **args, above=0.93)
+    assert pairs.sent.count() <= 16 * 1200
+    # 75 blocks of 16 rows would be run as 2,850 tasks.
+    assert "REPARTITION_BY_NUM" in plan_of(pairs.vectors)
+    assert "2850)" not in plan_of(pairs.vectors)
+    want = collected(max_prior_similarity(rows))
+    got = collected(pairs.prior_similarity())
+    assert_prior(got, {i: w if w[0] > 0.93 else (0.0, None) for i, w in want.items()})
+    assert sum(w[0] > 0.93 for w in want.values()) > 1000
