@@ -17,7 +17,7 @@ from neardup.functions.embedding import embed, hashed_bag_of_words, last_token_v
 from neardup.functions.vectors import l2_normalize, pool_last_token
 from neardup.operators import assignment, extraction, kmeans, pairs, pruning, ranking, statistics, two_level
 from neardup.plans.prune import prune_table, prune_vectors
-from neardup.session import materialize, scratch_path
+from neardup.session import brief_session, materialize, scratch_path
 from neardup.sources import numbered_ids, read_corpus, read_vectors
 
 DIM = 64
@@ -607,18 +607,23 @@ def retained_round_trip(spark, sf_dir):
 
 
 def pruned_corpus_lines(spark, sf_dir):
-    """The pruned corpus per threshold: its lines numbered as they stand in the files."""
+    """The pruned corpus per threshold: its lines numbered as they stand in the files.
+
+    The corpus and what each threshold keeps of it lie on disk at once, all compressed.
+    """
     source, path = scratch_path(spark, "corpus"), scratch_path(spark, "pruned")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    docs.orderBy("doc_id").select(F.to_json(F.struct("doc_id", "text"))).write.text(source)
+    docs = brief_session(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    lines = docs.orderBy("doc_id").select(F.to_json(F.struct("doc_id", "text")))
+    lines.write.options(**sinks.compressed_text("gzip")).text(source)
     number = F.get_json_object("value", "$.doc_id").cast("long")
     corpus = read_corpus(spark, source, with_split=True).withColumn("doc_id", number)
     prior = materialize(_lang_prior(spark, sf_dir), "prior")
     rows = extraction.filter_corpus_multi(corpus, prior, LINE_EPS, key="doc_id")
     ratios = extraction.retained_ratio(prior, LINE_EPS)
     sinks.write_pruned_corpus(
-        rows, ratios, path, LINE_EPS, order_col="line_no", split_col="first_line"
-    )
+        rows, ratios, path, LINE_EPS, order_col="line_no", split_col="first_line",
+        compression="gzip",
+    )
     parts = [
         read_corpus(spark, f"{path}/eps={eps_name(e)}/*/*").select(
             F.lit(e).alias("eps"), "line_no", number.alias("doc_id")

@@ -64,6 +64,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(marker)
 
 
+def brief_session(spark: SparkSession) -> SparkSession:
+    """A session whose shuffles are removed as soon as the table they feed is written."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    partitions = "spark.sql.shuffle.partitions"
+    own.conf.set(partitions, spark.conf.get(partitions))
+    return own
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     """A scratch path whose table goes with the open scope, if there is one."""
     path = scratch_path(spark, name)

@@ -93,6 +93,14 @@ def write_retained(ratios: DataFrame, path: str, eps_list) -> None:
     )
 
 
+def compressed_text(compression: str) -> dict[str, str]:
+    """Options of a text writer; the fast level of a codec that has levels.
+
+    A file of gzip is read by one task: keep files small.
+    """
+    return {"compression": compression, "zlib.compress.level": "BEST_SPEED"}
+
+
 def write_pruned_corpus(
     rows: DataFrame,
     ratios: DataFrame,
@@ -102,6 +110,7 @@ def write_pruned_corpus(
     order_col: str | None = None,
     split_col: str | None = None,
     mode: str = "overwrite",
+    compression: str = "none",
 ) -> None:
     """The kept lines as text, in folders ``eps=<threshold>/ratio=<retained fraction>``.
 
@@ -109,7 +118,8 @@ def write_pruned_corpus(
     ``order_col``, by which the rows must be range-partitioned, the files of a
     folder hold the lines in its order, from one file to the next. With
     ``split_col`` too, the rows need not be: those of one split, which lie in one
-    partition, go to a folder ``lines=<split>`` of their own, twelve digits long.
+    partition, go to a folder ``lines=<split>`` of their own, twelve digits long. Each
+    threshold keeps most of the corpus: ``compression`` names a codec of Spark's text files.
     """
     labelled = with_output_label(rows, ratios).withColumn("eps", eps_text(eps_list))
     folders = ["eps", "ratio"]
@@ -126,5 +136,6 @@ def write_pruned_corpus(
         labelled.select(F.col(value_col).alias("value"), *folders)
         .write.mode(mode)
         .partitionBy(*folders)
+        .options(**compressed_text(compression))
         .text(path)
     )

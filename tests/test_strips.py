@@ -93,3 +93,26 @@ def test_bounds_that_leave_out_too_little_send_no_row_to_each_block(spark, monke
     got = collected(found.prior_similarity())
     assert_prior(got, {i: w if w[0] > 0.93 else (0.0, None) for i, w in want.items()})
     assert found.compared_pairs().first().n_compared == 400 * 399 // 2
+
+
+def test_the_corpus_and_its_copies_are_stored_compressed(spark, tmp_path, monkeypatch):
+    from neardup.plans import table_queries
+
+    monkeypatch.setattr(table_queries, "scratch_path", lambda _, name: f"{tmp_path}/{name}")
+    texts = [f"{i} some words that come again and again " * 40 for i in range(300)]
+    docs = spark.createDataFrame(
+        [(i, t, "en", "web", len(t)) for i, t in enumerate(texts)],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    docs.orderBy(F.desc("doc_id")).write.parquet(f"{tmp_path}/in/documents.parquet")
+    rows = table_queries.pruned_corpus_lines(spark, f"{tmp_path}/in").collect()
+    assert {r.eps for r in rows} == set(table_queries.LINE_EPS)
+    for eps in table_queries.LINE_EPS:
+        kept = sorted((r.line_no, r.doc_id) for r in rows if r.eps == eps)
+        assert [n for n, _ in kept] == list(range(len(kept)))
+        assert sorted(d for _, d in kept) == [d for _, d in kept]
+    plain = sum(len(t) for t in texts)
+    for name in ("corpus", "pruned"):
+        files = [p for p in (tmp_path / name).rglob("part-*") if not p.name.startswith(".")]
+        assert files and all(p.name.endswith(".txt.gz") for p in files)
+        assert sum(p.stat().st_size for p in files) < plain / 2
